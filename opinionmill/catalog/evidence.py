@@ -1 +1,186 @@
-"""Filled in by later steps."""
+"""Redaction, evidence briefs, request rows and articles."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from opinionmill.catalog.registry import CLUSTERED, query
+from opinionmill.functions.redact import redact_excerpt
+from opinionmill.operators import aggregates, articles, evidence, ranking
+from opinionmill.session import materialized
+from opinionmill.sources import adapters
+from opinionmill.sources.adapters import table
+
+
+def redact_sql(column: str) -> str:
+    """Redaction without lookarounds: the borders are spelled with \\b and \\B."""
+    text = f"substr({column}, 1, 500)"
+    for pattern, to, flags in (
+        (r"\bmy name is\s+[\w''-]+(?:\s+[\w''-]+){0,2}", "my name is [redacted]", "gi"),
+        (r"\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b", "[redacted email]", "gi"),
+        (r"https?://\S+|www\.\S+", "[redacted link]", "gi"),
+        (r"(?:\B\+)?\b\d[\d().\-\s]{7,}\d\b", "[redacted phone]", "g"),
+    ):
+        text = f"regexp_replace({text}, '{pattern}', '{to}', '{flags}')"
+    return text
+
+
+def cut_sql(e: str) -> str:
+    closing = r"\b(?:thank you|thanks|regards|sincerely)\b"
+    head = f"substr({e}, 1, greatest(length({e}) - 100, 0))"
+    tail = f"substr({e}, greatest(length({e}) - 100, 0) + 1)"
+    return rf"""CASE WHEN regexp_matches({tail}, '(?i){closing}')
+       THEN regexp_replace({head} || regexp_replace({tail}, '(?is){closing}.*$', ''), '\s+$', '') ELSE {e} END"""
+
+
+@query("redact_excerpts", f"""
+WITH r AS (SELECT doc_id, {redact_sql('text')} AS e FROM documents)
+SELECT doc_id AS row_id, {cut_sql('e')} AS excerpt FROM r""")
+def redact_excerpts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("row_id"), redact_excerpt(F.col("text")).alias("excerpt")
+    )
+
+
+ASSIGNED = f"""WITH {CLUSTERED},
+assigned AS (SELECT * FROM clustered WHERE cluster_id >= 0),
+products AS (
+  SELECT cluster_id, product_name, count(*) AS review_count, avg(rating) AS mean_rating,
+         count(*) FILTER (sentiment = 'negative') AS negative_review_count,
+         avg((sentiment = 'negative')::INT) AS negative_share
+  FROM assigned GROUP BY ALL),
+pool AS (SELECT * FROM products
+         QUALIFY review_count >= 5 OR NOT bool_or(review_count >= 5) OVER (PARTITION BY cluster_id)),
+top3 AS (SELECT *, row_number() OVER (PARTITION BY cluster_id
+           ORDER BY mean_rating DESC, review_count DESC, product_name) AS rank FROM pool QUALIFY rank <= 3),
+low AS (SELECT * FROM pool QUALIFY row_number() OVER (PARTITION BY cluster_id
+           ORDER BY mean_rating, review_count DESC, product_name) = 1),
+selected AS (SELECT cluster_id, product_name FROM top3 UNION SELECT cluster_id, product_name FROM low),
+example_rows AS (
+  SELECT * FROM (SELECT * FROM assigned WHERE sentiment <> 'neutral'
+                 QUALIFY row_number() OVER (PARTITION BY cluster_id, sentiment, review_text ORDER BY row_id) = 1)
+  QUALIFY row_number() OVER (PARTITION BY cluster_id, sentiment ORDER BY md5(row_id || ':42'), row_id)
+          <= CASE sentiment WHEN 'negative' THEN 5 ELSE 3 END),
+complaint_rows AS (
+  SELECT * FROM (SELECT * FROM assigned SEMI JOIN selected USING (cluster_id, product_name) WHERE sentiment = 'negative'
+                 QUALIFY row_number() OVER (PARTITION BY cluster_id, product_name, review_text ORDER BY row_id) = 1)
+  QUALIFY row_number() OVER (PARTITION BY cluster_id, product_name ORDER BY md5(row_id || ':42'), row_id) <= 3)"""
+
+
+def assigned_reviews(spark, sf_dir):
+    return adapters.clustered_reviews(spark, sf_dir).where("cluster_id >= 0")
+
+
+def categories(spark, sf_dir):
+    return adapters.product_dim(spark, sf_dir).select("cluster_id", "cluster_name").distinct()
+
+
+@query("evidence_stats", f"""{ASSIGNED}
+SELECT cluster_id, product_name, review_count, round(mean_rating, 6) AS mean_rating, negative_review_count,
+       round(negative_share, 6) AS negative_share FROM products""")
+def evidence_stats(spark, sf_dir):
+    out = aggregates.product_evidence(assigned_reviews(spark, sf_dir))
+    return out.withColumns({c: F.round(c, 6) for c in ("mean_rating", "negative_share")})
+
+
+
+@query("evidence_examples", f"""{ASSIGNED},
+shown AS (SELECT cluster_id, sentiment, row_id, product_name, rating, {redact_sql('review_text')} AS e FROM example_rows)
+SELECT cluster_id, sentiment, row_id, product_name, rating, {cut_sql('e')} AS review FROM shown""")
+def evidence_examples(spark, sf_dir):
+    reviews = assigned_reviews(spark, sf_dir)
+    ids = materialized(spark, evidence.category_example_ids(reviews), "category-examples")
+    return evidence.with_excerpts(reviews, ids)
+
+
+@query("product_complaints", f"""{ASSIGNED},
+shown AS (SELECT cluster_id, row_id, product_name, rating, {redact_sql('review_text')} AS e FROM complaint_rows)
+SELECT cluster_id, row_id, product_name, rating, {cut_sql('e')} AS review FROM shown""")
+def product_complaints(spark, sf_dir):
+    reviews = assigned_reviews(spark, sf_dir)
+    products = aggregates.product_evidence(reviews)
+    keys = ["cluster_id", "product_name"]
+    chosen = ranking.top_products(products).select(*keys).union(ranking.lowest_product(products).select(*keys)).distinct()
+    ids = materialized(spark, evidence.complaint_ids(reviews, chosen), "complaints")
+    return evidence.with_excerpts(reviews, ids)
+
+
+def briefs(spark, sf_dir):
+    return evidence.evidence_briefs(categories(spark, sf_dir), adapters.clustered_reviews(spark, sf_dir))
+
+
+@query("evidence_brief", f"""{ASSIGNED},
+stats AS (SELECT cluster_id, cluster_name, count(*) AS review_count, count(DISTINCT product_name) AS product_count,
+                 round(avg(rating), 2) AS mean_rating, round(avg((sentiment = 'negative')::INT), 4) AS negative_share,
+                 round(avg((sentiment = 'positive')::INT), 4) AS positive_share FROM assigned GROUP BY ALL)
+SELECT s.*, (SELECT string_agg(product_name, '|' ORDER BY rank) FROM top3 t WHERE t.cluster_id = s.cluster_id) AS top_names,
+       (SELECT max(product_name) FROM low l WHERE l.cluster_id = s.cluster_id) AS lowest_name,
+       (SELECT count(*) FROM example_rows e WHERE e.cluster_id = s.cluster_id AND sentiment = 'negative') AS negatives,
+       (SELECT count(*) FROM example_rows e WHERE e.cluster_id = s.cluster_id AND sentiment = 'positive') AS positives,
+       (SELECT count(*) FROM complaint_rows c JOIN top3 t ON t.cluster_id = c.cluster_id AND t.product_name = c.product_name
+        WHERE c.cluster_id = s.cluster_id) AS complaints
+FROM stats s""")
+def evidence_brief(spark, sf_dir):
+    top = F.col("highest_rated_products")
+    per_product = F.transform(top, lambda p: F.size(p["negative_review_examples"]))
+    return briefs(spark, sf_dir).select(
+        "cluster_id", "cluster_name", "review_count", "product_count", "mean_rating", "negative_share", "positive_share",
+        F.array_join(F.transform(top, lambda p: p["name"]), "|").alias("top_names"),
+        F.col("lowest_rated_product")["name"].alias("lowest_name"),
+        F.size("negative_review_examples").cast("long").alias("negatives"),
+        F.size("positive_review_examples").cast("long").alias("positives"),
+        F.aggregate(per_product, F.lit(0), lambda a, n: a + n).cast("long").alias("complaints"),
+    )
+
+
+@query("evidence_json")
+def evidence_json(spark, sf_dir):
+    rows = briefs(spark, sf_dir)
+    return rows.select("cluster_id", evidence.evidence_json(rows).alias("evidence"))
+
+
+@query("prompt_rows")
+def prompt_rows(spark, sf_dir):
+    return evidence.request_rows(briefs(spark, sf_dir))
+
+
+@query("prompt_variants", f"""
+WITH v(prompt_variant) AS (VALUES {", ".join(f"('{v}')" for v in evidence.PROMPT_VARIANTS)}),
+c AS (SELECT DISTINCT CAST(substr(source, 4) AS INTEGER) % 5 AS cluster_id FROM documents
+      WHERE CAST(substr(source, 4) AS INTEGER) < 18)
+SELECT prompt_variant, count(*) AS requests FROM v CROSS JOIN c GROUP BY 1""")
+def prompt_variants(spark, sf_dir):
+    requests = evidence.request_rows(briefs(spark, sf_dir), list(evidence.PROMPT_VARIANTS))
+    return requests.groupBy("prompt_variant").agg(F.count(F.lit(1)).alias("requests"))
+
+
+@query("summary_routing", f"""{ASSIGNED},
+low_only AS (SELECT cluster_id, product_name FROM low EXCEPT SELECT cluster_id, product_name FROM top3),
+shown AS (
+  SELECT cluster_id, 'category_' || sentiment AS key, rating, {redact_sql('review_text')} AS e FROM example_rows
+  UNION ALL
+  SELECT c.cluster_id, 'product:' || c.product_name, rating, {redact_sql('review_text')} FROM complaint_rows c),
+lines AS (SELECT cluster_id, key, 2 + len(regexp_extract_all({cut_sql('e')}, '\\S+')) AS words FROM shown)
+SELECT cluster_id, key, sum(words)::BIGINT AS n_tokens,
+       CASE WHEN sum(words) < 40 THEN 'quote' ELSE 'summarize' END AS route,
+       greatest(20, least(90, floor(sum(words) * 0.7)))::INTEGER AS max_tokens
+FROM lines GROUP BY cluster_id, key""")
+def summary_routing(spark, sf_dir):
+    tasks = articles.summary_tasks(briefs(spark, sf_dir))
+    budget = articles.output_budget(F.col("n_tokens"))
+    return tasks.select(
+        "cluster_id", "key", F.col("n_tokens").cast("long").alias("n_tokens"), "route",
+        budget["max_tokens"].alias("max_tokens"),
+    )
+
+
+def first_sentence():
+    """Stand-in text function: the first 30 words, closed with a full stop."""
+    return lambda texts: [" ".join(text.split()[:30]) + "." for text in texts]
+
+
+@query("article_table")
+def article_table(spark, sf_dir):
+    rows = materialized(spark, briefs(spark, sf_dir), "briefs")
+    summaries = articles.summarize_tasks(articles.summary_tasks(rows), first_sentence)
+    return articles.drafts(rows, articles.articles(rows, summaries), "first 30 words").drop("generated_at_utc")

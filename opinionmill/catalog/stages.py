@@ -1 +1,34 @@
-"""Filled in by later steps."""
+"""Extractive summaries, artifacts and files written and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from opinionmill.catalog.features import STOP_SQL
+from opinionmill.catalog.registry import query
+from opinionmill.operators import articles
+from opinionmill.sources.adapters import table
+
+SENTENCES_SQL = rf"""
+WITH parts AS (
+  SELECT doc_id, list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)),
+                             lambda x: NOT regexp_full_match(x, '\s*')) AS p FROM documents),
+listed AS (SELECT doc_id, unnest(p) AS sentence, unnest(range(len(p))) AS position FROM parts),
+occ AS (SELECT doc_id, position, unnest(list_filter(regexp_extract_all(lower(sentence), '[\pL\pM\pN_]{{2,}}'),
+                                                   lambda w: w NOT IN {STOP_SQL})) AS term FROM listed),
+counts AS (SELECT doc_id, position, term, count(*) AS tf FROM occ GROUP BY ALL),
+vocab AS (SELECT term, count(*) AS df FROM counts GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 5000),
+sums AS (SELECT doc_id, position, sum(tf * (ln(((SELECT count(*) FROM listed) + 1.0) / (df + 1.0)) + 1.0)) AS s
+         FROM counts c JOIN vocab v ON v.term = c.term GROUP BY ALL),
+weighted AS (
+  SELECT l.doc_id, l.position, sentence,
+         round(COALESCE(s, 0) / sqrt(greatest(len(regexp_extract_all(sentence, '\S+')), 1)), 6) AS weight
+  FROM listed l LEFT JOIN sums u ON u.doc_id = l.doc_id AND u.position = l.position)"""
+
+
+@query("extractive_summary", f"""{SENTENCES_SQL},
+best AS (SELECT * FROM weighted QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, position) <= 2)
+SELECT doc_id AS row_id, string_agg(sentence, ' ' ORDER BY position) AS summary FROM best GROUP BY doc_id""")
+def extractive_summary(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    return articles.extractive_summaries(docs, "row_id", "text")

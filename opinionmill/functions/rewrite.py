@@ -166,8 +166,8 @@ def restore_terms(text: Column, terms: Column) -> Column:
         return F.transform(
             parts,
             lambda p: F.concat(
-                p["0"],
-                F.coalesce(F.get(names, p["1"].cast("int")), p["2"], F.lit("")),
+                p["piece"],
+                F.coalesce(F.get(names, p["number"].cast("int")), p["token"], F.lit("")),
             ),
         )
 

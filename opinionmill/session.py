@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "opinionmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,3 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for one written table."""
     return f"{shared_dir(spark).rstrip('/')}/opinionmill/{label}-{uuid.uuid4().hex}"
+
+
+def materialized(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Cuts the lineage so that a lost executor costs a re-read, and gives the planner the real
+    size of the table, which decides whether a join may broadcast it.
+    """
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
