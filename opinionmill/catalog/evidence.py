@@ -163,7 +163,7 @@ shown AS (
 lines AS (SELECT cluster_id, key, 2 + len(regexp_extract_all({cut_sql('e')}, '\\S+')) AS words FROM shown)
 SELECT cluster_id, key, sum(words)::BIGINT AS n_tokens,
        CASE WHEN sum(words) < 40 THEN 'quote' ELSE 'summarize' END AS route,
-       greatest(20, least(90, floor(sum(words) * 0.7)))::INTEGER AS max_tokens
+       greatest(20, least(90, floor(sum(words) * 0.7::DOUBLE)))::INTEGER AS max_tokens
 FROM lines GROUP BY cluster_id, key""")
 def summary_routing(spark, sf_dir):
     tasks = articles.summary_tasks(briefs(spark, sf_dir))

@@ -1 +1,95 @@
-"""Filled in by later steps."""
+"""Classifiers and clusters."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from opinionmill.catalog.registry import query
+from opinionmill.functions.labels import SENTIMENTS
+from opinionmill.operators import aggregates, classify, clusters, contracts, features, metrics, sampling
+from opinionmill.session import materialized, scratch_path
+from opinionmill.sources import adapters, sinks
+from opinionmill.sources.adapters import table
+
+
+def split_reviews(spark, sf_dir):
+    reviews = adapters.usable_reviews(spark, sf_dir).select("row_id", "review_text", "sentiment")
+    return materialized(spark, sampling.stratified_split(reviews), "split")
+
+
+BALANCED_LOGISTIC = classify.CANDIDATES[1]
+
+
+@query("model_comparison_fit")
+def model_comparison_fit(spark, sf_dir):
+    split = split_reviews(spark, sf_dir)
+    out = classify.compare_candidates(split.where("split = 'train'"), split.where("split = 'validation'"))
+    return out.select("model", *[F.round(c, 4).alias(c) for c in ("accuracy", "macro_f1", "weighted_f1")], "samples")
+
+
+@query("test_metrics_fit")
+def test_metrics_fit(spark, sf_dir):
+    split = split_reviews(spark, sf_dir)
+    pipeline = classify.fit_sentiment_model(split.where("split <> 'test'"), classify.CANDIDATES[3])
+    scored = classify.predict_sentiment(pipeline, split.where("split = 'test'"))
+    return metrics.per_class_metrics(scored.select(F.col("sentiment").alias("actual"), F.col("model_sentiment").alias("predicted")))
+
+
+def balanced_model(spark, sf_dir):
+    split = split_reviews(spark, sf_dir)
+    return classify.fit_sentiment_model(split.where("split <> 'test'"), BALANCED_LOGISTIC)
+
+
+@query("scored_reviews")
+def scored_reviews(spark, sf_dir):
+    """A saved and reloaded model scores every document that passes the request contract."""
+    path = scratch_path(spark, "model")
+    sinks.save_model(classify.SentimentModel(balanced_model(spark, sf_dir), BALANCED_LOGISTIC.name), path)
+    model = sinks.load_model(spark, path)
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("text").alias("review_text"))
+    accepted, _ = contracts.split_requests(documents, "review_text")
+    scored = classify.score_reviews(model.pipeline, accepted, "review_text")
+    return scored.select("row_id", "sentiment", *[F.col("class_scores")[s].alias(s) for s in SENTIMENTS])
+
+
+def vectors(spark, sf_dir):
+    return clusters.as_vectors(table(spark, sf_dir, "embeddings"), "embedding")
+
+
+@query("kmeans_assign")
+def kmeans_assign(spark, sf_dir):
+    rows = vectors(spark, sf_dir).select("vec_id", "features").persist()
+    model = clusters.fit_kmeans(rows, clusters.CHOSEN_COUNT, restarts=5)
+    return model.transform(rows).select("vec_id", F.col("prediction").alias("cluster_id"))
+
+
+@query("k_search")
+def k_search(spark, sf_dir):
+    found, _ = clusters.compare_solutions(vectors(spark, sf_dir).select("vec_id", "features"), restarts=5)
+    return found
+
+
+@query("product_clusters")
+def product_clusters(spark, sf_dir):
+    products = materialized(spark, aggregates.product_profiles(adapters.usable_reviews(spark, sf_dir)), "products")
+    contracts.require_rows(products, clusters.MIN_PRODUCTS, "Product clustering")
+    blocks = materialized(spark, features.product_blocks(products), "blocks")
+    rows = features.block_vectors(blocks).persist()
+    model = clusters.fit_kmeans(rows, clusters.CHOSEN_COUNT, restarts=5)
+    found = clusters.assign_clusters(model, rows, products)
+    named = clusters.name_clusters(found, {i: f"Group {i}" for i in range(clusters.CHOSEN_COUNT)})
+    return named.select("product_name", "cluster_id", "cluster_name", "review_count", "mean_rating")
+
+
+@query("cosine_silhouette", """
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+pairs AS (
+  SELECT a.vec_id, a.label AS own, b.label AS other, count(*) AS n, sum(1 - list_cosine_similarity(a.e, b.e)) AS d
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id GROUP BY ALL),
+inside AS (SELECT vec_id, d / n AS a FROM pairs WHERE own = other),
+outside AS (SELECT vec_id, min(d / n) AS b FROM pairs WHERE own <> other GROUP BY 1)
+SELECT round(avg((b - a) / greatest(a, b)), 6) AS cosine_silhouette
+FROM outside JOIN inside USING (vec_id)""")
+def cosine_silhouette(spark, sf_dir):
+    value = clusters.cosine_silhouette(vectors(spark, sf_dir).select("features", F.col("label").alias("cluster_id")))
+    return spark.createDataFrame([(round(value, 6),)], "cosine_silhouette double")

@@ -1 +1,57 @@
-"""Filled in by later steps."""
+"""Streaming forms, run to the end of the files at hand."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from opinionmill.catalog.models import balanced_model
+from opinionmill.catalog.registry import query
+from opinionmill.functions.labels import SENTIMENTS
+from opinionmill.functions.text import length_bucket
+from opinionmill.session import scratch_path
+from opinionmill.sources.adapters import table
+from opinionmill.streaming import counts, scoring
+
+
+def document_stream(spark, sf_dir):
+    """The document table as a file stream."""
+    schema = table(spark, sf_dir, "documents").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+
+
+@query("stream_scored_reviews")
+def stream_scored_reviews(spark, sf_dir):
+    model = balanced_model(spark, sf_dir)
+    requests = document_stream(spark, sf_dir).select(F.col("doc_id").alias("row_id"), F.col("text").alias("review_text"))
+    scored, _ = scoring.score_stream(requests, model, "review_text")
+    path = scratch_path(spark, "stream-scored")
+    scoring.append_table(scored, path, scratch_path(spark, "stream-scored-log")).awaitTermination()
+    return spark.read.parquet(path).select("row_id", "sentiment", *[F.col("class_scores")[s].alias(s) for s in SENTIMENTS])
+
+
+@query("stream_rejected_requests", r"""
+SELECT doc_id AS row_id, CASE WHEN text = '' THEN 'empty' WHEN length(text) > 5000 THEN 'too_long' ELSE 'blank' END AS reason
+FROM documents WHERE length(text) > 5000 OR regexp_full_match(text, '\s*')""")
+def stream_rejected_requests(spark, sf_dir):
+    from opinionmill.operators.contracts import split_requests
+
+    requests = document_stream(spark, sf_dir).select(F.col("doc_id").alias("row_id"), F.col("text").alias("review"))
+    _, rejected = split_requests(requests, "review")
+    path = scratch_path(spark, "stream-rejected")
+    scoring.append_table(rejected.select("row_id", "reason"), path, scratch_path(spark, "stream-rejected-log")).awaitTermination()
+    return spark.read.parquet(path)
+
+
+@query("stream_sentiment_counts", """
+SELECT lang AS category,
+       CASE WHEN length(text) <= 49 THEN '0–49' WHEN length(text) <= 99 THEN '50–99'
+            WHEN length(text) <= 199 THEN '100–199' WHEN length(text) <= 399 THEN '200–399' ELSE '400+' END AS length_bucket,
+       count(*) AS review_count, sum(length(text))::BIGINT AS characters
+FROM documents GROUP BY ALL""")
+def stream_sentiment_counts(spark, sf_dir):
+    grouped = document_stream(spark, sf_dir).groupBy(
+        F.col("lang").alias("category"), length_bucket(F.length("text")).alias("length_bucket")
+    ).agg(F.count(F.lit(1)).alias("review_count"), F.sum(F.length("text")).cast("long").alias("characters"))
+    path = scratch_path(spark, "stream-counts")
+    counts.refresh_counts(grouped, path, scratch_path(spark, "stream-counts-log")).awaitTermination()
+    return counts.latest_counts(spark, path, ["category", "length_bucket"], ["review_count", "characters"])
