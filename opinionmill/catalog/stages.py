@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from opinionmill.catalog.dashboard import LENGTH_SQL, THEMES_SQL
+from opinionmill.catalog.evaluation import predictions
 from opinionmill.catalog.features import STOP_SQL
-from opinionmill.catalog.registry import query
-from opinionmill.operators import articles
+from opinionmill.catalog.registry import (
+    CLUSTERED, REVIEWS_TEXT, SENTIMENT_ROWS, SOURCE_ROWS, clean_sql, label_sql, query,
+)
+from opinionmill.operators import articles, metrics
+from opinionmill.plans import dashboard
+from opinionmill.session import scratch_path
+from opinionmill.sources import adapters, artifact, sinks
+from opinionmill.sources import reviews as readers
 from opinionmill.sources.adapters import table
 
 SENTENCES_SQL = rf"""
@@ -32,3 +40,82 @@ SELECT doc_id AS row_id, string_agg(sentence, ' ' ORDER BY position) AS summary
 def extractive_summary(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
     return articles.extractive_summaries(docs, "row_id", "text")
+
+
+@query("csv_roundtrip", f"""
+WITH {REVIEWS_TEXT}, named AS (
+  SELECT row_id, rating, {clean_sql('raw_text')} AS review_text, {label_sql('rating')} AS sentiment,
+         trim(regexp_replace(product_name, '\\s+', ' ', 'g'), ' ,') AS product_name, categories FROM reviews_text)
+SELECT row_id, review_text, product_name, categories, rating, sentiment FROM named
+WHERE rating IS NOT NULL AND review_text <> ''""")
+def csv_roundtrip(spark, sf_dir):
+    """The documents written as a review CSV, line breaks and quotes included, and loaded again."""
+    path = scratch_path(spark, "reviews-csv")
+    raw = adapters.reviews_text(spark, sf_dir).select(
+        F.col("row_id").cast("string").alias("id"), F.col("raw_text").alias("reviews.text"),
+        F.col("rating").cast("string").alias("reviews.rating"), F.col("product_name").alias("name"), "categories",
+    )
+    sinks.write_csv(raw, path)
+    loaded = readers.load_reviews(readers.read_reviews_csv(spark, path, row_id="id"))
+    return loaded.withColumn("row_id", F.col("row_id").cast("long"))
+
+
+def saved_artifact(spark, sf_dir):
+    path = scratch_path(spark, "dashboard")
+    dashboard.build_dashboard(adapters.clustered_reviews(spark, sf_dir), path, themes=adapters.CORPUS_THEMES)
+    return artifact.read(spark, path)
+
+
+@query("artifact_category_sentiment", f"""
+WITH {CLUSTERED},
+both_sources AS (
+  SELECT cluster_name AS category, 'model' AS source, model_sentiment AS sentiment FROM clustered
+  UNION ALL SELECT cluster_name, 'rating', sentiment FROM clustered)
+SELECT c.category, o.source, s.sentiment, count(b.category) AS count
+FROM (SELECT DISTINCT category FROM both_sources) c CROSS JOIN {SOURCE_ROWS} CROSS JOIN {SENTIMENT_ROWS}
+LEFT JOIN both_sources b ON b.category = c.category AND b.source = o.source AND b.sentiment = s.sentiment
+GROUP BY ALL""")
+def artifact_category_sentiment(spark, sf_dir):
+    return saved_artifact(spark, sf_dir)["category_sentiment"]
+
+
+@query("artifact_theme_counts", f"{THEMES_SQL} SELECT * FROM theme_counts")
+def artifact_theme_counts(spark, sf_dir):
+    return saved_artifact(spark, sf_dir)["complaint_theme_counts"]
+
+
+@query("artifact_length_sentiment", f"{LENGTH_SQL} SELECT * FROM lengths")
+def artifact_length_sentiment(spark, sf_dir):
+    return saved_artifact(spark, sf_dir)["review_length_sentiment"]
+
+
+@query("dashboard_ranked_export", f"""
+WITH {CLUSTERED}
+SELECT cluster_name AS category, product_name, count(*) AS review_count, round(avg(rating), 6) AS mean_rating,
+       round(avg((sentiment = 'negative')::INT), 6) AS negative_share,
+       round(avg((sentiment = 'positive')::INT), 6) AS positive_share
+FROM clustered GROUP BY ALL HAVING count(*) >= 10
+ORDER BY avg((sentiment = 'negative')::INT) DESC, review_count DESC, product_name LIMIT 10""")
+def dashboard_ranked_export(spark, sf_dir):
+    views = dashboard.dashboard_views(saved_artifact(spark, sf_dir), source="rating", min_support=10)
+    path = scratch_path(spark, "ranked-export")
+    sinks.write_csv(views["ranked_export"], path)
+    back = sinks.read_csv(spark, path, "category string, product_name string, review_count bigint, "
+                          "mean_rating double, negative_share double, positive_share double")
+    return back.withColumns({c: F.round(c, 6) for c in ("mean_rating", "negative_share", "positive_share")})
+
+
+@query("confusion_csv", """
+SELECT 'Actual ' || s.sentiment AS actual,
+       count(*) FILTER (l_returnflag = 'R') AS "Predicted negative",
+       count(*) FILTER (l_returnflag = 'A') AS "Predicted neutral",
+       count(*) FILTER (l_returnflag = 'N') AS "Predicted positive"
+FROM (VALUES ('negative', 1), ('neutral', 2), ('positive', 3)) AS s(sentiment, level)
+JOIN lineitem ON level = CASE WHEN 1 + l_quantity % 5 <= 2 THEN 1 WHEN 1 + l_quantity % 5 = 3 THEN 2 ELSE 3 END
+GROUP BY 1""")
+def confusion_csv(spark, sf_dir):
+    path = scratch_path(spark, "confusion")
+    sinks.write_confusion_csv(metrics.confusion_matrix(predictions(spark, sf_dir)), path)
+    return sinks.read_csv(
+        spark, path, "actual string, `Predicted negative` bigint, `Predicted neutral` bigint, `Predicted positive` bigint"
+    )

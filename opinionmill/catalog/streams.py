@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from opinionmill.catalog.dashboard import CATEGORY_COUNTS_SQL, METRICS_COLUMNS_SQL
 from opinionmill.catalog.models import balanced_model
-from opinionmill.catalog.registry import query
+from opinionmill.catalog.registry import USABLE, query
 from opinionmill.functions.labels import SENTIMENTS
-from opinionmill.functions.text import length_bucket
+from opinionmill.operators import aggregates
+from opinionmill.operators.contracts import split_requests
 from opinionmill.session import scratch_path
+from opinionmill.sources import adapters
 from opinionmill.sources.adapters import table
 from opinionmill.streaming import counts, scoring
 
@@ -33,8 +36,6 @@ def stream_scored_reviews(spark, sf_dir):
 SELECT doc_id AS row_id, CASE WHEN text = '' THEN 'empty' WHEN length(text) > 5000 THEN 'too_long' ELSE 'blank' END AS reason
 FROM documents WHERE length(text) > 5000 OR regexp_full_match(text, '\s*')""")
 def stream_rejected_requests(spark, sf_dir):
-    from opinionmill.operators.contracts import split_requests
-
     requests = document_stream(spark, sf_dir).select(F.col("doc_id").alias("row_id"), F.col("text").alias("review"))
     _, rejected = split_requests(requests, "review")
     path = scratch_path(spark, "stream-rejected")
@@ -42,16 +43,25 @@ def stream_rejected_requests(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("stream_sentiment_counts", """
-SELECT lang AS category,
-       CASE WHEN length(text) <= 49 THEN '0–49' WHEN length(text) <= 99 THEN '50–99'
-            WHEN length(text) <= 199 THEN '100–199' WHEN length(text) <= 399 THEN '200–399' ELSE '400+' END AS length_bucket,
-       count(*) AS review_count, sum(length(text))::BIGINT AS characters
-FROM documents GROUP BY ALL""")
+@query("stream_sentiment_counts", CATEGORY_COUNTS_SQL)
 def stream_sentiment_counts(spark, sf_dir):
-    grouped = document_stream(spark, sf_dir).groupBy(
-        F.col("lang").alias("category"), length_bucket(F.length("text")).alias("length_bucket")
-    ).agg(F.count(F.lit(1)).alias("review_count"), F.sum(F.length("text")).cast("long").alias("characters"))
+    """The batch aggregate, unchanged, on a stream joined with the label table."""
+    reviews = adapters.usable_reviews(spark, sf_dir, document_stream(spark, sf_dir))
+    refreshed = aggregates.category_sentiment(reviews, "categories")
     path = scratch_path(spark, "stream-counts")
-    counts.refresh_counts(grouped, path, scratch_path(spark, "stream-counts-log")).awaitTermination()
-    return counts.latest_counts(spark, path, ["category", "length_bucket"], ["review_count", "characters"])
+    counts.refresh_counts(refreshed, path, scratch_path(spark, "stream-counts-log")).awaitTermination()
+    return counts.latest_counts(spark, path, ["category", "source", "sentiment"], ["count"])
+
+
+@query("stream_product_metrics", f"""
+WITH {USABLE}
+SELECT categories AS category, product_name, count(*) AS review_count, round(avg(rating), 6) AS mean_rating,
+       {METRICS_COLUMNS_SQL} FROM usable GROUP BY ALL""")
+def stream_product_metrics(spark, sf_dir):
+    reviews = adapters.usable_reviews(spark, sf_dir, document_stream(spark, sf_dir))
+    refreshed = aggregates.product_metrics(reviews, "categories")
+    values = [c for c in refreshed.columns if c not in ("category", "product_name")]
+    path = scratch_path(spark, "stream-products")
+    counts.refresh_counts(refreshed, path, scratch_path(spark, "stream-products-log")).awaitTermination()
+    latest = counts.latest_counts(spark, path, ["category", "product_name"], values)
+    return latest.withColumn("mean_rating", F.round("mean_rating", 6))

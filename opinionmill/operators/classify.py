@@ -17,7 +17,7 @@ from opinionmill.functions import scores
 from opinionmill.functions.labels import SENTIMENTS
 from opinionmill.operators import contracts
 from opinionmill.operators.features import SENTIMENT_FEATURES, fit_text_features
-from opinionmill.operators.metrics import summary_metrics
+from opinionmill.operators.metrics import cell_counts, summary_metrics
 from opinionmill.operators.sampling import union_all
 
 
@@ -108,8 +108,7 @@ def compare_candidates(
 ) -> DataFrame:
     """Fit every candidate on the training rows and score it on the validation rows.
 
-    Features are fitted once per kind and kept while the candidates train on them; all
-    validation scores come from one grouped pass.
+    Features are fitted once per kind and kept while the candidates train on them.
     """
     scored = []
     for tfidf in sorted({c.tfidf for c in candidates}, reverse=True):
@@ -123,14 +122,12 @@ def compare_candidates(
         for position, candidate in enumerate(candidates):
             if candidate.tfidf == tfidf:
                 named = _named(_fit_on(kept[0], candidate, rows, max_iter), kept[1], labels)
-                counted = named.groupBy("actual", "predicted").count().collect()
-                scored += [(candidate.name, position, r["actual"], r["predicted"], r["count"]) for r in counted]
+                scored += [(candidate.name, position, *cell) for cell in cell_counts(named).collect()]
         for frame in kept:
             frame.unpersist()
-    # At most labels x labels cells per candidate came back; unfold them for the metrics.
+    # Only labels x labels cell counts per candidate reach the driver.
     cells = train.sparkSession.createDataFrame(scored, "model string, position int, actual string, predicted string, n long")
-    unfolded = cells.select("model", "position", "actual", "predicted", F.explode(F.sequence(F.lit(1), "n")))
-    return summary_metrics(unfolded, ["model", "position"], labels).orderBy(
+    return summary_metrics(cells, ["model", "position"], labels).orderBy(
         F.desc("macro_f1"), F.desc("accuracy"), "position"
     )
 

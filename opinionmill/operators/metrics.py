@@ -13,9 +13,17 @@ from pyspark.sql import functions as F
 from opinionmill.functions.labels import SENTIMENTS
 
 
+def cell_counts(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows per key, actual and predicted label: at most labels x labels rows per key."""
+    return df.groupBy(*keys, "actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _cells(df: DataFrame, keys: Sequence[str], labels: Sequence[str]) -> DataFrame:
-    """One row per key with every cell ``a_p`` of the confusion matrix and the row total."""
-    counts = df.groupBy(*keys, "actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
+    """One row per key with every cell ``a_p`` of the confusion matrix and the row total.
+
+    ``df`` holds single predictions, or cells already counted in a column ``n``.
+    """
+    counts = df if "n" in df.columns else cell_counts(df, *keys)
     cells = [
         F.coalesce(F.sum(F.when((F.col("actual") == a) & (F.col("predicted") == p), F.col("n"))), F.lit(0)).alias(f"{a}_{p}")
         for a in labels

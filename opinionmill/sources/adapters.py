@@ -27,12 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def reviews_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as raw reviews; the label table supplies the stars."""
+def reviews_text(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None) -> DataFrame:
+    """Documents as raw reviews; the label table supplies the stars.
+
+    ``documents`` may be a stream of the same table.
+    """
     labels = table(spark, sf_dir, "labels")
     stars = F.when(F.col("toxic") == 1, 1.0).when(F.col("quality") == 0, 3.0).when(F.col("quality") == 1, 5.0)
     return (
-        table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+        (table(spark, sf_dir, "documents") if documents is None else documents).join(labels, "doc_id", "left")
         .select(
             F.col("doc_id").alias("row_id"), F.col("text").alias("raw_text"),
             F.col("source").alias("product_name"), F.col("lang").alias("categories"), stars.alias("rating"),
@@ -40,14 +43,14 @@ def reviews_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def usable_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def usable_reviews(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None) -> DataFrame:
     """Rated, non-empty reviews with cleaned text and both labels.
 
     The rating filter sits before the cleaning, so unrated texts are dropped first.
     """
     hostile = F.col("review_text").rlike(rf"\b(?:{'|'.join(HOSTILE_WORDS)})\b")
     return (
-        reviews_text(spark, sf_dir).where("rating IS NOT NULL")
+        reviews_text(spark, sf_dir, documents).where("rating IS NOT NULL")
         .withColumn("review_text", clean_text(F.col("raw_text"))).drop("raw_text")
         .where("review_text <> ''")
         .withColumn("sentiment", sentiment(F.col("rating")))
