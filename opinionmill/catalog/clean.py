@@ -13,7 +13,7 @@ from opinionmill.sources.adapters import table
 
 @query("clean_text", f"SELECT doc_id AS row_id, {clean_sql('text')} AS review_text FROM documents")
 def clean_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = adapters.documents(spark, sf_dir)
     return docs.select(F.col("doc_id").alias("row_id"), text.clean_text(F.col("text")).alias("review_text"))
 
 
@@ -26,7 +26,7 @@ SELECT row_id, CASE WHEN name = '' OR lower(name) IN ('unknown', 'nan', 'none')
                     THEN 'Unknown product' ELSE name END AS product_name
 FROM named""")
 def clean_product_name(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = adapters.documents(spark, sf_dir)
     return docs.select(
         F.col("doc_id").alias("row_id"), text.clean_product_name(F.col("text")).alias("product_name")
     )
@@ -98,7 +98,7 @@ SELECT CASE WHEN length(text) <= 49 THEN '0–49' WHEN length(text) <= 99 THEN '
 FROM documents GROUP BY 1""")
 def length_buckets(spark, sf_dir):
     length = F.length("text")
-    return table(spark, sf_dir, "documents").groupBy(text.length_bucket(length).alias("length_bucket")).agg(
+    return adapters.documents(spark, sf_dir).groupBy(text.length_bucket(length).alias("length_bucket")).agg(
         F.count(F.lit(1)).alias("n"), F.min(length).cast("long").alias("shortest"),
         F.max(length).cast("long").alias("longest"),
     )
@@ -110,7 +110,7 @@ FROM documents WHERE len(regexp_extract_all(text, '\S+')) BETWEEN 4 AND 120""")
 def word_band_filter(spark, sf_dir):
     words = text.word_count(F.col("text")).cast("long")
     return (
-        table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), words.alias("words"))
+        adapters.documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), words.alias("words"))
         .where(F.col("words").between(4, 120))
     )
 
@@ -123,7 +123,7 @@ SELECT doc_id AS row_id,
             THEN regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', '') END AS review
 FROM documents""")
 def request_split(spark, sf_dir):
-    requests = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("text").alias("review"))
+    requests = adapters.documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), F.col("text").alias("review"))
     accepted, rejected = contracts.split_requests(requests, "review")
     return accepted.select("row_id", F.lit("accepted").alias("outcome"), "review").unionByName(
         rejected.select("row_id", F.col("reason").alias("outcome"), F.lit(None).cast("string").alias("review"))
@@ -152,7 +152,7 @@ FROM (SELECT DISTINCT doc_id FROM documents) a FULL JOIN (SELECT DISTINCT doc_id
 WHERE a.doc_id IS NULL OR b.doc_id IS NULL""")
 def contract_id_sets(spark, sf_dir):
     return contracts.id_set_differences(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id"
+        adapters.documents(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id"
     )
 
 

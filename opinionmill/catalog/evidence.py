@@ -37,7 +37,7 @@ def cut_sql(e: str) -> str:
 WITH r AS (SELECT doc_id, {redact_sql('text')} AS e FROM documents)
 SELECT doc_id AS row_id, {cut_sql('e')} AS excerpt FROM r""")
 def redact_excerpts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return adapters.documents(spark, sf_dir).select(
         F.col("doc_id").alias("row_id"), redact_excerpt(F.col("text")).alias("excerpt")
     )
 
@@ -106,7 +106,8 @@ def product_complaints(spark, sf_dir):
 
 
 def briefs(spark, sf_dir):
-    return evidence.evidence_briefs(categories(spark, sf_dir), adapters.clustered_reviews(spark, sf_dir))
+    reviews = materialized(spark, adapters.clustered_reviews(spark, sf_dir), "review-clusters")
+    return evidence.evidence_briefs(categories(spark, sf_dir), reviews)
 
 
 @query("evidence_brief", f"""{ASSIGNED},

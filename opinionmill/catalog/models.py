@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from opinionmill.catalog.registry import query
 from opinionmill.functions.labels import SENTIMENTS
 from opinionmill.operators import aggregates, classify, clusters, contracts, features, metrics, sampling
-from opinionmill.session import materialized, scratch_path
+from opinionmill.session import materialized, scratch_path, spread
 from opinionmill.sources import adapters, sinks
 from opinionmill.sources.adapters import table
 
 
 def split_reviews(spark, sf_dir):
     reviews = adapters.usable_reviews(spark, sf_dir).select("row_id", "review_text", "sentiment")
-    return materialized(spark, sampling.stratified_split(reviews), "split")
+    return spread(materialized(spark, sampling.stratified_split(reviews), "split"), "row_id")
 
 
 BALANCED_LOGISTIC = classify.CANDIDATES[1]
@@ -46,14 +46,14 @@ def scored_reviews(spark, sf_dir):
     path = scratch_path(spark, "model")
     sinks.save_model(classify.SentimentModel(balanced_model(spark, sf_dir), BALANCED_LOGISTIC.name), path)
     model = sinks.load_model(spark, path)
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("text").alias("review_text"))
+    documents = adapters.documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), F.col("text").alias("review_text"))
     accepted, _ = contracts.split_requests(documents, "review_text")
     scored = classify.score_reviews(model.pipeline, accepted, "review_text")
     return scored.select("row_id", "sentiment", *[F.col("class_scores")[s].alias(s) for s in SENTIMENTS])
 
 
 def vectors(spark, sf_dir):
-    return clusters.as_vectors(table(spark, sf_dir, "embeddings"), "embedding")
+    return clusters.as_vectors(spread(table(spark, sf_dir, "embeddings"), "vec_id"), "embedding")
 
 
 @query("kmeans_assign")

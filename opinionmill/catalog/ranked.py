@@ -104,7 +104,7 @@ def dedupe_product_negatives(spark, sf_dir):
 @query("dedupe_table", """
 SELECT doc_id AS row_id, text FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""")
 def dedupe_table(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    docs = adapters.documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), "text")
     return ranking.drop_copies(docs, [], text="text")
 
 
@@ -192,6 +192,6 @@ def split_parts_union(spark, sf_dir):
 SELECT source AS product_name, max(len(regexp_extract_all(text, '\S+')))::BIGINT AS most_words
 FROM documents GROUP BY 1""")
 def words_per_review(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy(F.col("source").alias("product_name")).agg(
+    return adapters.documents(spark, sf_dir).groupBy(F.col("source").alias("product_name")).agg(
         F.max(word_count(F.col("text"))).cast("long").alias("most_words")
     )

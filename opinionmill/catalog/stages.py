@@ -15,7 +15,6 @@ from opinionmill.plans import dashboard
 from opinionmill.session import scratch_path
 from opinionmill.sources import adapters, artifact, sinks
 from opinionmill.sources import reviews as readers
-from opinionmill.sources.adapters import table
 
 SENTENCES_SQL = rf"""
 WITH parts AS (
@@ -38,7 +37,7 @@ weighted AS (
 best AS (SELECT * FROM weighted QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, position) <= 2)
 SELECT doc_id AS row_id, string_agg(sentence, ' ' ORDER BY position) AS summary FROM best GROUP BY doc_id""")
 def extractive_summary(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    docs = adapters.documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), "text")
     return articles.extractive_summaries(docs, "row_id", "text")
 
 

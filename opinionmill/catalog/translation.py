@@ -11,7 +11,6 @@ from opinionmill.functions.rewrite import ABBREVIATIONS, GREAT_EXCEPTIONS
 from opinionmill.functions.text import sentences
 from opinionmill.operators import language, metrics, pairs, translate
 from opinionmill.sources import adapters
-from opinionmill.sources.adapters import table
 
 
 def quoted(text: str) -> str:
@@ -66,7 +65,7 @@ normalized AS (SELECT doc_id, {rules} AS s FROM n4)"""
 
 @query("normalize_informal", f"WITH {normalized_ctes('documents')} SELECT doc_id AS row_id, s AS normalized_text FROM normalized")
 def normalize_informal(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return adapters.documents(spark, sf_dir).select(
         F.col("doc_id").alias("row_id"), rewrite.normalize_informal(F.col("text")).alias("normalized_text")
     )
 
@@ -81,7 +80,7 @@ SELECT doc_id AS row_id, lang AS language,
 FROM s""")
 def status_by_language(spark, sf_dir):
     text = F.col("text")
-    return table(spark, sf_dir, "documents").select(
+    return adapters.documents(spark, sf_dir).select(
         F.col("doc_id").alias("row_id"), F.col("lang").alias("language"),
         rewrite.translation_status(text, F.col("lang")).alias("status"),
         rewrite.is_truncated(text).alias("truncated"), rewrite.clipped_input(text).alias("clipped_text"),
@@ -93,7 +92,7 @@ CORPUS_TERMS = ("the", "of the", "worthless", "idiot", "on")
 
 
 def protected_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    docs = adapters.documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), "text")
     return rewrite.protect_terms(docs, "text", terms=CORPUS_TERMS)
 
 
@@ -110,7 +109,7 @@ WITH p1 AS (SELECT doc_id, regexp_extract_all(text, '(?i)(?:^|[^\pL\pM\pN_])wort
                    text FROM documents)
 SELECT doc_id AS row_id, len(w)::BIGINT AS hits FROM p1""")
 def protected_term_counts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    docs = adapters.documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), "text")
     protected = rewrite.protect_terms(docs, "text", terms=["worthless"])
     return protected.select("row_id", F.size("protected_terms").cast("long").alias("hits"))
 
@@ -121,7 +120,7 @@ WITH f AS (SELECT doc_id, regexp_replace(text, ' (der|die|das) ', ' \1 eine gute
 SELECT doc_id AS row_id, replace(t, ' eine gute Tablette ', ' ein gutes Tablet ') AS german_text FROM f""")
 def fix_german(spark, sf_dir):
     # Phrases to correct are planted after the articles of every German text.
-    german = table(spark, sf_dir, "documents").where("lang = 'de'")
+    german = adapters.documents(spark, sf_dir).where("lang = 'de'")
     planted = F.regexp_replace("text", " (der|die|das) ", " $1 eine gute Tablette ")
     return german.select(F.col("doc_id").alias("row_id"), rewrite.fix_german(planted).alias("german_text"))
 
@@ -134,7 +133,7 @@ SELECT doc_id AS row_id, count(*) AS sentences, max(length(sentence))::BIGINT AS
 FROM marked WHERE NOT regexp_full_match(sentence, '\s*') GROUP BY doc_id""")
 def sentence_split(spark, sf_dir):
     parts = sentences(F.col("text"))
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), parts.alias("parts")).where("size(parts) > 0")
+    rows = adapters.documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), parts.alias("parts")).where("size(parts) > 0")
     return rows.select(
         "row_id", F.size("parts").cast("long").alias("sentences"),
         F.array_max(F.transform("parts", lambda p: F.length(p))).cast("long").alias("longest"),
@@ -150,7 +149,7 @@ SELECT c.doc_id AS row_id, CASE WHEN length(t) > 2000 THEN 'translated_truncated
        s AS protected_text
 FROM clipped c JOIN normalized n ON n.doc_id = c.doc_id WHERE t <> ''""")
 def translation_preparation(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
+    docs = adapters.documents(spark, sf_dir).select(
         F.col("doc_id").alias("row_id"), "text", F.col("lang").alias("language"))
     prepared = translate.prepare(docs)
     return prepared.where(F.col("status").startswith("translated")).select("row_id", "status", "protected_text")
@@ -164,7 +163,7 @@ def repeat_texts():
 SELECT doc_id AS row_id, CASE WHEN trim(text) = '' THEN 'empty' WHEN lang = 'de' THEN 'already_german'
        WHEN lang IN ('fr', 'es') THEN 'unsupported_language' ELSE 'translated' END AS kind FROM documents""")
 def translation_stage(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
+    docs = adapters.documents(spark, sf_dir).select(
         F.col("doc_id").alias("row_id"), "text", F.col("lang").alias("language"))
     done = translate.translate(translate.prepare(docs), repeat_texts)
     kind = F.when(F.col("status").startswith("translated") & F.col("translation").isNotNull(), "translated").otherwise(F.col("status"))
@@ -173,7 +172,7 @@ def translation_stage(spark, sf_dir):
 
 @query("language_id")
 def language_id(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = adapters.documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = language.fit_language_model(docs)
     return language.detect_language(model, docs).select(F.col("doc_id").alias("row_id"), "lang", "language")
 

@@ -67,19 +67,30 @@ GERMAN_FIXES = (
 )
 
 
+def _bound(value: Column, use) -> Column:
+    """Evaluate ``value`` once and hand it to ``use``, also inside nested lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
 def apply_rules(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     """Fold an ordered list of (pattern, replacement) into one column."""
     return reduce(lambda col, rule: F.regexp_replace(col, *rule), rules, text)
 
 
 def normalize_informal(text: Column) -> Column:
-    """Spell out informal English so that it survives translation (F16)."""
+    """Spell out informal English so that it survives translation (F16).
+
+    A text in which none of the abbreviations occurs skips their rules: one search for all of
+    them decides.
+    """
     exceptions = "|".join(GREAT_EXCEPTIONS)
     opening = rf"(?iU)(^|[.!?]\s+)great\s+(?!(?:{exceptions})\b)(?=\w)"
     text = F.regexp_replace(squeeze(text), r"([!?.])\1{2,}", "$1")
     text = F.regexp_replace(text, r"(?U)(\w)\1{3,}", "$1$1")
     text = F.regexp_replace(text, opening, "$1An awesome ")
-    return apply_rules(text, [(f"(?iU){pattern}", to) for pattern, to in ABBREVIATIONS])
+    any_abbreviation = "(?iU)" + "|".join(pattern for pattern, _ in ABBREVIATIONS)
+    rules = [(f"(?iU){pattern}", to) for pattern, to in ABBREVIATIONS]
+    return _bound(text, lambda t: F.when(t.rlike(any_abbreviation), apply_rules(t, rules)).otherwise(t))
 
 
 def clipped_input(text: Column) -> Column:
@@ -136,11 +147,6 @@ def protect_terms(
     return out
 
 
-def _bound(value: Column, use) -> Column:
-    """Evaluate ``value`` once and hand it to ``use``, also inside nested lambdas."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _with_placeholders(pieces: Column, start: Column) -> Column:
     def numbered(first: Column) -> Column:
         return F.transform(

@@ -90,12 +90,14 @@ def complaint_ids(reviews: DataFrame, selected: DataFrame, seed: int = 42) -> Da
 def with_excerpts(reviews: DataFrame, ids: DataFrame) -> DataFrame:
     """Attach product, rating and redacted text to chosen row ids.
 
-    The ids were written to a table first, so the planner knows their size and only broadcasts
-    them when they are small.
+    Pass ids that were written to a table first: the planner then knows their size and only
+    broadcasts them when they are small.
     """
     rows = reviews.select("row_id", "product_name", "rating", "review_text")
-    shared = [c for c in ids.columns if c in ("row_id", "product_name")]
-    return ids.join(rows, shared).withColumn("review", redact_excerpt(F.col("review_text"))).drop("review_text")
+    return (
+        ids.drop("product_name").join(rows, "row_id")
+        .withColumn("review", redact_excerpt(F.col("review_text"))).drop("review_text")
+    )
 
 
 def _example() -> Column:
@@ -110,10 +112,6 @@ def _in_row_order(examples: Column) -> Column:
         e["product"].alias("product"), e["rating"].alias("rating"), e["review"].alias("review")))
 
 
-def _example_list() -> Column:
-    return _in_row_order(F.collect_list(_example()))
-
-
 EXAMPLES_TYPE = "array<struct<product:string,rating:string,review:string>>"
 
 
@@ -140,15 +138,22 @@ def evidence_briefs(categories: DataFrame, reviews: DataFrame, seed: int = 42) -
     keys = ["cluster_id", "product_name"]
     selected = materialized(spark, top.select(*keys).union(low.select(*keys)).distinct(), "selected-products")
 
-    example_ids = materialized(spark, category_example_ids(assigned, seed), "category-examples")
-    complaint_rows = materialized(spark, complaint_ids(assigned, selected, seed), "complaints")
+    # Both kinds of examples are looked up in one join; complaints carry no sentiment.
+    chosen = category_example_ids(assigned, seed).unionByName(
+        complaint_ids(assigned, selected, seed).drop("product_name"), allowMissingColumns=True
+    )
+    shown = with_excerpts(assigned, materialized(spark, chosen, "examples"))
+    shown = materialized(spark, shown, "excerpts")
+
+    def side(sentiment: str) -> Column:
+        return _in_row_order(F.collect_list(F.when(F.col("sentiment") == sentiment, _example())))
 
-    examples = with_excerpts(assigned, example_ids)
-    by_sentiment = examples.groupBy("cluster_id").agg(
-        _in_row_order(F.collect_list(F.when(F.col("sentiment") == "negative", _example()))).alias("negative_review_examples"),
-        _in_row_order(F.collect_list(F.when(F.col("sentiment") == "positive", _example()))).alias("positive_review_examples"),
+    by_sentiment = shown.where("sentiment IS NOT NULL").groupBy("cluster_id").agg(
+        side("negative").alias("negative_review_examples"), side("positive").alias("positive_review_examples"),
+    )
+    complaints = shown.where("sentiment IS NULL").groupBy(*keys).agg(
+        _in_row_order(F.collect_list(_example())).alias("examples")
     )
-    complaints = with_excerpts(assigned, complaint_rows).groupBy(*keys).agg(_example_list().alias("examples"))
 
     record = F.struct(
         F.col("product_name").alias("name"), F.round("mean_rating", 2).alias("mean_rating"), "review_count",

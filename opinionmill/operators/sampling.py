@@ -59,7 +59,7 @@ def split_quotas(counts: DataFrame, label: str, test: float = 0.2, validation: f
 
 def stratified_split(
     df: DataFrame, label: str = "sentiment", row_id: str = "row_id", seed: int = 42,
-    test: float = 0.2, validation: float = 0.25, bucket_digits: int = 3,
+    test: float = 0.2, validation: float = 0.25, bucket_digits: int = 4,
 ) -> DataFrame:
     """Add ``split`` ('test', 'validation', 'train') with exact class quotas (M2).
 

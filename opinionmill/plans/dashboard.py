@@ -39,24 +39,23 @@ def dashboard_reviews(reviews: DataFrame, model: PipelineModel | None = None) ->
     return predict_sentiment(model, usable)
 
 
-def dashboard_artifact(scored: DataFrame, themes: Mapping[str, str] = COMPLAINT_THEMES) -> DataFrame:
-    """The one-row artifact. Persist ``scored`` first: five aggregates read it."""
-    return artifact.build(
-        scored.agg(F.count(F.lit(1))),
-        {
-            "category_sentiment": aggregates.category_sentiment(scored),
-            "product_metrics": aggregates.product_metrics(scored),
-            "review_length_sentiment": aggregates.length_sentiment(scored),
-            "complaint_theme_counts": aggregates.theme_counts(scored, themes=themes),
-        },
-    )
+def dashboard_tables(scored: DataFrame, themes: Mapping[str, str] = COMPLAINT_THEMES) -> dict[str, DataFrame]:
+    """The four count tables. Persist ``scored`` first: each table reads it once."""
+    return {
+        "category_sentiment": aggregates.category_sentiment(scored),
+        "product_metrics": aggregates.product_metrics(scored),
+        "review_length_sentiment": aggregates.length_sentiment(scored),
+        "complaint_theme_counts": aggregates.theme_counts(scored, themes=themes),
+    }
 
 
 def build_dashboard(reviews: DataFrame, path: str, model: PipelineModel | None = None,
                     themes: Mapping[str, str] = COMPLAINT_THEMES) -> str:
+    """Score, aggregate and write the artifact; returns its path."""
     columns = list(dict.fromkeys([*REQUIRED, *(c for c in reviews.columns if c == "model_sentiment")]))
+    contracts.require_columns(reviews, REQUIRED, "Review-cluster data")
     scored = dashboard_reviews(reviews.select(*columns), model).persist(StorageLevel.MEMORY_AND_DISK)
-    artifact.write(dashboard_artifact(scored, themes), path)
+    artifact.write(scored.agg(F.count(F.lit(1))), dashboard_tables(scored, themes), path)
     scored.unpersist()
     return path
 

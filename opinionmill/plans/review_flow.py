@@ -11,7 +11,7 @@ from opinionmill.functions.text import UNKNOWN_PRODUCT
 from opinionmill.operators import aggregates, articles, classify, clusters, contracts, evidence, features, joins
 from opinionmill.operators import metrics, ranking, sampling
 from opinionmill.operators.text_stage import TextFunction
-from opinionmill.session import materialized
+from opinionmill.session import materialized, spread
 from opinionmill.sources import reviews as readers
 from opinionmill.sources import sinks
 
@@ -24,7 +24,8 @@ GUIDE_HEADING = (
 def train_and_save(reviews: DataFrame, out: str, max_iter: int = 100) -> classify.SentimentModel:
     """Compare the candidates, keep the best, and write its tables and model."""
     spark = reviews.sparkSession
-    split = materialized(spark, sampling.stratified_split(reviews.select("row_id", "review_text", "sentiment")), "split")
+    split = sampling.stratified_split(reviews.select("row_id", "review_text", "sentiment"))
+    split = spread(materialized(spark, split, "split"), "row_id")
     comparison, model, predictions = classify.train_sentiment_model(split, max_iter=max_iter)
     predictions = materialized(spark, predictions, "test-predictions")
     name = F.lit(model.name).alias("model")

@@ -56,3 +56,13 @@ def materialized(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Share the rows of a table scan between the cores when it has fewer splits than cores.
+
+    A large table has far more splits than that and stays as it is, without a shuffle. Meant
+    for plain scans in front of per-row work; other frames would be planned twice.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

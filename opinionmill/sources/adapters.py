@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from opinionmill.functions.labels import sentiment
 from opinionmill.functions.text import clean_text
+from opinionmill.session import spread
 
 # Words that mark a text as negative in the stand-in for model labels; they occur in the corpus.
 HOSTILE_WORDS = ("trash", "scum", "clown", "idiot", "worthless", "moron", "pathetic")
@@ -27,15 +28,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def reviews_text(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document table, spread over the cores for work on whole texts."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def reviews_text(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
     """Documents as raw reviews; the label table supplies the stars.
 
-    ``documents`` may be a stream of the same table.
+    ``stream`` replaces the documents by a stream of the same table.
     """
     labels = table(spark, sf_dir, "labels")
     stars = F.when(F.col("toxic") == 1, 1.0).when(F.col("quality") == 0, 3.0).when(F.col("quality") == 1, 5.0)
     return (
-        (table(spark, sf_dir, "documents") if documents is None else documents).join(labels, "doc_id", "left")
+        (documents(spark, sf_dir) if stream is None else stream).join(labels, "doc_id", "left")
         .select(
             F.col("doc_id").alias("row_id"), F.col("text").alias("raw_text"),
             F.col("source").alias("product_name"), F.col("lang").alias("categories"), stars.alias("rating"),
@@ -43,14 +49,14 @@ def reviews_text(spark: SparkSession, sf_dir: str, documents: DataFrame | None =
     )
 
 
-def usable_reviews(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None) -> DataFrame:
+def usable_reviews(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
     """Rated, non-empty reviews with cleaned text and both labels.
 
     The rating filter sits before the cleaning, so unrated texts are dropped first.
     """
     hostile = F.col("review_text").rlike(rf"\b(?:{'|'.join(HOSTILE_WORDS)})\b")
     return (
-        reviews_text(spark, sf_dir, documents).where("rating IS NOT NULL")
+        reviews_text(spark, sf_dir, stream).where("rating IS NOT NULL")
         .withColumn("review_text", clean_text(F.col("raw_text"))).drop("raw_text")
         .where("review_text <> ''")
         .withColumn("sentiment", sentiment(F.col("rating")))
@@ -99,7 +105,7 @@ def reviews_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user turn and the assistant turn after it, as a text pair."""
-    turns = table(spark, sf_dir, "conversations")
+    turns = spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
     asked = turns.where("role = 'user'").select(
         "conv_id", "turn", F.col("text").alias("reference"))
     answered = turns.where("role = 'assistant'").select(

@@ -1,7 +1,14 @@
-"""The dashboard artifact: four count tables as one nested record."""
+"""The dashboard artifact: four count tables under one manifest.
+
+The tables are written as JSON-lines folders, so a table with millions of products is written
+and read in parallel. The single nested record, for small dashboards that want one file, is
+refused above a fixed number of products.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,59 +23,83 @@ SOURCE_NOTES = {
     "model": "Task 1 LinearSVC predictions",
     "rating": "Sentiment labels derived from star ratings",
 }
-_counts = ", ".join(f"{s}_{label}: bigint" for s in ("model", "rating") for label in SENTIMENTS)
+_counts = ", ".join(f"{s}_{label} bigint" for s in ("model", "rating") for label in SENTIMENTS)
 TABLES = {
-    "category_sentiment": "category: string, source: string, sentiment: string, count: bigint",
-    "product_metrics": f"category: string, product_name: string, review_count: bigint, mean_rating: double, {_counts}",
-    "review_length_sentiment": "length_bucket: string, sentiment: string, count: bigint, source: string",
-    "complaint_theme_counts": "category: string, source: string, theme: string, count: bigint",
+    "category_sentiment": "category string, source string, sentiment string, count bigint",
+    "product_metrics": f"category string, product_name string, review_count bigint, mean_rating double, {_counts}",
+    "review_length_sentiment": "length_bucket string, sentiment string, count bigint, source string",
+    "complaint_theme_counts": "category string, source string, theme string, count bigint",
 }
-SCHEMA = (
-    "schema_version int, sentiment_sources map<string,string>, review_count bigint, "
-    + ", ".join(f"{name} array<struct<{fields}>>" for name, fields in TABLES.items())
-)
-
+MANIFEST = "schema_version int, sentiment_sources map<string,string>, review_count bigint"
+NESTED = f"{MANIFEST}, " + ", ".join(f"{name} array<struct<{fields}>>" for name, fields in TABLES.items())
 
-def _columns(name: str) -> list[str]:
-    return [field.split(":")[0].strip() for field in TABLES[name].split(",")]
+# Most products the single nested record may hold.
+MAX_NESTED_PRODUCTS = 50_000
 
 
-def _records(table: DataFrame, name: str) -> DataFrame:
-    """All rows of a count table as one sorted array; the tables are aggregates by design."""
-    return table.agg(F.sort_array(F.collect_list(F.struct(*_columns(name)))).alias(name))
+def _columns(name: str) -> list[str]:
+    return [field.split()[0] for field in TABLES[name].split(", ")]
 
 
-def build(review_count: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """One-row artifact; ``review_count`` is a one-row, one-column frame."""
+def manifest(review_count: DataFrame) -> DataFrame:
+    """Version, source notes and review count; ``review_count`` is one row with one column."""
     notes = F.create_map(*[F.lit(v) for item in SOURCE_NOTES.items() for v in item])
     return review_count.toDF("review_count").select(
-        F.lit(SCHEMA_VERSION).alias("schema_version"), notes.alias("sentiment_sources"), "review_count",
-        *[_records(tables[name], name).scalar().alias(name) for name in TABLES],
+        F.lit(SCHEMA_VERSION).alias("schema_version"), notes.alias("sentiment_sources"), "review_count"
     )
 
 
-def write(artifact: DataFrame, path: str) -> None:
-    write_json_record(artifact, path)
+def write(review_count: DataFrame, tables: Mapping[str, DataFrame], path: str) -> None:
+    """The tables first, the manifest last: a reader never sees a half-written artifact."""
+    for name in TABLES:
+        write_json_record(tables[name].select(*_columns(name)), f"{path}/{name}")
+    write_json_record(manifest(review_count), f"{path}/manifest")
 
 
 def read(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The four tables of a saved artifact, after its contract was checked."""
-    try:
-        artifact = spark.read.schema(SCHEMA).json(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"{path} not found. Build the dashboard artifact first.") from error
-        raise
-    head = artifact.select(
-        "schema_version", "review_count", *[F.col(name).isNull().alias(name) for name in TABLES]
+    check_manifest(_json(spark, f"{path}/manifest", MANIFEST))
+    return {name: _json(spark, f"{path}/{name}", schema) for name, schema in TABLES.items()}
+
+
+def nested_record(review_count: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The artifact as one row of arrays, for a bounded number of products."""
+    if tables["product_metrics"].limit(MAX_NESTED_PRODUCTS + 1).count() > MAX_NESTED_PRODUCTS:
+        raise contracts.ContractError("Too many products for one record; write the tables instead.")
+    records = [
+        tables[name].agg(F.sort_array(F.collect_list(F.struct(*_columns(name)))).alias(name)).scalar().alias(name)
+        for name in TABLES
+    ]
+    return manifest(review_count).select("*", *records)
+
+
+def read_nested(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The four tables of a single-record JSON artifact."""
+    record = _json(spark, path, NESTED)
+    check_manifest(record, [name for name in TABLES])
+    return {name: record.select(F.inline(name)) for name in TABLES}
+
+
+def check_manifest(record: DataFrame, required: list[str] | None = None) -> None:
+    fields = ["schema_version", "review_count", *(required or [])]
+    head = record.select(
+        "schema_version", "review_count", *[F.col(c).isNull().alias(f"no_{c}") for c in fields]
     ).first()
     if head is None:
         raise contracts.ContractError("Dashboard data is empty.")
-    missing = sorted(n for n in TABLES if head[n]) + [k for k in ("schema_version", "review_count") if head[k] is None]
+    missing = sorted(c for c in fields if head[f"no_{c}"])
     if missing:
-        raise contracts.ContractError(f"Dashboard data is missing required fields: {sorted(missing)}")
+        raise contracts.ContractError(f"Dashboard data is missing required fields: {missing}")
     if head["schema_version"] != SCHEMA_VERSION:
         raise contracts.ContractError(f"Unsupported dashboard data schema: {head['schema_version']}")
     if not head["review_count"]:
         raise contracts.ContractError("Dashboard data contains no reviews.")
-    return {name: artifact.select(F.inline(name)) for name in TABLES}
+
+
+def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).option("multiLine", False).json(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"{path} not found. Build the dashboard artifact first.") from error
+        raise
