@@ -14,6 +14,7 @@ from opinionmill.sources.adapters import table
 
 def split_reviews(spark, sf_dir):
     reviews = adapters.usable_reviews(spark, sf_dir).select("row_id", "review_text", "sentiment")
+    reviews = materialized(spark, reviews, "reviews")
     return spread(materialized(spark, sampling.stratified_split(reviews), "split"), "row_id")
 
 

@@ -128,23 +128,26 @@ def protect_terms(
     """
     original = df.columns
     longest_first = sorted(terms, key=len, reverse=True)
-    out = df.withColumn(out_text, F.col(text)).withColumn(
-        out_terms, F.array().cast("array<string>")
-    )
-    for term in longest_first:
-        pattern = rf"(?iU)\b\Q{term}\E(?:s)?\b"
+    patterns = [rf"(?iU)\b\Q{term}\E(?:s)?\b" for term in longest_first]
+    # One search for all names lets texts without any skip the passes.
+    anywhere = "(?iU)" + "|".join(pattern.removeprefix("(?iU)") for pattern in patterns)
+    out = df.withColumns({
+        out_text: F.col(text),
+        out_terms: F.array().cast("array<string>"),
+        "_any": F.coalesce(F.col(text).rlike(anywhere), F.lit(False)),
+    })
+    for pattern in patterns:
         hits = F.regexp_extract_all(out_text, F.lit(pattern), F.lit(0))
-        found = F.when(F.col(out_text).rlike(pattern), hits)
+        found = F.when(F.col("_any") & F.col(out_text).rlike(pattern), hits)
+        pieces = F.split(out_text, pattern, -1)
         out = out.withColumn("_found", found).select(
-            *original,
-            F.when(
-                F.col("_found").isNotNull(),
-                _with_placeholders(F.split(out_text, pattern, -1), F.size(out_terms)),
-            ).otherwise(F.col(out_text)).alias(out_text),
+            *original, "_any",
+            F.when(F.col("_found").isNotNull(), _with_placeholders(pieces, F.size(out_terms)))
+            .otherwise(F.col(out_text)).alias(out_text),
             F.when(F.col("_found").isNotNull(), F.concat(out_terms, "_found"))
             .otherwise(F.col(out_terms)).alias(out_terms),
         )
-    return out
+    return out.drop("_any")
 
 
 def _with_placeholders(pieces: Column, start: Column) -> Column:
