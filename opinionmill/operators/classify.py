@@ -6,9 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest
-from pyspark.ml.feature import IndexToString
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,47 +59,77 @@ def label_index(column: Column, labels: Sequence[str] = SENTIMENTS) -> Column:
     return (F.array_position(names, column) - 1).cast("double")
 
 
-def with_weights(df: DataFrame, balanced: bool, label: str = "sentiment", out: str = "_weight") -> DataFrame:
-    """Row weights n / (k * n_class) for balanced training, 1 otherwise (L2).
+def class_counts(df: DataFrame, label: str = "sentiment") -> dict[str, int]:
+    """Rows per class: one small row per label on the driver."""
+    return {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
 
-    The class counts are one row per label.
-    """
-    if not balanced:
-        return df.withColumn(out, F.lit(1.0))
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
-    rows, classes = sum(counts.values()), len(counts)
+
+def class_weights(counts: dict[str, int]) -> dict[str, float]:
+    """Balanced weights n / (k * n_class)."""
+    rows = sum(counts.values())
+    return {label: rows / (len(counts) * count) for label, count in counts.items()}
+
+
+def with_weights(df: DataFrame, balanced: bool, label: str = "sentiment", out: str = "_weight") -> DataFrame:
+    """Row weights for balanced training, 1 otherwise (L2)."""
     chain = F.lit(1.0)
-    for name, count in counts.items():
-        chain = F.when(F.col(label) == name, F.lit(rows / (classes * count))).otherwise(chain)
+    for name, weight in (class_weights(class_counts(df, label)) if balanced else {}).items():
+        chain = F.when(F.col(label) == name, F.lit(weight)).otherwise(chain)
     return df.withColumn(out, chain)
 
 
-def learner(candidate: Candidate, rows: int, max_iter: int):
-    """The Spark ML estimator of a candidate.
+def fit_one_vs_rest(features: DataFrame, balanced: bool, max_iter: int, labels: Sequence[str] = SENTIMENTS) -> list[Transformer]:
+    """One linear SVM per class, its margins joined to one ``rawPrediction`` vector (L4).
 
-    A penalty constant of 1 on summed losses is 1 / rows on Spark's averaged loss; class
-    weights average 1, so the same holds for balanced training.
+    Rows of the class carry its balanced weight, all others weigh 1. A penalty constant of 1 on
+    summed losses is 1 / (sum of weights) on Spark's averaged loss.
+    """
+    counts = class_counts(features)
+    weights = class_weights(counts) if balanced else dict.fromkeys(counts, 1.0)
+    rows = sum(counts.values())
+    stages: list[Transformer] = []
+    for position, label in enumerate(labels):
+        own, weight = counts.get(label, 0), weights.get(label, 1.0)
+        is_class = F.col("sentiment") == label
+        binary = features.withColumn("_is_class", is_class.cast("double")).withColumn(
+            "_weight", F.when(is_class, F.lit(weight)).otherwise(1.0)
+        )
+        total = own * weight + rows - own
+        stages.append(LinearSVC(
+            featuresCol="features", labelCol="_is_class", weightCol="_weight", standardization=False,
+            regParam=1.0 / total, maxIter=max_iter, rawPredictionCol=f"_raw_{position}",
+            predictionCol=f"_predicted_{position}",
+        ).fit(binary))
+    margins = [
+        VectorSlicer(inputCol=f"_raw_{i}", outputCol=f"_margin_{i}", indices=[1]) for i in range(len(labels))
+    ]
+    joined = VectorAssembler(inputCols=[f"_margin_{i}" for i in range(len(labels))], outputCol="rawPrediction")
+    return [*stages, *margins, joined]
+
+
+def fit_learner(features: DataFrame, candidate: Candidate, rows: int, max_iter: int,
+                labels: Sequence[str] = SENTIMENTS) -> list[Transformer]:
+    """Stages from ``features`` to ``rawPrediction``, one margin per label in label order.
+
+    A penalty constant of 1 on summed losses is 1 / rows on Spark's averaged loss; balanced
+    weights average 1, so that also holds for balanced logistic regression.
     """
+    if candidate.learner == "svc":
+        return fit_one_vs_rest(features, candidate.balanced, max_iter, labels)
     common = {"featuresCol": "features", "labelCol": "_label", "weightCol": "_weight"}
+    weighted = with_weights(features, candidate.balanced)
     if candidate.learner == "logistic":
-        return LogisticRegression(
+        return [LogisticRegression(
             family="multinomial", standardization=False, regParam=1.0 / rows, maxIter=max_iter, **common
-        )
+        ).fit(weighted)]
     if candidate.learner == "bayes":
-        return NaiveBayes(modelType="multinomial", smoothing=1.0, **common)
-    if candidate.learner == "svc":
-        binary = LinearSVC(standardization=False, regParam=1.0 / rows, maxIter=max_iter, featuresCol="features")
-        return OneVsRest(classifier=binary, featuresCol="features", labelCol="_label", weightCol="_weight", parallelism=3)
+        return [NaiveBayes(modelType="multinomial", smoothing=1.0, **common).fit(weighted)]
     raise ValueError(f"unknown learner {candidate.learner!r}")
 
 
-def _fit_on(features: DataFrame, candidate: Candidate, rows: int, max_iter: int):
-    return learner(candidate, rows, max_iter).fit(with_weights(features, candidate.balanced))
-
-
-def _named(model, frame: DataFrame, labels: Sequence[str]) -> DataFrame:
-    predicted = F.get(F.array(*[F.lit(label) for label in labels]), F.col("prediction").cast("int"))
-    return model.transform(frame).select(F.col("sentiment").alias("actual"), predicted.alias("predicted"))
+def predicted_label(labels: Sequence[str] = SENTIMENTS) -> Column:
+    """Label of the largest margin of a scored row."""
+    return scores.best_label(vector_to_array("rawPrediction"), labels)
 
 
 def compare_candidates(
@@ -121,7 +151,10 @@ def compare_candidates(
         rows = kept[0].count()
         for position, candidate in enumerate(candidates):
             if candidate.tfidf == tfidf:
-                named = _named(_fit_on(kept[0], candidate, rows, max_iter), kept[1], labels)
+                model = PipelineModel(fit_learner(kept[0], candidate, rows, max_iter, labels))
+                named = model.transform(kept[1]).select(
+                    F.col("sentiment").alias("actual"), predicted_label(labels).alias("predicted")
+                )
                 scored += [(candidate.name, position, *cell) for cell in cell_counts(named).collect()]
         for frame in kept:
             frame.unpersist()
@@ -136,15 +169,14 @@ def fit_sentiment_model(
     train: DataFrame, candidate: Candidate, text: str = "review_text", max_features: int = SENTIMENT_FEATURES,
     max_iter: int = 100, labels: Sequence[str] = SENTIMENTS,
 ) -> PipelineModel:
-    """Text to predicted label as one savable pipeline."""
+    """Text to class margins as one savable pipeline (L7), all of it JVM stages."""
     stages = fit_text_features(train, text, max_features, tfidf_weights=candidate.tfidf)
     features = stages.transform(train).select(
         "sentiment", label_index(F.col("sentiment"), labels).alias("_label"), "features"
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    model = _fit_on(features, candidate, features.count(), max_iter)
+    fitted = fit_learner(features, candidate, features.count(), max_iter, labels)
     features.unpersist()
-    names = IndexToString(inputCol="prediction", outputCol="model_sentiment", labels=list(labels))
-    return PipelineModel([*stages.stages, model, names])
+    return PipelineModel([*stages.stages, *fitted])
 
 
 def train_sentiment_model(
@@ -162,7 +194,9 @@ def train_sentiment_model(
     best = comparison.first()
     chosen = next(c for c in candidates if c.name == best["model"])
     pipeline = fit_sentiment_model(union_all([train, validation]), chosen, text, max_features, max_iter)
-    predictions = pipeline.transform(test).select(F.col("sentiment").alias("actual"), F.col("model_sentiment").alias("predicted"))
+    predictions = pipeline.transform(test).select(
+        F.col("sentiment").alias("actual"), predicted_label().alias("predicted")
+    )
     final = summary_metrics(predictions).first()
     model = SentimentModel(
         pipeline, chosen.name, validation_macro_f1=best["macro_f1"],
@@ -171,10 +205,11 @@ def train_sentiment_model(
     return comparison, model, predictions
 
 
-def predict_sentiment(model: PipelineModel, reviews: DataFrame, text: str = "review_text") -> DataFrame:
+def predict_sentiment(model: PipelineModel, reviews: DataFrame, text: str = "review_text",
+                      labels: Sequence[str] = SENTIMENTS) -> DataFrame:
     """Batch scoring: adds ``model_sentiment`` and keeps the input columns."""
     scored = model.transform(reviews.withColumn(text, F.coalesce(F.col(text), F.lit(""))))
-    return scored.select(*reviews.columns, "model_sentiment")
+    return scored.select(*reviews.columns, predicted_label(labels).alias("model_sentiment"))
 
 
 def score_reviews(model: PipelineModel, requests: DataFrame, text: str = "review",

@@ -93,16 +93,18 @@ def _sparse(size, entries):
 
 def block_vectors(blocks: DataFrame) -> DataFrame:
     """One sparse vector per product. The number of columns is bounded by the block limits."""
+    everything = Window.partitionBy(F.lit(1))
     columns = (
         blocks.select("block", "term").distinct()
-        .withColumn("index", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("block", "term")) - 1)
+        .withColumn("index", F.row_number().over(everything.orderBy("block", "term")) - 1)
+        .withColumn("size", F.count(F.lit(1)).over(everything))
     )
-    size = columns.agg((F.max("index") + 1).alias("n")).scalar()
     indexed = blocks.join(F.broadcast(columns), ["block", "term"])
     return (
         indexed.groupBy("product_name")
-        .agg(F.sort_array(F.collect_list(F.struct("index", "weight"))).alias("entries"))
-        .select("product_name", _sparse(size.cast("int"), "entries").alias("features"))
+        .agg(F.max("size").cast("int").alias("size"),
+             F.sort_array(F.collect_list(F.struct("index", "weight"))).alias("entries"))
+        .select("product_name", _sparse("size", "entries").alias("features"))
     )
 
 

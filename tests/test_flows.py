@@ -2,8 +2,10 @@
 
 import json
 import random
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from opinionmill.operators import classify, contracts, language
@@ -13,6 +15,9 @@ from opinionmill.streaming import counts, scoring
 
 CANDIDATES = (classify.CANDIDATES[2], classify.CANDIDATES[1])
 
+# Text functions defined here travel to the workers by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @pytest.fixture(scope="module")
 def review_csv(spark, tmp_path_factory):
@@ -69,6 +74,7 @@ def test_whole_flow(spark, review_csv, tmp_path):
     assert mapped.count() == 241 and mapped.where("cluster_id = -1").count() == 1
     again = review_flow.guides_only(spark, review_csv, out, shortened, "forty characters")
     assert again.count() == 4
+    mapped = spark.read.parquet(f"{out}/review_clusters")
     path = dashboard.build_dashboard(mapped, f"{out}/dashboard", model.pipeline)
     tables = artifact.read(spark, path)
     assert tables["category_sentiment"].agg(F.sum("count")).first()[0] == 2 * 241
@@ -166,6 +172,7 @@ def test_flagship_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_adapter_rows_have_unique_ids(spark, sf_dir):
+def test_adapter_rows_have_unique_ids(spark):
+    sf_dir = "/root/testdata/sf0.01"
     contracts.require_unique(adapters.reviews_bulk(spark, sf_dir), "row_id")
     contracts.require_unique(adapters.reviews_text(spark, sf_dir), "row_id")

@@ -1,8 +1,10 @@
 """Operators on small tables, golden numbers and independence from partitioning."""
 
 import random
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from opinionmill.functions.labels import SENTIMENTS
@@ -11,6 +13,9 @@ from opinionmill.operators import (
     reshape, sampling, text_stage,
 )
 
+# Text functions defined here travel to the workers by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 REVIEWS = "row_id long, cluster_id int, cluster_name string, product_name string, review_text string, rating double, sentiment string, model_sentiment string"
 
 
