@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
@@ -21,6 +22,10 @@ from opinionmill.operators.metrics import cell_counts, summary_metrics
 from opinionmill.operators.sampling import union_all
 
 
+# Training rows below which one more task costs more than it saves.
+ROWS_PER_TASK = 5000
+
+
 @dataclass(frozen=True)
 class Candidate:
     """One configuration to compare."""
@@ -59,6 +64,14 @@ def label_index(column: Column, labels: Sequence[str] = SENTIMENTS) -> Column:
     return (F.array_position(names, column) - 1).cast("double")
 
 
+def packed(features: DataFrame, rows: int) -> DataFrame:
+    """Fewer, fuller partitions for a small training set, without a shuffle.
+
+    Every iteration of a solver runs one task per partition; a large set keeps its own.
+    """
+    return features.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def class_counts(df: DataFrame, label: str = "sentiment") -> dict[str, int]:
     """Rows per class: one small row per label on the driver."""
     return {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
@@ -87,19 +100,23 @@ def fit_one_vs_rest(features: DataFrame, balanced: bool, max_iter: int, labels:
     counts = class_counts(features)
     weights = class_weights(counts) if balanced else dict.fromkeys(counts, 1.0)
     rows = sum(counts.values())
-    stages: list[Transformer] = []
-    for position, label in enumerate(labels):
+
+    def fit_class(position: int) -> Transformer:
+        label = labels[position]
         own, weight = counts.get(label, 0), weights.get(label, 1.0)
         is_class = F.col("sentiment") == label
         binary = features.withColumn("_is_class", is_class.cast("double")).withColumn(
             "_weight", F.when(is_class, F.lit(weight)).otherwise(1.0)
         )
         total = own * weight + rows - own
-        stages.append(LinearSVC(
+        return LinearSVC(
             featuresCol="features", labelCol="_is_class", weightCol="_weight", standardization=False,
             regParam=1.0 / total, maxIter=max_iter, rawPredictionCol=f"_raw_{position}",
             predictionCol=f"_predicted_{position}",
-        ).fit(binary))
+        ).fit(binary)
+
+    with ThreadPool(len(labels)) as pool:
+        stages = pool.map(inheritable_thread_target(features.sparkSession)(fit_class), range(len(labels)))
     margins = [
         VectorSlicer(inputCol=f"_raw_{i}", outputCol=f"_margin_{i}", indices=[1]) for i in range(len(labels))
     ]
@@ -151,7 +168,7 @@ def compare_candidates(
         rows = kept[0].count()
         for position, candidate in enumerate(candidates):
             if candidate.tfidf == tfidf:
-                model = PipelineModel(fit_learner(kept[0], candidate, rows, max_iter, labels))
+                model = PipelineModel(fit_learner(packed(kept[0], rows), candidate, rows, max_iter, labels))
                 named = model.transform(kept[1]).select(
                     F.col("sentiment").alias("actual"), predicted_label(labels).alias("predicted")
                 )
@@ -174,7 +191,8 @@ def fit_sentiment_model(
     features = stages.transform(train).select(
         "sentiment", label_index(F.col("sentiment"), labels).alias("_label"), "features"
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    fitted = fit_learner(features, candidate, features.count(), max_iter, labels)
+    rows = features.count()
+    fitted = fit_learner(packed(features, rows), candidate, rows, max_iter, labels)
     features.unpersist()
     return PipelineModel([*stages.stages, *fitted])
 
