@@ -32,9 +32,9 @@ vocab AS (SELECT term, sum(tf)::BIGINT AS corpus_tf, count(*) AS df FROM counts
 
 
 def document_terms(spark, sf_dir):
-    docs = adapters.documents(spark, sf_dir).select("doc_id", "text")
-    return features.term_counts(docs, ["doc_id"], uni_and_bigrams(
-        without_stop_words(clean_tokens(clean_text(F.col("text"))))))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = without_stop_words(clean_tokens(clean_text(F.col("text"))))
+    return features.term_counts(docs, ["doc_id"], uni_and_bigrams(tokens), one_row_per_key=True)
 
 
 @query("token_counts", f"""
@@ -42,8 +42,9 @@ WITH {DOCS},
 occ AS (SELECT doc_id, unnest(list_filter(regexp_extract_all(cleaned, '\\w\\w+'), lambda w: w NOT IN {STOP_SQL})) AS term FROM docs)
 SELECT doc_id, term, count(*) AS tf FROM occ GROUP BY ALL""")
 def token_counts(spark, sf_dir):
-    docs = adapters.documents(spark, sf_dir).select("doc_id", "text")
-    return features.term_counts(docs, ["doc_id"], without_stop_words(clean_tokens(clean_text(F.col("text")))))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = without_stop_words(clean_tokens(clean_text(F.col("text"))))
+    return features.term_counts(docs, ["doc_id"], tokens, one_row_per_key=True)
 
 
 @query("bigram_counts", f"""{DOC_TERMS}
@@ -62,7 +63,7 @@ raw AS (SELECT doc_id, c.term, tf * (ln(((SELECT count(*) FROM documents) + 1.0)
         FROM counts c JOIN vocab v ON v.term = c.term)
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""")
 def tfidf_long(spark, sf_dir):
-    docs = adapters.documents(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents")
     out = features.tfidf(document_terms(spark, sf_dir), ["doc_id"], docs, features.SENTIMENT_FEATURES)
     return out.withColumn("weight", F.round("weight", 6))
 

@@ -26,6 +26,15 @@ def clean_text(col: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
 
 
+def has_words(col: Column) -> Column:
+    """Whether ``clean_text`` leaves anything, without cleaning: the search ends at the first hit.
+
+    Besides ASCII letters and digits, the Kelvin sign and the dotted capital I turn into ASCII
+    letters in lower case.
+    """
+    return F.coalesce(col.cast("string").rlike("[A-Za-z0-9\u212a\u0130]"), F.lit(False))
+
+
 def squeeze(col: Column) -> Column:
     """White space runs to one space, ends stripped."""
     return F.trim(F.regexp_replace(col, f"(?U){SPACE}+", " "))

@@ -35,9 +35,15 @@ PRODUCT_BLOCKS = {
 }
 
 
-def term_counts(df: DataFrame, keys: Sequence[str], tokens: Column) -> DataFrame:
-    """Term frequency per document: keys, term, tf."""
-    return df.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(
+def term_counts(df: DataFrame, keys: Sequence[str], tokens: Column, one_row_per_key: bool = False) -> DataFrame:
+    """Term frequency per document: keys, term, tf.
+
+    With one row per document, the rows are partitioned by document before their terms are
+    unfolded: the texts are shuffled once, and counting and length-normalising then stay inside
+    the partitions. Leave it off where a key collects many rows, such as a cluster.
+    """
+    placed = df.repartition(*keys) if one_row_per_key else df
+    return placed.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(
         F.count(F.lit(1)).alias("tf")
     )
 
@@ -75,7 +81,7 @@ def product_blocks(products: DataFrame, stop_words: Sequence[str] | None = None,
     frames = []
     for block, (column, max_features, factor) in blocks.items():
         tokens = uni_and_bigrams(without_stop_words(word_tokens(F.col(column)), stop_words))
-        counts = term_counts(products, ["product_name"], tokens)
+        counts = term_counts(products, ["product_name"], tokens, one_row_per_key=True)
         weights = tfidf(counts, ["product_name"], products, max_features, sublinear=True)
         frames.append(weights.select(
             "product_name", F.lit(block).alias("block"), "term", (F.col("weight") * factor).alias("weight")

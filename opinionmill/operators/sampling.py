@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from opinionmill.operators.ranking import first_rows
+from opinionmill.session import materialized
 
 
 def random_key(row_id: str = "row_id", seed: int = 42) -> Column:
@@ -65,44 +66,51 @@ def stratified_split(
 
     The quota of a class ends somewhere in its md5 order. Rows are counted per class and md5
     prefix, a running sum over those counts names the prefix each quota ends in, and only the
-    rows of these few prefixes are ranked, to find the last key inside the quota. The two
-    resulting keys per class are then compared with each row's own key: no row of the table is
-    sorted or shuffled.
+    rows of these few prefixes are ranked, to find the last key inside the quota. Each row then
+    compares its own key with two limits per class: no row of the table is sorted, shuffled or
+    joined. What reaches the driver is two limits per class.
     """
+    spark = df.sparkSession
     keyed = df.withColumn("_key", F.concat(random_key(row_id, seed), F.lit(":"), F.col(row_id).cast("string")))
     prefix = F.substring("_key", 1, bucket_digits)
-    buckets = keyed.groupBy(label, prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_rows"))
-    counts = buckets.groupBy(label).agg(F.sum("_rows").alias("n"))
-    quotas = split_quotas(counts, label, test, validation)
+    slim = keyed.select(F.col(label), prefix.alias("_prefix"), "_key")
+    # At most 16 ** bucket_digits rows per class.
+    buckets = materialized(spark, slim.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("_rows")), "split-buckets")
+    quotas = split_quotas(buckets.groupBy(label).agg(F.sum("_rows").alias("n")), label, test, validation)
     ends = quotas.select(label, F.inline(F.array(
         F.struct(F.lit("test").alias("_part"), F.col("test_rows").alias("_quota")),
         F.struct(F.lit("validation").alias("_part"), (F.col("test_rows") + F.col("validation_rows")).alias("_quota")),
     ))).where("_quota > 0")
-
     before = F.sum("_rows").over(Window.partitionBy(label).orderBy("_prefix")) - F.col("_rows")
     edges = (
         buckets.withColumn("_before", before).join(ends, label)
         .where("_before < _quota AND _quota <= _before + _rows")
         .select(label, "_prefix", "_part", (F.col("_quota") - F.col("_before")).alias("_place"))
+        .collect()
     )
-    ranked = (
-        keyed.select(label, prefix.alias("_prefix"), "_key")
-        .join(F.broadcast(edges.select(label, "_prefix").distinct()), [label, "_prefix"], "left_semi")
-        .withColumn("_place", F.row_number().over(Window.partitionBy(label, "_prefix").orderBy("_key")))
-    )
-    last = ranked.join(edges, [label, "_prefix", "_place"]).groupBy(label).agg(
-        F.max(F.when(F.col("_part") == "test", F.col("_key"))).alias("_test_end"),
-        F.max(F.when(F.col("_part") == "validation", F.col("_key"))).alias("_validation_end"),
+    if not edges:
+        return df.withColumn("split", F.lit("train"))
+    conditions = [(F.col(label) == e[label]) & (F.col("_prefix") == e["_prefix"]) for e in edges]
+    ranked = slim.where(reduce(Column.__or__, conditions)).withColumn(
+        "_place", F.row_number().over(Window.partitionBy(label, "_prefix").orderBy("_key"))
     )
-    # One row per class on the broadcast side, two edges per class in the semi join above.
+    at_edge = reduce(Column.__or__, [c & (F.col("_place") == e["_place"]) for c, e in zip(conditions, edges)])
+    keys = {(r[label], r["_prefix"], r["_place"]): r["_key"] for r in ranked.where(at_edge).collect()}
+    limits = {(e["_part"], e[label]): keys[(e[label], e["_prefix"], e["_place"])] for e in edges}
     split = (
-        F.when(F.col("_key") <= F.col("_test_end"), "test")
-        .when(F.col("_key") <= F.col("_validation_end"), "validation")
+        F.when(_inside(limits, "test", label), "test")
+        .when(_inside(limits, "validation", label), "validation")
         .otherwise("train")
     )
-    return (
-        keyed.join(F.broadcast(last), label, "left").withColumn("split", split)
-        .drop("_key", "_test_end", "_validation_end")
+    return keyed.withColumn("split", split).drop("_key")
+
+
+def _inside(limits: dict[tuple[str, str], str], part: str, label: str) -> Column:
+    """Whether a row's key lies within its class's limit of this part."""
+    return reduce(
+        Column.__or__,
+        [(F.col(label) == name) & (F.col("_key") <= key) for (kind, name), key in limits.items() if kind == part],
+        F.lit(False),
     )
 
 

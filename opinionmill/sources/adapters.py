@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinionmill.functions.labels import sentiment
-from opinionmill.functions.text import clean_text
+from opinionmill.functions.text import clean_text, has_words
 from opinionmill.session import spread
 
 # Words that mark a text as negative in the stand-in for model labels; they occur in the corpus.
@@ -52,13 +52,12 @@ def reviews_text(spark: SparkSession, sf_dir: str, stream: DataFrame | None = No
 def usable_reviews(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
     """Rated, non-empty reviews with cleaned text and both labels.
 
-    The rating filter sits before the cleaning, so unrated texts are dropped first.
+    Both filters look at the raw columns, so only rows that stay are cleaned, and only once.
     """
     hostile = F.col("review_text").rlike(rf"\b(?:{'|'.join(HOSTILE_WORDS)})\b")
     return (
-        reviews_text(spark, sf_dir, stream).where("rating IS NOT NULL")
+        reviews_text(spark, sf_dir, stream).where("rating IS NOT NULL").where(has_words(F.col("raw_text")))
         .withColumn("review_text", clean_text(F.col("raw_text"))).drop("raw_text")
-        .where("review_text <> ''")
         .withColumn("sentiment", sentiment(F.col("rating")))
         .withColumn(
             "model_sentiment",

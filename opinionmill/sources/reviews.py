@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from opinionmill.functions.labels import sentiment, to_number
-from opinionmill.functions.text import clean_product_name, clean_text
+from opinionmill.functions.text import clean_product_name, clean_text, has_words
 from opinionmill.operators import contracts
 
 # Source columns and what they are called here.
@@ -56,7 +56,7 @@ def load_reviews(raw: DataFrame, strict_labels: bool = False) -> DataFrame:
     categories = F.coalesce(F.col("categories").cast("string"), F.lit("")) if "categories" in df.columns else F.lit("")
     return (
         df.withColumn("rating", to_number(F.col("rating"))).na.drop(subset=["rating"])
-        .withColumn("review_text", clean_text(F.col("review_text"))).where(F.length("review_text") > 0)
+        .where(has_words(F.col("review_text"))).withColumn("review_text", clean_text(F.col("review_text")))
         .withColumn("product_name", clean_product_name(F.col("product_name")))
         .withColumn("categories", categories)
         .withColumn("sentiment", sentiment(F.col("rating"), strict_labels))

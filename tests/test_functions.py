@@ -13,6 +13,8 @@ from opinionmill.functions import formats, labels, redact, rewrite, scores, text
 def test_clean_text(one):
     rows = [None, "", "GREAT!!  Tablet", "don't", "Große Qualität", "a b\tc", "?!.", "  x  "]
     assert one(text.clean_text, rows) == ["", "", "great tablet", "don t", "gro e qualit t", "a b c", "", "x"]
+    odd = [*rows, "\u212a", "\u0130", "\u00e9\u0131", "\u017f"]
+    assert one(text.has_words, odd) == [cleaned != "" for cleaned in one(text.clean_text, odd)]
 
 
 def test_clean_product_name(one):
