@@ -175,13 +175,19 @@ def summary_routing(spark, sf_dir):
     )
 
 
-def first_sentence():
+@query("article_table")
+def article_table(spark, sf_dir):
+    rows = materialized(spark, briefs(spark, sf_dir), "briefs")
+    summaries = articles.summarize_tasks(articles.summary_tasks(rows))
+    return articles.drafts(rows, articles.articles(rows, summaries), "heaviest sentences").drop("generated_at_utc")
+
+
+def first_words():
     """Stand-in text function: the first 30 words, closed with a full stop."""
     return lambda texts: [" ".join(text.split()[:30]) + "." for text in texts]
 
 
-@query("article_table")
-def article_table(spark, sf_dir):
-    rows = materialized(spark, briefs(spark, sf_dir), "briefs")
-    summaries = articles.summarize_tasks(articles.summary_tasks(rows), first_sentence)
-    return articles.drafts(rows, articles.articles(rows, summaries), "first 30 words").drop("generated_at_utc")
+@query("summary_stage")
+def summary_stage(spark, sf_dir):
+    tasks = articles.summary_tasks(briefs(spark, sf_dir))
+    return articles.summarize_tasks(tasks, first_words)

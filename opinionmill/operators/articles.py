@@ -94,12 +94,19 @@ def summary_tasks(briefs: DataFrame) -> DataFrame:
     )
 
 
-def summarize_tasks(tasks: DataFrame, make_function: Callable[[], TextFunction], batch_size: int = 2,
+def summarize_tasks(tasks: DataFrame, make_function: Callable[[], TextFunction] | None = None, batch_size: int = 2,
                     label: str = "Model summary: ") -> DataFrame:
-    """Text shown for each task: a quote, a labelled summary, or the source of a cut one."""
-    longer = tasks.withColumn("_inputs", F.when(F.col("route") == "summarize", F.array("text")))
-    done = apply_to_texts(longer, "_inputs", "_outputs", make_function, batch_size)
-    summary = strip(F.get("_outputs", F.lit(0)))
+    """Text shown for each task: a quote, a labelled summary, or the source of a cut one.
+
+    Without a text function the heaviest sentences of the evidence are the summary (G6).
+    """
+    if make_function is None:
+        done = _with_extracts(tasks)
+    else:
+        longer = tasks.withColumn("_inputs", F.when(F.col("route") == "summarize", F.array("text")))
+        done = apply_to_texts(longer, "_inputs", "_outputs", make_function, batch_size)
+        done = done.withColumn("_summary", F.get("_outputs", F.lit(0)))
+    summary = strip(F.col("_summary"))
     quoted = joined_examples(F.col("examples"))
     shown = (
         F.when(F.col("route") == "quote", F.concat(F.lit(SHORT_NOTE), quoted))
@@ -109,6 +116,15 @@ def summarize_tasks(tasks: DataFrame, make_function: Callable[[], TextFunction],
     return done.select("cluster_id", "key", shown.alias("summary"))
 
 
+def _with_extracts(tasks: DataFrame) -> DataFrame:
+    """Add ``_summary``: two sentences per task, every example line counting as one."""
+    keyed = tasks.withColumn("_task", F.concat_ws("\u0001", F.col("cluster_id").cast("string"), "key"))
+    closed = F.regexp_replace(F.concat("text", F.lit("\n")), r"([^.!?])\n", "$1.\n")
+    longer = keyed.where("route = 'summarize'").select("_task", closed.alias("_closed"))
+    extracts = extractive_summaries(longer, "_task", "_closed").withColumnRenamed("summary", "_summary")
+    return keyed.join(extracts.withColumn("_summary", F.regexp_replace("_summary", r"\n+", " ")), "_task", "left")
+
+
 def sentence_weights(df: DataFrame, key: str, text: str, stop_words: Sequence[str] | None = None,
                      max_features: int = 5000) -> DataFrame:
     """Every sentence with its weight: inverse document frequencies of its vocabulary terms,

@@ -20,10 +20,7 @@ from opinionmill.operators import contracts
 from opinionmill.operators.features import SENTIMENT_FEATURES, fit_text_features
 from opinionmill.operators.metrics import cell_counts, summary_metrics
 from opinionmill.operators.sampling import union_all
-
-
-# Training rows below which one more task costs more than it saves.
-ROWS_PER_TASK = 5000
+from opinionmill.session import packed
 
 
 @dataclass(frozen=True)
@@ -64,14 +61,6 @@ def label_index(column: Column, labels: Sequence[str] = SENTIMENTS) -> Column:
     return (F.array_position(names, column) - 1).cast("double")
 
 
-def packed(features: DataFrame, rows: int) -> DataFrame:
-    """Fewer, fuller partitions for a small training set, without a shuffle.
-
-    Every iteration of a solver runs one task per partition; a large set keeps its own.
-    """
-    return features.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
-
-
 def class_counts(df: DataFrame, label: str = "sentiment") -> dict[str, int]:
     """Rows per class: one small row per label on the driver."""
     return {r[label]: r["count"] for r in df.groupBy(label).count().collect()}

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinionmill.operators import contracts
+from opinionmill.session import packed
 
 # Solutions compared, restarts, seed and the smallest product table.
 CLUSTER_COUNTS = (4, 5, 6)
@@ -27,9 +28,10 @@ def as_vectors(df: DataFrame, column: str, out: str = "features") -> DataFrame:
 
 def fit_kmeans(features: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED, max_iter: int = 300) -> KMeansModel:
     """The restart with the lowest inertia (L10). Persist ``features`` before calling."""
+    rows = packed(features, features.count())
     best: KMeansModel | None = None
     for attempt in range(restarts):
-        model = KMeans(k=k, seed=seed + attempt, maxIter=max_iter, tol=1e-4, featuresCol="features").fit(features)
+        model = KMeans(k=k, seed=seed + attempt, maxIter=max_iter, tol=1e-4, featuresCol="features").fit(rows)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
     assert best is not None

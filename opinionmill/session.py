@@ -66,3 +66,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
+def packed(df: DataFrame, rows: int, rows_per_task: int = 5000) -> DataFrame:
+    """Fewer, fuller partitions for a small set an iterative solver runs over, without a shuffle.
+
+    Every iteration costs one task per partition; a large set keeps its own partitions.
+    """
+    return df.coalesce(max(1, -(-rows // rows_per_task)))
