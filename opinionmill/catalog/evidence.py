@@ -9,7 +9,6 @@ from opinionmill.functions.redact import redact_excerpt
 from opinionmill.operators import aggregates, articles, evidence, ranking
 from opinionmill.session import materialized
 from opinionmill.sources import adapters
-from opinionmill.sources.adapters import table
 
 
 def redact_sql(column: str) -> str:
@@ -134,15 +133,53 @@ def evidence_brief(spark, sf_dir):
     )
 
 
-@query("evidence_json")
+BRIEF_JSON = f"""{ASSIGNED},
+stats AS (SELECT cluster_id, cluster_name, count(*) AS review_count, count(DISTINCT product_name) AS product_count,
+                 round(avg(rating), 2) AS mean_rating, round(avg((sentiment = 'negative')::INT), 4) AS negative_share,
+                 round(avg((sentiment = 'positive')::INT), 4) AS positive_share FROM assigned GROUP BY ALL),
+e1 AS (SELECT cluster_id, sentiment, row_id, product_name, rating, {redact_sql('review_text')} AS e FROM example_rows),
+examples AS (
+  SELECT cluster_id, sentiment, list({{product: product_name, rating: rating::VARCHAR, review: {cut_sql('e')}}} ORDER BY row_id) AS l
+  FROM e1 GROUP BY ALL),
+c1 AS (SELECT cluster_id, row_id, product_name, rating, {redact_sql('review_text')} AS e FROM complaint_rows),
+complaints AS (
+  SELECT cluster_id, product_name, list({{product: product_name, rating: rating::VARCHAR, review: {cut_sql('e')}}} ORDER BY row_id) AS l
+  FROM c1 GROUP BY ALL),
+chosen AS (
+  SELECT p.cluster_id, rank, {{name: p.product_name, mean_rating: round(mean_rating, 2), review_count: review_count,
+         negative_review_count: negative_review_count, negative_review_examples: COALESCE(c.l, [])}} AS record
+  FROM (SELECT cluster_id, product_name, mean_rating, review_count, negative_review_count, rank FROM top3
+        UNION ALL SELECT cluster_id, product_name, mean_rating, review_count, negative_review_count, 0 FROM low) p
+  LEFT JOIN complaints c ON c.cluster_id = p.cluster_id AND c.product_name = p.product_name),
+briefs AS (
+  SELECT s.cluster_id, s.cluster_name, to_json({{cluster_name: s.cluster_name, review_count: s.review_count,
+    product_count: s.product_count, mean_rating: s.mean_rating, negative_share: s.negative_share,
+    positive_share: s.positive_share,
+    highest_rated_products: (SELECT list(record ORDER BY rank) FROM chosen h WHERE h.cluster_id = s.cluster_id AND rank > 0),
+    lowest_rated_product: (SELECT any_value(record) FROM chosen h WHERE h.cluster_id = s.cluster_id AND rank = 0),
+    negative_review_examples: COALESCE((SELECT any_value(l) FROM examples x WHERE x.cluster_id = s.cluster_id AND sentiment = 'negative'), []),
+    positive_review_examples: COALESCE((SELECT any_value(l) FROM examples x WHERE x.cluster_id = s.cluster_id AND sentiment = 'positive'), [])
+  }})::VARCHAR AS evidence FROM stats s)"""
+
+
+@query("evidence_json", f"{BRIEF_JSON} SELECT cluster_id, evidence FROM briefs")
 def evidence_json(spark, sf_dir):
     rows = briefs(spark, sf_dir)
     return rows.select("cluster_id", evidence.evidence_json(rows).alias("evidence"))
 
 
-@query("prompt_rows")
+DEFAULT_VARIANT = "structured_buyer_guide"
+
+
+def sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query("prompt_rows", f"""{BRIEF_JSON}
+SELECT cluster_id, cluster_name, {sql_text(evidence.REQUEST_OPENING)} || evidence AS user_text,
+       '{DEFAULT_VARIANT}' AS prompt_variant, {sql_text(evidence.system_text(DEFAULT_VARIANT))} AS system_text FROM briefs""")
 def prompt_rows(spark, sf_dir):
-    return evidence.request_rows(briefs(spark, sf_dir))
+    return evidence.request_rows(briefs(spark, sf_dir), [DEFAULT_VARIANT])
 
 
 @query("prompt_variants", f"""

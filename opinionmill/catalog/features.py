@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from opinionmill.catalog.registry import CLUSTERED, USABLE, clean_sql, query
+from opinionmill.catalog.registry import CLUSTERED, clean_sql, query
 from opinionmill.functions.text import clean_text
 from opinionmill.functions.tokens import clean_tokens, default_stop_words, uni_and_bigrams, without_stop_words
 from opinionmill.operators import aggregates, features

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from opinionmill.catalog.dashboard import CLUSTER_PRODUCTS_SQL, METRICS_SQL, bulk_products, rounded
-from opinionmill.catalog.registry import BULK, CLUSTERED, USABLE, query
+from opinionmill.catalog.registry import BULK, CLUSTERED, query
 from opinionmill.functions.text import word_count
 from opinionmill.operators import aggregates, joins, ranking, sampling
 from opinionmill.sources import adapters
-from opinionmill.sources.adapters import table
 
 
 @query("first_n_reviews", f"""
