@@ -224,7 +224,18 @@ def first_words():
     return lambda texts: [" ".join(text.split()[:30]) + "." for text in texts]
 
 
-@query("summary_stage")
+@query("summary_stage", f"""{ASSIGNED},
+shown AS (
+  SELECT cluster_id, 'category_' || sentiment AS key, row_id, rating, {redact_sql('review_text')} AS e FROM example_rows
+  UNION ALL
+  SELECT c.cluster_id, 'product:' || c.product_name, row_id, rating, {redact_sql('review_text')} FROM complaint_rows c),
+lines AS (SELECT cluster_id, key, row_id, 'Rating ' || rating::VARCHAR || ': ' || {cut_sql('e')} AS line FROM shown),
+tasks AS (SELECT cluster_id, key, string_agg(line, ' | ' ORDER BY row_id) AS quoted,
+                 regexp_extract_all(string_agg(line, ' ' ORDER BY row_id), '\\S+') AS words FROM lines GROUP BY ALL)
+SELECT cluster_id, key,
+       CASE WHEN len(words) < 40 THEN {sql_text(articles.SHORT_NOTE)} || quoted
+            ELSE 'Model summary: ' || array_to_string(words[1:30], ' ') || '.' END AS summary
+FROM tasks""")
 def summary_stage(spark, sf_dir):
     tasks = articles.summary_tasks(briefs(spark, sf_dir))
     return articles.summarize_tasks(tasks, first_words)
