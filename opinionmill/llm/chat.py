@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from opinionmill.llm.common import table
 
@@ -83,7 +84,7 @@ class Draft:
             self.parts = []
 
 
-SEGMENTS = T.StructType.fromDDL(
+SEGMENTS = (
     "conv_id long, turn long, role string, text string, copy int, segment string, mask_start int, mask_end int")
 
 
@@ -95,10 +96,10 @@ def fold_messages(events: DataFrame) -> DataFrame:
         .repartition(*key).sortWithinPartitions(*key, "seq")
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
+    wanted = T.StructType.fromDDL(SEGMENTS)
 
-        schema = to_arrow_schema(SEGMENTS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(wanted)
         current, draft, out, size = None, None, [], 0
 
         def finish() -> None:
@@ -128,7 +129,7 @@ def fold_messages(events: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    return ordered.mapInArrow(run, SEGMENTS)
+    return ordered.mapInArrow(run, wanted)
 
 
 def formatted_segments(events: DataFrame) -> DataFrame:
@@ -137,17 +138,17 @@ def formatted_segments(events: DataFrame) -> DataFrame:
     return fold_messages(events).repartition("conv_id").sortWithinPartitions("conv_id", *order)
 
 
-DIGESTS = T.StructType.fromDDL(
+DIGESTS = (
     "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def read_digests(segments: DataFrame) -> DataFrame:
     """Per conversation what the formatted output holds, read back from segments and mask."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
+    wanted = T.StructType.fromDDL(DIGESTS)
 
-        schema = to_arrow_schema(DIGESTS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(wanted)
         current, state, out = (), None, []
 
         def finish() -> None:
@@ -178,7 +179,7 @@ def read_digests(segments: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    return segments.select("conv_id", "segment", "mask_start", "mask_end").mapInArrow(run, DIGESTS)
+    return segments.select("conv_id", "segment", "mask_start", "mask_end").mapInArrow(run, wanted)
 
 
 def conversation_events(turns: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
