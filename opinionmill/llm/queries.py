@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from opinionmill.llm import chat, pieces
+from opinionmill.llm import chat, packing, pieces
 
 QUERIES = {
     "op5_chat_format": chat.op5_chat_format,
     "op6_sentencepiece": pieces.op6_sentencepiece,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 
 ORACLES = {
