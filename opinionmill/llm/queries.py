@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from opinionmill.llm import chat, packing, pieces
+from opinionmill.llm import chat, packing, pieces, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op5_chat_format": chat.op5_chat_format,
     "op6_sentencepiece": pieces.op6_sentencepiece,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
