@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from opinionmill.llm import chat, packing, pieces, toxicity
+from opinionmill.llm import chat, packing, pieces, secrets, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op5_chat_format": chat.op5_chat_format,
     "op6_sentencepiece": pieces.op6_sentencepiece,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_secret_scan": secrets.op9_secret_scan,
 }
 
 ORACLES = {
     "op5_chat_format": chat.OP5_SQL,
+    "op9_secret_scan": secrets.OP9_SQL,
 }
