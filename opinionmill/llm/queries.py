@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from opinionmill.llm import chat, neighbours, packing, pieces, quality, secrets, toxicity
+from opinionmill.llm import chat, minhash, neighbours, packing, pieces, quality, secrets, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_quality_rules": quality.op2_quality_rules,
+    "op3_minhash_duplicates": minhash.op3_minhash_duplicates,
     "op4_nearest_neighbours": neighbours.op4_nearest_neighbours,
     "op5_chat_format": chat.op5_chat_format,
     "op6_sentencepiece": pieces.op6_sentencepiece,
