@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinionmill.llm import chat, minhash, neighbours, packing, pieces, quality, secrets, toxicity
+from opinionmill.llm import chat, minhash, neighbours, packing, pieces, quality, secrets, substrings, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_nearest_neighbours": neighbours.op4_nearest_neighbours,
     "op5_chat_format": chat.op5_chat_format,
     "op6_sentencepiece": pieces.op6_sentencepiece,
+    "op7_suffix_dedup": substrings.op7_suffix_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_secret_scan": secrets.op9_secret_scan,
 }
