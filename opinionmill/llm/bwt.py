@@ -53,8 +53,14 @@ class Collection:
     def _path(self, name: str, turn: int) -> str:
         return os.path.join(self.folder, f"{name}-{turn % 2}")
 
+    def _over(self, name: str, turn: int):
+        """The file of a turn, to be written from its front; every turn writes more than the one before."""
+        path = self._path(name, turn)
+        return open(path, "r+b" if os.path.exists(path) else "wb")
+
     def _write(self, name: str, values: np.ndarray) -> None:
-        values.tofile(self._path(name, self.turn))
+        with self._over(name, self.turn) as file:
+            values.tofile(file)
 
     def _blocks(self, name: str) -> Iterator[tuple[int, np.ndarray]]:
         with open(self._path(name, self.turn), "rb") as file:
@@ -92,29 +98,28 @@ class Collection:
             by_symbol = np.argsort(bwt, kind="stable")
             here = np.bincount(bwt, minlength=256)
             edges = np.concatenate(([0], np.cumsum(here)))
-            symbol = bwt[by_symbol].astype(np.int64)
-            number = seen[symbol] + np.arange(len(bwt)) - edges[symbol]
-            place = starts[symbol] + number
-            inverse = np.empty(len(bwt), np.int64)
-            inverse[by_symbol] = place
-            target[lo:hi] = inverse[places[lo:hi] - offset]
-            # pairs of neighbouring occurrences of a symbol, one of them inserted now
-            inside = np.arange(len(bwt)) != edges[symbol]
-            now = fresh[by_symbol]
-            before = np.concatenate(([False], now[:-1]))
-            pair = np.flatnonzero(inside & (now | before) & (symbol != END))
-            if len(pair):
-                least = _range_minima(lcp, by_symbol[pair - 1] + 1, by_symbol[pair] + 1)
-                changed.append(place[pair])
+            shift = starts + seen - edges[:256]  # from a rank by symbol to the place of the longer suffix
+            now = np.flatnonzero(fresh[by_symbol])
+            symbol = bwt[by_symbol[now]].astype(np.int64)
+            target[lo:hi] = (now + shift[symbol])[np.argsort(by_symbol[now])]
+            # neighbouring occurrences of a symbol, one of them inserted now
+            second = np.union1d(now, now + 1)
+            second = second[second < len(bwt)]
+            symbol = bwt[by_symbol[second]].astype(np.int64)
+            inside = (second != edges[symbol]) & (symbol != END)
+            second, symbol = second[inside], symbol[inside]
+            if len(second):
+                least = _range_minima(lcp, by_symbol[second - 1] + 1, by_symbol[second] + 1)
+                changed.append(second + shift[symbol])
                 prefixes.append(np.minimum(least.astype(np.int64) + 1, self.cap))
             # the first occurrence in this block pairs with the last one of an earlier block
             present = np.flatnonzero(here[1:]) + 1
             first = edges[present]
             least = _range_minima(lcp, np.zeros(len(present), np.int64), by_symbol[first] + 1).astype(np.int64)
             old = seen[present] > 0
-            touched = now[first] | (recent[present] & old)
+            touched = fresh[by_symbol[first]] | (recent[present] & old)
             value = np.where(old, np.minimum(np.minimum(carry[present], least) + 1, self.cap), 0)
-            changed.append(place[first][touched])
+            changed.append((first + shift[present])[touched])
             prefixes.append(value[touched])
             # what is carried into the next block
             last = edges[present + 1] - 1
@@ -126,7 +131,7 @@ class Collection:
             absent[present] = False
             carry[absent] = np.minimum(carry[absent], int(lcp.min()))
             carry[present] = rest
-            recent[present] = now[last]
+            recent[present] = fresh[by_symbol[last]]
             seen += here
         self._insert(strings, target, taken, np.concatenate(changed), np.concatenate(prefixes))
         return True
@@ -137,9 +142,8 @@ class Collection:
         places, added = target[order], symbols[order]
         order = np.argsort(changed)
         changed, prefixes = changed[order], prefixes[order].astype(np.uint8)
-        names = [(self._path(n, self.turn), self._path(n, self.turn + 1)) for n in ("bwt", "lcp")]
-        with open(names[0][0], "rb") as bwt_in, open(names[1][0], "rb") as lcp_in, \
-                open(names[0][1], "wb") as bwt_out, open(names[1][1], "wb") as lcp_out:
+        with open(self._path("bwt", self.turn), "rb") as bwt_in, open(self._path("lcp", self.turn), "rb") as lcp_in, \
+                self._over("bwt", self.turn + 1) as bwt_out, self._over("lcp", self.turn + 1) as lcp_out:
             size = self.size + len(places)
             for offset in range(0, size, BLOCK):
                 many = min(BLOCK, size - offset)

@@ -34,14 +34,15 @@ from opinionmill.llm.common import map_batches, mix64, table, worker_store
 from opinionmill.session import materialized
 
 WIDTH = 100
-GRAM = 24
+GRAM = 32
 PIECE = 1 << 19  # bytes scanned at a time
 HELD = 1_000_000  # anchors a task holds before it passes them on
 HOT = 2_000  # different segments of one anchor beyond which they are cut into shorter ranges
 CELL = 8  # windows in such a range
 SORTED = 3_000  # segments sorted together; one anchor's segments are never parted
 
-ANCHOR = np.dtype([("key", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("lo", "<i4"), ("hi", "<i4"), ("at", "<i4")])
+# windows and at count from lo: the last window and the anchor lie fewer than width bytes behind it
+ANCHOR = np.dtype([("key", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("lo", "<i4"), ("windows", "u1"), ("at", "u1")])
 
 
 class Roller:
@@ -143,7 +144,7 @@ def packed_anchors(docs: DataFrame, width: int, gram: int, parts: int) -> DataFr
         if not held:
             return
         first, others = _settle(np.concatenate(held))
-        ids, cuts = _cuts(others["doc"], others["lo"], others["hi"] + width)
+        ids, cuts = _cuts(others["doc"], others["lo"], others["lo"] + others["windows"].astype(np.int64) + width)
         if ids:
             yield _emit(schema, doc_id=ids, cuts=cuts)
         part = (first["key"] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
@@ -172,7 +173,7 @@ def packed_anchors(docs: DataFrame, width: int, gram: int, parts: int) -> DataFr
             shift = np.array([w[1] for w in waiting])[which] - begins[which]
             out = np.zeros(len(key), ANCHOR)
             out["key"], out["content"], out["doc"] = key, content, np.array([w[0] for w in waiting])[which]
-            out["lo"], out["hi"], out["at"] = lo + shift, hi + shift, at + shift
+            out["lo"], out["windows"], out["at"] = lo + shift, hi - lo, at - lo
             held.append(out)
             many += len(out)
 
@@ -209,7 +210,7 @@ def settled_anchors(packed: DataFrame, width: int, parts: int) -> DataFrame:
         if not blobs:
             return
         first, others = _settle(np.frombuffer(b"".join(blobs), ANCHOR))
-        ids, cuts = _cuts(others["doc"], others["lo"], others["hi"] + width)
+        ids, cuts = _cuts(others["doc"], others["lo"], others["lo"] + others["windows"].astype(np.int64) + width)
         if ids:
             yield _emit(schema, doc_id=ids, cuts=cuts)
         _, group, size = np.unique(first["key"], return_inverse=True, return_counts=True)
@@ -218,8 +219,9 @@ def settled_anchors(packed: DataFrame, width: int, parts: int) -> DataFrame:
         hot = size[size > 1] > HOT
         for i in range(0, len(mixed), 20_000):
             some = mixed[i:i + 20_000]
-            yield _emit(schema, doc_id=some["doc"], key=some["key"].view(np.int64), lo=some["lo"], hi=some["hi"],
-                        at=some["at"], hot=hot[i:i + 20_000])
+            yield _emit(schema, doc_id=some["doc"], key=some["key"].view(np.int64), lo=some["lo"],
+                        hi=some["lo"] + some["windows"].astype(np.int32), at=some["lo"] + some["at"].astype(np.int32),
+                        hot=hot[i:i + 20_000])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, current, blobs = to_arrow_schema(wanted), None, []
@@ -242,21 +244,23 @@ def settled_anchors(packed: DataFrame, width: int, parts: int) -> DataFrame:
     return dealt.mapInArrow(run, wanted)
 
 
-SEGMENTS = "key long, doc_id long, lo int, bytes binary"
+SEGMENTS = "key long, doc_id long, lo int, bytes binary, head int, tail int"
 
 
-def cut_segments(docs: DataFrame, wanted_: DataFrame, width: int) -> DataFrame:
-    """The bytes of the wanted segments; those of hot anchors in short ranges, dealt by shared bytes."""
+def cut_segments(docs: DataFrame, wanted_: DataFrame, width: int, gram: int) -> DataFrame:
+    """The bytes of the wanted segments; those of hot anchors in short ranges, dealt by shared bytes.
+
+    ``head`` and ``tail`` bound the bytes, inside the segment, that all segments of the key share.
+    """
     per_doc = wanted_.groupBy("doc_id").agg(F.collect_list(F.struct("key", "lo", "hi", "at", "hot")).alias("wanted"))
 
     def run(columns):
-        out = {n: [] for n in ("key", "doc_id", "lo", "bytes")}
+        names = ("key", "doc_id", "lo", "bytes", "head", "tail")
+        out = {n: [] for n in names}
 
-        def add(key: int, doc: int, lo: int, raw: bytes) -> None:
-            out["key"].append(key)
-            out["doc_id"].append(doc)
-            out["lo"].append(lo)
-            out["bytes"].append(raw)
+        def add(*row) -> None:
+            for name, value in zip(names, row, strict=True):
+                out[name].append(value)
 
         for doc, text, segments in zip(columns["doc_id"], columns["text"], columns["wanted"], strict=True):
             raw = (text or "").encode("utf-8", "surrogatepass")
@@ -265,33 +269,64 @@ def cut_segments(docs: DataFrame, wanted_: DataFrame, width: int) -> DataFrame:
                 if hi + width > len(raw):
                     continue  # another text of a repeated id
                 if not s["hot"]:
-                    add(key, doc, lo, raw[lo:hi + width])
+                    add(key, doc, lo, raw[lo:hi + width], at - lo, at - lo + gram)
                     continue
                 for cell in range((lo - at) // CELL, (hi - at) // CELL + 1):
                     begin, end = at + cell * CELL, at + cell * CELL + CELL - 1  # starts of windows in the cell
-                    shared = raw[max(end, 0):begin + width]
+                    shared = raw[end:begin + width]
                     digest = hashlib.blake2b(shared, digest_size=8, salt=cell.to_bytes(8, "little", signed=True))
                     low, high = max(begin, lo), min(end, hi)
-                    add(int.from_bytes(digest.digest(), "little", signed=True), doc, low, raw[low:high + width])
+                    add(int.from_bytes(digest.digest(), "little", signed=True), doc, low, raw[low:high + width],
+                        end - low, begin + width - low)
         return out
 
     joined = docs.select("doc_id", "text").join(per_doc, "doc_id")
     return map_batches(joined, run, SEGMENTS, rows=200)
 
 
+def _common(one: bytes, other: bytes) -> int:
+    """Length of the common prefix."""
+    size = min(len(one), len(other))
+    apart = int.from_bytes(one[:size], "big") ^ int.from_bytes(other[:size], "big")
+    return size - (apart.bit_length() + 7) // 8
+
+
+def _reach(sides: list[bytes]) -> list[int]:
+    """For each string the longest prefix it shares with any other: neighbours in order tell."""
+    order = sorted(range(len(sides)), key=sides.__getitem__)
+    out = [0] * len(sides)
+    for i, j in zip(order, order[1:], strict=False):
+        shared = _common(sides[i], sides[j])
+        out[i], out[j] = max(out[i], shared), max(out[j], shared)
+    return out
+
+
+def _trimmed(group: list[tuple], width: int) -> list[tuple[int, int, bytes]]:
+    """(document, place, bytes) of what a key's segments may share: beyond it no window is equal."""
+    if len(group) < 2:
+        return []
+    right = _reach([raw[tail:] for _, _, _, raw, _, tail in group])
+    left = _reach([raw[:head][::-1] for _, _, _, raw, head, _ in group])
+    out = []
+    for (_, doc, lo, raw, head, tail), before, after in zip(group, left, right, strict=True):
+        if before + tail - head + after >= width:
+            out.append((doc, lo + head - before, raw[head - before:tail + after]))
+    return out
+
+
 def sorted_cuts(segments: DataFrame, width: int) -> DataFrame:
     """Cuts of the windows that occur in an earlier segment of the same key."""
     wanted = T.StructType.fromDDL("doc_id long, cuts binary")
     # equal ranges of a hot anchor need sorting once: the first stands for all, the rest is repeated whole
-    first = segments.groupBy("key", "bytes").agg(F.min(F.struct("doc_id", "lo")).alias("first"))
+    first = segments.groupBy("key", "bytes").agg(F.min(F.struct("doc_id", "lo", "head", "tail")).alias("first"))
     ordered = (
-        first.select("key", F.col("first.doc_id").alias("doc_id"), F.col("first.lo").alias("lo"), "bytes")
+        first.select("key", "first.doc_id", "first.lo", "bytes", "first.head", "first.tail")
         .repartition("key").sortWithinPartitions("key")
     )
 
-    def finish(rows: list[tuple[int, int, int, bytes]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        docs, lows = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
-        string, offset, kind = equal_windows([r[3] for r in rows], width)
+    def finish(rows: list[tuple[int, int, bytes]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        docs, lows = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+        string, offset, kind = equal_windows([r[2] for r in rows], width)
         doc, start = docs[string], lows[string] + offset
         order = np.lexsort((start, doc, kind))
         kind, doc, start = kind[order], doc[order], start[order]
@@ -303,23 +338,26 @@ def sorted_cuts(segments: DataFrame, width: int) -> DataFrame:
             yield _emit(schema, doc_id=ids, cuts=cuts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, rows, current = to_arrow_schema(wanted), [], None
+        schema, rows, group = to_arrow_schema(wanted), [], []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[0] != current and len(rows) >= SORTED:
-                    yield from finish(rows, schema)
-                    rows = []
-                current = row[0]
-                rows.append(row)
+                if group and row[0] != group[0][0]:
+                    rows += _trimmed(group, width)
+                    group = []
+                    if len(rows) >= SORTED:
+                        yield from finish(rows, schema)
+                        rows = []
+                group.append(row)
+        rows += _trimmed(group, width)
         if rows:
             yield from finish(rows, schema)
 
     cuts = ordered.mapInArrow(run, wanted)
     heads = first.select(
         F.col("key").alias("of"), F.col("bytes").alias("of_bytes"),
-        F.col("first.doc_id").alias("head"), F.col("first.lo").alias("head_lo"))
+        F.col("first.doc_id").alias("of_doc"), F.col("first.lo").alias("of_lo"))
     later = segments.join(heads, (F.col("key") == F.col("of")) & (F.col("bytes") == F.col("of_bytes")))
-    whole = later.where((F.col("head") != F.col("doc_id")) | (F.col("head_lo") != F.col("lo"))).select(
+    whole = later.where((F.col("of_doc") != F.col("doc_id")) | (F.col("of_lo") != F.col("lo"))).select(
         "doc_id", "lo", (F.col("lo") + F.length("bytes")).alias("until"))
 
     def pack(columns):
@@ -335,7 +373,7 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     settled = materialized(spark, settled_anchors(packed_anchors(docs, width, gram, parts), width, parts), "anchors")
     mixed = settled.where("cuts IS NULL").select("doc_id", "key", "lo", "hi", "at", "hot")
-    segments = materialized(spark, cut_segments(docs, mixed, width), "segments")
+    segments = materialized(spark, cut_segments(docs, mixed, width, gram), "segments")
     return settled.where("cuts IS NOT NULL").select("doc_id", "cuts").unionByName(sorted_cuts(segments, width))
 
 
