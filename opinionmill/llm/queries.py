@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinionmill.llm import chat, minhash, neighbours, packing, pieces, quality, secrets, substrings, toxicity
+from opinionmill.llm import chat, ctw, minhash, neighbours, packing, pieces, quality, secrets, substrings, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_suffix_dedup": substrings.op7_suffix_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_secret_scan": secrets.op9_secret_scan,
+    "op10_context_tree_weighting": ctw.op10_context_tree_weighting,
 }
 
 ORACLES = {
