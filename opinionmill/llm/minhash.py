@@ -241,6 +241,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` with one document of each group, all columns as they are.
+
+    Rows that repeat an id are one document; rows without id stay unless they repeat a text.
+    """
+    dropped = near_duplicates(docs, width, percent).where("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
+    rest = docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    names = docs.columns
+    spare = "same_" + "_".join(names)  # no column has this name
+    marked = rest.withColumn(spare, F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    return marked.dropDuplicates(["doc_id", spare]).select(names)
+
+
 def op3_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked at a similarity of 0.8 over four-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=4)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinionmill.llm.common import table
+from opinionmill.session import materialized
 
 # Pattern, group whose length counts, and least length of each kind, in listed order.
 BASE_KINDS = {
@@ -138,6 +139,19 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) > 0, F.aggregate(F.array_sort(spans), state, step, rest)).otherwise(text)
 
 
+def redacted(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
+    """``docs`` with every base span and every live long token replaced by a mark; other columns as they are."""
+    found = scan(docs, owner, repository).withColumn("spans", F.concat("base", "owned"))
+    held = found.where(F.size("spans") > 0).select(
+        F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), F.col("spans").alias("of_spans")).distinct()
+    held = materialized(docs.sparkSession, held, "secret-spans")
+    text = F.col("text")
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("of_key"))
+    cleaned = F.when(F.col("of_spans").isNull(), text).otherwise(redact(text, F.col("of_spans")))
+    return docs.join(held, same, "left").select(
+        *[cleaned.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document; a source is an owner, its languages are its repositories."""
     docs = table(spark, sf_dir, "documents")

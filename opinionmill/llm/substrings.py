@@ -377,40 +377,66 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     return settled.where("cuts IS NOT NULL").select("doc_id", "cuts").unionByName(sorted_cuts(segments, width))
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, keep_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with ``keep_text`` the text that stays.
-
-    A text that stays drops the bytes of a code point that was cut through. ``keep_text`` also returns the
-    other columns of ``docs``.
-    """
-    cuts = repeated_ranges(docs, width, gram).groupBy("doc_id").agg(F.collect_list("cuts").alias("repeats"))
-    others = [c for c in docs.columns if c not in ("doc_id", "text")] if keep_text else []
-    joined = docs.select("doc_id", "text", *others).join(cuts.withColumnRenamed("doc_id", "of_doc"), F.col("doc_id") == F.col("of_doc"), "left")
-
+def _kept(raw: bytes, repeats: list[bytes] | None) -> tuple[bytes, int]:
+    """The bytes that stay and the number of runs removed."""
+    if not repeats or not raw:
+        return raw, 0
+    pairs = np.concatenate([np.frombuffer(r, "<i4").reshape(-1, 2) for r in repeats]).clip(max=len(raw))
+    edges = np.zeros(len(raw) + 1, np.int64)
+    np.add.at(edges, pairs[:, 0], 1)
+    np.add.at(edges, pairs[:, 1], -1)
+    gone = np.cumsum(edges)[:-1] > 0
+    return np.frombuffer(raw, np.uint8)[~gone].tobytes(), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
+
+
+def _with_cuts(docs: DataFrame, width: int, gram: int) -> DataFrame:
+    """``docs`` with a column ``repeats`` that lists the packed cuts."""
+    cuts = repeated_ranges(docs, width, gram).groupBy(F.col("doc_id").alias("of_doc")).agg(
+        F.collect_list("cuts").alias("repeats"))
+    return docs.join(cuts, F.col("doc_id") == F.col("of_doc"), "left")
+
+
+def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and the digest of the bytes that stay."""
     def run(columns):
-        out = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
+        out = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256")}
         for text, repeats in zip(columns["text"], columns["repeats"], strict=True):
             raw = (text or "").encode("utf-8", "surrogatepass")
-            kept, spans = raw, 0
-            if repeats:
-                pairs = np.concatenate([np.frombuffer(r, "<i4").reshape(-1, 2) for r in repeats]).clip(max=len(raw))
-                edges = np.zeros(len(raw) + 1, np.int64)
-                np.add.at(edges, pairs[:, 0], 1)
-                np.add.at(edges, pairs[:, 1], -1)
-                gone = np.cumsum(edges)[:-1] > 0
-                spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+            kept, spans = _kept(raw, repeats)
             out["n_bytes"].append(len(raw))
             out["n_removed"].append(len(raw) - len(kept))
             out["n_spans"].append(spans)
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-            out["kept"].append(kept.decode("utf-8", "ignore") if keep_text else None)
-        return {n: columns[n] for n in ("doc_id", *others)} | out | ({"text": out["kept"]} if keep_text else {})
+        return {"doc_id": columns["doc_id"], **out}
+
+    joined = _with_cuts(docs.select("doc_id", "text"), width, gram).select("doc_id", "text", "repeats")
+    return map_batches(joined, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", rows=200)
 
-    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in others)
-    schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string{kinds}"
-    columns = joined.select("doc_id", "text", "repeats", *others)
-    return map_batches(columns, run, schema + (", text string" if keep_text else ""), rows=200)
+
+def texts_without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+    """``docs`` with the text that stays; a code point that was cut through goes, other columns are as they are."""
+    names, place = docs.columns, docs.columns.index("text")
+    ids = docs.select("doc_id", "text")
+    cuts = repeated_ranges(ids, width, gram).groupBy(F.col("doc_id").alias("of_doc")).agg(
+        F.collect_list("cuts").alias("repeats"))
+    packed = F.struct(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)]).alias("row")
+    joined = docs.select("doc_id", packed).join(cuts, F.col("doc_id") == F.col("of_doc"), "left").select("row", "repeats")
+    wanted = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                columns = batch.column(0).flatten()
+                texts = []
+                for text, repeats in zip(columns[place].to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    if text is not None and repeats:
+                        text = _kept(text.encode("utf-8", "surrogatepass"), repeats)[0].decode("utf-8", "ignore")
+                    texts.append(text)
+                columns[place] = pa.array(texts, columns[place].type)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return joined.mapInArrow(run, wanted)
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

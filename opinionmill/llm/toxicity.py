@@ -20,8 +20,10 @@ import math
 import re
 import uuid
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,6 +230,25 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
         "best_start int, best_end int", rows=1000)
 
 
+def keep_clean(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model["weights"])  # at most max_features entries
+    name, decay, scale, (slope, intercept) = uuid.uuid4().hex, model["decay"], model["scale"], model["curve"]
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = worker_store(f"toxicity {name}", lambda: Scorer(shared.value))
+        for batch in batches:
+            keep = []
+            for text in batch.column(place).to_pylist():
+                scores = scorer.scores(text)
+                strength, _ = significance([f[2] for f in segments(scores)], len(scores), decay, scale)
+                keep.append(slope * math.log1p(strength) + intercept < 0)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
