@@ -23,6 +23,18 @@ def crc_mod(id_column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def wrapped(df: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text`` beside the whole row, so that no other column name can clash."""
+    row = F.struct(*[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(df.columns)])
+    return df.select("doc_id", "text", row.alias("row"))
+
+
+def unwrapped(df: DataFrame, names: list[str], **changed: Column) -> DataFrame:
+    """The rows of ``wrapped`` again, with some columns replaced."""
+    return df.select(*[
+        (changed[name] if name in changed else F.col(f"row.c{i}")).alias(name) for i, name in enumerate(names)])
+
+
 def words(text: str | None) -> list[bytes]:
     r"""The words ``[^\x20\x09-\x0D]+`` as UTF-8 bytes; splitting bytes knows exactly these spaces."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

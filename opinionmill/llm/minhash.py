@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinionmill.llm.common import map_batches, mix64, table, worker_store
+from opinionmill.llm.common import map_batches, mix64, table, unwrapped, worker_store, wrapped
 from opinionmill.llm.components import components
 from opinionmill.session import materialized
 
@@ -234,7 +234,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "digest", F.coalesce("component", "node").alias("component"))
     of_doc = (
         signed.select("doc_id", "n_shingles", "digest").join(of_set, "digest", "left")
-        .withColumn("component_id", F.coalesce("component", "doc_id"))
+        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
     )
     return of_doc.select(
         "doc_id", "n_shingles", "component_id",
@@ -247,11 +247,9 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     Rows that repeat an id are one document; rows without id stay unless they repeat a text.
     """
     dropped = near_duplicates(docs, width, percent).where("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    rest = docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
-    names = docs.columns
-    spare = "same_" + "_".join(names)  # no column has this name
-    marked = rest.withColumn(spare, F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
-    return marked.dropDuplicates(["doc_id", spare]).select(names)
+    rest = wrapped(docs).join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    marked = rest.withColumn("spare", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    return unwrapped(marked.dropDuplicates(["doc_id", "spare"]), docs.columns)
 
 
 def op3_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinionmill.llm.common import table
+from opinionmill.llm.common import table, unwrapped, wrapped
 from opinionmill.session import materialized
 
 # Pattern, group whose length counts, and least length of each kind, in listed order.
@@ -148,8 +148,7 @@ def redacted(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
     text = F.col("text")
     same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("of_key"))
     cleaned = F.when(F.col("of_spans").isNull(), text).otherwise(redact(text, F.col("of_spans")))
-    return docs.join(held, same, "left").select(
-        *[cleaned.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return unwrapped(wrapped(docs).join(held, same, "left"), docs.columns, text=cleaned)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from opinionmill.llm.bwt import equal_windows
-from opinionmill.llm.common import map_batches, mix64, table, worker_store
+from opinionmill.llm.common import map_batches, mix64, table, worker_store, wrapped
 from opinionmill.session import materialized
 
 WIDTH = 100
@@ -419,8 +419,7 @@ def texts_without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM)
     ids = docs.select("doc_id", "text")
     cuts = repeated_ranges(ids, width, gram).groupBy(F.col("doc_id").alias("of_doc")).agg(
         F.collect_list("cuts").alias("repeats"))
-    packed = F.struct(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)]).alias("row")
-    joined = docs.select("doc_id", packed).join(cuts, F.col("doc_id") == F.col("of_doc"), "left").select("row", "repeats")
+    joined = wrapped(docs).join(cuts, F.col("doc_id") == F.col("of_doc"), "left").select("row", "repeats")
     wanted = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
