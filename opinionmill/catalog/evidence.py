@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from opinionmill.catalog.registry import CLUSTERED, query
 from opinionmill.functions.redact import redact_excerpt
-from opinionmill.operators import aggregates, articles, evidence, ranking
+from opinionmill.operators import aggregates, articles, contracts, evidence, ranking
 from opinionmill.session import materialized
 from opinionmill.sources import adapters
 
@@ -192,6 +192,18 @@ def prompt_variants(spark, sf_dir):
     return requests.groupBy("prompt_variant").agg(F.count(F.lit(1)).alias("requests"))
 
 
+@query("evidence_empty_category", f"""{ASSIGNED},
+wanted AS (SELECT DISTINCT cluster_id, cluster_name FROM dim_named
+           UNION ALL SELECT 99, 'No such category')
+SELECT cluster_id, cluster_name FROM wanted WHERE cluster_id NOT IN (SELECT cluster_id FROM assigned)""".replace(
+    "dim_named", "(SELECT cluster_id, 'Category ' || cluster_id AS cluster_name FROM dim)"))
+def evidence_empty_category(spark, sf_dir):
+    """Categories that a brief would refuse; one without products is added to the table."""
+    extra = spark.createDataFrame([(99, "No such category")], "cluster_id int, cluster_name string")
+    wanted = categories(spark, sf_dir).unionByName(extra)
+    return contracts.without_rows(wanted, assigned_reviews(spark, sf_dir), "cluster_id")
+
+
 @query("summary_routing", f"""{ASSIGNED},
 low_only AS (SELECT cluster_id, product_name FROM low EXCEPT SELECT cluster_id, product_name FROM top3),
 shown AS (
@@ -219,9 +231,9 @@ def article_table(spark, sf_dir):
     return articles.drafts(rows, articles.articles(rows, summaries), "heaviest sentences").drop("generated_at_utc")
 
 
-def first_words():
-    """Stand-in text function: the first 30 words, closed with a full stop."""
-    return lambda texts: [" ".join(text.split()[:30]) + "." for text in texts]
+def closed_when_even():
+    """Stand-in text function: the whole text, unfinished where it has an odd number of words."""
+    return lambda texts: [" ".join(w) + (" end." if len(w) % 2 == 0 else " and") for w in map(str.split, texts)]
 
 
 @query("summary_stage", f"""{ASSIGNED},
@@ -229,13 +241,15 @@ shown AS (
   SELECT cluster_id, 'category_' || sentiment AS key, row_id, rating, {redact_sql('review_text')} AS e FROM example_rows
   UNION ALL
   SELECT c.cluster_id, 'product:' || c.product_name, row_id, rating, {redact_sql('review_text')} FROM complaint_rows c),
-lines AS (SELECT cluster_id, key, row_id, 'Rating ' || rating::VARCHAR || ': ' || {cut_sql('e')} AS line FROM shown),
+lines AS (SELECT cluster_id, key, row_id, 'Rating ' || rating::VARCHAR || ': '
+              || trim(regexp_replace({cut_sql('e')}, '\\s+', ' ', 'g')) AS line FROM shown),
 tasks AS (SELECT cluster_id, key, string_agg(line, ' | ' ORDER BY row_id) AS quoted,
                  regexp_extract_all(string_agg(line, ' ' ORDER BY row_id), '\\S+') AS words FROM lines GROUP BY ALL)
 SELECT cluster_id, key,
        CASE WHEN len(words) < 40 THEN {sql_text(articles.SHORT_NOTE)} || quoted
-            ELSE 'Model summary: ' || array_to_string(words[1:30], ' ') || '.' END AS summary
+            WHEN len(words) % 2 = 0 THEN 'Model summary: ' || array_to_string(words, ' ') || ' end.'
+            ELSE {sql_text(articles.CUT_NOTE)} || quoted END AS summary
 FROM tasks""")
 def summary_stage(spark, sf_dir):
     tasks = articles.summary_tasks(briefs(spark, sf_dir))
-    return articles.summarize_tasks(tasks, first_words)
+    return articles.summarize_tasks(tasks, closed_when_even)

@@ -8,6 +8,7 @@ from opinionmill.catalog.registry import CLUSTERED, clean_sql, query
 from opinionmill.functions.text import clean_text
 from opinionmill.functions.tokens import clean_tokens, default_stop_words, uni_and_bigrams, without_stop_words
 from opinionmill.operators import aggregates, features
+from opinionmill.session import materialized
 from opinionmill.sources import adapters
 from opinionmill.sources.adapters import table
 
@@ -31,10 +32,13 @@ vocab AS (SELECT term, sum(tf)::BIGINT AS corpus_tf, count(*) AS df FROM counts
           ORDER BY corpus_tf DESC, term LIMIT 5000)"""
 
 
+def document_tokens():
+    return uni_and_bigrams(without_stop_words(clean_tokens(clean_text(F.col("text")))))
+
+
 def document_terms(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = without_stop_words(clean_tokens(clean_text(F.col("text"))))
-    return features.term_counts(docs, ["doc_id"], uni_and_bigrams(tokens), one_row_per_key=True)
+    return features.term_counts(docs, ["doc_id"], document_tokens(), one_row_per_key=True)
 
 
 @query("token_counts", f"""
@@ -64,7 +68,7 @@ raw AS (SELECT doc_id, c.term, tf * (ln(((SELECT count(*) FROM documents) + 1.0)
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""")
 def tfidf_long(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    out = features.tfidf(document_terms(spark, sf_dir), ["doc_id"], docs, features.SENTIMENT_FEATURES)
+    out = features.tfidf(docs, ["doc_id"], document_tokens(), features.SENTIMENT_FEATURES)
     return out.withColumn("weight", F.round("weight", 6))
 
 
@@ -97,7 +101,7 @@ def block_sql(block: str, column: str, limit: int, factor: float) -> str:
     [PRODUCTS, *[block_sql(b, *spec) for b, spec in features.PRODUCT_BLOCKS.items()]]
 ) + " SELECT * FROM title_block UNION ALL SELECT * FROM category_block UNION ALL SELECT * FROM review_block")
 def tfidf_sublinear_blocks(spark, sf_dir):
-    products = aggregates.product_profiles(adapters.usable_reviews(spark, sf_dir))
+    products = materialized(spark, aggregates.product_profiles(adapters.usable_reviews(spark, sf_dir)), "products")
     return features.product_blocks(products).withColumn("weight", F.round("weight", 6))
 
 

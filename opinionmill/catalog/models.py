@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from opinionmill.catalog.features import PRODUCTS, block_sql
 from opinionmill.catalog.registry import query
 from opinionmill.functions.labels import SENTIMENTS
 from opinionmill.operators import aggregates, classify, clusters, contracts, features, metrics, sampling
-from opinionmill.session import materialized, scratch_path, spread
+from opinionmill.session import materialized, scratch_path
 from opinionmill.sources import adapters, sinks
 from opinionmill.sources.adapters import table
 
@@ -15,7 +17,7 @@ from opinionmill.sources.adapters import table
 def split_reviews(spark, sf_dir):
     reviews = adapters.usable_reviews(spark, sf_dir).select("row_id", "review_text", "sentiment")
     reviews = materialized(spark, reviews, "reviews")
-    return spread(materialized(spark, sampling.stratified_split(reviews), "split"), "row_id")
+    return materialized(spark, sampling.stratified_split(reviews), "split")
 
 
 BALANCED_LOGISTIC = classify.CANDIDATES[1]
@@ -43,40 +45,69 @@ def balanced_model(spark, sf_dir):
 
 @query("scored_reviews")
 def scored_reviews(spark, sf_dir):
-    """A saved and reloaded model scores every document that passes the request contract."""
+    """A saved and reloaded model scores every document."""
     path = scratch_path(spark, "model")
     sinks.save_model(classify.SentimentModel(balanced_model(spark, sf_dir), BALANCED_LOGISTIC.name), path)
     model = sinks.load_model(spark, path)
     documents = adapters.documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), F.col("text").alias("review_text"))
-    accepted, _ = contracts.split_requests(documents, "review_text")
-    scored = classify.score_reviews(model.pipeline, accepted, "review_text")
+    scored = classify.score_reviews(model.pipeline, documents, "review_text")
     return scored.select("row_id", "sentiment", *[F.col("class_scores")[s].alias(s) for s in SENTIMENTS])
 
 
 def vectors(spark, sf_dir):
-    return clusters.as_vectors(spread(table(spark, sf_dir, "embeddings"), "vec_id"), "embedding")
+    return clusters.as_vectors(table(spark, sf_dir, "embeddings"), "embedding")
 
 
 @query("kmeans_assign")
 def kmeans_assign(spark, sf_dir):
-    rows = vectors(spark, sf_dir).select("vec_id", "features").persist()
-    model = clusters.fit_kmeans(rows, clusters.CHOSEN_COUNT, restarts=5)
+    rows = materialized(spark, vectors(spark, sf_dir).select("vec_id", "features"), "vectors")
+    model = clusters.fit_kmeans(rows, clusters.CHOSEN_COUNT)
     return model.transform(rows).select("vec_id", F.col("prediction").alias("cluster_id"))
 
 
 @query("k_search")
 def k_search(spark, sf_dir):
-    found, _ = clusters.compare_solutions(vectors(spark, sf_dir).select("vec_id", "features"), restarts=5)
+    found, _ = clusters.compare_solutions(vectors(spark, sf_dir).select("vec_id", "features"))
     return found
 
 
+@query("batch_scores", """
+SELECT doc_id AS row_id, 1.0::DOUBLE AS score_sum, TRUE AS label_has_best_score, 3::BIGINT AS labels FROM documents""")
+def batch_scores(spark, sf_dir):
+    """Every document has a label, three scores that add up to 1, and the label's score is the largest."""
+    scores = F.map_values("class_scores")
+    documents = adapters.documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), F.col("text").alias("review_text"))
+    scored = classify.score_reviews(balanced_model(spark, sf_dir), documents, "review_text")
+    return scored.select(
+        "row_id", F.round(F.aggregate(scores, F.lit(0.0), lambda a, x: a + x), 2).alias("score_sum"),
+        (F.element_at("class_scores", F.col("sentiment")) >= F.array_max(scores)).alias("label_has_best_score"),
+        F.size(scores).cast("long").alias("labels"),
+    )
+
+
+@query("product_vectors", "WITH " + ",".join(
+    [PRODUCTS, *[block_sql(b, *spec) for b, spec in features.PRODUCT_BLOCKS.items()]]
+) + """, weights AS (SELECT * FROM title_block UNION ALL SELECT * FROM category_block UNION ALL SELECT * FROM review_block)
+SELECT p.product_name, count(w.term) AS entries, round(coalesce(sum(w.weight * w.weight), 0), 1) AS squares
+FROM products p LEFT JOIN weights w ON w.product_name = p.product_name GROUP BY 1""")
+def product_vectors(spark, sf_dir):
+    """A vector for every product, also for one without any kept term."""
+    products = materialized(spark, aggregates.product_profiles(adapters.usable_reviews(spark, sf_dir)), "products")
+    rows = features.block_vectors(materialized(spark, features.product_blocks(products), "blocks"), products)
+    values = vector_to_array("features")
+    squares = F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x)
+    return rows.select(
+        "product_name", F.size(F.filter(values, lambda x: x != 0)).cast("long").alias("entries"),
+        F.round(squares, 1).alias("squares"))
+
+
 @query("product_clusters")
 def product_clusters(spark, sf_dir):
     products = materialized(spark, aggregates.product_profiles(adapters.usable_reviews(spark, sf_dir)), "products")
     contracts.require_rows(products, clusters.MIN_PRODUCTS, "Product clustering")
     blocks = materialized(spark, features.product_blocks(products), "blocks")
-    rows = features.block_vectors(blocks).persist()
-    model = clusters.fit_kmeans(rows, clusters.CHOSEN_COUNT, restarts=5)
+    rows = features.block_vectors(blocks, products)
+    model = clusters.fit_kmeans(rows, clusters.CHOSEN_COUNT)
     found = clusters.assign_clusters(model, rows, products)
     named = clusters.name_clusters(found, {i: f"Group {i}" for i in range(clusters.CHOSEN_COUNT)})
     return named.select("product_name", "cluster_id", "cluster_name", "review_count", "mean_rating")

@@ -242,8 +242,17 @@ def rouge_l(spark, sf_dir):
 HOSTILE = "|".join(HOSTILE_WORDS)
 
 
+# Words the stand-in for a back translation loses, anywhere in a text.
+LOST_WORDS = "trash|clown|the"
+
+
+def back_translated(text):
+    """The whole text with some words changed, as a translation there and back would."""
+    return F.regexp_replace(text, rf"\b(?:{LOST_WORDS})\b", "thing")
+
+
 def both_predictions(spark, sf_dir):
-    """Rated documents with a label from the raw and one from the normalized, clipped text."""
+    """Rated documents with a label from the raw and one from the stand-in for its back translation."""
     rated = adapters.reviews_text(spark, sf_dir).where("rating IS NOT NULL")
     word = rf"\b(?:{HOSTILE})\b"
     label = lambda text: F.when(contains_pattern(text, word), "negative").otherwise("positive")
@@ -251,7 +260,7 @@ def both_predictions(spark, sf_dir):
         "row_id", F.when(F.col("rating") <= 2, "negative").when(F.col("rating") == 3, "neutral")
         .otherwise("positive").alias("sentiment"),
         label(F.col("raw_text")).alias("pred_original"),
-        label(rewrite.clipped_input(F.col("raw_text"))).alias("pred_back"),
+        label(back_translated(F.col("raw_text"))).alias("pred_back"),
     ).withColumn("sentiment_preserved", F.col("pred_original") == F.col("pred_back"))
 
 
@@ -262,7 +271,7 @@ WITH rated AS (
 labelled AS (
   SELECT {label_sql('rating')} AS sentiment,
          regexp_matches(lower(text), '(^|[^\pL\pM\pN_])({HOSTILE})([^\pL\pM\pN_]|$)') AS a,
-         regexp_matches(lower(substr(regexp_replace(text, '^\s+', ''), 1, 2000)), '(^|[^\pL\pM\pN_])({HOSTILE})([^\pL\pM\pN_]|$)') AS b
+         regexp_matches(lower(regexp_replace(text, '(^|[^\pL\pM\pN_])({LOST_WORDS})([^\pL\pM\pN_]|$)', '\1thing\3', 'g')), '(^|[^\pL\pM\pN_])({HOSTILE})([^\pL\pM\pN_]|$)') AS b
   FROM rated)
 SELECT sentiment, round(avg((a = b)::INT), 6) AS rate, count(*) AS n FROM labelled GROUP BY 1
 UNION ALL SELECT 'all', round(avg((a = b)::INT), 6), count(*) FROM labelled""")
@@ -275,7 +284,7 @@ def preservation_rate(spark, sf_dir):
 def pair_metrics(spark, sf_dir):
     docs = adapters.reviews_text(spark, sf_dir).select(
         "row_id", F.col("raw_text").alias("original"),
-        F.coalesce(rewrite.clipped_input(F.col("raw_text")), F.lit("")).alias("back_translation"),
+        F.coalesce(back_translated(F.col("raw_text")), F.lit("")).alias("back_translation"),
     )
     sample = both_predictions(spark, sf_dir).join(docs, "row_id").withColumn(
         "status", F.when(F.length("original") > rewrite.MAX_INPUT_CHARS, "translated_truncated").otherwise("translated"))

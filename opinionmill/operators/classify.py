@@ -20,7 +20,6 @@ from opinionmill.operators import contracts
 from opinionmill.operators.features import SENTIMENT_FEATURES, fit_text_features
 from opinionmill.operators.metrics import cell_counts, summary_metrics
 from opinionmill.operators.sampling import union_all
-from opinionmill.session import packed
 
 
 @dataclass(frozen=True)
@@ -157,7 +156,7 @@ def compare_candidates(
         rows = kept[0].count()
         for position, candidate in enumerate(candidates):
             if candidate.tfidf == tfidf:
-                model = PipelineModel(fit_learner(packed(kept[0], rows), candidate, rows, max_iter, labels))
+                model = PipelineModel(fit_learner(kept[0], candidate, rows, max_iter, labels))
                 named = model.transform(kept[1]).select(
                     F.col("sentiment").alias("actual"), predicted_label(labels).alias("predicted")
                 )
@@ -181,7 +180,7 @@ def fit_sentiment_model(
         "sentiment", label_index(F.col("sentiment"), labels).alias("_label"), "features"
     ).persist(StorageLevel.MEMORY_AND_DISK)
     rows = features.count()
-    fitted = fit_learner(packed(features, rows), candidate, rows, max_iter, labels)
+    fitted = fit_learner(features, candidate, rows, max_iter, labels)
     features.unpersist()
     return PipelineModel([*stages.stages, *fitted])
 

@@ -13,6 +13,12 @@ from opinionmill.functions.text import strip
 MAX_REQUEST_CHARS = 5000
 
 
+# Columns every table of drafts must have.
+ARTICLE_COLUMNS = (
+    "cluster_id", "cluster_name", "model", "generated_at_utc", "review_count", "product_count", "mean_rating", "article",
+)
+
+
 class ContractError(ValueError):
     """A table does not meet what the next step needs."""
 
@@ -46,6 +52,11 @@ def orphans(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None)
     return counted.join(known, key, "left_anti")
 
 
+def without_rows(dim: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    """Rows of the dimension whose key no row of ``df`` has, such as categories without reviews (K5)."""
+    return dim.join(df.select(key).distinct(), key, "left_anti")
+
+
 def require_known(
     df: DataFrame, dim: DataFrame, key: str, unassigned: int | None = None, what: str = "Rows"
 ) -> DataFrame:
@@ -91,7 +102,7 @@ def require_numeric(df: DataFrame, column: str, to: str = "double") -> DataFrame
 
 def require_articles(
     drafts: DataFrame, categories: DataFrame, inference: str | None = None,
-    required: Sequence[str] = ("cluster_id", "cluster_name", "model", "article"),
+    required: Sequence[str] = ARTICLE_COLUMNS,
 ) -> DataFrame:
     """One non-empty article per category, the expected columns and provenance tag (K8)."""
     require_columns(drafts, required, "Draft table")

@@ -60,7 +60,7 @@ PROMPT_RULES = (
 )
 REQUEST_OPENING = "Create a category buyer guide from this factual evidence:\n"
 
-# Empty rating sheet for comparing the variants.
+# Empty rating sheet for comparing the variants.
 RUBRIC = (
     "evidence_accuracy_1_to_5", "product_complaints_grounded_1_to_5", "useful_comparison_1_to_5",
     "uncertainty_handled_1_to_5", "readability_1_to_5",
@@ -122,7 +122,7 @@ def _or_empty(column: str) -> Column:
 def evidence_briefs(categories: DataFrame, reviews: DataFrame, seed: int = 42) -> DataFrame:
     """One nested row per category (G1).
 
-    ``categories`` has cluster_id and cluster_name. Every list in a brief has a fixed length:
+    ``categories`` has cluster_id and cluster_name; one without reviews fails the query. Every list in a brief has a fixed length:
     three top products, three complaints each, eight category examples.
     """
     spark = reviews.sparkSession
@@ -168,9 +168,12 @@ def evidence_briefs(categories: DataFrame, reviews: DataFrame, seed: int = 42) -
         "cluster_id", "review_count", "product_count", F.round("mean_rating", 2).alias("mean_rating"),
         F.round("negative_share", 4).alias("negative_share"), F.round("positive_share", 4).alias("positive_share"),
     )
+    missing = F.raise_error(F.concat(F.lit("No reviews are assigned to category "), F.col("cluster_id").cast("string")))
     return (
         categories.select("cluster_id", "cluster_name")
-        .join(stats, "cluster_id").join(best, "cluster_id", "left").join(worst, "cluster_id", "left")
+        .join(stats, "cluster_id", "left")
+        .withColumn("review_count", F.coalesce("review_count", missing.cast("bigint")))
+        .join(best, "cluster_id", "left").join(worst, "cluster_id", "left")
         .join(by_sentiment, "cluster_id", "left")
         .select(
             "cluster_id", "cluster_name", "review_count", "product_count", "mean_rating", "negative_share",

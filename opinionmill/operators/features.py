@@ -6,8 +6,11 @@ definition, so the joins that apply them may broadcast; nothing else here is bro
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections import Counter
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer,
@@ -16,12 +19,15 @@ from pyspark.ml.feature import (
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from opinionmill.functions.tokens import (
     default_stop_words, uni_and_bigrams, without_stop_words, word_tokens,
 )
 from opinionmill.operators.ranking import first_rows
+from opinionmill.session import materialized, scratch_path
 
 # Feature limits of the sentiment models and the cluster profiles.
 SENTIMENT_FEATURES = 5000
@@ -35,17 +41,36 @@ PRODUCT_BLOCKS = {
 }
 
 
+def _per_row(df: DataFrame, keys: Sequence[str], tokens: Column, weigh: Callable[[Counter], dict[str, float]],
+             value: StructField) -> DataFrame:
+    """Long form of what ``weigh`` makes of the term frequencies of each row; nothing is shuffled."""
+    rows = df.select(*keys, tokens.alias("_tokens"))
+    wanted = StructType([*rows.schema.fields[:-1], StructField("term", StringType()), value])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(wanted)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                weighed = [weigh(Counter(t or [])) for t in batch.column(len(keys)).to_pylist()]
+                owner = pa.array([i for i, terms in enumerate(weighed) for _ in terms], pa.int64())
+                columns = [batch.column(i).take(owner) for i in range(len(keys))]
+                columns.append(pa.array([t for terms in weighed for t in terms], pa.string()))
+                columns.append(pa.array([v for terms in weighed for v in terms.values()], schema.field(len(keys) + 1).type))
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return rows.mapInArrow(run, wanted)
+
+
 def term_counts(df: DataFrame, keys: Sequence[str], tokens: Column, one_row_per_key: bool = False) -> DataFrame:
     """Term frequency per document: keys, term, tf.
 
-    With one row per document, the rows are partitioned by document before their terms are
-    unfolded: the texts are shuffled once, and counting and length-normalising then stay inside
-    the partitions. Leave it off where a key collects many rows, such as a cluster.
+    With one row per document the terms are counted inside the row and nothing is shuffled. Leave it off
+    where a key collects many rows, such as a cluster.
     """
-    placed = df.repartition(*keys) if one_row_per_key else df
-    return placed.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    if one_row_per_key:
+        return _per_row(df, keys, tokens, dict, StructField("tf", LongType()))
+    return df.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(counts: DataFrame, max_features: int) -> DataFrame:
@@ -60,19 +85,24 @@ def smoothed_idf(documents: Column, df: Column) -> Column:
     return F.log((documents + 1.0) / (df + 1.0)) + 1.0
 
 
-def tfidf(counts: DataFrame, keys: Sequence[str], documents: DataFrame, max_features: int,
-          sublinear: bool = False) -> DataFrame:
-    """Smoothed, length-normalised TF-IDF in long form: keys, term, weight."""
-    total = documents.agg(F.count(F.lit(1)).cast("double")).scalar()
-    terms = vocabulary(counts, max_features).select("term", "df")
-    tf = 1.0 + F.log("tf") if sublinear else F.col("tf").cast("double")
-    raw = (
-        counts.join(F.broadcast(terms), "term")
-        .select(*keys, "term", tf.alias("_tf"), "df")
-        .withColumn("_raw", F.col("_tf") * smoothed_idf(total, F.col("df")))
-    )
-    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(*keys)))
-    return raw.select(*keys, "term", (F.col("_raw") / norm).alias("weight"))
+def tfidf(df: DataFrame, keys: Sequence[str], tokens: Column, max_features: int, sublinear: bool = False) -> DataFrame:
+    """Smoothed, length-normalised TF-IDF in long form: keys, term, weight.
+
+    One grouped pass over the terms gives the vocabulary, at most ``max_features`` rows on the driver;
+    each document is then weighed and normalised inside its row.
+    """
+    found = _frequent_terms(df.select(tokens.alias("_terms")), max_features)
+    documents = df.count()
+    idf = {row["term"]: math.log((documents + 1.0) / (row["df"] + 1.0)) + 1.0 for row in found}
+    shared = df.sparkSession.sparkContext.broadcast(idf)
+
+    def weigh(counts: Counter) -> dict[str, float]:
+        known = shared.value
+        raw = {t: (1.0 + math.log(n) if sublinear else n) * known[t] for t, n in counts.items() if t in known}
+        norm = math.sqrt(sum(v * v for v in raw.values()))
+        return {t: v / norm for t, v in raw.items()}
+
+    return _per_row(df, keys, tokens, weigh, StructField("weight", DoubleType()))
 
 
 def product_blocks(products: DataFrame, stop_words: Sequence[str] | None = None,
@@ -81,8 +111,7 @@ def product_blocks(products: DataFrame, stop_words: Sequence[str] | None = None,
     frames = []
     for block, (column, max_features, factor) in blocks.items():
         tokens = uni_and_bigrams(without_stop_words(word_tokens(F.col(column)), stop_words))
-        counts = term_counts(products, ["product_name"], tokens, one_row_per_key=True)
-        weights = tfidf(counts, ["product_name"], products, max_features, sublinear=True)
+        weights = tfidf(products, ["product_name"], tokens, max_features, sublinear=True)
         frames.append(weights.select(
             "product_name", F.lit(block).alias("block"), "term", (F.col("weight") * factor).alias("weight")
         ))
@@ -92,26 +121,34 @@ def product_blocks(products: DataFrame, stop_words: Sequence[str] | None = None,
     return out
 
 
-@F.udf(VectorUDT())
-def _sparse(size, entries):
-    return Vectors.sparse(size, [e["index"] for e in entries], [e["weight"] for e in entries])
+def block_vectors(blocks: DataFrame, products: DataFrame) -> DataFrame:
+    """One sparse vector for every row of ``products``; a product without kept terms has no entries.
 
-
-def block_vectors(blocks: DataFrame) -> DataFrame:
-    """One sparse vector per product. The number of columns is bounded by the block limits."""
+    The number of columns is bounded by the block limits, so the term list may be broadcast. The rows
+    are written in the stored form of a vector (kind, size, indices, values) and read back as vectors,
+    which needs no Python.
+    """
+    spark = products.sparkSession
     everything = Window.partitionBy(F.lit(1))
     columns = (
         blocks.select("block", "term").distinct()
-        .withColumn("index", F.row_number().over(everything.orderBy("block", "term")) - 1)
-        .withColumn("size", F.count(F.lit(1)).over(everything))
+        .withColumn("index", (F.row_number().over(everything.orderBy("block", "term")) - 1).cast("int"))
     )
+    columns = materialized(spark, columns, "vector-columns")
     indexed = blocks.join(F.broadcast(columns), ["block", "term"])
-    return (
-        indexed.groupBy("product_name")
-        .agg(F.max("size").cast("int").alias("size"),
-             F.sort_array(F.collect_list(F.struct("index", "weight"))).alias("entries"))
-        .select("product_name", _sparse("size", "entries").alias("features"))
-    )
+    entries = indexed.groupBy("product_name").agg(
+        F.sort_array(F.collect_list(F.struct("index", "weight"))).alias("entries"))
+    none = F.array().cast("array<struct<index:int,weight:double>>")
+    listed = products.select("product_name").join(entries, "product_name", "left").withColumn(
+        "entries", F.coalesce("entries", none))
+    stored = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(columns.count()).alias("size"),
+        F.transform("entries", lambda e: e["index"]).alias("indices"),
+        F.transform("entries", lambda e: e["weight"]).alias("values"))
+    path = scratch_path(spark, "product-vectors")
+    listed.select("product_name", stored.alias("features")).write.parquet(path)
+    schema = StructType([StructField("product_name", StringType()), StructField("features", VectorUDT())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def cluster_terms(products: DataFrame, key: str = "cluster_id", stop_words: Sequence[str] | None = None,
@@ -154,9 +191,7 @@ def fit_text_features(
     counted = "_counts" if tfidf_weights else output
     stages.append(CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol=counted))
     if tfidf_weights:
-        from math import log
-
-        idf = Vectors.dense([log((documents + 1.0) / (row["df"] + 1.0)) + 1.0 for row in found])
+        idf = Vectors.dense([math.log((documents + 1.0) / (row["df"] + 1.0)) + 1.0 for row in found])
         stages += [
             ElementwiseProduct(scalingVec=idf, inputCol="_counts", outputCol="_weighted"),
             Normalizer(p=2.0, inputCol="_weighted", outputCol=output),

@@ -72,11 +72,10 @@ def worst_by_share(products: DataFrame, source: str, minimum: int, n: int = 10)
 def drop_copies(df: DataFrame, keys: Sequence[str], text: str = "review_text", order: str = "row_id") -> DataFrame:
     """First row of every distinct text inside the key group (D1, D2; D3 with no keys).
 
-    Partitions are keyed by a 64-bit hash ahead of the text: rows sort on eight bytes and
-    compare whole texts only where the hashes agree. Copies are cut to one per task before the
-    shuffle, however many there are.
+    Rows are told apart by a 256-bit digest: no text is a key of the sort or the shuffle. Copies are
+    cut to one per task before the shuffle, however many there are.
     """
-    return first_rows(df, [*keys, F.xxhash64(text), F.col(text)], [F.col(order)], 1)
+    return first_rows(df, [*keys, F.sha2(F.col(text), 256)], [F.col(order)], 1)
 
 
 def distinct_text_ids(df: DataFrame, keys: Sequence[str], text: str = "review_text", order: str = "row_id") -> DataFrame:

@@ -11,7 +11,7 @@ from opinionmill.functions.text import UNKNOWN_PRODUCT
 from opinionmill.operators import aggregates, articles, classify, clusters, contracts, evidence, features, joins
 from opinionmill.operators import metrics, ranking, sampling
 from opinionmill.operators.text_stage import TextFunction
-from opinionmill.session import materialized, spread
+from opinionmill.session import materialized
 from opinionmill.sources import reviews as readers
 from opinionmill.sources import sinks
 
@@ -21,12 +21,13 @@ GUIDE_HEADING = (
 )
 
 
-def train_and_save(reviews: DataFrame, out: str, max_iter: int = 100) -> classify.SentimentModel:
+def train_and_save(reviews: DataFrame, out: str, max_iter: int = 100,
+                   max_features: int = features.SENTIMENT_FEATURES) -> classify.SentimentModel:
     """Compare the candidates, keep the best, and write its tables and model."""
     spark = reviews.sparkSession
     split = sampling.stratified_split(reviews.select("row_id", "review_text", "sentiment"))
-    split = spread(materialized(spark, split, "split"), "row_id")
-    comparison, model, predictions = classify.train_sentiment_model(split, max_iter=max_iter)
+    split = materialized(spark, split, "split")
+    comparison, model, predictions = classify.train_sentiment_model(split, max_features=max_features, max_iter=max_iter)
     predictions = materialized(spark, predictions, "test-predictions")
     name = F.lit(model.name).alias("model")
     sinks.write_csv(comparison.drop("position"), f"{out}/model_comparison")
@@ -44,7 +45,7 @@ def cluster_products(reviews: DataFrame, out: str, names: Mapping[int, str], res
     products = materialized(spark, aggregates.product_profiles(named), "products")
     contracts.require_rows(products, clusters.MIN_PRODUCTS, "Product clustering")
     blocks = materialized(spark, features.product_blocks(products), "blocks")
-    vectors = materialized(spark, features.block_vectors(blocks), "vectors")
+    vectors = features.block_vectors(blocks, products)
     solutions, models = clusters.compare_solutions(vectors, restarts=restarts)
     sinks.write_csv(solutions, f"{out}/cluster_solution_comparison")
     found = clusters.assign_clusters(models[len(names)], vectors, products)
@@ -79,7 +80,7 @@ def write_guides(profiles: DataFrame, mapped: DataFrame, out: str, make_function
     briefs = materialized(spark, evidence.evidence_briefs(profiles, mapped), "briefs")
     summaries = articles.summarize_tasks(articles.summary_tasks(briefs), make_function, batch_size)
     drafts = materialized(spark, articles.drafts(briefs, articles.articles(briefs, summaries), model_name), "drafts")
-    contracts.require_articles(drafts, briefs, inference="local")
+    contracts.require_articles(drafts, profiles, inference="local")
     sinks.write_markdown(drafts, f"{out}/category_articles", GUIDE_HEADING)
     sinks.write_csv(drafts, f"{out}/article_drafts")
     return drafts
@@ -101,10 +102,10 @@ def guides_only(spark: SparkSession, csv_path: str, out: str, make_function: Cal
 
 def run_all(spark: SparkSession, csv_path: str, out: str, names: Mapping[int, str],
             make_function: Callable[[], TextFunction], model_name: str, restarts: int = clusters.RESTARTS,
-            max_iter: int = 100) -> DataFrame:
+            max_iter: int = 100, max_features: int = features.SENTIMENT_FEATURES) -> DataFrame:
     """Every step in order over one review file."""
     reviews = materialized(spark, readers.load_reviews(readers.read_reviews_csv(spark, csv_path)), "reviews")
-    train_and_save(reviews, out, max_iter)
+    train_and_save(reviews, out, max_iter, max_features)
     products = cluster_products(reviews, out, names, restarts)
     mapped = map_reviews(reviews, products, out)
     profiles = spark.read.parquet(f"{out}/cluster_profiles")

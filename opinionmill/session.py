@@ -15,6 +15,7 @@ def build_session(app_name: str = "opinionmill", master: str | None = None, **co
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.files.openCostInBytes", "1m")
     )
     if master:
         builder = builder.master(master)
@@ -56,21 +57,3 @@ def materialized(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Share the rows of a table scan between the cores when it has fewer splits than cores.
-
-    A large table has far more splits than that and stays as it is, without a shuffle. Meant
-    for plain scans in front of per-row work; other frames would be planned twice.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
-def packed(df: DataFrame, rows: int, rows_per_task: int = 5000) -> DataFrame:
-    """Fewer, fuller partitions for a small set an iterative solver runs over, without a shuffle.
-
-    Every iteration costs one task per partition; a large set keeps its own partitions.
-    """
-    return df.coalesce(max(1, -(-rows // rows_per_task)))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from opinionmill.functions.labels import sentiment
 from opinionmill.functions.text import clean_text, has_words
-from opinionmill.session import spread
 
 # Words that mark a text as negative in the stand-in for model labels; they occur in the corpus.
 HOSTILE_WORDS = ("trash", "scum", "clown", "idiot", "worthless", "moron", "pathetic")
@@ -29,8 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The document table, spread over the cores for work on whole texts."""
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    """The document table."""
+    return table(spark, sf_dir, "documents")
 
 
 def reviews_text(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
@@ -104,7 +103,7 @@ def reviews_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user turn and the assistant turn after it, as a text pair."""
-    turns = spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    turns = table(spark, sf_dir, "conversations")
     asked = turns.where("role = 'user'").select(
         "conv_id", "turn", F.col("text").alias("reference"))
     answered = turns.where("role = 'assistant'").select(

@@ -1,8 +1,7 @@
 """The dashboard artifact: four count tables under one manifest.
 
 The tables are written as JSON-lines folders, so a table with millions of products is written
-and read in parallel. The single nested record, for small dashboards that want one file, is
-refused above a fixed number of products.
+and read in parallel. A record in one file, as other tools write it, can be read too.
 """
 
 from __future__ import annotations
@@ -33,9 +32,6 @@ TABLES = {
 MANIFEST = "schema_version int, sentiment_sources map<string,string>, review_count bigint"
 NESTED = f"{MANIFEST}, " + ", ".join(f"{name} array<struct<{fields}>>" for name, fields in TABLES.items())
 
-# Most products the single nested record may hold.
-MAX_NESTED_PRODUCTS = 50_000
-
 
 def _columns(name: str) -> list[str]:
     return [field.split()[0] for field in TABLES[name].split(", ")]
@@ -62,17 +58,6 @@ def read(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {name: _json(spark, f"{path}/{name}", schema) for name, schema in TABLES.items()}
 
 
-def nested_record(review_count: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The artifact as one row of arrays, for a bounded number of products."""
-    if tables["product_metrics"].limit(MAX_NESTED_PRODUCTS + 1).count() > MAX_NESTED_PRODUCTS:
-        raise contracts.ContractError("Too many products for one record; write the tables instead.")
-    records = [
-        tables[name].agg(F.sort_array(F.collect_list(F.struct(*_columns(name)))).alias(name)).scalar().alias(name)
-        for name in TABLES
-    ]
-    return manifest(review_count).select("*", *records)
-
-
 def read_nested(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The four tables of a single-record JSON artifact."""
     record = _json(spark, path, NESTED)

@@ -35,18 +35,25 @@ def read_reviews_csv(spark: SparkSession, path: str, columns: tuple[str, ...] |
                      row_id: str | None = None) -> DataFrame:
     """Raw reviews as strings, only the wanted columns, with ``row_id`` in file order.
 
-    Quoted fields may hold line breaks, so a file is not split between tasks; many files are
-    read in parallel. ``row_id`` is a key column where there is one, else file position.
+    Quoted fields may hold line breaks, so a file is one task: large input should be many files. All
+    files must have the same header; a file with another one fails the query. ``row_id`` is a key
+    column where there is one, else file path and position in the file, whatever task read it.
     """
     names = csv_header(spark, path)
     schema = StructType([StructField(name, StringType()) for name in names])
     raw = (
-        spark.read.schema(schema).option("header", True).option("multiLine", True)
+        spark.read.schema(schema).option("header", True).option("multiLine", True).option("enforceSchema", False)
         .option("escape", '"').option("encoding", "UTF-8").csv(path)
     )
-    wanted = [c for c in (columns or tuple(names)) if c in names]
-    key = F.col(f"`{row_id}`") if row_id else F.monotonically_increasing_id()
-    return raw.select(key.alias("row_id"), *[F.col(f"`{c}`").alias(c) for c in wanted if c != "row_id"])
+    wanted = [F.col(f"`{c}`").alias(c) for c in (columns or tuple(names)) if c in names and c != "row_id"]
+    if row_id:
+        return raw.select(F.col(f"`{row_id}`").alias("row_id"), *wanted)
+    # a file is read by one task from its first row on, so its rows are numbered without a gap
+    numbered = raw.select(F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"), *wanted)
+    first = numbered.groupBy("_file").agg(F.min("_at").alias("_first"))
+    place = F.lpad((F.col("_at") - F.col("_first")).cast("string"), 12, "0")
+    return numbered.join(first, "_file").select(
+        F.concat_ws(":", "_file", place).alias("row_id"), *[F.col(f"`{c}`") for c in numbered.columns[2:]])
 
 
 def load_reviews(raw: DataFrame, strict_labels: bool = False) -> DataFrame:

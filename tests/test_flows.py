@@ -59,14 +59,8 @@ def shortened():
 def test_whole_flow(spark, review_csv, tmp_path):
     out = str(tmp_path / "out")
     names = {i: f"Group {i}" for i in range(4)}
-    import opinionmill.operators.classify as module
-
-    original = module.train_sentiment_model.__defaults__
-    module.train_sentiment_model.__defaults__ = ("review_text", CANDIDATES, 200, 20)
-    try:
-        drafts = review_flow.run_all(spark, review_csv, out, names, shortened, "forty characters", restarts=2, max_iter=20)
-    finally:
-        module.train_sentiment_model.__defaults__ = original
+    drafts = review_flow.run_all(
+        spark, review_csv, out, names, shortened, "forty characters", restarts=2, max_iter=20, max_features=200)
     assert drafts.count() == 4
     model = sinks.load_model(spark, f"{out}/model")
     assert model.labels == ("negative", "neutral", "positive") and model.test_accuracy > 0.8
@@ -90,7 +84,9 @@ def test_artifact_contract(spark, tmp_path):
     frame = spark.createDataFrame([("A", "model", "negative", 2)], artifact.TABLES["category_sentiment"])
     tables = {name: spark.createDataFrame([], schema) for name, schema in artifact.TABLES.items()}
     tables["category_sentiment"] = frame
-    sinks.write_json_record(artifact.nested_record(spark.createDataFrame([(2,)], "n long"), tables), path)
+    record = {"schema_version": 1, "sentiment_sources": artifact.SOURCE_NOTES, "review_count": 2} | {
+        name: [row.asDict() for row in table.collect()] for name, table in tables.items()}
+    spark.createDataFrame([(json.dumps(record),)], "value string").write.text(path)
     assert artifact.read_nested(spark, path)["category_sentiment"].collect() == frame.collect()
     for change, message in (({"schema_version": 2}, "Unsupported"), ({"review_count": 0}, "no reviews"), ({"product_metrics": None}, "missing")):
         record = json.loads(spark.read.text(path).first()["value"]) | change
@@ -176,3 +172,30 @@ def test_adapter_rows_have_unique_ids(spark):
     sf_dir = "/root/testdata/sf0.01"
     contracts.require_unique(adapters.reviews_bulk(spark, sf_dir), "row_id")
     contracts.require_unique(adapters.reviews_text(spark, sf_dir), "row_id")
+
+
+def write_lines(folder, name, lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    write_lines(folder, "a.csv", ["name,reviews.text,reviews.rating", "Echo,fine,5"])
+    write_lines(folder, "b.csv", ["reviews.text,name,reviews.rating", "fine,Echo,5"])
+    with pytest.raises(Exception, match="(?i)header"):
+        reviews.read_reviews_csv(spark, str(folder)).collect()
+
+
+def test_row_ids_follow_the_files(spark, tmp_path):
+    folder = tmp_path / "ordered"
+    write_lines(folder, "b.csv", ["name,reviews.text,reviews.rating", *[f"P,b {i} {'x' * 200},5" for i in range(30)]])
+    write_lines(folder, "a.csv", ["name,reviews.text,reviews.rating", *[f"P,a {i},5" for i in range(5)]])
+    want = [f"a {i}" for i in range(5)] + [f"b {i}" for i in range(30)]
+    for size in ("64m", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = reviews.read_reviews_csv(spark, str(folder)).orderBy("row_id").collect()
+        assert [" ".join(r["reviews.text"].split()[:2]) for r in rows] == want
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    ids = [r["row_id"] for r in rows]
+    assert ids[0].endswith("a.csv:000000000000") and ids[-1].endswith("b.csv:000000000029")

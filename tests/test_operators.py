@@ -103,9 +103,11 @@ def test_zero_rows_and_null_category(spark):
 def test_join_default_and_validation(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "zzz")], "row_id long, product_name string")
     dim = spark.createDataFrame([("a", 3, "C3")], "product_name string, cluster_id int, cluster_name string")
-    for limit in (joins.BROADCAST_ROWS, 0):
-        got = {r["row_id"]: (r["cluster_id"], r["cluster_name"]) for r in joins.assign_categories(rows, dim, max_broadcast_rows=limit).collect()}
-        assert got == {1: (3, "C3"), 2: (-1, "Unclassified / missing product name")}
+    got = {r["row_id"]: (r["cluster_id"], r["cluster_name"]) for r in joins.assign_categories(rows, dim).collect()}
+    assert got == {1: (3, "C3"), 2: (-1, "Unclassified / missing product name")}
+    unknown = rows.withColumn("product_name", F.lit("Unknown product"))
+    named = dim.withColumn("product_name", F.lit("Unknown product"))
+    assert {r["cluster_id"] for r in joins.assign_categories(unknown, named).collect()} == {-1}
     with pytest.raises(contracts.ContractError, match="duplicate"):
         contracts.require_unique(dim.union(dim), "product_name")
 
@@ -319,8 +321,10 @@ def test_feature_vectors_follow_the_long_form(spark):
     terms = stages.stages[4].vocabulary
     from opinionmill.functions.tokens import uni_and_bigrams, without_stop_words, word_tokens
 
-    counts = features.term_counts(docs, ["row_id"], uni_and_bigrams(without_stop_words(word_tokens(F.col("review_text")))))
-    long = features.tfidf(counts, ["row_id"], docs, 50).collect()
+    tokens = uni_and_bigrams(without_stop_words(word_tokens(F.col("review_text"))))
+    long = features.tfidf(docs, ["row_id"], tokens, 50).collect()
+    pairs = {(r["row_id"], r["term"], r["tf"]) for r in features.term_counts(docs, ["row_id"], tokens, one_row_per_key=True).collect()}
+    assert pairs == {(r["row_id"], r["term"], r["tf"]) for r in features.term_counts(docs, ["row_id"], tokens).collect()}
     assert len(long) == sum(v.numNonzeros() for v in vectors.values())
     for row in long:
         assert vectors[row["row_id"]][terms.index(row["term"])] == pytest.approx(row["weight"])
@@ -329,11 +333,13 @@ def test_feature_vectors_follow_the_long_form(spark):
 def test_block_vectors(spark):
     products = spark.createDataFrame([("Red Tablet", "Tablets", "fast red thing"), ("Blue Reader", "Readers", "slow blue thing")],
                                      "product_name string, categories_text string, review_document string")
+    products = products.union(spark.createDataFrame([("A", "", "")], products.schema))
     blocks = features.product_blocks(products).cache()
     norms = {(r["product_name"], r["block"]): r["n"] for r in blocks.groupBy("product_name", "block").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("n")).collect()}
     assert norms[("Red Tablet", "title")] == pytest.approx(4.0) and norms[("Blue Reader", "review")] == pytest.approx(0.25)
-    rows = features.block_vectors(blocks).collect()
-    assert len(rows) == 2 and len({r["features"].size for r in rows}) == 1
+    rows = {r["product_name"]: r["features"] for r in features.block_vectors(blocks, products).collect()}
+    assert len(rows) == 3 and len({v.size for v in rows.values()}) == 1
+    assert rows["A"].numNonzeros() == 0 and rows["Red Tablet"].norm(2) == pytest.approx((16 + 1 + 0.0625) ** 0.5)
 
 
 def test_language_model(spark):
