@@ -160,19 +160,20 @@ class PieceCodec:
                 held.append(value)
                 continue
             if held:
-                out.append(held.decode("utf-8", "replace"))
+                out.append(_utf8(held))
                 held.clear()
             if i == self.unknown:
                 out.append(" ⁇ ")
             elif i not in self.silent:
                 out.append(self.pieces[i].replace(MARK, " "))
         if held:
-            out.append(held.decode("utf-8", "replace"))
+            out.append(_utf8(held))
         return "".join(out)
 
     def decode(self, ids: list[int]) -> str:
+        """Text of ids; the space mark that begins the first piece is the one encoding has put there."""
         text = self.decode_run(ids)
-        return text[1:] if text.startswith(" ") and ids[0] != self.unknown else text
+        return text[1:] if ids and self.pieces[ids[0]].startswith(MARK) else text
 
     def known(self, cut: str) -> tuple[int, str, str]:
         """(number of ids, ids as text, decoded text) of one cut, which begins with its space mark."""
@@ -196,6 +197,19 @@ class PieceCodec:
         return [int(i) for _, ids, _ in self.coded(text) for i in ids.split(",")]
 
 
+def _utf8(raw: bytes) -> str:
+    """UTF-8 text, each byte that belongs to no code point as U+FFFD."""
+    out = []
+    while raw:
+        try:
+            out.append(raw.decode("utf-8"))
+            break
+        except UnicodeDecodeError as error:
+            out.append(raw[:error.start].decode("utf-8") + "\ufffd")
+            raw = raw[error.start + 1:]
+    return "".join(out)
+
+
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
