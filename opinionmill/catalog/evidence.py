@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from opinionmill.catalog.registry import CLUSTERED, query
+from opinionmill.catalog.registry import CLUSTERED, ORACLES, query
 from opinionmill.functions.redact import redact_excerpt
 from opinionmill.operators import aggregates, articles, contracts, evidence, ranking
 from opinionmill.session import materialized
@@ -192,6 +192,25 @@ def prompt_variants(spark, sf_dir):
     return requests.groupBy("prompt_variant").agg(F.count(F.lit(1)).alias("requests"))
 
 
+def message_length():
+    """Stand-in for a hosted model: how long the whole message is."""
+    return lambda texts: [f"{len(text)} characters." for text in texts]
+
+
+@query("request_drafts", f"""{BRIEF_JSON}
+SELECT cluster_id, cluster_name, 'counter' AS model, '{DEFAULT_VARIANT}' AS prompt_variant, review_count,
+       length({sql_text(evidence.system_text(DEFAULT_VARIANT))} || chr(10) || chr(10)
+              || {sql_text(evidence.REQUEST_OPENING)} || evidence)::VARCHAR || ' characters.' AS article
+FROM briefs JOIN (SELECT cluster_id, count(*) AS review_count FROM assigned GROUP BY 1) USING (cluster_id)""")
+def request_drafts(spark, sf_dir):
+    """Requests answered by a supplied function become drafts that meet the output contract."""
+    rows = materialized(spark, briefs(spark, sf_dir), "briefs")
+    requests = evidence.request_rows(rows, [DEFAULT_VARIANT])
+    drafts = articles.response_drafts(requests, rows, message_length, "counter")
+    contracts.require_columns(drafts, contracts.ARTICLE_COLUMNS, "Draft table")
+    return drafts.select("cluster_id", "cluster_name", "model", "prompt_variant", "review_count", "article")
+
+
 @query("evidence_empty_category", f"""{ASSIGNED},
 wanted AS (SELECT DISTINCT cluster_id, cluster_name FROM dim_named
            UNION ALL SELECT 99, 'No such category')
@@ -253,3 +272,22 @@ FROM tasks""")
 def summary_stage(spark, sf_dir):
     tasks = articles.summary_tasks(briefs(spark, sf_dir))
     return articles.summarize_tasks(tasks, closed_when_even)
+
+
+def within_budget():
+    """Stand-in that uses its whole budget of words."""
+    return lambda texts, max_tokens, min_tokens: [
+        " ".join(text.split()[:max_tokens]) + f" {min_tokens} to {max_tokens}." for text in texts]
+
+
+BUDGET_SQL = ORACLES["summary_stage"].replace(
+    "WHEN len(words) % 2 = 0 THEN 'Model summary: ' || array_to_string(words, ' ') || ' end.'",
+    "WHEN TRUE THEN 'Model summary: ' || array_to_string(words[1:longest], ' ') || ' ' || least(10, longest // 3) || ' to ' || longest || '.'",
+).replace("FROM tasks", "FROM (SELECT *, greatest(20, least(90, floor(len(words) * 0.7::DOUBLE)))::INTEGER AS longest FROM tasks)")
+
+
+@query("summary_budget", BUDGET_SQL)
+def summary_budget(spark, sf_dir):
+    """Each summary is as long as the budget that its input allows."""
+    tasks = articles.summary_tasks(briefs(spark, sf_dir))
+    return articles.summarize_tasks(tasks, within_budget, batch_size=1, budgeted=True)

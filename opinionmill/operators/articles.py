@@ -23,6 +23,7 @@ SHORT_NOTE = "Representative review evidence (not model-summarized because the e
 CUT_NOTE = (
     "Representative review evidence (the model output ended mid-sentence, so the source is shown instead): "
 )
+MODEL_LABEL = "Model summary: "
 NO_POSITIVE = "No positive examples were available."
 NO_NEGATIVE = "No negative examples were available in the selected review sample."
 NO_COMPLAINT = (
@@ -44,6 +45,10 @@ TAKEAWAY = (
 )
 
 
+# Label of sentences that no model has written.
+EXTRACT_LABEL = "Sentences from the reviews: "
+
+
 def output_budget(tokens: Column) -> Column:
     """Longest and shortest summary for an input of so many tokens."""
     longest = F.greatest(F.lit(MIN_OUTPUT), F.least(F.lit(MAX_OUTPUT), F.floor(tokens * F.lit(OUTPUT_SHARE)).cast("int")))
@@ -51,6 +56,13 @@ def output_budget(tokens: Column) -> Column:
     return F.struct(longest.alias("max_tokens"), shortest.alias("min_tokens"))
 
 
+def batch_budget(texts: list[str]) -> dict[str, int]:
+    """The budget of a batch, which its shortest input decides."""
+    tokens = min((len(text.split()) for text in texts), default=0)
+    longest = max(MIN_OUTPUT, min(MAX_OUTPUT, int(tokens * OUTPUT_SHARE)))
+    return {"max_tokens": longest, "min_tokens": min(10, longest // 3)}
+
+
 def is_complete(summary: Column) -> Column:
     """Whether a summary ends with a sentence mark."""
     return F.coalesce(strip(summary).rlike(r"[.!?]\z"), F.lit(False))
@@ -95,16 +107,18 @@ def summary_tasks(briefs: DataFrame) -> DataFrame:
 
 
 def summarize_tasks(tasks: DataFrame, make_function: Callable[[], TextFunction] | None = None, batch_size: int = 2,
-                    label: str = "Model summary: ") -> DataFrame:
+                    label: str | None = None, budgeted: bool = False) -> DataFrame:
     """Text shown for each task: a quote, a labelled summary, or the source of a cut one.
 
-    Without a text function the heaviest sentences of the evidence are the summary (G6).
+    A ``budgeted`` function is called with ``max_tokens`` and ``min_tokens`` of its batch (F28). Without a
+    text function the heaviest sentences of the evidence are the summary (G6), and the label says so.
     """
+    label = label or (MODEL_LABEL if make_function else EXTRACT_LABEL)
     if make_function is None:
         done = _with_extracts(tasks)
     else:
         longer = tasks.withColumn("_inputs", F.when(F.col("route") == "summarize", F.array("text")))
-        done = apply_to_texts(longer, "_inputs", "_outputs", make_function, batch_size)
+        done = apply_to_texts(longer, "_inputs", "_outputs", make_function, batch_size, batch_budget if budgeted else None)
         done = done.withColumn("_summary", F.get("_outputs", F.lit(0)))
     summary = strip(F.col("_summary"))
     quoted = joined_examples(F.col("examples"))
@@ -222,8 +236,9 @@ def drafts(briefs: DataFrame, written: DataFrame, model: str, inference: str = "
     ).orderBy("cluster_id")
 
 
-def response_drafts(requests: DataFrame, make_function: Callable[[], TextFunction], model: str) -> DataFrame:
-    """Draft rows from request rows and a caller-supplied text function.
+def response_drafts(requests: DataFrame, briefs: DataFrame, make_function: Callable[[], TextFunction],
+                    model: str) -> DataFrame:
+    """Draft rows from request rows and a caller-supplied text function, with time and statistics.
 
     An empty answer fails the query instead of being saved.
     """
@@ -233,8 +248,10 @@ def response_drafts(requests: DataFrame, make_function: Callable[[], TextFunctio
     )
     article = strip(F.get("_outputs", F.lit(0)))
     failed = F.raise_error(F.lit("The model returned an empty article.")).cast("string")
-    return answered.select(
+    numbers = ["review_count", "product_count", "mean_rating", "negative_share", "positive_share"]
+    return answered.join(briefs.select("cluster_id", *numbers), "cluster_id").select(
         "cluster_id", "cluster_name", F.lit(model).alias("model"), "prompt_variant",
-        F.when(article == "", failed).otherwise(article).alias("article"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("generated_at_utc"),
+        *numbers, F.when(article == "", failed).otherwise(article).alias("article"),
     )
 

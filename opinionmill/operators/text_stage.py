@@ -12,13 +12,15 @@ TextFunction = Callable[[list[str]], list[str]]
 
 
 def apply_to_texts(
-    df: DataFrame, texts: str, out: str, make_function: Callable[[], TextFunction], batch_size: int = 8
+    df: DataFrame, texts: str, out: str, make_function: Callable[[], TextFunction], batch_size: int = 8,
+    limits: Callable[[list[str]], dict[str, int]] | None = None,
 ) -> DataFrame:
     """Run a ``list[str] -> list[str]`` function over an array<string> column.
 
     ``make_function`` is called once per task, so a model loads once and serves every batch.
     The texts of neighbouring rows are batched together and put back row by row: no row is
-    exploded and nothing is shuffled.
+    exploded and nothing is shuffled. ``limits`` turns a batch into keyword arguments of the function,
+    such as an output budget.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1.")
@@ -32,7 +34,7 @@ def apply_to_texts(
             results: list[str] = []
             for start in range(0, len(flat), batch_size):
                 batch = flat[start : start + batch_size]
-                answers = list(function(batch))
+                answers = list(function(batch, **(limits(batch) if limits else {})))
                 if len(answers) != len(batch):
                     raise RuntimeError(f"text function returned {len(answers)} results for {len(batch)} inputs")
                 results += [str(answer) for answer in answers]

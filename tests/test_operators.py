@@ -224,9 +224,10 @@ def test_articles(spark, reviews):
     with pytest.raises(contracts.ContractError):
         contracts.require_articles(drafts.withColumn("article", F.lit(" ")), categories)
     requests = evidence.request_rows(briefs)
-    assert articles.response_drafts(requests, echo, "echo").count() == 2
+    answered = articles.response_drafts(requests, briefs, echo, "echo")
+    assert answered.count() == 2 and set(contracts.ARTICLE_COLUMNS) <= set(answered.columns)
     with pytest.raises(Exception, match="empty article"):
-        articles.response_drafts(requests, lambda: lambda texts: ["  " for _ in texts], "m").collect()
+        articles.response_drafts(requests, briefs, lambda: lambda texts: ["  " for _ in texts], "m").collect()
 
 
 def test_article_without_evidence(spark):
