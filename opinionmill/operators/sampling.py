@@ -72,8 +72,9 @@ def stratified_split(
     """
     spark = df.sparkSession
     keyed = df.withColumn("_key", F.concat(random_key(row_id, seed), F.lit(":"), F.col(row_id).cast("string")))
-    prefix = F.substring("_key", 1, bucket_digits)
-    slim = keyed.select(F.col(label), prefix.alias("_prefix"), "_key")
+    # Written once, without texts: counts, edges and limits all read this table, and no key is made twice.
+    slim = materialized(spark, keyed.select(F.col(label), "_key"), "split-keys").withColumn(
+        "_prefix", F.substring("_key", 1, bucket_digits))
     # At most 16 ** bucket_digits rows per class.
     buckets = materialized(spark, slim.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("_rows")), "split-buckets")
     quotas = split_quotas(buckets.groupBy(label).agg(F.sum("_rows").alias("n")), label, test, validation)
@@ -90,11 +91,12 @@ def stratified_split(
     )
     if not edges:
         return df.withColumn("split", F.lit("train"))
-    conditions = [(F.col(label) == e[label]) & (F.col("_prefix") == e["_prefix"]) for e in edges]
-    ranked = slim.where(reduce(Column.__or__, conditions)).withColumn(
+    where = F.struct(F.col(label), F.col("_prefix"))
+    ranked = slim.where(where.isin([F.struct(F.lit(e[label]), F.lit(e["_prefix"])) for e in edges])).withColumn(
         "_place", F.row_number().over(Window.partitionBy(label, "_prefix").orderBy("_key"))
     )
-    at_edge = reduce(Column.__or__, [c & (F.col("_place") == e["_place"]) for c, e in zip(conditions, edges)])
+    at_edge = F.struct(F.col(label), F.col("_prefix"), F.col("_place")).isin(
+        [F.struct(F.lit(e[label]), F.lit(e["_prefix"]), F.lit(e["_place"]).cast("int")) for e in edges])
     keys = {(r[label], r["_prefix"], r["_place"]): r["_key"] for r in ranked.where(at_edge).collect()}
     limits = {(e["_part"], e[label]): keys[(e[label], e["_prefix"], e["_place"])] for e in edges}
     split = (

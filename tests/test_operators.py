@@ -215,7 +215,7 @@ def test_articles(spark, reviews):
     assert all(r["summary"].startswith("Model summary: Rating") for r in done.collect())
     assert all(r["summary"].startswith(articles.CUT_NOTE) for r in articles.summarize_tasks(tasks, cut_off).collect())
     extracts = articles.summarize_tasks(tasks).collect()
-    assert len(extracts) == tasks.count() and all(r["summary"].startswith("Model summary: Rating") for r in extracts)
+    assert len(extracts) == tasks.count() and all(r["summary"].startswith(articles.EXTRACT_LABEL + "Rating") for r in extracts)
     drafts = articles.drafts(briefs, articles.articles(briefs, done), "echo").cache()
     contracts.require_articles(drafts, categories, inference="local")
     article = drafts.first()["article"]
