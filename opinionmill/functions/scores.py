@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from opinionmill.functions.labels import SENTIMENTS
 
-# Fixed value: the caveat returned with every score.
-SCORE_NOTE = "Scores are a softmax of LinearSVC decision values, not calibrated probabilities."
+# Fixed value: the caveat returned with every score, for the kind of model that gave it.
+SCORE_NOTE = "Scores are a softmax of {kind} decision values, not calibrated probabilities."
 
 
 def softmax(margins: Column) -> Column:

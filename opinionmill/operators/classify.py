@@ -218,6 +218,12 @@ def predict_sentiment(model: PipelineModel, reviews: DataFrame, text: str = "rev
     return scored.select(*reviews.columns, predicted_label(labels).alias("model_sentiment"))
 
 
+def model_kind(model: PipelineModel) -> str:
+    """Name of the learner whose margins a pipeline gives."""
+    kinds = {"LinearSVCModel": "LinearSVC", "LogisticRegressionModel": "logistic regression", "NaiveBayesModel": "naive Bayes"}
+    return next((kinds[type(s).__name__] for s in model.stages if type(s).__name__ in kinds), "model")
+
+
 def score_reviews(model: PipelineModel, requests: DataFrame, text: str = "review",
                   labels: Sequence[str] = SENTIMENTS) -> DataFrame:
     """Label and relative class scores of accepted requests (L9, F24); batch or stream."""
@@ -227,5 +233,5 @@ def score_reviews(model: PipelineModel, requests: DataFrame, text: str = "review
     return scored.select(
         *keys, scores.best_label(margins, labels).alias("sentiment"),
         scores.class_scores(margins, labels).alias("class_scores"),
-        F.lit(scores.SCORE_NOTE).alias("score_note"),
+        F.lit(scores.SCORE_NOTE.format(kind=model_kind(model))).alias("score_note"),
     )

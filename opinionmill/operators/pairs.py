@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 import pandas as pd
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinionmill.functions.text import clean_text
-from opinionmill.functions.tokens import ngrams
 
 MAX_ORDER = 4
 
@@ -43,50 +43,38 @@ def rouge_tokens(text: Column) -> Column:
     return F.filter(F.split(clean_text(text), " "), lambda t: t != "")
 
 
-def _tagged(grams: Column, side: str, order: int) -> Column:
-    own, other = (F.lit(1), F.lit(0)) if side == "candidate" else (F.lit(0), F.lit(1))
-    return F.transform(grams, lambda g: F.struct(
-        F.lit(order).alias("n"), g.alias("gram"), own.alias("c"), other.alias("r")))
+def _clipped(left: Sequence[str], right: Sequence[str], order: int) -> tuple[int, int]:
+    """Clipped matches of the left n-grams, and how many there are."""
+    grams = [Counter(zip(*[side[i:] for i in range(order)])) for side in (left, right)]
+    return sum((grams[0] & grams[1]).values()), max(0, len(left) - order + 1)
 
 
-def bleu_statistics(pairs: DataFrame) -> DataFrame:
-    """Per n-gram order: clipped matches and candidate n-grams over the whole corpus.
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def bleu_counts(candidate: pd.Series, reference: pd.Series) -> pd.Series:
+    """Matches and candidate n-grams of each order, then the reference length, of a pair of token lists."""
+    rows = []
+    for left, right in zip(candidate, reference):
+        pairs = [_clipped(list(left), list(right), n) for n in range(1, MAX_ORDER + 1)]
+        rows.append([m for m, _ in pairs] + [t for _, t in pairs] + [len(right)])
+    return pd.Series(rows)
 
-    Both sides of a pair leave the same row, so the first aggregation already merges them
-    inside the task; what is shuffled is one count per distinct n-gram of a pair.
-    """
-    tokens = pairs.select(
-        "pair_id", bleu_tokens(F.col("candidate")).alias("c"), bleu_tokens(F.col("reference")).alias("r")
-    )
-    grams = [
-        _tagged(ngrams(F.col(column), n), side, n)
-        for n in range(1, MAX_ORDER + 1)
-        for column, side in (("c", "candidate"), ("r", "reference"))
-    ]
-    counted = (
-        tokens.select("pair_id", F.inline(F.concat(*grams)))
-        .groupBy("pair_id", "n", "gram").agg(F.sum("c").alias("c"), F.sum("r").alias("r"))
-    )
-    return counted.groupBy("n").agg(
-        F.sum(F.least("c", "r")).alias("matches"), F.sum("c").alias("total"), F.sum("r").alias("reference_total")
-    )
 
+@F.pandas_udf(T.LongType())
+def unigram_hits(candidate: pd.Series, reference: pd.Series) -> pd.Series:
+    """Clipped token matches of a pair of token lists."""
+    return pd.Series([_clipped(list(a), list(b), 1)[0] for a, b in zip(candidate, reference)], dtype="int64")
 
-def corpus_bleu(pairs: DataFrame) -> DataFrame:
-    """One row: BLEU of order 4 with exponential smoothing of orders without a match.
 
-    The k-th order without a match counts as 1 / (2^k * total); an order without any
-    candidate n-gram makes the score 0, and so does a corpus without any match.
-    """
-    stats = bleu_statistics(pairs)
-    per_order = []
-    for n in range(1, MAX_ORDER + 1):
-        here = F.col("n") == n
-        per_order += [
-            F.coalesce(F.sum(F.when(here, F.col("matches"))), F.lit(0)).alias(f"m{n}"),
-            F.coalesce(F.sum(F.when(here, F.col("total"))), F.lit(0)).alias(f"t{n}"),
-        ]
-    wide = stats.agg(*per_order, F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("reference_total"))), F.lit(0)).alias("ref"))
+BLEU_FIELDS = [f"m{n}" for n in range(1, MAX_ORDER + 1)] + [f"t{n}" for n in range(1, MAX_ORDER + 1)] + ["ref"]
+
+
+def bleu_sums(column: str = "_bleu") -> list[Column]:
+    """Aggregates that add up ``bleu_counts`` over a corpus."""
+    return [F.coalesce(F.sum(F.col(column)[i]), F.lit(0)).alias(name) for i, name in enumerate(BLEU_FIELDS)]
+
+
+def bleu_score() -> tuple[Column, Column]:
+    """(score, brevity penalty) over the sums of ``bleu_sums``."""
     logs, empties = [], F.lit(0)
     for n in range(1, MAX_ORDER + 1):
         matches, total = F.col(f"m{n}"), F.col(f"t{n}")
@@ -99,8 +87,20 @@ def corpus_bleu(pairs: DataFrame) -> DataFrame:
     )
     any_match = sum((F.col(f"m{n}") for n in range(1, MAX_ORDER + 1)), F.lit(0)) > 0
     score = F.when(any_match, F.lit(100.0) * penalty * F.exp(mean_log))
-    return wide.select(
-        F.coalesce(score, F.lit(0.0)).alias("bleu"), F.coalesce(penalty, F.lit(0.0)).alias("brevity_penalty"),
+    return F.coalesce(score, F.lit(0.0)), F.coalesce(penalty, F.lit(0.0))
+
+
+def corpus_bleu(pairs: DataFrame) -> DataFrame:
+    """One row: BLEU of order 4 with exponential smoothing of orders without a match.
+
+    The k-th order without a match counts as 1 / (2^k * total); an order without any
+    candidate n-gram makes the score 0, and so does a corpus without any match. N-grams are
+    counted inside the row: nine sums per task are all that is shuffled.
+    """
+    counts = bleu_counts(bleu_tokens(F.col("candidate")), bleu_tokens(F.col("reference")))
+    score, penalty = bleu_score()
+    return pairs.select(counts.alias("_bleu")).agg(*bleu_sums()).select(
+        score.alias("bleu"), penalty.alias("brevity_penalty"),
         F.col("t1").alias("candidate_length"), F.col("ref").alias("reference_length"),
         *[F.col(f"m{n}").alias(f"matches_{n}") for n in range(1, MAX_ORDER + 1)],
         *[F.col(f"t{n}").alias(f"total_{n}") for n in range(1, MAX_ORDER + 1)],
@@ -113,19 +113,12 @@ def f_measure(hits: Column, candidate: Column, reference: Column) -> Column:
 
 
 def rouge1(pairs: DataFrame) -> DataFrame:
-    """ROUGE-1 F per pair from clipped token counts."""
-    tagged = F.concat(
-        _tagged(rouge_tokens(F.col("candidate")), "candidate", 1),
-        _tagged(rouge_tokens(F.col("reference")), "reference", 1),
-    )
-    counted = (
-        pairs.select("pair_id", F.inline_outer(tagged))
-        .groupBy("pair_id", "gram").agg(
-            F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.coalesce(F.sum("r"), F.lit(0)).alias("r"))
-    )
-    return counted.groupBy("pair_id").agg(
-        f_measure(F.sum(F.least("c", "r")), F.sum("c"), F.sum("r")).alias("rouge1_f")
-    )
+    """ROUGE-1 F per pair from clipped token counts (B7); row-local, nothing is shuffled."""
+    tokens = pairs.select(
+        "pair_id", rouge_tokens(F.col("candidate")).alias("c"), rouge_tokens(F.col("reference")).alias("r")
+    ).withColumns({c: F.coalesce(c, F.array().cast("array<string>")) for c in ("c", "r")})
+    return tokens.select(
+        "pair_id", f_measure(unigram_hits("c", "r"), F.size("c"), F.size("r")).alias("rouge1_f"))
 
 
 def _lcs_length(left: Sequence[str], right: Sequence[str]) -> int:
@@ -160,24 +153,43 @@ def rouge_l(pairs: DataFrame) -> DataFrame:
 
 def pair_metrics(
     sample: DataFrame, reference: str = "original", candidate: str = "back_translation",
-    key: str = "row_id", status: str = "status", preserved: str = "sentiment_preserved", by: str = "sentiment",
+    status: str = "status", preserved: str = "sentiment_preserved", by: str = "sentiment",
 ) -> DataFrame:
-    """One record of counts and rounded scores over the translated rows."""
-    translated = sample.where(F.col(status).startswith("translated"))
-    pairs = translated.select(
-        F.col(key).cast("string").alias("pair_id"), F.col(reference).alias("reference"), F.col(candidate).alias("candidate")
+    """One record of counts and rounded scores over the translated rows.
+
+    One pass: every score of a pair is made inside its row, sums per class are all that is shuffled.
+    """
+    done = F.coalesce(F.col(status).startswith("translated"), F.lit(False))
+    none = F.array().cast("array<string>")
+    text = {side: F.when(done, F.coalesce(F.col(name), F.lit(""))).otherwise("")
+            for side, name in (("c", candidate), ("r", reference))}
+    tokens = sample.select(
+        F.col(by).alias("_class"), done.alias("_done"), F.when(done, F.col(preserved).cast("double")).alias("_kept"),
+        *[F.coalesce(bleu_tokens(t), none).alias(f"_b{side}") for side, t in text.items()],
+        *[F.coalesce(rouge_tokens(t), none).alias(f"_{side}") for side, t in text.items()],
+    )
+    scored = tokens.select(
+        "_class", "_done", "_kept", bleu_counts("_bc", "_br").alias("_bleu"),
+        f_measure(unigram_hits("_c", "_r"), F.size("_c"), F.size("_r")).alias("_rouge1"),
+        f_measure(lcs_length("_c", "_r"), F.size("_c"), F.size("_r")).alias("_rougeL"),
+    )
+    rows = F.sum(F.col("_done").cast("long"))
+    per_class = scored.groupBy("_class").agg(
+        F.count(F.lit(1)).alias("_rows"), rows.alias("_translated"), F.sum("_kept").alias("_kept"),
+        F.count("_kept").alias("_known"), F.sum("_rouge1").alias("_rouge1"), F.sum("_rougeL").alias("_rougeL"), *bleu_sums(),
+    )
+    rate = F.struct("_class", F.round(F.col("_kept") / F.col("_known"), 3).alias("rate"))
+    total = per_class.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_rows", "_translated", *BLEU_FIELDS)],
+        *[F.sum(c).alias(c) for c in ("_kept", "_known", "_rouge1", "_rougeL")],
+        F.sort_array(F.collect_list(F.when(F.col("_translated") > 0, rate))).alias("_rates"),
     )
-    kept = F.avg(F.col(preserved).cast("double"))
-    rates = translated.groupBy(by).agg(F.round(kept, 3).alias("rate"))
-    by_class = F.map_from_entries(F.sort_array(F.collect_list(F.struct(by, "rate"))))
-    # Each scalar is a one-row aggregate; as scalar subqueries they need no join.
-    return sample.agg(F.count(F.lit(1)).alias("n_reviews")).select(
-        "n_reviews",
-        translated.agg(F.count(F.lit(1))).scalar().alias("n_translated"),
-        corpus_bleu(pairs).select(F.round("bleu", 2)).scalar().alias("round_trip_bleu"),
-        rouge1(pairs).agg(F.round(F.avg("rouge1_f"), 3)).scalar().alias("round_trip_rouge1_f"),
-        rouge_l(pairs).agg(F.round(F.avg("rougeL_f"), 3)).scalar().alias("round_trip_rougeL_f"),
-        translated.agg(F.round(kept, 3)).scalar().alias("sentiment_preserved_rate"),
-        rates.agg(by_class).scalar().alias("sentiment_preserved_by_class"),
+    mean = lambda c: F.round(F.try_divide(F.col(c), F.col("_translated")), 3)
+    return total.select(
+        F.col("_rows").alias("n_reviews"), F.col("_translated").alias("n_translated"),
+        F.round(bleu_score()[0], 2).alias("round_trip_bleu"), mean("_rouge1").alias("round_trip_rouge1_f"),
+        mean("_rougeL").alias("round_trip_rougeL_f"),
+        F.round(F.try_divide(F.col("_kept"), F.col("_known")), 3).alias("sentiment_preserved_rate"),
+        F.map_from_entries("_rates").alias("sentiment_preserved_by_class"),
         F.lit("Round-trip proxy metrics; no human German references available.").alias("note"),
     )
