@@ -125,6 +125,38 @@ def fix_german(spark, sf_dir):
     return german.select(F.col("doc_id").alias("row_id"), rewrite.fix_german(planted).alias("german_text"))
 
 
+# A phrase for each rule of the German corrections, and what must become of it.
+GERMAN_CASES = (
+    ("viele Tabletten hier", "viele Tablets hier"), ("die beste Tablette", "die bestes Tablet"),
+    ("zwei Tablettes da", "zwei Tablets da"), ("Diese Tablette", "Dieses Tablet"), ("keine Tablette", "kein Tablet"),
+    ("schnelle Tablette", "schnelles Tablet"), ("Eine gute Tablette", "Ein gutes Tablet"),
+)
+
+
+def _cases_sql(column: int) -> str:
+    arms = " ".join(f"WHEN {i} THEN '{case[column]}'" for i, case in enumerate(GERMAN_CASES))
+    return f"CASE doc_id % {len(GERMAN_CASES)} {arms} END"
+
+
+@query("german_rules", f"SELECT doc_id AS row_id, text || ' ' || {_cases_sql(1)} AS german_text FROM documents")
+def german_rules(spark, sf_dir):
+    """Every text ends in a phrase that one of the seven rules must correct."""
+    planted = F.concat_ws(" ", "text", F.expr(_cases_sql(0)))
+    docs = adapters.documents(spark, sf_dir)
+    return docs.select(F.col("doc_id").alias("row_id"), rewrite.fix_german(planted).alias("german_text"))
+
+
+@query("protected_names", """
+SELECT doc_id AS row_id, 'PRD0X and PRD1X by PRD2X. ' || text AS protected_text, 'Kindle Fire|Echo dots|Amazon' AS names
+FROM documents""")
+def protected_names(spark, sf_dir):
+    """Names planted in front of every text are swapped for numbered tokens, the longest first."""
+    planted = F.concat(F.lit("Kindle Fire and Echo dots by Amazon. "), "text").alias("text")
+    docs = adapters.documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), planted)
+    out = rewrite.protect_terms(docs, "text")
+    return out.select("row_id", "protected_text", F.array_join("protected_terms", "|").alias("names"))
+
+
 @query("sentence_split", r"""
 WITH marked AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))) AS sentence
                 FROM documents)
