@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.getCheckpointDir():
             context.setCheckpointDir(named)
         return named
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     own = tempfile.mkdtemp(prefix="opinionmill-")
     context.setCheckpointDir(own)
