@@ -56,4 +56,33 @@ def materialized(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[str] = []
+
+
+class Scratch:
+    """The tables ``materialized`` wrote inside a ``with`` block, so that their owner can remove them.
+
+    Nothing is removed by leaving the block, since results may still read the tables.
+    """
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        self._before = len(_written)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.paths += _written[self._before:]
+
+    def remove(self, spark: SparkSession) -> None:
+        """Delete the tables; call it once everything that reads them has been written."""
+        context = spark.sparkContext
+        for path in self.paths:
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        self.paths.clear()
