@@ -1,17 +1,32 @@
 """From raw documents to packed training sequences.
 
 Every stage is a function (spark, docs, sf_dir) of the documents its predecessor kept; its result is written
-as Parquet and read again. All but the last return the columns of documents.
+as Parquet and read again before the next one is called. All but the last return the columns of documents.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinionmill.llm import minhash, packing, secrets, substrings, toxicity
 from opinionmill.llm.common import table
-from opinionmill.session import materialized
+from opinionmill.session import Scratch, materialized
+
+_scratch = Scratch()
+
+
+def _stage(function):
+    """A stage that first removes the tables the stage before it worked with: its result is written by now."""
+    @functools.wraps(function)
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _scratch.remove(spark)
+        with _scratch:
+            return function(spark, docs, sf_dir)
+
+    return call
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -19,26 +34,31 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that maximum-scoring segments call toxic go; the others stay as they are."""
     return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest id."""
     return minhash.keep_one(docs)
 
 
+@_stage
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 100 bytes that occur earlier are cut out of the texts."""
     return _counted(substrings.texts_without_repeats(docs))
 
 
+@_stage
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; documents without any stay as they are."""
     return _counted(secrets.redacted(docs, F.col("source"), F.concat_ws("/", "source", "lang")))
 
 
+@_stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, packed into sequences of at most 2048 ids."""
     import public_tokenizers
