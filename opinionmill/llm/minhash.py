@@ -6,9 +6,10 @@ buckets, and every pair that is to be linked is confirmed on the full shingle se
 
 Equal sets are one node. Buckets never become pairs of all their members: in each round a bucket offers
 its members to one pivot, nodes that got linked count as one component, and only what is still apart is
-looked at again. When few pairs across components are left, they are compared directly; a bucket that still
-has many is first cut by a second band, which a pair of the wanted similarity practically always shares.
-With 40 bands of 5 coordinates, a pair at the threshold escapes with a chance of 1e-7.
+looked at again. What is left of a bucket is compared across components in blocks of bounded size, by the
+signatures that lie beside the rows, so only pairs that look alike are written; a bucket with very many such
+pairs is first cut by a second band, which a pair of the wanted similarity practically always shares.
+With 32 bands of 5 coordinates, a pair at the threshold escapes with a chance of 3e-6.
 
 Defined results: a document without words has an empty set and is linked with nothing; equal sets are
 linked; a null id is never linked, its component is null and it is kept; rows that repeat an id share its
@@ -18,21 +19,26 @@ component; extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from opinionmill.llm.common import map_batches, mix64, table, unwrapped, worker_store, wrapped
 from opinionmill.llm.components import components
 from opinionmill.session import materialized
 
-BANDS, ROWS = 40, 5
+BANDS, ROWS = 32, 5
 CELLS = 1 << 20
-ROUNDS = 4  # of pivots
-DIRECT = 20  # pairs across components, per bucket entry, that may be compared directly
-BUCKET_PAIRS = 5_000  # pairs across components in a bucket before it is cut by a second band
-SLACK = 0.15  # of similarity, below which a signature rules a pair out (5 standard deviations)
+ROUNDS = 2  # of pivots
+DIRECT = 50  # pairs across components, per bucket entry, that may be compared directly
+BUCKET_PAIRS = 20_000_000  # pairs across components in a bucket before it is cut by a second band
+BLOCK = 2048  # members of a bucket that are compared in one piece
+SLACK = 0.18  # of similarity, below which a signature rules a pair out (5 standard deviations)
 KNOWN_WORDS = 300_000
 
 
@@ -124,17 +130,33 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return map_batches(wanted, run, "node long, shingles binary", rows=500)
 
 
-def alike(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity; signatures sort out the rest beforehand."""
-    bar = int((percent / 100 - SLACK) * BANDS * ROWS)
+def _bar(percent: int) -> int:
+    """Equal coordinates below which a pair cannot reach the similarity, but for odds of 1e-8."""
+    return int((percent / 100 - SLACK) * BANDS * ROWS)
 
-    def promising(columns):
+
+def _beside(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    left = values.select(F.col("node").alias("a"), F.col(column).alias("left"))
+    right = values.select(F.col("node").alias("b"), F.col(column).alias("right"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+
+
+def promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their signatures do not rule out."""
+    bar = _bar(percent)
+
+    def run(columns):
         left = np.frombuffer(b"".join(columns["left"]), np.uint8).reshape(-1, BANDS * ROWS)
         right = np.frombuffer(b"".join(columns["right"]), np.uint8).reshape(-1, BANDS * ROWS)
         keep = np.flatnonzero((left == right).sum(axis=1) >= bar)
         return {n: [columns[n][i] for i in keep] for n in ("a", "b")}
 
-    def confirmed(columns):
+    return map_batches(_beside(pairs, nodes, "bytes"), run, "a long, b long", rows=4000)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity."""
+    def run(columns):
         out = {"a": [], "b": []}
         for a, b, left, right in zip(*(columns[n] for n in ("a", "b", "left", "right")), strict=True):
             x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
@@ -144,14 +166,62 @@ def alike(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) ->
                 out["b"].append(b)
         return out
 
-    def beside(rows: DataFrame, values: DataFrame, column: str) -> DataFrame:
-        left = values.select(F.col("node").alias("a"), F.col(column).alias("left"))
-        right = values.select(F.col("node").alias("b"), F.col(column).alias("right"))
-        return rows.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    return map_batches(_beside(pairs, sets, "shingles"), run, "a long, b long", rows=200).distinct()
+
+
+def across_components(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a bucket, in different components, that their signatures do not rule out.
+
+    ``rows`` has bucket, node, n, component. A bucket is cut into blocks of bounded size, and each pair of
+    blocks is compared where its signatures are, so a pair is only written once it looks alike.
+    """
+    bar = _bar(percent)
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
+    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    dealt = (
+        rows.join(sizes, "bucket").join(nodes.select("node", "bytes"), "node")
+        .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "component", "bytes")
+    )
+    ordered = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    wanted = T.StructType.fromDDL("a long, b long")
+
+    def compare(group: list[tuple]) -> tuple[list[int], list[int]]:
+        _, i, j, own, node, n, component, raw = zip(*group, strict=True)
+        signatures = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BANDS * ROWS)
+        own, node, n, component = (np.array(x) for x in (own, node, n, component))
+        out: tuple[list[int], list[int]] = ([], [])
+        for r in range(len(group)):
+            rest = np.arange(r + 1, len(group)) if i[0] == j[0] else np.flatnonzero(own != own[r])
+            if i[0] != j[0] and own[r] != i[0]:
+                continue  # each pair of two blocks is met from the first block
+            rest = rest[(component[rest] != component[r])
+                        & (100 * np.minimum(n[rest], n[r]) >= percent * np.maximum(n[rest], n[r]))]
+            if len(rest):
+                for k in rest[(signatures[rest] == signatures[r]).sum(axis=1) >= bar]:
+                    out[0].append(int(min(node[r], node[k])))
+                    out[1].append(int(max(node[r], node[k])))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, group = to_arrow_schema(wanted), []
+
+        def finish():
+            found = compare(group)
+            if found[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], schema=schema)
 
-    first = map_batches(beside(pairs, nodes, "bytes"), promising, "a long, b long", rows=4000).distinct()
-    first = materialized(pairs.sparkSession, first, "promising")
-    return map_batches(beside(first, sets, "shingles"), confirmed, "a long, b long", rows=200).distinct()
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group and row[:3] != group[0][:3]:
+                    yield from finish()
+                    group = []
+                group.append(row)
+        if group:
+            yield from finish()
+
+    return ordered.mapInArrow(run, wanted).distinct()
 
 
 def _sizes_fit(percent: int):
@@ -165,9 +235,8 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFr
     entries = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("buckets").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket")
     entries = materialized(spark, entries.join(shared, "bucket"), "bucket-entries")
-    near = nodes.join(entries.select("node").distinct(), "node", "left_semi").select("node", "bytes")
-    near = materialized(spark, near, "near-signatures")
-    sets = materialized(spark, shingle_sets(docs, near, width), "near-sets")
+    near = nodes.select("node", "bytes")
+    sets = materialized(spark, shingle_sets(docs, entries.select("node"), width), "near-sets")
     open_ = entries.withColumn("component", F.col("node"))
     found, tested = None, None
     for number in range(ROUNDS):
@@ -183,7 +252,7 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFr
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialized(spark, pairs, "pivot-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        fresh = alike(pairs, near, sets, percent)
+        fresh = confirmed(promising(pairs, near, percent), sets, percent)
         found = materialized(spark, fresh if found is None else found.unionByName(fresh), "links")
         joined = materialized(spark, components(found), "components")
         open_ = _still_apart(spark, entries, joined)
@@ -201,13 +270,9 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFr
         open_.join(heavy, "bucket", "left_semi").join(second, "node").where(F.col("other") != F.col("bucket"))
         .withColumn("bucket", F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other"))).drop("other").distinct()
     )
-    rest = light.unionByName(cut.select(light.columns))
-    other = rest.select("bucket", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("component").alias("of"))
-    pairs = (
-        rest.join(other, "bucket").where((F.col("node") < F.col("pivot")) & (F.col("component") != F.col("of")) & _sizes_fit(percent))
-        .select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    )
-    fresh = alike(materialized(spark, pairs, "direct-pairs"), near, sets, percent)
+    rest = light.unionByName(cut.select(light.columns)).select("bucket", "node", "n", "component")
+    pairs = across_components(rest, near, percent).join(tested, ["a", "b"], "left_anti")
+    fresh = confirmed(materialized(spark, pairs, "direct-pairs"), sets, percent)
     return components(materialized(spark, found.unionByName(fresh), "links"))
 
 

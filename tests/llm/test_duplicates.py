@@ -51,7 +51,8 @@ def clusters(spark):
 @pytest.mark.parametrize("direct", [20, 0])
 def test_near_duplicates_match_brute_force(spark, clusters, monkeypatch, direct):
     monkeypatch.setattr(minhash, "DIRECT", direct)
-    monkeypatch.setattr(minhash, "BUCKET_PAIRS", 5_000 if direct else 3)
+    monkeypatch.setattr(minhash, "BUCKET_PAIRS", 20_000_000 if direct else 3)
+    monkeypatch.setattr(minhash, "BLOCK", 8 if direct else 2048)
     docs = spark.createDataFrame(clusters, "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 4).collect()}
     assert got == brute.near_components(clusters, 4)
