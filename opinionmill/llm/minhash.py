@@ -173,22 +173,25 @@ def across_components(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFr
     """Pairs (a, b) of a bucket, in different components, that their signatures do not rule out.
 
     ``rows`` has bucket, node, n, component. A bucket is cut into blocks of bounded size, and each pair of
-    blocks is compared where its signatures are, so a pair is only written once it looks alike.
+    blocks is compared where its signatures are, so a pair is only written once it looks alike. A pair that
+    shares several buckets is written from the first band it shares; buckets cut by a second band write it always.
     """
     bar = _bar(percent)
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
     blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
     dealt = (
-        rows.join(sizes, "bucket").join(nodes.select("node", "bytes"), "node")
+        rows.join(sizes, "bucket").join(nodes.select("node", "bytes", "buckets"), "node")
         .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "component", "bytes")
+        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "component", "bytes", "buckets")
     )
     ordered = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     wanted = T.StructType.fromDDL("a long, b long")
 
     def compare(group: list[tuple]) -> tuple[list[int], list[int]]:
-        _, i, j, own, node, n, component, raw = zip(*group, strict=True)
+        bucket, i, j, own, node, n, component, raw, bands = zip(*group, strict=True)
+        bands = np.array(bands, np.int64)
+        plain = bool((bands[0] == bucket[0]).any())  # not a bucket cut by a second band
         signatures = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BANDS * ROWS)
         own, node, n, component = (np.array(x) for x in (own, node, n, component))
         out: tuple[list[int], list[int]] = ([], [])
@@ -199,7 +202,11 @@ def across_components(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFr
             rest = rest[(component[rest] != component[r])
                         & (100 * np.minimum(n[rest], n[r]) >= percent * np.maximum(n[rest], n[r]))]
             if len(rest):
-                for k in rest[(signatures[rest] == signatures[r]).sum(axis=1) >= bar]:
+                alike = rest[(signatures[rest] == signatures[r]).sum(axis=1) >= bar]
+                if plain and len(alike):
+                    first = (bands[alike] == bands[r]).argmax(axis=1)
+                    alike = alike[bands[r][first] == bucket[0]]
+                for k in alike:
                     out[0].append(int(min(node[r], node[k])))
                     out[1].append(int(max(node[r], node[k])))
         return out
@@ -235,7 +242,7 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFr
     entries = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("buckets").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket")
     entries = materialized(spark, entries.join(shared, "bucket"), "bucket-entries")
-    near = nodes.select("node", "bytes")
+    near = nodes.select("node", "bytes", "buckets")
     sets = materialized(spark, shingle_sets(docs, entries.select("node"), width), "near-sets")
     open_ = entries.withColumn("component", F.col("node"))
     found, tested = None, None
