@@ -15,7 +15,9 @@ def components(links: DataFrame) -> DataFrame:
 
     Every round hangs the larger neighbours of a node under its smallest neighbour, then does the same
     with the smaller ones; links shorten until each node hangs under the root of its component. Minima
-    are taken before the shuffle, so a node with very many links costs one row per task.
+    are taken before the shuffle, so a node with very many links costs one row per task. The rounds end
+    when every child has one parent and no parent is a child; equal numbers of links would not tell, as a
+    round can trade one link for another.
     """
     spark = links.sparkSession
     edges = materialized(spark, links.select(
@@ -36,13 +38,19 @@ def components(links: DataFrame) -> DataFrame:
             hung.where("parent <> low").select(F.col("parent").alias("child"), F.col("low").alias("parent"))
             .unionByName(low.select("child", F.col("low").alias("parent"))).distinct()
         )
-        after = materialized(spark, small, "links")
-        roots = after.select(F.col("parent").alias("child")).distinct()
-        if after.join(roots, "child", "left_semi").isEmpty() and large.count() == after.count():
-            edges = after
+        edges = materialized(spark, small, "links")
+        if _settled(edges):
             break
-        edges = after
+    else:
+        raise RuntimeError(f"links do not settle within {MAX_ROUNDS} rounds")
     return (
-        edges.groupBy("child").agg(F.min("parent").alias("component")).withColumnRenamed("child", "node")
+        edges.select(F.col("child").alias("node"), F.col("parent").alias("component"))
         .unionByName(edges.select(F.col("parent").alias("node"), F.col("parent").alias("component")).distinct())
     )
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Every child has exactly one parent, and no parent is a child."""
+    several = edges.groupBy("child").agg(F.count(F.lit(1)).alias("parents")).where("parents > 1")
+    roots = edges.select(F.col("parent").alias("child")).distinct()
+    return several.isEmpty() and edges.join(roots, "child", "left_semi").isEmpty()

@@ -29,6 +29,18 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_a_zigzag(spark, monkeypatch):
+    zigzag = [(1, 4), (3, 4), (3, 5), (2, 5)]
+    pairs = [(100 + 2 * i, 101 + 2 * i) for i in range(100)]
+    for rows in (zigzag, zigzag + pairs):
+        links = spark.createDataFrame(rows, "a long, b long")
+        got = {r["node"]: r["component"] for r in components.components(links).collect()}
+        assert got == {x: 1 for x in range(1, 6)} | {x: a for a, b in rows[4:] for x in (a, b)}
+    monkeypatch.setattr(components, "MAX_ROUNDS", 1)
+    with pytest.raises(RuntimeError):
+        components.components(spark.createDataFrame(zigzag, "a long, b long"))
+
+
 @pytest.fixture(scope="module")
 def clusters(spark):
     """Near copies of two texts, chains among them, beside texts that only share a passage."""
