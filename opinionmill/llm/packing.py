@@ -1,12 +1,13 @@
 r"""Packing documents into sequences by a configuration linear program (operator 8).
 
-A document's ids end with one end id. A document longer than a sequence is cut into whole sequences, its
-first piece takes the rest. The histogram of piece lengths, at most one count per length, decides
-everything: multiplicative weights over the lengths price the ways to fill a sequence, a knapsack table
-finds the best one in each round, and the rounded mixture plus a best-fit filling of what is left gives
-a list of layouts with their numbers. Pieces of one length are interchangeable, so each piece finds its
-sequence and offset from its number among the pieces of its length; no task holds a group of pieces.
-Numbers are counted in buckets of each length, so a length that a third of all pieces share is spread.
+A document's ids end with one end id; an added token of the tokenizer file inside a text is one id. A
+document longer than a sequence is cut into whole sequences, its first piece takes the rest. The histogram
+of piece lengths, at most one count per length, decides everything: multiplicative weights over the lengths
+price the ways to fill a sequence, a knapsack table finds the best one in each round, and the rounded
+mixture plus a best-fit filling of what is left gives a list of layouts with their numbers. Pieces of one
+length are interchangeable, so each piece finds its sequence and offset from its number among the pieces of
+its length; no task holds a group of pieces. Numbers are counted in buckets of each length, so a length
+that a third of all pieces share is spread.
 
 Defined results: a null text is empty and packs as its end id; repeated rows are packed each (their
 places differ); an empty table gives no rows; extra columns are ignored.
@@ -44,7 +45,8 @@ class ByteIds:
     """Ids of a byte-level BPE tokenizer file as little-endian unsigned 32-bit bytes.
 
     The vocabulary is read from the tokenizer's own file; its ids are in merge order. Cuts of a text are
-    encoded once per worker and remembered until the table is full.
+    encoded once per worker and remembered until the table is full. The file's added tokens are one id each
+    wherever a text holds them in ``ids``; ``encode`` spells them as ordinary bytes.
     """
 
     def __init__(self, path: str):
@@ -55,7 +57,9 @@ class ByteIds:
         gc.disable()  # the table of cuts holds no cycles
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        added = {t["content"] for t in model.get("added_tokens", []) if t.get("special")}
+        added = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
+        if any(t.get(k) for t in model.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path}: added tokens that take spaces or whole words only are not read")
         byte_of = {char: value for value, char in enumerate(_byte_chars())}
         ranks = {
             bytes(byte_of[c] for c in token): rank
@@ -63,6 +67,10 @@ class ByteIds:
         }
         self.core = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.cuts: dict[str, bytes] = {}
+        self.added = {token: np.array([number], "<u4").tobytes() for token, number in added.items()}
+        # the longest of several tokens that begin at one place counts
+        longest = sorted(added, key=len, reverse=True)
+        self.added_in = re.compile(f"({'|'.join(map(re.escape, longest))})") if added else None
 
     def _fresh(self, cut: str, lead: str) -> bytes:
         ids = np.array(self.core.encode_ordinary(lead + cut), "<u4").tobytes()
@@ -85,6 +93,13 @@ class ByteIds:
                     ids[i] = known(parts[i]) or self._fresh(parts[i], " ")
         return b"".join(ids)
 
+    def ids(self, text: str | None) -> bytes:
+        """Ids as the tokenizer's library gives them: what lies between added tokens is encoded on its own."""
+        if not text or self.added_in is None or not self.added_in.search(text):
+            return self.encode(text)
+        parts = self.added_in.split(text)
+        return b"".join(self.added[p] if i % 2 else self.encode(p) for i, p in enumerate(parts))
+
 
 def _byte_chars() -> list[str]:
     """The printable stand-in of each byte: printable Latin-1 stays, others follow from U+0100 in order."""
@@ -101,7 +116,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         coder = worker_store(f"byte ids {tokenizer}", lambda: ByteIds(tokenizer))
         out: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
         for doc_id, text in zip(columns["doc_id"], columns["text"], strict=True):
-            ids = coder.encode(text) + end
+            ids = coder.ids(text) + end
             total = len(ids) // 4
             first = total if total <= capacity else total % capacity or capacity
             at, until = 0, first

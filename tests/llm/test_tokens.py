@@ -101,6 +101,27 @@ def test_byte_ids_match_the_library():
         assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_match_the_library(spark):
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(BYTE_MODEL), packing.ByteIds(BYTE_MODEL)
+    rng = random.Random(7)
+    parts = [" ", "  ", "\n", "the", "'s", "é", "23", "!", "<|endoftext|>", "<|endoftext|", "|>", "<", "\xa0", "\t", "😀"]
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "<|<|endoftext|>", " <|endoftext|><|endoftext|> ", "word " * 3000 + "<|endoftext|>x"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    for text in texts:
+        assert np.frombuffer(own.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(texts[:5])), "doc_id long, text string")
+    got = {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in packing.pieces(docs, BYTE_MODEL).collect()}
+    want = {}
+    for i, text in enumerate(texts[:5]):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 0]
+        first = len(ids) if len(ids) <= 2048 else len(ids) % 2048 or 2048
+        for piece, (a, b) in enumerate(itertools.pairwise([0, *range(first, len(ids) + 1, 2048)])):
+            want[i, piece] = a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())
+    assert got == want
+
+
 def _check_packing(rows, docs):
     from tokenizers import Tokenizer
 
