@@ -7,8 +7,8 @@ buckets, and every pair that is to be linked is confirmed on the full shingle se
 Equal sets are one node. Buckets never become pairs of all their members: in each round a bucket offers
 its members to one pivot, nodes that got linked count as one component, and only what is still apart is
 looked at again. What is left of a bucket is compared across components in blocks of bounded size, by the
-signatures that lie beside the rows, so only pairs that look alike are written; a bucket with very many such
-pairs is first cut by a second band, which a pair of the wanted similarity practically always shares.
+signatures that lie beside the rows, so only pairs that look alike are written; a bucket with very many pairs
+is compared as well, in larger blocks, so that its members are written less often.
 With 32 bands of 5 coordinates, a pair at the threshold escapes with a chance of 3e-6.
 
 Defined results: a document without words has an empty set and is linked with nothing; equal sets are
@@ -36,8 +36,8 @@ BANDS, ROWS = 32, 5
 CELLS = 1 << 20
 ROUNDS = 2  # of pivots
 DIRECT = 50  # pairs across components, per bucket entry, that may be compared directly
-BUCKET_PAIRS = 20_000_000  # pairs across components in a bucket before it is cut by a second band
-BLOCK = 2048  # members of a bucket that are compared in one piece
+BUCKET_PAIRS = 20_000_000  # pairs in a bucket before its blocks are larger
+BLOCK, HEAVY_BLOCK = 2048, 16384  # members of a bucket that are compared in one piece
 SLACK = 0.18  # of similarity, below which a signature rules a pair out (5 standard deviations)
 KNOWN_WORDS = 300_000
 
@@ -174,11 +174,12 @@ def across_components(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFr
 
     ``rows`` has bucket, node, n, component. A bucket is cut into blocks of bounded size, and each pair of
     blocks is compared where its signatures are, so a pair is only written once it looks alike. A pair that
-    shares several buckets is written from the first band it shares; buckets cut by a second band write it always.
+    shares several buckets is written from the first band it shares.
     """
     bar = _bar(percent)
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
-    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    block = F.when(F.col("m") * (F.col("m") - 1) > 2 * BUCKET_PAIRS, HEAVY_BLOCK).otherwise(BLOCK)
+    blocks = F.ceil(F.col("m") / block).cast("int")
     dealt = (
         rows.join(sizes, "bucket").join(nodes.select("node", "bytes", "buckets"), "node")
         .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
@@ -191,7 +192,6 @@ def across_components(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFr
     def compare(group: list[tuple]) -> tuple[list[int], list[int]]:
         bucket, i, j, own, node, n, component, raw, bands = zip(*group, strict=True)
         bands = np.array(bands, np.int64)
-        plain = bool((bands[0] == bucket[0]).any())  # not a bucket cut by a second band
         signatures = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BANDS * ROWS)
         own, node, n, component = (np.array(x) for x in (own, node, n, component))
         out: tuple[list[int], list[int]] = ([], [])
@@ -203,7 +203,7 @@ def across_components(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFr
                         & (100 * np.minimum(n[rest], n[r]) >= percent * np.maximum(n[rest], n[r]))]
             if len(rest):
                 alike = rest[(signatures[rest] == signatures[r]).sum(axis=1) >= bar]
-                if plain and len(alike):
+                if len(alike):
                     first = (bands[alike] == bands[r]).argmax(axis=1)
                     alike = alike[bands[r][first] == bucket[0]]
                 for k in alike:
@@ -270,14 +270,7 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFr
             return joined
         if total["t"] <= DIRECT * max(1, open_.count()):
             break
-    heavy = across.where(F.col("pairs") > BUCKET_PAIRS).select("bucket")
-    light = open_.join(heavy, "bucket", "left_anti")
-    second = nodes.select("node", F.explode("buckets").alias("other"))
-    cut = (
-        open_.join(heavy, "bucket", "left_semi").join(second, "node").where(F.col("other") != F.col("bucket"))
-        .withColumn("bucket", F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other"))).drop("other").distinct()
-    )
-    rest = light.unionByName(cut.select(light.columns)).select("bucket", "node", "n", "component")
+    rest = open_.select("bucket", "node", "n", "component")
     pairs = across_components(rest, near, percent).join(tested, ["a", "b"], "left_anti")
     fresh = confirmed(materialized(spark, pairs, "direct-pairs"), sets, percent)
     return components(materialized(spark, found.unionByName(fresh), "links"))

@@ -70,6 +70,22 @@ def test_near_duplicates_match_brute_force(spark, clusters, monkeypatch, direct)
     assert got == brute.near_components(clusters, 4)
 
 
+def test_a_pair_that_only_a_heavy_bucket_shares(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BUCKET_PAIRS", 3)
+    texts = {i: " ".join(f"w{i}x{k}" for k in range(60)) for i in range(1, 13)}
+    texts[12] = texts[11] + " more"
+    sign = minhash.signer()
+    nodes = []
+    for i, text in texts.items():
+        shingles = sign.shingles(text, 4)
+        raw = (sign.signature(shingles) & 0xFF).astype(np.uint8).tobytes()
+        nodes.append((i, len(shingles), [7] + [1000 * i + band for band in range(1, minhash.BANDS)], bytearray(raw)))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    nodes = spark.createDataFrame(nodes, "node long, n_shingles long, buckets array<long>, bytes binary")
+    got = {r["node"]: r["component"] for r in minhash.links(docs, nodes, 4, 80).collect()}
+    assert got == {11: 11, 12: 11}
+
+
 def test_near_duplicates_over_odd_rows(odd, none, odd_rows):
     got = minhash.near_duplicates(odd, 4).collect()
     want = brute.near_components([(r[0], r[1]) for r in odd_rows if r[0] is not None], 4)
