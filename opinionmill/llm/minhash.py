@@ -307,14 +307,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` with one document of each group, all columns as they are.
+    """The rows of ``docs`` with one of each group of near-duplicates, all columns as they are.
 
-    Rows that repeat an id are one document; rows without id stay unless they repeat a text.
+    Rows with the same id and text are one document; rows that share an id or have none are compared by their
+    texts as all others are. The smallest id of a group stays, a null id only where the group has no other.
     """
-    dropped = near_duplicates(docs, width, percent).where("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    rest = wrapped(docs).join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
-    marked = rest.withColumn("spare", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
-    return unwrapped(marked.dropDuplicates(["doc_id", "spare"]), docs.columns)
+    text = F.col(f"row.c{docs.columns.index('text')}")
+    single = wrapped(docs).withColumn("digest", F.sha2("text", 256)).drop("text").dropDuplicates(["doc_id", "digest"])
+    rows = materialized(docs.sparkSession, single.withColumn("key", F.monotonically_increasing_id()), "numbered-rows")
+    groups = near_duplicates(rows.select(F.col("key").alias("doc_id"), text.alias("text")), width, percent)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "key")
+    first = (
+        rows.select("doc_id", "digest", "key")
+        .join(groups.select(F.col("doc_id").alias("key"), "component_id"), "key")
+        .groupBy("component_id").agg(F.min(order).alias("first")).select("first.key")
+    )
+    return unwrapped(rows.join(first, "key", "left_semi"), docs.columns)
 
 
 def op3_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

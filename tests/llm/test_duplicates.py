@@ -101,6 +101,17 @@ def test_near_duplicates_over_odd_rows(odd, none, odd_rows):
     assert minhash.near_duplicates(none).count() == 0 and minhash.keep_one(none).count() == 0
 
 
+def test_keep_one_over_reused_and_null_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcd")
+    rows = [(1, a, 0), (2, a + " more", 0), (2, b, 0), (2, b, 0), (3, c, 0), (3, d, 0), (None, a + " end", 0),
+            (None, b + " end", 0), (None, "only here " * 9, 0), (4, None, 0), (4, "", 0), (None, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key int")
+    got = minhash.keep_one(docs)
+    want = [(1, a, 0), (2, b, 0), (3, c, 0), (3, d, 0), (None, "only here " * 9, 0), (4, None, 0), (4, "", 0), (None, None, 0)]
+    assert got.columns == docs.columns
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, want))
+
+
 @pytest.mark.parametrize("block", [3, 16, 1 << 20])
 def test_equal_windows(monkeypatch, block):
     monkeypatch.setattr(bwt, "BLOCK", block)
