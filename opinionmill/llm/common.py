@@ -45,15 +45,31 @@ def lower_ascii(text: bytes) -> bytes:
     return text.lower()
 
 
+STORED = 3  # values a Python worker keeps
+
+
 def worker_store(name: str, build: Callable[[], object]) -> object:
     """A value built once per Python worker and kept for its later tasks, such as a vocabulary.
 
-    Functions are unpickled anew for each task, so module globals would not last.
+    Functions are unpickled anew for each task, so module globals would not last. A worker keeps the few
+    values it used last, so that one stage's tables make room for the next one's.
     """
     holder = sys.modules.setdefault("opinionmill_worker_store", types.ModuleType("opinionmill_worker_store"))
-    if not hasattr(holder, name):
-        setattr(holder, name, build())
-    return getattr(holder, name)
+    values = vars(holder).setdefault("values", {})
+    if name in values:
+        values[name] = values.pop(name)  # now the last one used
+    else:
+        while len(values) >= STORED:
+            del values[next(iter(values))]
+        values[name] = build()
+    return values[name]
+
+
+def slices(df: DataFrame, size: int) -> int:
+    """Slices of about ``size`` bytes of a table, by the planner's estimate; four per shuffle partition at least."""
+    spark = df.sparkSession
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), min(estimate // size, 1 << 20))
 
 
 def map_batches(

@@ -30,13 +30,14 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from opinionmill.llm.bwt import equal_windows
-from opinionmill.llm.common import map_batches, mix64, table, worker_store, wrapped
+from opinionmill.llm.common import map_batches, mix64, slices, table, worker_store, wrapped
 from opinionmill.session import materialized
 
 WIDTH = 100
 GRAM = 32
 PIECE = 1 << 19  # bytes scanned at a time
-HELD = 1_000_000  # anchors a task holds before it passes them on
+HELD = 500_000  # anchors a task holds before it passes them on
+SLICE = 1 << 21  # bytes of input a slice of the anchor digests stands for
 HOT = 2_000  # different segments of one anchor beyond which they are cut into shorter ranges
 CELL = 8  # windows in such a range
 SORTED = 3_000  # segments sorted together; one anchor's segments are never parted
@@ -147,7 +148,10 @@ def packed_anchors(docs: DataFrame, width: int, gram: int, parts: int) -> DataFr
         ids, cuts = _cuts(others["doc"], others["lo"], others["lo"] + others["windows"].astype(np.int64) + width)
         if ids:
             yield _emit(schema, doc_id=ids, cuts=cuts)
-        part = (first["key"] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        # a key is the least of many digests, so only its scrambled form is spread evenly
+        part = mix64(first["key"]) % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        first, part = first[order], part[order]
         edges = np.searchsorted(part, np.arange(parts + 1))
         some = [p for p in range(parts) if edges[p] < edges[p + 1]]
         for i in range(0, len(some), 64):
@@ -370,7 +374,7 @@ def sorted_cuts(segments: DataFrame, width: int) -> DataFrame:
 def repeated_ranges(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, cuts): packed (from, until) pairs of bytes to remove, several rows per document."""
     spark = docs.sparkSession
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = slices(docs, SLICE)
     settled = materialized(spark, settled_anchors(packed_anchors(docs, width, gram, parts), width, parts), "anchors")
     mixed = settled.where("cuts IS NULL").select("doc_id", "key", "lo", "hi", "at", "hot")
     segments = materialized(spark, cut_segments(docs, mixed, width, gram), "segments")

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from opinionmill.llm import bwt, components, minhash, neighbours, substrings
 from tests.llm import brute
@@ -136,6 +137,15 @@ def test_repeated_passages_match_brute_force(documents, texts, monkeypatch, hot)
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]][:4]
 
 
+def test_anchors_are_dealt_evenly(spark):
+    rng = random.Random(3)
+    text = "".join(chr(rng.randrange(33, 126)) for _ in range(400_000))
+    docs = spark.createDataFrame([(i, text[20_000 * i:20_000 * (i + 1)]) for i in range(20)], "doc_id long, text string")
+    packed = substrings.packed_anchors(docs.coalesce(1), 100, 32, 16).where("part IS NOT NULL")
+    sizes = [r["s"] for r in packed.groupBy("part").agg(F.sum(F.length("blob")).alias("s")).collect()]
+    assert len(sizes) == 16 and max(sizes) <= 2 * sum(sizes) / 16
+
+
 def test_repeated_passages_over_odd_rows(spark, odd, none, odd_rows, monkeypatch):
     monkeypatch.setattr(substrings, "PIECE", 4096)
     want = brute.without_repeats((r[0], r[1]) for r in odd_rows if r[0] is not None)
