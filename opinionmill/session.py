@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
 
@@ -55,29 +56,33 @@ def materialized(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     size of the table, which decides whether a join may broadcast it.
     """
     path = scratch_path(spark, label)
+    owner = _owner.get()
+    if owner is not None:
+        owner.paths.append(path)
     df.write.parquet(path)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_written: list[str] = []
+_owner: contextvars.ContextVar[Scratch | None] = contextvars.ContextVar("scratch_owner", default=None)
 
 
 class Scratch:
     """The tables ``materialized`` wrote inside a ``with`` block, so that their owner can remove them.
 
-    Nothing is removed by leaving the block, since results may still read the tables.
+    Of nested blocks the inner one owns a table; blocks of other threads do not meet. Nothing is removed by
+    leaving the block, since results may still read the tables.
     """
 
     def __init__(self) -> None:
         self.paths: list[str] = []
+        self._before: list[contextvars.Token] = []
 
     def __enter__(self) -> Scratch:
-        self._before = len(_written)
+        self._before.append(_owner.set(self))
         return self
 
     def __exit__(self, *_: object) -> None:
-        self.paths += _written[self._before:]
+        _owner.reset(self._before.pop())
 
     def remove(self, spark: SparkSession) -> None:
         """Delete the tables; call it once everything that reads them has been written."""
