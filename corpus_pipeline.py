@@ -15,15 +15,23 @@ from opinionmill.llm import minhash, packing, secrets, substrings, toxicity
 from opinionmill.llm.common import table
 from opinionmill.session import Scratch, materialized
 
-_scratch = Scratch()
+# Working tables of stages that are called one by one, by the folder they belong to.
+_left: dict[str, Scratch] = {}
 
 
 def _stage(function):
-    """A stage that first removes the tables the stage before it worked with: its result is written by now."""
+    """A stage whose working tables can be removed.
+
+    ``run`` gives each stage a scratch of its own. Where the stages are called one by one, a stage first
+    removes what the stage before it worked with over the same folder: its result is written by then.
+    """
     @functools.wraps(function)
-    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        _scratch.remove(spark)
-        with _scratch:
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
+        if scratch is None:
+            if sf_dir in _left:
+                _left[sf_dir].remove(spark)
+            scratch = _left[sf_dir] = Scratch()
+        with scratch:
             return function(spark, docs, sf_dir)
 
     return call
@@ -80,8 +88,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents of a folder.
+
+    Every run has tables of its own; those of a stage go once its result is written, and that result once the
+    next one is. What the last stage reads stays until ``run``'s caller clears ``spark.checkpoint.dir``.
+    """
+    docs, before = table(spark, sf_dir, "documents"), Scratch()
     for name, stage in STAGES[:-1]:
-        docs = materialized(spark, stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        working, kept = Scratch(), Scratch()
+        made = stage(spark, docs, sf_dir, working)
+        with kept:
+            docs = materialized(spark, made, f"stage-{name}")
+        working.remove(spark)
+        before.remove(spark)
+        before = kept
+    return STAGES[-1][1](spark, docs, sf_dir, Scratch())
