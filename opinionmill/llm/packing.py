@@ -41,6 +41,13 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s|^\s|\s\Z")
 
 
+def cuts(text: str) -> list[str]:
+    """The text between single spaces that stand alone; joined by spaces it is the text again."""
+    if not text:
+        return []
+    return _CUT.split(text) if _WIDE.search(text) else text.split(" ")
+
+
 class ByteIds:
     """Ids of a byte-level BPE tokenizer file as little-endian unsigned 32-bit bytes.
 
@@ -83,7 +90,7 @@ class ByteIds:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        parts = _CUT.split(text) if _WIDE.search(text) else text.split(" ")
+        parts = cuts(text)
         known = self.cuts.get
         ids = [known(c) for c in parts]
         ids[0] = self._fresh(parts[0], "")

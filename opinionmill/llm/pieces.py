@@ -193,6 +193,10 @@ class PieceCodec:
             return []
         return [self.cuts.get(c) or self.known(c) for c in _cuts(text)]
 
+    def fresh(self, text: str) -> list[int]:
+        """Ids of a text, without the table of known cuts."""
+        return [i for cut in _cuts(text) for i in self.encode_cut(cut)] if text else []
+
     def encode(self, text: str | None) -> list[int]:
         return [int(i) for _, ids, _ in self.coded(text) for i in ids.split(",")]
 
