@@ -65,11 +65,16 @@ def worker_store(name: str, build: Callable[[], object]) -> object:
     return values[name]
 
 
+UNKNOWN = 1 << 60  # bytes, from which on the planner's estimate says that it knows nothing
+
+
 def slices(df: DataFrame, size: int) -> int:
-    """Slices of about ``size`` bytes of a table, by the planner's estimate; four per shuffle partition at least."""
+    """Slices of about ``size`` bytes of the tables below ``df``, by the planner's estimate of these; four per
+    shuffle partition at least."""
     spark = df.sparkSession
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), min(estimate // size, 1 << 20))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), min(sum(s for s in sizes if s < UNKNOWN) // size, 1 << 20))
 
 
 def map_batches(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from opinionmill.llm import chat, ctw, minhash, neighbours, packing, pieces, quality, secrets, substrings, toxicity
+from opinionmill.llm import (
+    alignment, chat, ctw, jaccard, minhash, neighbours, packing, pieces, quality, secrets, substrings, toxicity, variants,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +17,9 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_context_tree_weighting": ctw.op10_context_tree_weighting,
+    "op11_token_alignment": alignment.op11_token_alignment,
+    "op12_spelling_variants": variants.op12_spelling_variants,
+    "op13_ngram_join": jaccard.op13_ngram_join,
 }
 
 ORACLES = {
