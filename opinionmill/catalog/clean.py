@@ -186,6 +186,17 @@ def numeric_describe(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
+@query("numeric_describe_continuous", """
+SELECT count(r) AS count, round(avg(r), 4) AS mean, round(stddev_samp(r), 4) AS std, min(r) AS min,
+       quantile_cont(r, 0.25) AS q1, quantile_cont(r, 0.5) AS median, quantile_cont(r, 0.75) AS q3, max(r) AS max
+FROM (SELECT (l_extendedprice * (1 - l_discount) * (1 + l_tax))::DOUBLE AS r FROM lineitem)""")
+def numeric_describe_continuous(spark, sf_dir):
+    """A column with nearly as many values as rows."""
+    charge = F.expr("CAST(l_extendedprice * (1 - l_discount) * (1 + l_tax) AS DOUBLE)").alias("charge")
+    out = aggregates.describe_numeric(adapters.table(spark, sf_dir, "lineitem").select(charge), "charge")
+    return out.withColumns({c: F.round(c, 4) for c in ("mean", "std")})
+
+
 @query("class_balance", f"""
 WITH {USABLE}
 SELECT s.sentiment, count(u.row_id) AS count, round(count(u.row_id) / (SELECT count(*) FROM usable), 6) AS share

@@ -8,8 +8,9 @@ from opinionmill.catalog.registry import (
     BULK, CLUSTERED, SENTIMENT_ROWS, SOURCE_ROWS, USABLE, query,
 )
 from opinionmill.functions.text import LENGTH_BUCKETS
-from opinionmill.operators import aggregates, contracts, joins, ranking, reshape
+from opinionmill.operators import aggregates, contracts, joins, ranking, reshape, sketches
 from opinionmill.operators.aggregates import SENTIMENT_SOURCES
+from opinionmill.session import materialized
 from opinionmill.sources import adapters
 from opinionmill.sources.adapters import CORPUS_THEMES
 
@@ -217,6 +218,19 @@ def distinct_texts(spark, sf_dir):
     return aggregates.distinct_texts(adapters.clustered_reviews(spark, sf_dir), "cluster_id")
 
 
+@query("distinct_texts_sketch", f"""
+WITH {CLUSTERED} SELECT cluster_id, count(DISTINCT review_text) AS distinct_texts, TRUE AS estimate_within_error FROM clustered GROUP BY 1""")
+def distinct_texts_sketch(spark, sf_dir):
+    """Sketches stored by language and merged per cluster, their estimate held against the exact number."""
+    reviews = adapters.clustered_reviews(spark, sf_dir)
+    stored = materialized(spark, sketches.text_sketches(reviews, "cluster_id", "categories"), "text-sketches")
+    parts = [stored.where("categories = 'en'"), stored.where("categories <> 'en' OR categories IS NULL")]
+    estimated = sketches.estimated_texts(sketches.merged_sketches(parts, "cluster_id"), "cluster_id")
+    exact = aggregates.distinct_texts(reviews, "cluster_id")
+    joined = exact.join(estimated.withColumnRenamed("distinct_texts", "estimate"), "cluster_id")
+    return joined.select("cluster_id", "distinct_texts", sketches.within_error(F.col("estimate"), F.col("distinct_texts")).alias("estimate_within_error"))
+
+
 @query("product_drilldown", f"""{METRICS_SQL},
 chosen AS (SELECT * FROM metrics WHERE product_name = 'red widget' ORDER BY category LIMIT 1)
 SELECT product_name, 'negative' AS sentiment, rating_negative AS count FROM chosen

@@ -59,7 +59,7 @@ def bigram_counts(spark, sf_dir):
 
 @query("bow_vocabulary", f"{DOC_COUNTS} SELECT term, corpus_tf, df FROM vocab")
 def bow_vocabulary(spark, sf_dir):
-    return features.vocabulary(document_terms(spark, sf_dir), features.SENTIMENT_FEATURES)
+    return features.vocabulary(table(spark, sf_dir, "documents"), document_tokens(), features.SENTIMENT_FEATURES)
 
 
 @query("tfidf_long", f"""{DOC_COUNTS},

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from opinionmill.catalog.features import PRODUCTS, block_sql
-from opinionmill.catalog.registry import query
+from opinionmill.catalog.registry import USABLE, query
 from opinionmill.functions.labels import SENTIMENTS
-from opinionmill.operators import aggregates, classify, clusters, contracts, features, metrics, sampling
+from opinionmill.operators import aggregates, classify, clusters, contracts, features, metrics, newton, sampling
+from opinionmill.operators.vector_blocks import vector_blocks
 from opinionmill.session import materialized, scratch_path
 from opinionmill.sources import adapters, sinks
 from opinionmill.sources.adapters import table
@@ -65,6 +67,51 @@ def kmeans_assign(spark, sf_dir):
     return model.transform(rows).select("vec_id", F.col("prediction").alias("cluster_id"))
 
 
+@query("kmeans_nearest", "SELECT vec_id, TRUE AS at_nearest_centre, TRUE AS centre_is_mean FROM embeddings")
+def kmeans_nearest(spark, sf_dir):
+    """Every vector lies with the centre nearest to it, and every centre is the mean of its vectors."""
+    rows = materialized(spark, vectors(spark, sf_dir).select("vec_id", "features"), "vectors")
+    model = clusters.fit_kmeans(rows, clusters.CHOSEN_COUNT)
+    assigned = model.transform(rows).select("vec_id", F.col("prediction").alias("own"), vector_to_array("features").alias("v"))
+    assigned = materialized(spark, assigned, "assigned")
+    means = assigned.select("own", F.posexplode("v").alias("i", "x")).groupBy("own", "i").agg(F.avg("x").alias("mean")).collect()
+    centers = np.array(model.clusterCenters())  # clusters * dimensions numbers, as the means are
+    mean = centers.copy()
+    for r in means:
+        mean[r["own"], r["i"]] = r["mean"]
+    off = ((centers - mean) ** 2).sum(axis=1)
+    squares = F.array(*[_squared(F.col("v"), F.array(*[F.lit(float(x)) for x in c])) for c in centers])
+    return assigned.select("vec_id", "own", squares.alias("squares")).select(
+        "vec_id", (F.get("squares", F.col("own")) <= F.array_min("squares") + 1e-9).alias("at_nearest_centre"),
+        (F.get(F.array(*[F.lit(float(x)) for x in off]), F.col("own")) < 1e-6).alias("centre_is_mean"))
+
+
+def _squared(left, right):
+    return F.aggregate(F.zip_with(left, right, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, x: total + x)
+
+
+@query("svm_stationary", f"""
+WITH {USABLE}
+SELECT sentiment, count(*) AS rows, TRUE AS at_minimum FROM usable GROUP BY 1""")
+def svm_stationary(spark, sf_dir):
+    """The gradient of each class's squared-hinge objective vanishes at the fitted coefficients."""
+    reviews = adapters.usable_reviews(spark, sf_dir).select("review_text", "sentiment")
+    reviews = materialized(spark, reviews, "reviews")
+    stages = features.fit_text_features(reviews)
+    rows = classify.labelled_features(stages, reviews, "review_text", SENTIMENTS)
+    counts = classify.class_counts(rows)
+    weights = classify.class_weights(counts)
+    costs = np.array([weights.get(s, 1.0) for s in SENTIMENTS])
+    blocks = vector_blocks(rows, "features", "_label")
+    size = blocks.agg(F.max("size").alias("size")).first()["size"]
+    found = newton.fit_squared_hinge(blocks, size, costs)
+    start = np.linalg.norm(newton.loss_and_gradient(blocks, np.zeros_like(found), costs)[1], axis=1)
+    end = np.linalg.norm(newton.loss_and_gradient(blocks, found, costs)[1], axis=1)
+    return spark.createDataFrame(
+        [(s, counts[s], bool(end[i] <= 1e-4 * start[i])) for i, s in enumerate(SENTIMENTS) if s in counts],
+        "sentiment string, rows long, at_minimum boolean")
+
+
 @query("k_search")
 def k_search(spark, sf_dir):
     found, _ = clusters.compare_solutions(vectors(spark, sf_dir).select("vec_id", "features"))

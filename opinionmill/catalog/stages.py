@@ -13,7 +13,7 @@ from opinionmill.catalog.registry import (
 from opinionmill.operators import articles, metrics
 from opinionmill.plans import dashboard
 from opinionmill.session import scratch_path
-from opinionmill.sources import adapters, artifact, sinks
+from opinionmill.sources import adapters, artifact, documents, sinks
 from opinionmill.sources import reviews as readers
 
 SENTENCES_SQL = rf"""
@@ -78,6 +78,41 @@ def artifact_category_sentiment(spark, sf_dir):
     return saved_artifact(spark, sf_dir)["category_sentiment"]
 
 
+@query("artifact_record", f"""
+WITH {CLUSTERED},
+both_sources AS (
+  SELECT cluster_name AS category, 'model' AS source, model_sentiment AS sentiment FROM clustered
+  UNION ALL SELECT cluster_name, 'rating', sentiment FROM clustered)
+SELECT c.category, o.source, s.sentiment, count(b.category) AS count
+FROM (SELECT DISTINCT category FROM both_sources) c CROSS JOIN {SOURCE_ROWS} CROSS JOIN {SENTIMENT_ROWS}
+LEFT JOIN both_sources b ON b.category = c.category AND b.source = o.source AND b.sentiment = s.sentiment
+GROUP BY ALL""")
+def artifact_record(spark, sf_dir):
+    """The artifact as one JSON record in one file, read back."""
+    path = scratch_path(spark, "dashboard")
+    record = f"{path}-record/dashboard.json"
+    dashboard.build_dashboard(adapters.clustered_reviews(spark, sf_dir), path, themes=adapters.CORPUS_THEMES, record=record)
+    return artifact.read_nested(spark, record)["category_sentiment"]
+
+
+@query("csv_single_file", f"""
+WITH {REVIEWS_TEXT}, named AS (
+  SELECT row_id, rating, {clean_sql('raw_text')} AS review_text, {label_sql('rating')} AS sentiment,
+         trim(regexp_replace(product_name, '\\s+', ' ', 'g'), ' ,') AS product_name, categories FROM reviews_text)
+SELECT row_id, review_text, product_name, categories, rating, sentiment FROM named
+WHERE rating IS NOT NULL AND review_text <> ''""")
+def csv_single_file(spark, sf_dir):
+    """The documents as one CSV file with a byte-order mark, read again by ranges."""
+    path = scratch_path(spark, "reviews-file") + "/reviews.csv"
+    raw = adapters.reviews_text(spark, sf_dir).select(
+        F.col("row_id").cast("string").alias("id"), F.col("raw_text").alias("reviews.text"),
+        F.col("rating").cast("string").alias("reviews.rating"), F.col("product_name").alias("name"), "categories",
+    )
+    documents.write_csv_file(raw, path, ["id"])
+    loaded = readers.load_reviews(readers.read_reviews_csv(spark, path, row_id="id"))
+    return loaded.withColumn("row_id", F.col("row_id").cast("long"))
+
+
 @query("artifact_theme_counts", f"{THEMES_SQL} SELECT * FROM theme_counts")
 def artifact_theme_counts(spark, sf_dir):
     return saved_artifact(spark, sf_dir)["complaint_theme_counts"]

@@ -49,8 +49,9 @@ def stream_sentiment_counts(spark, sf_dir):
     reviews = adapters.usable_reviews(spark, sf_dir, document_stream(spark, sf_dir))
     refreshed = aggregates.category_sentiment(reviews, "categories")
     path = scratch_path(spark, "stream-counts")
-    counts.refresh_counts(refreshed, path, scratch_path(spark, "stream-counts-log")).awaitTermination()
-    return counts.latest_counts(spark, path, ["category", "source", "sentiment"], ["count"])
+    keys = ["category", "source", "sentiment"]
+    counts.refresh_counts(refreshed, path, scratch_path(spark, "stream-counts-log"), keys).awaitTermination()
+    return counts.latest_counts(spark, path)
 
 
 @query("stream_product_metrics", f"""
@@ -60,8 +61,7 @@ SELECT categories AS category, product_name, count(*) AS review_count, round(avg
 def stream_product_metrics(spark, sf_dir):
     reviews = adapters.usable_reviews(spark, sf_dir, document_stream(spark, sf_dir))
     refreshed = aggregates.product_metrics(reviews, "categories")
-    values = [c for c in refreshed.columns if c not in ("category", "product_name")]
     path = scratch_path(spark, "stream-products")
-    counts.refresh_counts(refreshed, path, scratch_path(spark, "stream-products-log")).awaitTermination()
-    latest = counts.latest_counts(spark, path, ["category", "product_name"], values)
-    return latest.withColumn("mean_rating", F.round("mean_rating", 6))
+    keys = ["category", "product_name"]
+    counts.refresh_counts(refreshed, path, scratch_path(spark, "stream-products-log"), keys).awaitTermination()
+    return counts.latest_counts(spark, path).withColumn("mean_rating", F.round("mean_rating", 6))

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinionmill.functions.matching import with_placeholders
 from opinionmill.functions.text import squeeze, strip
 
 # Fixed value: longest text handed to translation.
@@ -123,43 +124,10 @@ def protect_terms(
 ) -> DataFrame:
     """Swap each protected name for ``PRD{n}X`` and keep the names found, in order.
 
-    The longest names go first, one pass per name. A pass cuts the text at the matches and
-    joins the pieces with numbered placeholders, so it needs no Python.
+    The longest names go first. One scan finds the hits of all names, so a longer list costs no more.
     """
-    original = df.columns
     longest_first = sorted(terms, key=len, reverse=True)
-    patterns = [rf"(?iU)\b\Q{term}\E(?:s)?\b" for term in longest_first]
-    # One search for all names lets texts without any skip the passes.
-    anywhere = "(?iU)" + "|".join(pattern.removeprefix("(?iU)") for pattern in patterns)
-    out = df.withColumns({
-        out_text: F.col(text),
-        out_terms: F.array().cast("array<string>"),
-        "_any": F.coalesce(F.col(text).rlike(anywhere), F.lit(False)),
-    })
-    for pattern in patterns:
-        hits = F.regexp_extract_all(out_text, F.lit(pattern), F.lit(0))
-        found = F.when(F.col("_any") & F.col(out_text).rlike(pattern), hits)
-        pieces = F.split(out_text, pattern, -1)
-        out = out.withColumn("_found", found).select(
-            *original, "_any",
-            F.when(F.col("_found").isNotNull(), _with_placeholders(pieces, F.size(out_terms)))
-            .otherwise(F.col(out_text)).alias(out_text),
-            F.when(F.col("_found").isNotNull(), F.concat(out_terms, "_found"))
-            .otherwise(F.col(out_terms)).alias(out_terms),
-        )
-    return out.drop("_any")
-
-
-def _with_placeholders(pieces: Column, start: Column) -> Column:
-    def numbered(first: Column) -> Column:
-        return F.transform(
-            pieces,
-            lambda piece, i: F.when(i == 0, piece).otherwise(
-                F.concat(F.lit("PRD"), (first + i - 1).cast("string"), F.lit("X"), piece)
-            ),
-        )
-
-    return F.array_join(_bound(start, numbered), "")
+    return with_placeholders(df, text, longest_first, ("s", ""), out_text, out_terms)
 
 
 def restore_terms(text: Column, terms: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from opinionmill.functions.labels import COMPLAINT_THEMES, SENTIMENTS, theme_flags
 from opinionmill.functions.text import length_bucket
+from opinionmill.operators.quantiles import exact_quantiles
 from opinionmill.operators.ranking import first_rows
 from opinionmill.operators.reshape import ALL_CATEGORIES, long_counts, select_category
 
@@ -325,18 +326,15 @@ def missing_columns_report(profile: DataFrame) -> DataFrame:
 def describe_numeric(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, standard deviation, extremes and exact quartiles.
 
-    ``percentile`` merges counts per distinct value, so its state grows with the number of
-    different values: a handful for star ratings, whatever the number of rows.
+    The quartiles are found by selection, with buffers of fixed size however many values differ.
     """
-    number = F.when(~F.isnan(column), F.col(column))
-    quartiles = F.percentile(number, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.agg(
-        F.count(number).alias("count"), F.avg(number).alias("mean"), F.stddev_samp(number).alias("std"),
-        F.min(number).alias("min"), quartiles.alias("_q"), F.max(number).alias("max"),
-    ).select(
-        "count", "mean", "std", "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-        F.col("_q")[2].alias("q3"), "max",
-    )
+    number = F.col(column).cast("double")
+    numbers = df.select(F.when(~F.isnan(number), number).alias("v"))
+    facts = numbers.agg(
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    quartiles = exact_quantiles(numbers, "v", (0.25, 0.5, 0.75))
+    return facts.select(
+        "count", "mean", "std", "min", *[F.lit(q).cast("double").alias(n) for q, n in zip(quartiles, ("q1", "median", "q3"), strict=True)], "max")
 
 
 def product_drilldown(products: DataFrame, product_name: str, source: str) -> DataFrame:

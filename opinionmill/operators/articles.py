@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinionmill.functions.formats import joined_examples, percent, thousands, two_decimals
 from opinionmill.functions.text import sentences, strip, word_count
 from opinionmill.functions.tokens import without_stop_words, word_tokens
-from opinionmill.operators.features import smoothed_idf, term_counts, vocabulary
+from opinionmill.operators.features import number_list, vocabulary
 from opinionmill.operators.ranking import first_rows
 from opinionmill.operators.text_stage import TextFunction, apply_to_texts
+from opinionmill.operators.vector_blocks import stored_vectors
 
 # Shortest input worth summarising and the bounds of the output length.
 SHORT_INPUT_TOKENS = 40
@@ -145,19 +148,18 @@ def sentence_weights(df: DataFrame, key: str, text: str, stop_words: Sequence[st
     added up over the occurrences and divided by the root of the word count."""
     listed = df.select(key, F.posexplode(sentences(F.col(text))).alias("position", "sentence"))
     tokens = without_stop_words(word_tokens(F.col("sentence")), stop_words)
-    counts = term_counts(listed, [key, "position"], tokens)
-    total = listed.agg(F.count(F.lit(1)).cast("double")).scalar()
-    terms = vocabulary(counts, max_features).select("term", "df")
-    weights = (
-        counts.join(F.broadcast(terms), "term")
-        .groupBy(key, "position")
-        .agg(F.sum(F.col("tf") * smoothed_idf(total, F.col("df"))).alias("_sum"))
-    )
-    words = F.greatest(word_count(F.col("sentence")), F.lit(1))
-    return listed.join(weights, [key, "position"], "left").select(
-        key, "position", "sentence",
-        F.round(F.coalesce(F.col("_sum"), F.lit(0.0)) / F.sqrt(words.cast("double")), 6).alias("weight"),
-    )
+    found = vocabulary(listed, tokens, max_features).collect()
+    total = listed.count()
+    words = F.sqrt(F.greatest(word_count(F.col("sentence")), F.lit(1)).cast("double"))
+    if not found:
+        return listed.withColumn("weight", F.lit(0.0))
+    # the counts of a sentence lie in its own row, as the vector of a fitted vocabulary stage
+    stage = CountVectorizerModel.from_vocabulary([r["term"] for r in found], inputCol="_terms", outputCol="_counts")
+    counted = stored_vectors(stage.transform(listed.withColumn("_terms", tokens)).drop("_terms"), "_counts")
+    idf = number_list([math.log((total + 1.0) / (r["df"] + 1.0)) + 1.0 for r in found])
+    parts = F.zip_with("_counts.indices", "_counts.values", lambda i, n: n * F.element_at(idf, i + 1))
+    added = F.aggregate(parts, F.lit(0.0), lambda sum_, x: sum_ + x)
+    return counted.select(key, "position", "sentence", F.round(added / words, 6).alias("weight"))
 
 
 def extractive_summaries(df: DataFrame, key: str, text: str, sentences_kept: int = 2,

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
+from pyspark.ml.classification import LinearSVCModel, LogisticRegression, NaiveBayes
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +23,10 @@ from opinionmill.functions.labels import SENTIMENTS
 from opinionmill.operators import contracts
 from opinionmill.operators.features import SENTIMENT_FEATURES, fit_text_features
 from opinionmill.operators.metrics import cell_counts, summary_metrics
+from opinionmill.operators.newton import fit_squared_hinge
 from opinionmill.operators.sampling import union_all
+from opinionmill.operators.vector_blocks import vector_blocks
+from opinionmill.session import materialized
 
 
 @dataclass(frozen=True)
@@ -79,32 +86,27 @@ def with_weights(df: DataFrame, balanced: bool, label: str = "sentiment", out: s
     return df.withColumn(out, chain)
 
 
+def _svc_model(features: DataFrame, position: int, weights: np.ndarray) -> LinearSVCModel:
+    """Coefficients and intercept as a model of Spark's library, which can be saved."""
+    context = features.sparkSession.sparkContext
+    java = context._jvm.org.apache.spark.ml.classification.LinearSVCModel(
+        f"svc_{position}_{uuid.uuid4().hex[:12]}", _py2java(context, Vectors.dense(weights[:-1])), float(weights[-1]))
+    model = LinearSVCModel(java)
+    return model._set(featuresCol="features", rawPredictionCol=f"_raw_{position}", predictionCol=f"_predicted_{position}")
+
+
 def fit_one_vs_rest(features: DataFrame, balanced: bool, max_iter: int, labels: Sequence[str] = SENTIMENTS) -> list[Transformer]:
     """One linear SVM per class, its margins joined to one ``rawPrediction`` vector (L4).
 
-    Rows of the class carry its balanced weight, all others weigh 1. A penalty constant of 1 on
-    summed losses is 1 / (sum of weights) on Spark's averaged loss.
+    Squared hinge loss with a penalty constant of 1 and the intercept penalised as one more coefficient. Rows of
+    the class carry its balanced weight, all others weigh 1. All classes are fitted in the same passes.
     """
     counts = class_counts(features)
-    weights = class_weights(counts) if balanced else dict.fromkeys(counts, 1.0)
-    rows = sum(counts.values())
-
-    def fit_class(position: int) -> Transformer:
-        label = labels[position]
-        own, weight = counts.get(label, 0), weights.get(label, 1.0)
-        is_class = F.col("sentiment") == label
-        binary = features.withColumn("_is_class", is_class.cast("double")).withColumn(
-            "_weight", F.when(is_class, F.lit(weight)).otherwise(1.0)
-        )
-        total = own * weight + rows - own
-        return LinearSVC(
-            featuresCol="features", labelCol="_is_class", weightCol="_weight", standardization=False,
-            regParam=1.0 / total, maxIter=max_iter, rawPredictionCol=f"_raw_{position}",
-            predictionCol=f"_predicted_{position}",
-        ).fit(binary)
-
-    with ThreadPool(len(labels)) as pool:
-        stages = pool.map(inheritable_thread_target(features.sparkSession)(fit_class), range(len(labels)))
+    weights = class_weights(counts) if balanced else {}
+    blocks = vector_blocks(features, "features", "_label")
+    size = blocks.agg(F.max("size").alias("size")).first()["size"] or 0
+    found = fit_squared_hinge(blocks, size, [weights.get(label, 1.0) for label in labels], max_iter)
+    stages = [_svc_model(features, i, found[i]) for i in range(len(labels))]
     margins = [
         VectorSlicer(inputCol=f"_raw_{i}", outputCol=f"_margin_{i}", indices=[1]) for i in range(len(labels))
     ]
@@ -137,6 +139,13 @@ def predicted_label(labels: Sequence[str] = SENTIMENTS) -> Column:
     return scores.best_label(vector_to_array("rawPrediction"), labels)
 
 
+def labelled_features(stages: PipelineModel, rows: DataFrame, text: str, labels: Sequence[str]) -> DataFrame:
+    """sentiment, its number and the features, written once for the passes of the learners."""
+    named = stages.transform(rows.select(text, "sentiment")).select(
+        "sentiment", label_index(F.col("sentiment"), labels).alias("_label"), "features")
+    return materialized(rows.sparkSession, named, "labelled-features")
+
+
 def compare_candidates(
     train: DataFrame, validation: DataFrame, text: str = "review_text", candidates: Sequence[Candidate] = CANDIDATES,
     max_features: int = SENTIMENT_FEATURES, max_iter: int = 100, labels: Sequence[str] = SENTIMENTS,
@@ -148,21 +157,20 @@ def compare_candidates(
     scored = []
     for tfidf in sorted({c.tfidf for c in candidates}, reverse=True):
         stages = fit_text_features(train, text, max_features, tfidf_weights=tfidf)
-        kept = [
-            stages.transform(frame).select("sentiment", label_index(F.col("sentiment"), labels).alias("_label"), "features")
-            .persist(StorageLevel.MEMORY_AND_DISK)
-            for frame in (train, validation)
-        ]
-        rows = kept[0].count()
-        for position, candidate in enumerate(candidates):
-            if candidate.tfidf == tfidf:
-                model = PipelineModel(fit_learner(kept[0], candidate, rows, max_iter, labels))
-                named = model.transform(kept[1]).select(
-                    F.col("sentiment").alias("actual"), predicted_label(labels).alias("predicted")
-                )
-                scored += [(candidate.name, position, *cell) for cell in cell_counts(named).collect()]
-        for frame in kept:
-            frame.unpersist()
+        fitting, judging = (labelled_features(stages, frame, text, labels) for frame in (train, validation))
+        rows = fitting.count()
+
+        def judge(entry: tuple[int, Candidate], fitting: DataFrame = fitting, judging: DataFrame = judging, rows: int = rows) -> list[tuple]:
+            position, candidate = entry
+            model = PipelineModel(fit_learner(fitting, candidate, rows, max_iter, labels))
+            named = model.transform(judging).select(
+                F.col("sentiment").alias("actual"), predicted_label(labels).alias("predicted"))
+            return [(candidate.name, position, *cell) for cell in cell_counts(named).collect()]
+
+        own = [(i, c) for i, c in enumerate(candidates) if c.tfidf == tfidf]
+        with ThreadPool(len(own)) as pool:  # the candidates share the features and train side by side
+            for cells in pool.map(inheritable_thread_target(train.sparkSession)(judge), own):
+                scored += cells
     # Only labels x labels cell counts per candidate reach the driver.
     cells = train.sparkSession.createDataFrame(scored, "model string, position int, actual string, predicted string, n long")
     return summary_metrics(cells, ["model", "position"], labels).orderBy(
@@ -176,12 +184,8 @@ def fit_sentiment_model(
 ) -> PipelineModel:
     """Text to class margins as one savable pipeline (L7), all of it JVM stages."""
     stages = fit_text_features(train, text, max_features, tfidf_weights=candidate.tfidf)
-    features = stages.transform(train).select(
-        "sentiment", label_index(F.col("sentiment"), labels).alias("_label"), "features"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = features.count()
-    fitted = fit_learner(features, candidate, rows, max_iter, labels)
-    features.unpersist()
+    features = labelled_features(stages, train, text, labels)
+    fitted = fit_learner(features, candidate, features.count(), max_iter, labels)
     return PipelineModel([*stages.stages, *fitted])
 
 

@@ -7,10 +7,8 @@ definition, so the joins that apply them may broadcast; nothing else here is bro
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer,
@@ -19,20 +17,23 @@ from pyspark.ml.feature import (
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from opinionmill.functions.tokens import (
     default_stop_words, uni_and_bigrams, without_stop_words, word_tokens,
 )
 from opinionmill.operators.ranking import first_rows
+from opinionmill.operators.vector_blocks import stored_vectors
 from opinionmill.session import materialized, scratch_path
 
 # Feature limits of the sentiment models and the cluster profiles.
 SENTIMENT_FEATURES = 5000
 PROFILE_FEATURES = 2000
 
+# Counters of the sketch that names the candidates of a vocabulary.
+TRACKED = 1 << 18
+
 # Text blocks of a product with their feature limit and weight.
 PRODUCT_BLOCKS = {
     "title": ("product_name", 1000, 4.0),
@@ -41,68 +42,102 @@ PRODUCT_BLOCKS = {
 }
 
 
-def _per_row(df: DataFrame, keys: Sequence[str], tokens: Column, weigh: Callable[[Counter], dict[str, float]],
-             value: StructField) -> DataFrame:
-    """Long form of what ``weigh`` makes of the term frequencies of each row; nothing is shuffled."""
-    rows = df.select(*keys, tokens.alias("_tokens"))
-    wanted = StructType([*rows.schema.fields[:-1], StructField("term", StringType()), value])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = to_arrow_schema(wanted)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                weighed = [weigh(Counter(t or [])) for t in batch.column(len(keys)).to_pylist()]
-                owner = pa.array([i for i, terms in enumerate(weighed) for _ in terms], pa.int64())
-                columns = [batch.column(i).take(owner) for i in range(len(keys))]
-                columns.append(pa.array([t for terms in weighed for t in terms], pa.string()))
-                columns.append(pa.array([v for terms in weighed for v in terms.values()], schema.field(len(keys) + 1).type))
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-    return rows.mapInArrow(run, wanted)
-
-
 def term_counts(df: DataFrame, keys: Sequence[str], tokens: Column, one_row_per_key: bool = False) -> DataFrame:
     """Term frequency per document: keys, term, tf.
 
-    With one row per document the terms are counted inside the row and nothing is shuffled. Leave it off
-    where a key collects many rows, such as a cluster.
+    With one row per document the terms are counted inside the row, as runs of the sorted tokens, and nothing is
+    shuffled. Leave it off where a key collects many rows, such as a cluster.
+    """
+    if not one_row_per_key:
+        return df.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+    rows = df.select(*keys, F.sort_array(tokens).alias("_sorted"))
+    following = F.slice("_sorted", F.lit(2), F.greatest(F.size("_sorted"), F.lit(0)))
+    last = F.zip_with("_sorted", following, lambda a, b: ~a.eqNullSafe(b))  # of its run
+    ends = F.filter(F.transform(last, lambda is_last, i: F.when(is_last, i + 1)), lambda i: i.isNotNull())
+    rows = rows.select(*keys, "_sorted", ends.alias("_ends"))
+    before = F.slice(F.concat(F.array(F.lit(0)), "_ends"), F.lit(1), F.greatest(F.size("_ends"), F.lit(0)))
+    counted = F.zip_with("_ends", before, lambda end, begin: F.struct(
+        F.element_at("_sorted", end).alias("term"), (end - begin).cast("long").alias("tf")))
+    return rows.select(*keys, F.inline(counted))
+
+
+def vocabulary(df: DataFrame, tokens: Column, max_features: int, tracked: int = TRACKED) -> DataFrame:
+    """The most frequent terms over all rows, ties by name: term, corpus_tf, df.
+
+    A frequent-items sketch per task, merged, names the candidates; one pass counts these exactly, so only
+    candidates are shuffled. A term that is no candidate cannot occur more often than the sketch's error bound
+    or the last candidate's estimate. Where the last wanted term does not exceed both, all terms are counted.
     """
-    if one_row_per_key:
-        return _per_row(df, keys, tokens, dict, StructField("tf", LongType()))
-    return df.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+    rows = df.select(tokens.alias("_terms"))
+    wanted = min(2 * max_features + 100, tracked)
+    sketch = rows.select(F.explode("_terms").alias("term")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(term, {wanted}, {tracked})").alias("top")).first()
+    top = sketch["top"] or []
+    if not top:
+        return _ranked(_all_terms(rows), max_features)
+    # a sketch of m counters is off by 3.5 / m of all occurrences at most; unlisted terms are estimated no higher than the last
+    bound = max(3.5 * sketch["n"] / tracked, float(top[-1]["count"]) if len(top) == wanted else 0.0)
+    names = df.sparkSession.createDataFrame([(t["item"],) for t in top], "term string")  # at most ``wanted`` rows
+    counted = _all_terms(rows, names)
+    found = materialized(df.sparkSession, _ranked(counted, max_features), "vocabulary")
+    least = found.agg(F.count(F.lit(1)).alias("many"), F.min("corpus_tf").alias("least")).first()
+    if least["many"] == max_features and least["least"] > bound:
+        return found
+    return _ranked(_all_terms(rows), max_features)
+
+
+def _all_terms(rows: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """term, corpus_tf, df of all terms, or of ``names`` only, without a (document, term) table.
+
+    Every occurrence adds to corpus_tf, every distinct term of a row adds to df.
+    """
+    occurrences = F.transform("_terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
+    presence = F.transform(
+        F.array_distinct("_terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
+    listed = rows.select(F.inline(F.concat(occurrences, presence)))
+    if names is not None:
+        listed = listed.join(F.broadcast(names), "term")
+    return listed.groupBy("term").agg(F.sum("tf").alias("corpus_tf"), F.sum("df").alias("df"))
 
 
-def vocabulary(counts: DataFrame, max_features: int) -> DataFrame:
-    """The most frequent terms over all documents, ties by name: term, corpus_tf, df."""
-    return (
-        counts.groupBy("term").agg(F.sum("tf").alias("corpus_tf"), F.count(F.lit(1)).alias("df"))
-        .orderBy(F.desc("corpus_tf"), F.asc("term")).limit(max_features)
-    )
+def _ranked(counts: DataFrame, max_features: int) -> DataFrame:
+    return counts.orderBy(F.desc("corpus_tf"), F.asc("term")).limit(max_features)
+
 
+def text_list(values: Sequence[str]) -> Column:
+    """A constant array of terms, which hold no control characters, from one literal."""
+    return F.split(F.lit("\u0001".join(values)), "\u0001")
 
-def smoothed_idf(documents: Column, df: Column) -> Column:
-    return F.log((documents + 1.0) / (df + 1.0)) + 1.0
+
+def number_list(values: Sequence[float]) -> Column:
+    """A constant array of numbers from one literal."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
 def tfidf(df: DataFrame, keys: Sequence[str], tokens: Column, max_features: int, sublinear: bool = False) -> DataFrame:
     """Smoothed, length-normalised TF-IDF in long form: keys, term, weight.
 
-    One grouped pass over the terms gives the vocabulary, at most ``max_features`` rows on the driver;
-    each document is then weighed and normalised inside its row.
+    One grouped pass over the terms gives the vocabulary, at most ``max_features`` rows on the driver. The counts
+    of each document are the sparse vector of a fitted vocabulary stage, written in its stored form; its arrays
+    are weighed, normalised and unfolded inside the row.
     """
-    found = _frequent_terms(df.select(tokens.alias("_terms")), max_features)
+    found = vocabulary(df, tokens, max_features).orderBy(F.desc("corpus_tf"), "term").collect()
+    if not found:
+        return df.select(*keys, F.lit("").alias("term"), F.lit(0.0).alias("weight")).where("1 = 0")
     documents = df.count()
-    idf = {row["term"]: math.log((documents + 1.0) / (row["df"] + 1.0)) + 1.0 for row in found}
-    shared = df.sparkSession.sparkContext.broadcast(idf)
-
-    def weigh(counts: Counter) -> dict[str, float]:
-        known = shared.value
-        raw = {t: (1.0 + math.log(n) if sublinear else n) * known[t] for t, n in counts.items() if t in known}
-        norm = math.sqrt(sum(v * v for v in raw.values()))
-        return {t: v / norm for t, v in raw.items()}
-
-    return _per_row(df, keys, tokens, weigh, StructField("weight", DoubleType()))
+    stage = CountVectorizerModel.from_vocabulary([r["term"] for r in found], inputCol="_terms", outputCol="_counts")
+    known = F.coalesce(tokens, F.array().cast("array<string>"))
+    counted = stored_vectors(stage.transform(df.select(*keys, known.alias("_terms"))).select(*keys, "_counts"), "_counts")
+    idf = number_list([math.log((documents + 1.0) / (r["df"] + 1.0)) + 1.0 for r in found])
+    names = text_list([r["term"] for r in found])
+    raw = F.zip_with("_counts.indices", "_counts.values", lambda i, n: F.struct(
+        i.alias("at"), ((F.log(n) + 1.0 if sublinear else n) * F.element_at(idf, i + 1)).alias("w")))
+    rows = counted.select(*keys, raw.alias("_raw"))
+    norm = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda total, x: total + x["w"] * x["w"]))
+    rows = rows.select(*keys, "_raw", norm.alias("_norm"))
+    weights = F.transform("_raw", lambda x: F.struct(
+        F.element_at(names, x["at"] + 1).alias("term"), (x["w"] / F.col("_norm")).alias("weight")))
+    return rows.select(*keys, F.inline(weights))
 
 
 def product_blocks(products: DataFrame, stop_words: Sequence[str] | None = None,
@@ -156,7 +191,7 @@ def cluster_terms(products: DataFrame, key: str = "cluster_id", stop_words: Sequ
     """Term counts per cluster over its products' documents."""
     tokens = uni_and_bigrams(without_stop_words(word_tokens(F.col("review_document")), stop_words))
     counts = term_counts(products, [key], tokens)
-    kept = vocabulary(counts, max_features).select("term")
+    kept = vocabulary(products, tokens, max_features).select("term")
     return counts.join(F.broadcast(kept), "term").select(key, "term", "tf")
 
 
@@ -185,7 +220,7 @@ def fit_text_features(
         SQLTransformer(statement="SELECT *, concat(_kept, _pairs) AS _terms FROM __THIS__"),
     ]
     prepared = PipelineModel(stages).transform(train.select(text)).select("_terms")
-    found = _frequent_terms(prepared, max_features)
+    found = vocabulary(prepared, F.col("_terms"), max_features).orderBy(F.desc("corpus_tf"), "term").collect()
     documents = train.count()
     terms = [row["term"] for row in found]
     counted = "_counts" if tfidf_weights else output
@@ -198,19 +233,3 @@ def fit_text_features(
         ]
     return PipelineModel(stages)
 
-
-def _frequent_terms(prepared: DataFrame, max_features: int) -> list:
-    """Most frequent terms with corpus and document frequency in one pass.
-
-    Every occurrence adds to tf, every distinct term of a row adds to df, so that no
-    (document, term) table has to be shuffled.
-    """
-    occurrences = F.transform("_terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
-    presence = F.transform(
-        F.array_distinct("_terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))
-    )
-    return (
-        prepared.select(F.inline(F.concat(occurrences, presence)))
-        .groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
-        .orderBy(F.desc("tf"), F.asc("term")).limit(max_features).collect()
-    )

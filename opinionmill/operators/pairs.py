@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,26 +43,60 @@ def rouge_tokens(text: Column) -> Column:
     return F.filter(F.split(clean_text(text), " "), lambda t: t != "")
 
 
-def _clipped(left: Sequence[str], right: Sequence[str], order: int) -> tuple[int, int]:
-    """Clipped matches of the left n-grams, and how many there are."""
-    grams = [Counter(zip(*[side[i:] for i in range(order)])) for side in (left, right)]
-    return sum((grams[0] & grams[1]).values()), max(0, len(left) - order + 1)
+class _TokenPairs:
+    """A batch of token list pairs as one run of word numbers per side, each word with its row."""
+
+    def __init__(self, candidate: pd.Series, reference: pd.Series):
+        self.rows = len(candidate)
+        self.sizes = [np.array([len(x) for x in side], np.int64) for side in (candidate, reference)]
+        words = np.concatenate([np.zeros(0, object), *candidate, *reference])
+        numbers = pd.factorize(words)[0].astype(np.int64)
+        many = int(self.sizes[0].sum())
+        self.row = [np.repeat(np.arange(self.rows), sizes) for sizes in self.sizes]
+        self.grams = [numbers[:many], numbers[many:]]  # the n-gram that begins at each place
+        self.order = 1
+
+    def lengthen(self) -> None:
+        """To n-grams of the next order; those that would cross into the next row go."""
+        kept = []
+        for side in (0, 1):
+            row, sizes = self.row[side], self.sizes[side]
+            last = np.repeat(np.cumsum(np.maximum(0, sizes - self.order + 1)), np.maximum(0, sizes - self.order + 1)) - 1
+            kept.append(np.flatnonzero(np.arange(len(row)) != last))
+        pairs = [np.column_stack((self.grams[s][kept[s]], self.grams[s][kept[s] + 1])) for s in (0, 1)]
+        width = 1 + max((int(p.max()) for p in pairs if len(p)), default=0)
+        codes = np.concatenate([p[:, 0] * width + p[:, 1] for p in pairs])
+        numbers = np.unique(codes, return_inverse=True)[1]
+        self.grams = [numbers[:len(pairs[0])], numbers[len(pairs[0]):]]
+        self.row = [self.row[s][kept[s]] for s in (0, 1)]
+        self.order += 1
+
+    def matches(self) -> np.ndarray:
+        """Clipped matches of each row."""
+        width = 1 + max((int(g.max()) for g in self.grams if len(g)), default=0)
+        keys, times = zip(*(np.unique(r * width + g, return_counts=True) for r, g in zip(self.row, self.grams, strict=True)), strict=True)
+        common, left, right = np.intersect1d(keys[0], keys[1], assume_unique=True, return_indices=True)
+        shared = np.minimum(times[0][left], times[1][right])
+        return np.bincount(common // width, shared, self.rows).astype(np.int64)
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def bleu_counts(candidate: pd.Series, reference: pd.Series) -> pd.Series:
     """Matches and candidate n-grams of each order, then the reference length, of a pair of token lists."""
-    rows = []
-    for left, right in zip(candidate, reference):
-        pairs = [_clipped(list(left), list(right), n) for n in range(1, MAX_ORDER + 1)]
-        rows.append([m for m, _ in pairs] + [t for _, t in pairs] + [len(right)])
-    return pd.Series(rows)
+    pairs = _TokenPairs(candidate, reference)
+    found = [pairs.matches()]
+    for _ in range(1, MAX_ORDER):
+        pairs.lengthen()
+        found.append(pairs.matches())
+    sizes = pairs.sizes[0]
+    columns = [*found, *(np.maximum(0, sizes - n) for n in range(MAX_ORDER)), pairs.sizes[1]]
+    return pd.Series(np.column_stack(columns).tolist())
 
 
 @F.pandas_udf(T.LongType())
 def unigram_hits(candidate: pd.Series, reference: pd.Series) -> pd.Series:
     """Clipped token matches of a pair of token lists."""
-    return pd.Series([_clipped(list(a), list(b), 1)[0] for a, b in zip(candidate, reference)], dtype="int64")
+    return pd.Series(_TokenPairs(candidate, reference).matches(), dtype="int64")
 
 
 BLEU_FIELDS = [f"m{n}" for n in range(1, MAX_ORDER + 1)] + [f"t{n}" for n in range(1, MAX_ORDER + 1)] + ["ref"]

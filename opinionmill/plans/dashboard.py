@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from opinionmill.functions.text import LENGTH_BUCKETS
 from opinionmill.operators import aggregates, contracts, ranking, reshape
 from opinionmill.operators.classify import predict_sentiment
 from opinionmill.operators.joins import UNASSIGNED_NAME
+from opinionmill.session import materialized
 from opinionmill.sources import artifact, sinks
 
 REQUIRED = ("review_text", "product_name", "rating", "sentiment", "cluster_name")
@@ -40,7 +40,7 @@ def dashboard_reviews(reviews: DataFrame, model: PipelineModel | None = None) ->
 
 
 def dashboard_tables(scored: DataFrame, themes: Mapping[str, str] = COMPLAINT_THEMES) -> dict[str, DataFrame]:
-    """The four count tables. Persist ``scored`` first: each table reads it once."""
+    """The four count tables. Write ``scored`` first: each table reads it once."""
     return {
         "category_sentiment": aggregates.category_sentiment(scored),
         "product_metrics": aggregates.product_metrics(scored),
@@ -50,13 +50,14 @@ def dashboard_tables(scored: DataFrame, themes: Mapping[str, str] = COMPLAINT_TH
 
 
 def build_dashboard(reviews: DataFrame, path: str, model: PipelineModel | None = None,
-                    themes: Mapping[str, str] = COMPLAINT_THEMES) -> str:
-    """Score, aggregate and write the artifact; returns its path."""
+                    themes: Mapping[str, str] = COMPLAINT_THEMES, record: str | None = None) -> str:
+    """Score, aggregate and write the artifact; returns its path. ``record`` names a file for the single-record form as well."""
     columns = list(dict.fromkeys([*REQUIRED, *(c for c in reviews.columns if c == "model_sentiment")]))
     contracts.require_columns(reviews, REQUIRED, "Review-cluster data")
-    scored = dashboard_reviews(reviews.select(*columns), model).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = materialized(reviews.sparkSession, dashboard_reviews(reviews.select(*columns), model), "scored")
     artifact.write(scored.agg(F.count(F.lit(1))), dashboard_tables(scored, themes), path)
-    scored.unpersist()
+    if record:
+        artifact.write_nested(scored.agg(F.count(F.lit(1))), artifact.read(reviews.sparkSession, path), record)
     return path
 
 

@@ -14,6 +14,7 @@ from opinionmill.operators.text_stage import TextFunction
 from opinionmill.session import materialized
 from opinionmill.sources import reviews as readers
 from opinionmill.sources import sinks
+from opinionmill.sources.documents import write_text_file
 
 GUIDE_HEADING = (
     "> Product rankings and statistics are calculated from the review data; quoted themes are "
@@ -82,6 +83,8 @@ def write_guides(profiles: DataFrame, mapped: DataFrame, out: str, make_function
     drafts = materialized(spark, articles.drafts(briefs, articles.articles(briefs, summaries), model_name), "drafts")
     contracts.require_articles(drafts, profiles, inference="local")
     sinks.write_markdown(drafts, f"{out}/category_articles", GUIDE_HEADING)
+    guide = drafts.withColumn("text", F.concat("article", F.lit("\n")))
+    write_text_file(guide, f"{out}/category_articles.md", "text", ["cluster_id"], f"{GUIDE_HEADING}\n\n")
     sinks.write_csv(drafts, f"{out}/article_drafts")
     return drafts
 

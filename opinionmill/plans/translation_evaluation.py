@@ -18,7 +18,8 @@ from opinionmill.operators.sampling import sample_per_group
 from opinionmill.operators.text_stage import TextFunction
 from opinionmill.operators.translate import prepare, translate, translate_back
 from opinionmill.session import materialized
-from opinionmill.sources.sinks import write_csv, write_json_record
+from opinionmill.sources.documents import write_csv_file
+from opinionmill.sources.sinks import write_json_record
 
 # Word band of usable reviews and the sample size per class.
 MIN_WORDS, MAX_WORDS = 4, 120
@@ -66,11 +67,8 @@ def _with_prediction(model: PipelineModel, df: DataFrame, text: str, out: str) -
 
 
 def save(samples: DataFrame, scores: DataFrame, path: str) -> None:
-    """Sample table for manual comparison and the metrics record.
-
-    Spark's CSV writer adds no byte-order mark; spreadsheets need UTF-8 chosen on import.
-    """
+    """Sample table for manual comparison, one file with a byte-order mark, and the metrics record."""
     columns = ["sentiment", "rating", "original", "german", "back_translation", "pred_original", "pred_back",
                "sentiment_preserved", "status"]
-    write_csv(samples.orderBy("row_id").select(*columns), f"{path}/translation_samples")
+    write_csv_file(samples.orderBy("row_id").select(*columns), f"{path}/translation_samples.csv")
     write_json_record(scores, f"{path}/translation_metrics")

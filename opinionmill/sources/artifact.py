@@ -1,11 +1,12 @@
 """The dashboard artifact: four count tables under one manifest.
 
 The tables are written as JSON-lines folders, so a table with millions of products is written
-and read in parallel. A record in one file, as other tools write it, can be read too.
+and read in parallel. A single record in one file can be written and read too.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from opinionmill.functions.labels import SENTIMENTS
 from opinionmill.operators import contracts
+from opinionmill.sources import documents
 from opinionmill.sources.sinks import write_json_record
 
 # Version and schemas of the artifact's tables.
@@ -37,19 +39,28 @@ def _columns(name: str) -> list[str]:
     return [field.split()[0] for field in TABLES[name].split(", ")]
 
 
-def manifest(review_count: DataFrame) -> DataFrame:
+def manifest(review_count: DataFrame, notes: Mapping[str, str] = SOURCE_NOTES) -> DataFrame:
     """Version, source notes and review count; ``review_count`` is one row with one column."""
-    notes = F.create_map(*[F.lit(v) for item in SOURCE_NOTES.items() for v in item])
+    named = F.create_map(*[F.lit(v) for item in notes.items() for v in item])
     return review_count.toDF("review_count").select(
-        F.lit(SCHEMA_VERSION).alias("schema_version"), notes.alias("sentiment_sources"), "review_count"
+        F.lit(SCHEMA_VERSION).alias("schema_version"), named.alias("sentiment_sources"), "review_count"
     )
 
 
-def write(review_count: DataFrame, tables: Mapping[str, DataFrame], path: str) -> None:
+def write(review_count: DataFrame, tables: Mapping[str, DataFrame], path: str, notes: Mapping[str, str] = SOURCE_NOTES) -> None:
     """The tables first, the manifest last: a reader never sees a half-written artifact."""
     for name in TABLES:
         write_json_record(tables[name].select(*_columns(name)), f"{path}/{name}")
-    write_json_record(manifest(review_count), f"{path}/manifest")
+    write_json_record(manifest(review_count, notes), f"{path}/manifest")
+
+
+def write_nested(review_count: DataFrame, tables: Mapping[str, DataFrame], path: str, notes: Mapping[str, str] = SOURCE_NOTES) -> None:
+    """The artifact as one JSON record in one file, as ``read_nested`` takes it; ``notes`` say what the sources are."""
+    rows = review_count.toDF("review_count").first()["review_count"]
+    head = {"schema_version": SCHEMA_VERSION, "sentiment_sources": dict(notes), "review_count": rows}
+    fields = json.dumps(head, ensure_ascii=False, separators=(",", ":"))[1:-1]
+    named = {name: tables[name].select(*_columns(name)) for name in TABLES}
+    documents.write_json_document(review_count.sparkSession, fields, named, path)
 
 
 def read(spark: SparkSession, path: str) -> dict[str, DataFrame]:

@@ -133,8 +133,8 @@ def test_counts_over_two_batches(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema(schema).parquet(source).groupBy("k").agg(F.sum("n").alias("n"))
-        counts.refresh_counts(stream, path, str(tmp_path / "log")).awaitTermination()
-        return {r["k"]: r["n"] for r in counts.latest_counts(spark, path, ["k"], ["n"]).collect()}
+        counts.refresh_counts(stream, path, str(tmp_path / "log"), ["k"]).awaitTermination()
+        return {r["k"]: r["n"] for r in counts.latest_counts(spark, path).collect()}
 
     spark.createDataFrame([("a", 1), ("b", 2)], schema).write.mode("append").parquet(source)
     assert run() == {"a": 1, "b": 2}
@@ -142,6 +142,26 @@ def test_counts_over_two_batches(spark, tmp_path):
     assert run() == {"a": 6, "b": 2}
 
 
+def test_snapshots_are_compacted_and_repeatable(spark, tmp_path):
+    path, want = str(tmp_path / "snapshot"), {}
+    with pytest.raises(FileNotFoundError, match="no version"):
+        counts.latest_counts(spark, path)
+    draw = random.Random(3)
+    for batch in range(8):
+        rows = {draw.choice([None, *"abcdefghijklmnop"]): draw.randrange(100) for _ in range(4)}
+        want |= rows
+        changed = spark.createDataFrame(list(rows.items()), "k string, n long")
+        for _ in range(2):  # the second time is a batch that runs again
+            counts.Snapshot(spark, path).merge(changed, ["k"], batch)
+        late = spark.createDataFrame([("a", -1)], "k string, n long")
+        counts.Snapshot(spark, path).merge(late, ["k"], batch - 1)
+        latest = counts.latest_counts(spark, path)
+        assert {r["k"]: r["n"] for r in latest.collect()} == want and latest.count() == len(want)
+    assert len(list((tmp_path / "snapshot/manifests").glob("*.json"))) == counts.KEPT_VERSIONS
+    names = set(counts.Snapshot(spark, path).manifest()["buckets"].values())
+    assert len(latest.inputFiles()) <= counts.BUCKETS and len(names) <= 8
+
+
 def same():
     return lambda texts: texts
 

@@ -1,5 +1,6 @@
 """Column functions on edge rows."""
 
+import random
 import re
 
 import pytest
@@ -173,3 +174,43 @@ WORDS = st.sampled_from(["great", "Great", "u", "ur", "w/", "w/o", "soooo", "!!!
 @given(st.lists(st.lists(WORDS, max_size=12).map(" ".join), min_size=20, max_size=40))
 def test_normalize_informal_against_python(one, values):
     assert one(rewrite.normalize_informal, values) == [python_normalize(v) for v in values]
+
+
+def test_names_are_found_as_regular_expressions_find_them():
+    import re
+
+    from opinionmill.functions.matching import Names
+
+    rng = random.Random(4)
+    names = ["of the", "the", "on", "the on", "Fire", "Fire TV", "Café"]
+    parts = ["of", "the", "ON", "on", "fire", "tv", "tvs", "thes", "CAFÉ", "cafés", " ", " ", "  ", ".", "x", "-", "_", "é"]
+    machine = Names(sorted(names, key=len, reverse=True), ("s", ""))
+    for _ in range(500):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 15)))
+        left, found = text, []
+        for number, name in enumerate(sorted(names, key=len, reverse=True)):
+            pattern = re.compile(rf"\b{re.escape(name)}s?\b", re.IGNORECASE)
+            hits = list(pattern.finditer(left))
+            found += [(number, m.start(), m.end()) for m in hits]
+            for m in hits:  # what is taken is no word any more
+                left = left[:m.start()] + "\u0001" * (m.end() - m.start()) + left[m.end():]
+        assert machine.chosen(text) == found, text
+
+
+def test_clipped_matches_of_batches(spark):
+    from collections import Counter
+
+    import pandas as pd
+
+    from opinionmill.operators.pairs import _TokenPairs
+
+    rng = random.Random(5)
+    rows = [[[rng.choice("abc") for _ in range(rng.randint(0, 9))] for _ in range(2)] for _ in range(60)]
+    pairs = _TokenPairs(pd.Series([r[0] for r in rows]), pd.Series([r[1] for r in rows]))
+    for order in range(1, 5):
+        want = []
+        for left, right in rows:
+            grams = [Counter(tuple(x[i:i + order]) for i in range(len(x) - order + 1)) for x in (left, right)]
+            want.append(sum((grams[0] & grams[1]).values()))
+        assert pairs.matches().tolist() == want
+        pairs.lengthen()
