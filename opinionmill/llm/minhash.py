@@ -4,12 +4,10 @@ A shingle's digest is its cell under the first permutation; the second permutati
 per coordinate, gives all coordinates of a signature as one slice of a table. Bands of coordinates make
 buckets, and every pair that is to be linked is confirmed on the full shingle sets.
 
-Equal sets are one node. Buckets never become pairs of all their members: in each round a bucket offers
-its members to one pivot, nodes that got linked count as one component, and only what is still apart is
-looked at again. What is left of a bucket is compared across components in blocks of bounded size, by the
-signatures that lie beside the rows, so only pairs that look alike are written; a bucket with very many pairs
-is compared as well, in larger blocks, so that its members are written less often.
-With 32 bands of 5 coordinates, a pair at the threshold escapes with a chance of 3e-6.
+Equal sets are one node. A bucket's home is its smallest node; nodes are sent to each of their homes once, with
+their full set, and compared there: a pair is only looked at while its sides are in different components, so what
+is written are links that span the components, not pairs (see ``spanning``). Homes of very many nodes are cut into
+blocks. With 32 bands of 5 coordinates, a pair at the threshold escapes with a chance of 3e-6.
 
 Defined results: a document without words has an empty set and is linked with nothing; equal sets are
 linked; a null id is never linked, its component is null and it is kept; rows that repeat an id share its
@@ -19,26 +17,18 @@ component; extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from opinionmill.llm.common import map_batches, mix64, table, unwrapped, worker_store, wrapped
 from opinionmill.llm.components import components
+from opinionmill.llm.spanning import spanning_links
 from opinionmill.session import materialized
 
 BANDS, ROWS = 32, 5
 CELLS = 1 << 20
-ROUNDS = 2  # of pivots
-DIRECT = 50  # pairs across components, per bucket entry, that may be compared directly
-BUCKET_PAIRS = 20_000_000  # pairs in a bucket before its blocks are larger
-BLOCK, HEAVY_BLOCK = 2048, 16384  # members of a bucket that are compared in one piece
-SLACK = 0.18  # of similarity, below which a signature rules a pair out (5 standard deviations)
 KNOWN_WORDS = 300_000
 
 
@@ -98,192 +88,45 @@ def signer() -> Signer:
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, bucket of each band and one byte of each coordinate."""
+    """doc_id, n_shingles, digest of the set and bucket of each band."""
     def run(columns):
         sign = signer()
-        out = {n: [] for n in ("n_shingles", "digest", "buckets", "bytes")}
+        out = {n: [] for n in ("n_shingles", "digest", "buckets")}
         for text in columns["text"]:
             shingles = sign.shingles(text, width)
             out["n_shingles"].append(len(shingles))
             if len(shingles):
-                signature = sign.signature(shingles)
                 out["digest"].append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
-                out["buckets"].append(sign.buckets(signature))
-                out["bytes"].append((signature & 0xFF).astype(np.uint8).tobytes())
+                out["buckets"].append(sign.buckets(sign.signature(shingles)))
             else:
-                for name in ("digest", "buckets", "bytes"):
-                    out[name].append(None)
+                out["digest"].append(None)
+                out["buckets"].append(None)
         return {"doc_id": columns["doc_id"], **out}
 
     return map_batches(
-        docs.select("doc_id", "text"), run,
-        "doc_id long, n_shingles long, digest binary, buckets array<long>, bytes binary", rows=1000)
+        docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, digest binary, buckets array<long>", rows=1000)
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of the named documents, as sorted 64-bit digests."""
+    """(node, n, items, homes) of the named documents; ``items`` are the sorted 64-bit digests of the set."""
     def run(columns):
         sign = signer()
-        return {"node": columns["doc_id"], "shingles": [sign.shingles(t, width).tobytes() for t in columns["text"]]}
+        sets = [sign.shingles(t, width) for t in columns["text"]]
+        return {"node": columns["doc_id"], "n": [len(s) for s in sets], "items": [s.tobytes() for s in sets],
+                "homes": [None] * len(sets)}
 
     wanted = docs.select("doc_id", "text").join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return map_batches(wanted, run, "node long, shingles binary", rows=500)
+    return map_batches(wanted, run, "node long, n long, items binary, homes binary", rows=500)
 
 
-def _bar(percent: int) -> int:
-    """Equal coordinates below which a pair cannot reach the similarity, but for odds of 1e-8."""
-    return int((percent / 100 - SLACK) * BANDS * ROWS)
-
-
-def _beside(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
-    left = values.select(F.col("node").alias("a"), F.col(column).alias("left"))
-    right = values.select(F.col("node").alias("b"), F.col(column).alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-
-
-def promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that their signatures do not rule out."""
-    bar = _bar(percent)
-
-    def run(columns):
-        left = np.frombuffer(b"".join(columns["left"]), np.uint8).reshape(-1, BANDS * ROWS)
-        right = np.frombuffer(b"".join(columns["right"]), np.uint8).reshape(-1, BANDS * ROWS)
-        keep = np.flatnonzero((left == right).sum(axis=1) >= bar)
-        return {n: [columns[n][i] for i in keep] for n in ("a", "b")}
-
-    return map_batches(_beside(pairs, nodes, "bytes"), run, "a long, b long", rows=4000)
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    def run(columns):
-        out = {"a": [], "b": []}
-        for a, b, left, right in zip(*(columns[n] for n in ("a", "b", "left", "right")), strict=True):
-            x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * shared >= percent * (len(x) + len(y) - shared):
-                out["a"].append(a)
-                out["b"].append(b)
-        return out
-
-    return map_batches(_beside(pairs, sets, "shingles"), run, "a long, b long", rows=200).distinct()
-
-
-def across_components(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a bucket, in different components, that their signatures do not rule out.
-
-    ``rows`` has bucket, node, n, component. A bucket is cut into blocks of bounded size, and each pair of
-    blocks is compared where its signatures are, so a pair is only written once it looks alike. A pair that
-    shares several buckets is written from the first band it shares.
-    """
-    bar = _bar(percent)
-    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
-    block = F.when(F.col("m") * (F.col("m") - 1) > 2 * BUCKET_PAIRS, HEAVY_BLOCK).otherwise(BLOCK)
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    dealt = (
-        rows.join(sizes, "bucket").join(nodes.select("node", "bytes", "buckets"), "node")
-        .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "component", "bytes", "buckets")
-    )
-    ordered = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    wanted = T.StructType.fromDDL("a long, b long")
-
-    def compare(group: list[tuple]) -> tuple[list[int], list[int]]:
-        bucket, i, j, own, node, n, component, raw, bands = zip(*group, strict=True)
-        bands = np.array(bands, np.int64)
-        signatures = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BANDS * ROWS)
-        own, node, n, component = (np.array(x) for x in (own, node, n, component))
-        out: tuple[list[int], list[int]] = ([], [])
-        for r in range(len(group)):
-            rest = np.arange(r + 1, len(group)) if i[0] == j[0] else np.flatnonzero(own != own[r])
-            if i[0] != j[0] and own[r] != i[0]:
-                continue  # each pair of two blocks is met from the first block
-            rest = rest[(component[rest] != component[r])
-                        & (100 * np.minimum(n[rest], n[r]) >= percent * np.maximum(n[rest], n[r]))]
-            if len(rest):
-                alike = rest[(signatures[rest] == signatures[r]).sum(axis=1) >= bar]
-                if len(alike):
-                    first = (bands[alike] == bands[r]).argmax(axis=1)
-                    alike = alike[bands[r][first] == bucket[0]]
-                for k in alike:
-                    out[0].append(int(min(node[r], node[k])))
-                    out[1].append(int(max(node[r], node[k])))
-        return out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, group = to_arrow_schema(wanted), []
-
-        def finish():
-            found = compare(group)
-            if found[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], schema=schema)
-
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group and row[:3] != group[0][:3]:
-                    yield from finish()
-                    group = []
-                group.append(row)
-        if group:
-            yield from finish()
-
-    return ordered.mapInArrow(run, wanted).distinct()
-
-
-def _sizes_fit(percent: int):
-    """A Jaccard similarity bounds the ratio of the sizes."""
-    return (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n"))
-
-
-def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, component) of all nodes that are linked with another one."""
+def linked(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, component) of all nodes (node, buckets) that are linked with another one."""
     spark = docs.sparkSession
-    entries = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("buckets").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket")
-    entries = materialized(spark, entries.join(shared, "bucket"), "bucket-entries")
-    near = nodes.select("node", "bytes", "buckets")
-    sets = materialized(spark, shingle_sets(docs, entries.select("node"), width), "near-sets")
-    open_ = entries.withColumn("component", F.col("node"))
-    found, tested = None, None
-    for number in range(ROUNDS):
-        order = F.col("node") if number == 0 else F.xxhash64(F.lit(number), "node")
-        pivot = F.min(F.struct(order.alias("order"), "node", "n", "component")).alias("p")
-        pivots = open_.groupBy("bucket").agg(pivot).select(
-            "bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.component").alias("of"))
-        pairs = (
-            open_.join(pivots, "bucket").where((F.col("component") != F.col("of")) & _sizes_fit(percent))
-            .select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialized(spark, pairs, "pivot-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        fresh = confirmed(promising(pairs, near, percent), sets, percent)
-        found = materialized(spark, fresh if found is None else found.unionByName(fresh), "links")
-        joined = materialized(spark, components(found), "components")
-        open_ = _still_apart(spark, entries, joined)
-        apart = open_.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
-        across = apart.groupBy("bucket").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
-        total = across.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("b")).first()
-        if total["b"] == 0:
-            return joined
-        if total["t"] <= DIRECT * max(1, open_.count()):
-            break
-    rest = open_.select("bucket", "node", "n", "component")
-    pairs = across_components(rest, near, percent).join(tested, ["a", "b"], "left_anti")
-    fresh = confirmed(materialized(spark, pairs, "direct-pairs"), sets, percent)
-    return components(materialized(spark, found.unionByName(fresh), "links"))
-
-
-def _still_apart(spark: SparkSession, entries: DataFrame, joined: DataFrame) -> DataFrame:
-    """Entries of buckets that hold more than one component."""
-    labelled = entries.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (
-        labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo < hi").select("bucket")
-    )
-    return materialized(spark, labelled.join(mixed, "bucket", "left_semi"), "open-entries")
+    entries = nodes.select("node", F.explode("buckets").alias("bucket"))
+    homes = entries.groupBy("bucket").agg(F.min("node").alias("home"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    members = materialized(spark, entries.join(homes, "bucket").select("home", "node").distinct(), "members")
+    sets = materialized(spark, shingle_sets(docs, members, width).where("n > 0"), "near-sets")
+    return components(spanning_links(members, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -291,10 +134,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     spark = docs.sparkSession
     signed = materialized(spark, signatures(docs, width), "signatures")
     nodes = signed.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.min("n_shingles").alias("n_shingles"),
-        F.first("buckets").alias("buckets"), F.first("bytes").alias("bytes"))
+        F.min("doc_id").alias("node"), F.first("buckets").alias("buckets"))
     nodes = materialized(spark, nodes, "nodes")
-    joined = links(docs, nodes.select("node", "n_shingles", "buckets", "bytes"), width, percent)
+    joined = linked(docs, nodes.select("node", "buckets"), width, percent)
     of_set = nodes.select("digest", "node").join(joined, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component"))
     of_doc = (
@@ -310,17 +152,21 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` with one of each group of near-duplicates, all columns as they are.
 
     Rows with the same id and text are one document; rows that share an id or have none are compared by their
-    texts as all others are. The smallest id of a group stays, a null id only where the group has no other.
+    texts as all others are. The smallest id of a group stays, a null id only where the group has no other; of
+    rows with the same id and text the one with the smallest digest of its columns.
     """
     text = F.col(f"row.c{docs.columns.index('text')}")
-    single = wrapped(docs).withColumn("digest", F.sha2("text", 256)).drop("text").dropDuplicates(["doc_id", "digest"])
-    rows = materialized(docs.sparkSession, single.withColumn("key", F.monotonically_increasing_id()), "numbered-rows")
+    rows = wrapped(docs).select(
+        "doc_id", "row", F.sha2("text", 256).alias("digest"), F.sha2(F.to_json("row"), 256).alias("columns"),
+        F.monotonically_increasing_id().alias("key"))
+    rows = materialized(docs.sparkSession, rows, "numbered-rows")
     groups = near_duplicates(rows.select(F.col("key").alias("doc_id"), text.alias("text")), width, percent)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "key")
+    groups = groups.select(F.col("doc_id").alias("key"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("group"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "columns", "key")
+    own = F.when(F.col("group").isNull(), F.struct("doc_id", "digest"))  # without words it is linked with nothing
     first = (
-        rows.select("doc_id", "digest", "key")
-        .join(groups.select(F.col("doc_id").alias("key"), "component_id"), "key")
-        .groupBy("component_id").agg(F.min(order).alias("first")).select("first.key")
+        rows.select("doc_id", "digest", "columns", "key").join(groups, "key")
+        .groupBy("group", own.alias("own")).agg(F.min(order).alias("first")).select("first.key")
     )
     return unwrapped(rows.join(first, "key", "left_semi"), docs.columns)
 

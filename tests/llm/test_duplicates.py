@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from opinionmill.llm import bwt, components, minhash, neighbours, substrings
+from opinionmill.llm import bwt, components, minhash, neighbours, spanning, substrings
 from tests.llm import brute
 
 
@@ -61,32 +61,44 @@ def clusters(spark):
     return rows
 
 
-@pytest.mark.parametrize("direct", [20, 0])
-def test_near_duplicates_match_brute_force(spark, clusters, monkeypatch, direct):
-    monkeypatch.setattr(minhash, "DIRECT", direct)
-    monkeypatch.setattr(minhash, "BUCKET_PAIRS", 20_000_000 if direct else 3)
-    monkeypatch.setattr(minhash, "BLOCK", 8 if direct else 2048)
+@pytest.mark.parametrize("block", [8, 2048])
+def test_near_duplicates_match_brute_force(spark, clusters, monkeypatch, block):
+    monkeypatch.setattr(spanning, "BLOCK", block)
     docs = spark.createDataFrame(clusters, "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 4).collect()}
     assert got == brute.near_components(clusters, 4)
 
 
 def test_a_pair_that_only_a_heavy_bucket_shares(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BUCKET_PAIRS", 3)
+    monkeypatch.setattr(spanning, "BLOCK", 3)
     texts = {i: " ".join(f"w{i}x{k}" for k in range(60)) for i in range(1, 13)}
     texts[12] = texts[11] + " more"
-    sign = minhash.signer()
-    nodes = []
-    for i, text in texts.items():
-        shingles = sign.shingles(text, 4)
-        raw = (sign.signature(shingles) & 0xFF).astype(np.uint8).tobytes()
-        nodes.append((i, len(shingles), [7] + [1000 * i + band for band in range(1, minhash.BANDS)], bytearray(raw)))
+    nodes = [(i, [7] + [1000 * i + band for band in range(1, minhash.BANDS)]) for i in texts]
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    nodes = spark.createDataFrame(nodes, "node long, n_shingles long, buckets array<long>, bytes binary")
-    got = {r["node"]: r["component"] for r in minhash.links(docs, nodes, 4, 80).collect()}
+    nodes = spark.createDataFrame(nodes, "node long, buckets array<long>")
+    got = {r["node"]: r["component"] for r in minhash.linked(docs, nodes, 4, 80).collect()}
     assert got == {11: 11, 12: 11}
 
 
+def test_a_bucket_of_alike_but_unlinked_documents(spark):
+    """3,000 documents of one bucket with similarities below the bar, and a few linked ones among them."""
+    rng = random.Random(12)
+    base, texts = [f"w{k}" for k in range(80)], {}
+    for i in range(1, 3001):
+        text = base[:]
+        first = rng.randrange(3, 24)
+        for k in (first, first + 26, first + 52):  # 12 of 77 shingles: two such texts have a similarity of 0.73 at most
+            text[k] = f"x{i}_{k}"
+        texts[i] = " ".join(text)
+    for i in range(3001, 3021):
+        texts[i] = texts[150 * (i - 3000)] + " more"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    nodes = spark.createDataFrame([(i, [7]) for i in texts], "node long, buckets array<long>")
+    got = {r["node"]: r["component"] for r in minhash.linked(docs, nodes, 4, 80).collect()}
+    wanted = {i: 150 * (i - 3000) for i in range(3001, 3021)}
+    assert got == wanted | {c: c for c in wanted.values()}
+
+
 def test_near_duplicates_over_odd_rows(odd, none, odd_rows):
     got = minhash.near_duplicates(odd, 4).collect()
     want = brute.near_components([(r[0], r[1]) for r in odd_rows if r[0] is not None], 4)
