@@ -39,7 +39,7 @@ END = 0xFF  # never a byte of UTF-8
 SCAN = 1 << 21  # bytes looked at together
 HELD = 4_000_000  # counted entries a task holds before it passes them on
 
-COUNT = np.dtype([("key", "<u8"), ("n", "<u4")])
+COUNT = np.dtype([("key", "<u8"), ("n", "<i8")])
 ASKED = np.dtype([("key", "<u8"), ("row", "<i8"), ("n", "<u4")])
 SUMS = np.dtype([("row", "<i8"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 GRAMS, WORDS, GRAMS_ASKED, WORDS_ASKED, ROW, PARTIAL = range(6)
@@ -118,7 +118,7 @@ def counted(docs: DataFrame, depth: int, parts: int) -> DataFrame:
             if held[kind]:
                 keys, counts = _merged(*(np.concatenate(c) for c in zip(*held[kind], strict=True)))
                 records = np.zeros(len(keys), COUNT)
-                records["key"], records["n"] = keys, np.minimum(counts, 0xFFFFFFFF)
+                records["key"], records["n"] = keys, counts
                 rows = [{"part": p, "kind": kind, "blob": b} for p, b in _split(records, deal(keys, parts), parts)]
                 for i in range(0, len(rows), 64):
                     yield _table(schema, rows[i:i + 64])
@@ -144,7 +144,7 @@ def counted(docs: DataFrame, depth: int, parts: int) -> DataFrame:
             records = np.frombuffer(b"".join(blobs), COUNT)
             keys, counts = _merged(records["key"], records["n"])
             out = np.zeros(len(keys), COUNT)
-            out["key"], out["n"] = keys, np.minimum(counts, 0xFFFFFFFF)
+            out["key"], out["n"] = keys, counts
             return _table(schema, [{"part": current[0], "kind": current[1], "blob": out.tobytes()}])
 
         current, blobs = None, []
@@ -396,7 +396,7 @@ def hot_entries(merged: DataFrame, short: ShortContexts, depth: int, limits: dic
 
 
 FLOW = ("part int, kind int, blob binary, row long, doc_id long, held_out boolean, n_tokens long, n_known long, "
-        "base double, score double")
+        "n_bytes long, base double, score double")
 
 
 def _found(table_: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -463,8 +463,8 @@ def local_scores(rows: DataFrame, hot, depth: int, parts: int, total: int, diffe
             place = (mix64(ids.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
             yield _table(schema, [
                 {"part": int(p), "kind": ROW, "row": r[1], "doc_id": r[2], "held_out": r[3], "n_tokens": int(n),
-                 "n_known": int(h), "base": float(b), "score": float(s)}
-                for p, r, n, h, b, s in zip(place, some, lengths, hits, base_sum, score, strict=True)])
+                 "n_known": int(h), "n_bytes": len(raw) + 1, "base": float(b), "score": float(s)}
+                for p, r, raw, n, h, b, s in zip(place, some, raws, lengths, hits, base_sum, score, strict=True)])
             if size >= HELD // 4:
                 yield from flush()
                 size = 0
@@ -545,7 +545,7 @@ def summed(flow: DataFrame, parts: int, total: int) -> DataFrame:
     names = [f.name for f in wanted]
     dealt = flow.repartition(parts, "part").sortWithinPartitions("part", "kind")
     result = T.StructType.fromDDL("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                                  "base_score double, score double")
+                                  "base_score double, score double, bits_per_byte double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = to_arrow_schema(result)
@@ -561,7 +561,8 @@ def summed(flow: DataFrame, parts: int, total: int) -> DataFrame:
             yield _table(schema, [
                 {"doc_id": r["doc_id"], "held_out": r["held_out"], "n_tokens": r["n_tokens"],
                  "n_known": r["n_known"] + int(k), "train_tokens": total, "base_score": r["base"] + float(b),
-                 "score": r["score"] + float(s)} for r, k, b, s in zip(rows, known, base, score, strict=True)])
+                 "score": r["score"] + float(s), "bits_per_byte": -(r["score"] + float(s)) / math.log10(2) / r["n_bytes"]}
+                for r, k, b, s in zip(rows, known, base, score, strict=True)])
 
         current, rows, blobs = None, [], []
         for batch in batches:
@@ -579,7 +580,10 @@ def summed(flow: DataFrame, parts: int, total: int) -> DataFrame:
 
 
 def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, hot: int = HOT) -> DataFrame:
-    """Scores of every row of ``docs``, learned from the rows that are not held out."""
+    """Scores of every row of ``docs``, learned from the rows that are not held out.
+
+    ``bits_per_byte`` is the code length of a text per byte, its end mark among them.
+    """
     spark = docs.sparkSession
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("text", F.monotonically_increasing_id().alias("row"), "doc_id", held_out.alias("held_out"))
