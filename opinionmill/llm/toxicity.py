@@ -6,8 +6,8 @@ segments of a text. Their scores follow an extreme-value law for clean text; its
 ``E exp(decay * score) = 1`` over clean words, its scale comes from the best segments of clean documents.
 A document gathers the significance of its segments, and a logistic curve turns that into a score.
 
-The fit reads at most ``fit_rows`` labelled documents, the ones with the smallest digest of the id, and
-keeps at most ``max_features`` words and beginnings. Scoring covers every document and whole texts.
+The fit reads at most ``fit_rows`` labelled documents, the ones with the smallest digest of the id. Scoring covers
+every document and whole texts, however long, and names every significant segment.
 
 Defined results: null and empty texts are scored like a text without words; documents without a label,
 with a null label or a null id are scored but not learned from; repeated label rows count once, toxic if
@@ -31,7 +31,6 @@ from opinionmill.llm.common import crc_mod, map_batches, table, worker_store
 from opinionmill.session import materialized
 
 FIT_ROWS = 20_000
-MAX_FEATURES = 60_000
 PRIOR = 3.0  # pseudo-count of the Dirichlet prior, shared out like the classes
 SEEN = 8  # words and beginnings below this count take the score of a shorter beginning
 BEGINNINGS = range(3, 8)  # lengths in code points
@@ -157,14 +156,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFr
     return docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, max_features: int = MAX_FEATURES) -> dict:
-    """Word scores and calibration."""
-    sample = materialized(docs.sparkSession, labelled_sample(docs, labels, fit_rows), "toxicity-sample")
-    counts = count_features(sample)
-    kept = (
-        counts.withColumn("n", F.col("toxic") + F.col("clean")).where(F.col("n") >= SEEN)
-        .orderBy(F.desc("n"), "feature").limit(max_features).collect()
-    )
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
+    """Word scores and calibration; every word seen ``SEEN`` times in the sample has a score of its own."""
+    spark = docs.sparkSession
+    sample = materialized(spark, labelled_sample(docs, labels, fit_rows), "toxicity-sample")
+    kept = count_features(sample).where(F.col("toxic") + F.col("clean") >= SEEN).collect()  # bounded by the sample
     whole = [r for r in kept if not r["feature"].endswith("*")]
     toxic, clean = sum(r["toxic"] for r in whole), sum(r["clean"] for r in whole)
     base = toxic / (toxic + clean) if toxic + clean else 0.0
@@ -189,28 +185,34 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, max_featur
                 "found": found + [None] * pad, "value": [None] * len(rows) + list(rounded),
                 "times": [None] * len(rows) + list(rounded.values())} if size else None
 
-    seen = materialized(docs.sparkSession, map_batches(
+    seen = materialized(spark, map_batches(
         sample, best, "toxic int, words long, found array<double>, value double, times long", rows=2000), "toxicity-fit")
-    steps = seen.where("value IS NOT NULL").groupBy("value").agg(F.sum("times").alias("n")).collect()
+    steps = seen.where("value IS NOT NULL").groupBy("value").agg(F.sum("times").alias("n")).orderBy("value").collect()
     decay = decay_of(np.array([r["value"] for r in steps]), np.array([r["n"] for r in steps], float))
-    rows = seen.where("value IS NULL").collect()  # at most fit_rows
-    quiet = [decay * max(r["found"], default=0.0) - math.log(r["words"]) for r in rows if not r["toxic"] and r["words"]]
-    scale = math.exp(float(np.mean(quiet)) - 0.5772156649) if quiet else 1.0
-    x = np.array([math.log1p(significance(r["found"], r["words"], decay, scale)[0]) for r in rows])
-    y = np.array([float(r["toxic"]) for r in rows])
-    return {"weights": weights, "decay": decay, "scale": scale, "curve": logistic(x, y)}
+    # extreme values and significances stay on the executors; two numbers per row of the sample come back
+    texts = seen.where("value IS NULL")
+    extreme = F.lit(decay) * F.coalesce(F.array_max("found"), F.lit(0.0)) - F.log("words")
+    quiet = texts.where("coalesce(toxic, 0) = 0 AND words > 0").agg(F.avg(extreme).alias("mean")).first()["mean"]
+    scale = math.exp(quiet - 0.5772156649) if quiet is not None else 1.0
+    chance = F.log(F.lit(scale) * F.col("words"))
+    strength = F.aggregate("found", F.lit(0.0), lambda sum_, s: sum_ + F.greatest(F.lit(0.0), decay * s - F.col("chance")))
+    rows = texts.select("toxic", "found", F.when(F.col("words") > 0, chance).otherwise(0.0).alias("chance")).select(
+        F.log1p(strength).alias("x"), F.coalesce("toxic", F.lit(0)).cast("double").alias("y")).orderBy("x", "y").collect()
+    curve = logistic(np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows]))
+    return {"weights": weights, "decay": decay, "scale": scale, "curve": curve}
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_segments and the span in words of the best segment."""
+    """doc_id, held_out, score, predicted, n_segments, the span in words of the best segment, and all significant ones."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model["weights"])  # at most max_features entries
+    shared = spark.sparkContext.broadcast(model["weights"])  # bounded by the sample
     name = uuid.uuid4().hex
     decay, scale, (slope, intercept) = model["decay"], model["scale"], model["curve"]
 
     def run(columns):
         scorer = worker_store(f"toxicity {name}", lambda: Scorer(shared.value))
-        out = {n: [] for n in ("score", "n_segments", "best_start", "best_end")}
+        out = {n: [] for n in ("score", "n_segments", "best_start", "best_end", "segments")}
+        bar = -math.log(SIGNIFICANT)
         for text in columns["text"]:
             scores = scorer.scores(text)
             found = segments(scores)
@@ -221,18 +223,20 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             out["n_segments"].append(many)
             out["best_start"].append(best[0])
             out["best_end"].append(best[1])
+            least = (bar + math.log(scale * len(scores))) / decay if scores else 0.0
+            out["segments"].append([{"start": a, "end": b, "score": s} for a, b, s in found if s >= least] if many else [])
         return {"doc_id": columns["doc_id"], "held_out": columns["held_out"],
                 "predicted": [int(s >= 0.5) for s in out["score"]], **out}
 
     rows = docs.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "text")
     return map_batches(
         rows, run, "doc_id long, held_out boolean, score double, predicted int, n_segments int, "
-        "best_start int, best_end int", rows=1000)
+        "best_start int, best_end int, segments array<struct<start int, end int, score double>>", rows=1000)
 
 
 def keep_clean(docs: DataFrame, model: dict) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, all columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(model["weights"])  # at most max_features entries
+    shared = docs.sparkSession.sparkContext.broadcast(model["weights"])  # bounded by the sample
     name, decay, scale, (slope, intercept) = uuid.uuid4().hex, model["decay"], model["scale"], model["curve"]
     place = docs.columns.index("text")
 

@@ -26,6 +26,22 @@ def test_segments_match_brute_force():
         assert {i for i, s in enumerate(scores) if s > 0} <= {i for b, e in spans for i in range(b, e)}
 
 
+def test_all_maximal_segments():
+    """Ruzzo and Tompa's definition: the best segment, then the same to its left and to its right."""
+    def maximal(scores, begin, end):
+        total = list(itertools.accumulate(scores[begin:end], initial=0))
+        spans = [(total[j] - total[i], begin + i, begin + j) for i in range(end - begin) for j in range(i + 1, end - begin + 1)]
+        best = max(spans, default=(0, 0, 0))
+        if best[0] <= 0:
+            return []
+        return [*maximal(scores, begin, best[1]), best[1:], *maximal(scores, best[2], end)]
+
+    rng = random.Random(2)
+    for _ in range(400):
+        scores = [rng.gauss(-0.2, 1) for _ in range(rng.randint(0, 25))]
+        assert [(b, e) for b, e, _ in sorted(toxicity.segments(scores))] == maximal(scores, 0, len(scores))
+
+
 def test_decay_is_the_root():
     values, counts = np.array([-1.0, 2.0]), np.array([9.0, 1.0])
     decay = toxicity.decay_of(values, counts)
@@ -37,6 +53,7 @@ def test_toxicity_over_odd_rows(odd, none, labels):
     rows = toxicity.score(odd, model).collect()
     assert len(rows) == odd.count()
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
+    assert all(len(r["segments"]) == r["n_segments"] for r in rows)
     assert toxicity.score(none, toxicity.fit(none, labels)).count() == 0
     assert {r["predicted"] for r in toxicity.score(odd, toxicity.fit(odd, labels.where("1 = 0"))).collect()} == {0}
     kept = toxicity.keep_clean(odd, model)
