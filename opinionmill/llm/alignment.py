@@ -6,7 +6,7 @@ and doubling these pointers for all tokens at once leads each one to the termina
 components are the groups; the two tokens that end with a group are linked.
 
 A single space between two other characters begins a token in A and in B, so texts are cut there, and a cut
-that a worker knows is not aligned again; the table of known cuts is emptied when it is full.
+that a worker knows is not aligned again; when the table of known cuts is full, the ones used least go.
 
 How often an id pair is linked is counted over the whole corpus: a batch of documents sends its different pairs,
 with their numbers in the batch, to the slice of their B ids, which sums them and sends each batch the totals of
@@ -34,8 +34,9 @@ from opinionmill.llm.packing import ByteIds, cuts
 from opinionmill.llm.pieces import MARK, PieceCodec
 from opinionmill.session import materialized
 
-KNOWN_CUTS = 200_000
+KNOWN_CUTS = 250_000
 KNOWN_CHARS = 1 << 25  # characters of known cuts a worker keeps
+LONG = 256  # characters of a cut that is not worth keeping
 BATCH_CUTS = 300_000  # cuts of the documents that ask for totals together
 SLICE = 1 << 24  # bytes of input a slice of the pairs stands for
 LOW = np.uint64((1 << 32) - 1)
@@ -78,17 +79,30 @@ class Aligner:
             bytes([self.codec.byte_of[i]]) if i in self.codec.byte_of else piece.replace(MARK, " ").encode()
             for i, piece in enumerate(self.codec.pieces)
         ]
+        self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
         self.length_a = np.array([len(b) for b in self.bytes_a])
         self.length_b = np.array([len(b) for b in self.bytes_b])
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[str, int] = {}  # in order of the numbers
         self.chars = 0
+        self.used = np.zeros(0, np.int64)
         self.groups: list[str | None] = []  # as text; None where A or B does not give the bytes back
         self.sizes = np.zeros((0, 4), np.int64)  # tokens of A, of B, links, first link
         self.links = np.zeros(0, np.uint64)  # B id, then A id
 
+    def forget(self) -> None:
+        """Keep the half of the table that was used most, without very long cuts."""
+        names = list(self.number)
+        most = np.argsort(-self.used, kind="stable")[:KNOWN_CUTS // 2]
+        kept = [i for i in np.sort(most).tolist() if len(names[i]) <= LONG]
+        self.number = {names[i]: n for n, i in enumerate(kept)}
+        self.chars = sum(map(len, self.number))
+        self.groups = [self.groups[i] for i in kept]
+        self.used = self.used[kept] // 2
+        many, first = self.sizes[kept, 2], self.sizes[kept, 3]
+        begin = np.cumsum(many) - many
+        self.links = self.links[np.repeat(first - begin, many) + np.arange(many.sum())]
+        self.sizes = np.column_stack((self.sizes[kept, :3], begin))
+
     def learn(self, cuts: list[str]) -> None:
         """Align cuts that are not known yet, all at once."""
         a_all, b_all, sizes, good = [], [], [], []
@@ -117,11 +131,14 @@ class Aligner:
         first, until = np.searchsorted(last_a, a_until - counts[:, 0]), np.searchsorted(last_a, a_until)
         base = self.sizes[-1, 2:].sum() if len(self.sizes) else 0
         self.sizes = np.concatenate((self.sizes, np.column_stack((counts, until - first, first + base))))
+        name = self.names
         texts = [
-            ",".join(map(str, a_all[p:q])) + "|" + ",".join(map(str, b_all[r:s])) for p, q, r, s in zip(
+            (name[a_all[p]] if q - p == 1 else ",".join([name[i] for i in a_all[p:q]])) + "|"
+            + (name[b_all[r]] if s - r == 1 else ",".join([name[i] for i in b_all[r:s]])) for p, q, r, s in zip(
                 np.concatenate(([0], last_a[:-1] + 1)).tolist(), (last_a + 1).tolist(),
                 np.concatenate(([0], last_b[:-1] + 1)).tolist(), (last_b + 1).tolist(), strict=True)
         ] if len(last_a) else []
+        self.used = np.concatenate((self.used, np.zeros(len(cuts), np.int64)))
         for cut, fits, i, j in zip(cuts, good, first.tolist(), until.tolist(), strict=True):
             self.number[cut] = len(self.groups)
             self.groups.append(";".join(texts[i:j]) if fits else None)
@@ -130,12 +147,14 @@ class Aligner:
     def numbers(self, cuts: list[str]) -> np.ndarray:
         """The numbers of cuts, those not known yet aligned first."""
         if len(self.number) > KNOWN_CUTS or self.chars > KNOWN_CHARS:
-            self.clear()
+            self.forget()
         known = self.number
         fresh = [c for c in dict.fromkeys(cuts) if c not in known]
         if fresh:
             self.learn(fresh)
-        return np.fromiter(map(known.__getitem__, cuts), np.int64, len(cuts))
+        numbers = np.fromiter(map(known.__getitem__, cuts), np.int64, len(cuts))
+        self.used += np.bincount(numbers, minlength=len(known))
+        return numbers
 
 
 def _parts(pairs: np.ndarray, parts: int) -> np.ndarray:
