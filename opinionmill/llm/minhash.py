@@ -115,7 +115,9 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
         return {"node": columns["doc_id"], "n": [len(s) for s in sets], "items": [s.tobytes() for s in sets],
                 "homes": [None] * len(sets)}
 
-    wanted = docs.select("doc_id", "text").join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # the nodes grow with the documents, so they are never broadcast, whatever their size
+    named = nodes.select(F.col("node").alias("doc_id")).distinct().hint("merge")
+    wanted = docs.select("doc_id", "text").join(named, "doc_id", "left_semi")
     return map_batches(wanted, run, "node long, n long, items binary, homes binary", rows=500)
 
 
