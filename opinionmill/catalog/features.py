@@ -62,6 +62,12 @@ def bow_vocabulary(spark, sf_dir):
     return features.vocabulary(table(spark, sf_dir, "documents"), document_tokens(), features.SENTIMENT_FEATURES)
 
 
+@query("bow_vocabulary_sketch", f"{DOC_COUNTS} SELECT term, corpus_tf, df FROM vocab")
+def bow_vocabulary_sketch(spark, sf_dir):
+    """The same vocabulary from a sketch's candidates, counted exactly."""
+    return features.vocabulary_by_sketch(table(spark, sf_dir, "documents"), document_tokens(), features.SENTIMENT_FEATURES)
+
+
 @query("tfidf_long", f"""{DOC_COUNTS},
 raw AS (SELECT doc_id, c.term, tf * (ln(((SELECT count(*) FROM documents) + 1.0) / (df + 1.0)) + 1.0) AS w
         FROM counts c JOIN vocab v ON v.term = c.term)

@@ -61,10 +61,15 @@ def term_counts(df: DataFrame, keys: Sequence[str], tokens: Column, one_row_per_
     return rows.select(*keys, F.inline(counted))
 
 
-def vocabulary(df: DataFrame, tokens: Column, max_features: int, tracked: int = TRACKED) -> DataFrame:
-    """The most frequent terms over all rows, ties by name: term, corpus_tf, df.
+def vocabulary(df: DataFrame, tokens: Column, max_features: int) -> DataFrame:
+    """The most frequent terms over all rows, ties by name: term, corpus_tf, df."""
+    return _ranked(_all_terms(df.select(tokens.alias("_terms"))), max_features)
 
-    A frequent-items sketch per task, merged, names the candidates; one pass counts these exactly, so only
+
+def vocabulary_by_sketch(df: DataFrame, tokens: Column, max_features: int, tracked: int = TRACKED) -> DataFrame:
+    """The same table where the different terms are too many to be shuffled.
+
+    A frequent-items sketch per task, merged, names the candidates; a second pass counts these exactly, so only
     candidates are shuffled. A term that is no candidate cannot occur more often than the sketch's error bound
     or the last candidate's estimate. Where the last wanted term does not exceed both, all terms are counted.
     """
@@ -78,8 +83,7 @@ def vocabulary(df: DataFrame, tokens: Column, max_features: int, tracked: int =
     # a sketch of m counters is off by 3.5 / m of all occurrences at most; unlisted terms are estimated no higher than the last
     bound = max(3.5 * sketch["n"] / tracked, float(top[-1]["count"]) if len(top) == wanted else 0.0)
     names = df.sparkSession.createDataFrame([(t["item"],) for t in top], "term string")  # at most ``wanted`` rows
-    counted = _all_terms(rows, names)
-    found = materialized(df.sparkSession, _ranked(counted, max_features), "vocabulary")
+    found = materialized(df.sparkSession, _ranked(_all_terms(rows, names), max_features), "vocabulary")
     least = found.agg(F.count(F.lit(1)).alias("many"), F.min("corpus_tf").alias("least")).first()
     if least["many"] == max_features and least["least"] > bound:
         return found
@@ -87,17 +91,11 @@ def vocabulary(df: DataFrame, tokens: Column, max_features: int, tracked: int =
 
 
 def _all_terms(rows: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """term, corpus_tf, df of all terms, or of ``names`` only, without a (document, term) table.
-
-    Every occurrence adds to corpus_tf, every distinct term of a row adds to df.
-    """
-    occurrences = F.transform("_terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
-    presence = F.transform(
-        F.array_distinct("_terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
-    listed = rows.select(F.inline(F.concat(occurrences, presence)))
+    """term, corpus_tf, df of all terms, or of ``names`` only: a row's terms are counted inside it first."""
+    counted = term_counts(rows, [], F.col("_terms"), one_row_per_key=True)
     if names is not None:
-        listed = listed.join(F.broadcast(names), "term")
-    return listed.groupBy("term").agg(F.sum("tf").alias("corpus_tf"), F.sum("df").alias("df"))
+        counted = counted.join(F.broadcast(names), "term")
+    return counted.groupBy("term").agg(F.sum("tf").alias("corpus_tf"), F.count(F.lit(1)).alias("df"))
 
 
 def _ranked(counts: DataFrame, max_features: int) -> DataFrame:

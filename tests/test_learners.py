@@ -133,6 +133,8 @@ def test_vocabulary_is_whole_whatever_the_sketch_holds(spark):
     corpus = Counter(words)
     present = Counter(w for (t,) in rows for w in set(t.split()))
     for size, tracked in ((10, 1 << 12), (10, 64), (400, 512), (5000, 1 << 14)):
-        got = [(r["term"], r["corpus_tf"], r["df"]) for r in features.vocabulary(df, F.split("t", " "), size, tracked).collect()]
+        got = [(r["term"], r["corpus_tf"], r["df"]) for r in features.vocabulary_by_sketch(df, F.split("t", " "), size, tracked).collect()]
         want = sorted(corpus, key=lambda w: (-corpus[w], w))[:size]
         assert sorted(got) == sorted((w, corpus[w], present[w]) for w in want)
+        exact = features.vocabulary(df, F.split("t", " "), size).collect()
+        assert sorted(map(tuple, exact)) == sorted(got)
