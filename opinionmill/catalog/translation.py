@@ -292,7 +292,7 @@ done AS (SELECT pair_id, len(c) AS nc, len(r) AS nr, COALESCE(row[len(c)], 0) AS
 SELECT pair_id, COALESCE(round(2 * lcs / NULLIF(nc + nr, 0), 6), 0) AS rougeL_f FROM done"""
 
 
-@query("rougeL")
+@query("rougeL", ROUGE_L_SQL)
 def rouge_l(spark, sf_dir):
     out = pairs.rouge_l(adapters.turn_pairs(spark, sf_dir))
     return out.select("pair_id", F.round("rougeL_f", 6).alias("rougeL_f"))
