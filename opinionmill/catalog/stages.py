@@ -95,6 +95,23 @@ def artifact_record(spark, sf_dir):
     return artifact.read_nested(spark, record)["category_sentiment"]
 
 
+@query("csv_projected", f"""
+WITH {REVIEWS_TEXT}
+SELECT row_id, md5(raw_text) AS text_digest, rating FROM reviews_text WHERE rating IS NOT NULL AND raw_text IS NOT NULL""")
+def csv_projected(spark, sf_dir):
+    """Two columns of a review CSV, rows without either dropped, texts as they were written."""
+    path = scratch_path(spark, "reviews-csv")
+    raw = adapters.reviews_text(spark, sf_dir).select(
+        F.col("row_id").cast("string").alias("id"), F.col("raw_text").alias("reviews.text"),
+        F.col("rating").cast("string").alias("reviews.rating"), F.col("product_name").alias("name"), "categories",
+    )
+    sinks.write_csv(raw, path)
+    loaded = readers.read_reviews_csv(spark, path, ("reviews.text", "reviews.rating"), row_id="id").toDF("row_id", "text", "rating")
+    return loaded.na.drop().select(
+        F.col("row_id").cast("long").alias("row_id"), F.md5(F.col("text").cast("binary")).alias("text_digest"),
+        F.col("rating").cast("double").alias("rating"))
+
+
 @query("csv_single_file", f"""
 WITH {REVIEWS_TEXT}, named AS (
   SELECT row_id, rating, {clean_sql('raw_text')} AS review_text, {label_sql('rating')} AS sentiment,
