@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from opinionmill.catalog.registry import BULK, query
 from opinionmill.functions import scores
 from opinionmill.operators import metrics, ranking, sampling
-from opinionmill.sources import adapters
+from opinionmill.session import scratch_path
+from opinionmill.sources import adapters, sinks
 from opinionmill.sources.adapters import table
 
 PREDICTIONS = f"""
@@ -48,6 +49,16 @@ def per_class_metrics(spark, sf_dir):
     return rounded(metrics.per_class_metrics(predictions(spark, sf_dir)), "precision", "recall", "f1")
 
 
+@query("metrics_record", f"""{PREDICTIONS}
+SELECT sentiment, round(p, 6) AS precision, round(r, 6) AS recall, round(f1, 6) AS f1, support FROM scored""")
+def metrics_record(spark, sf_dir):
+    """The metrics written as JSON records and read back."""
+    path = scratch_path(spark, "metrics")
+    found = rounded(metrics.per_class_metrics(predictions(spark, sf_dir)), "precision", "recall", "f1")
+    sinks.write_json_record(found, path)
+    return spark.read.schema(found.schema).json(path)
+
+
 SUMMARY = ("accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_f1", "negative_f1",
            "neutral_f1", "positive_f1")
 
