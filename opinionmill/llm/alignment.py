@@ -39,7 +39,6 @@ KNOWN_CHARS = 1 << 25  # characters of known cuts a worker keeps
 LONG = 256  # characters of a cut that is not worth keeping
 BATCH_CUTS = 300_000  # cuts of the documents that ask for totals together
 SLICE = 1 << 24  # bytes of input a slice of the pairs stands for
-LOW = np.uint64((1 << 32) - 1)
 
 
 def terminal_tokens(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

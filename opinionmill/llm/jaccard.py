@@ -45,7 +45,7 @@ MANY = 16  # documents of a chunk beyond which a shingle is sent once, with its
 MARKED = np.uint64(0xFFFF)
 CHUNK_DOCS = 0xFFFF
 SLICE = 1 << 21  # bytes of input a slice of the digests stands for
-LOW16, LOW48 = np.uint64(0xFFFF), np.uint64((1 << 48) - 1)
+LOW16 = np.uint64(0xFFFF)
 
 SENT = (
     "part int, chunk long, entries binary, numbers binary, "

@@ -6,7 +6,8 @@ keeps it while it is right more often than not. The list is emitted as one order
 expression over the statistics, so applying it needs neither Python nor a shuffle.
 
 The fit reads at most ``fit_rows`` labelled rows, those with the smallest digest of the id, with at most
-``max_cuts`` thresholds tried per statistic. Statistics and verdicts cover every document.
+``max_cuts`` thresholds tried per statistic; a list has at most ``MAX_RULES`` rules of ``MAX_CONDITIONS`` conditions.
+Statistics and verdicts cover every document and whole texts, however long; ties go to the rule that comes first.
 
 Defined results: a null text is a text without words; repeated rows give equal rows; a null or missing
 label is not learned from and repeated label rows count once, bad if any of them is; without labels of
