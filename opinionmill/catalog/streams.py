@@ -17,9 +17,12 @@ from opinionmill.streaming import counts, scoring
 
 
 def document_stream(spark, sf_dir):
-    """The document table as a file stream."""
+    """The document table as a file stream, be it one file or a folder of part files.
+
+    A stream refuses the path of a single file, but not a pattern; this one matches the table's name alone.
+    """
     schema = table(spark, sf_dir, "documents").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/documents.parque[t]")
 
 
 @query("stream_scored_reviews")

@@ -2,12 +2,14 @@
 
 import json
 import random
+import shutil
 import sys
 
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from opinionmill.catalog import streams
 from opinionmill.operators import classify, contracts, language
 from opinionmill.plans import dashboard, review_flow, translation_evaluation
 from opinionmill.sources import adapters, artifact, reviews, sinks
@@ -113,6 +115,21 @@ def test_single_request(spark, small_model):
     assert "not calibrated probabilities" in row["score_note"]
 
 
+@pytest.mark.parametrize("parts", [0, 3])
+def test_document_stream_reads_a_file_or_a_folder(spark, sf_dir, tmp_path, parts):
+    documents = adapters.documents(spark, sf_dir)
+    place, target = tmp_path / "tables", tmp_path / "tables" / "documents.parquet"
+    place.mkdir()
+    if parts:
+        documents.repartition(parts).write.parquet(str(target))
+    else:
+        shutil.copy(f"{sf_dir}/documents.parquet", target)
+    documents.limit(5).write.parquet(str(place / "pages.parquet"))  # another table beside it
+    path = str(tmp_path / "out")
+    scoring.append_table(streams.document_stream(spark, str(place)), path, str(tmp_path / "log")).awaitTermination()
+    assert sorted(r["doc_id"] for r in spark.read.parquet(path).collect()) == sorted(r["doc_id"] for r in documents.collect())
+
+
 def test_stream_equals_batch(spark, small_model, sf_dir, tmp_path):
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
