@@ -6,7 +6,9 @@ which needs no Python; a block packs some hundred rows into one binary cell, so
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from opinionmill.session import materialized, scratch_path
 
 ROWS = 256  # of a block
-TASKS = 32  # partial sums the driver adds up itself
+TASKS = 32  # partial sums that one task adds up
 STORED = T.StructType([
     T.StructField("type", T.ByteType()), T.StructField("size", T.IntegerType()),
     T.StructField("indices", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.DoubleType()))])
@@ -34,15 +36,42 @@ def stored_vectors(df: DataFrame, vector: str) -> DataFrame:
 
 
 class Block:
-    """Some rows, as a dense matrix, with their labels."""
+    """Some rows with their labels, as the entries they are stored with or as a dense matrix."""
 
     def __init__(self, size: int, until: bytes, indices: bytes, values: bytes, labels: bytes):
-        ends = np.frombuffer(until, np.int64)
-        many = np.diff(ends, prepend=0)
-        self.matrix = np.zeros((len(ends), size))
-        self.matrix[np.repeat(np.arange(len(ends)), many), np.frombuffer(indices, np.int32)] = np.frombuffer(values, np.float64)
+        self.size = size
+        self.many = np.diff(np.frombuffer(until, np.int64), prepend=0)  # entries of each row
+        self.indices, self.values = np.frombuffer(indices, np.int32), np.frombuffer(values, np.float64)
         self.labels = np.frombuffer(labels, np.int32)
 
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        out = np.zeros((len(self.many), self.size))
+        out[np.repeat(np.arange(len(self.many)), self.many), self.indices] = self.values
+        return out
+
+    def squared(self) -> Block:
+        """The same rows with the squares of their entries."""
+        out = copy.copy(self)
+        out.__dict__.pop("matrix", None)
+        out.values = self.values ** 2
+        return out
+
+    def products(self, vectors: np.ndarray) -> np.ndarray:
+        """Of every row with every vector, the rows of ``vectors``; the work follows the entries."""
+        out = np.zeros((len(self.many), len(vectors)))
+        filled = np.flatnonzero(self.many)
+        if len(filled):
+            starts = (np.cumsum(self.many) - self.many)[filled]
+            for i, vector in enumerate(vectors):
+                out[filled, i] = np.add.reduceat(vector[self.indices] * self.values, starts)
+        return out
+
+    def weighted_sums(self, weights: np.ndarray) -> np.ndarray:
+        """The rows added up, once for every column of ``weights``, which has a weight per row."""
+        spread = np.repeat(weights, self.many, axis=0) * self.values[:, None]
+        return np.array([np.bincount(self.indices, column, self.size) for column in spread.T]).reshape(weights.shape[1], self.size)
+
 
 def vector_blocks(df: DataFrame, vector: str = "features", label: str | None = None) -> DataFrame:
     """Written blocks of the rows; ``label`` is a column of small whole numbers. Rows without a vector are left out."""
@@ -69,30 +98,31 @@ def vector_blocks(df: DataFrame, vector: str = "features", label: str | None = N
 def block_sums(blocks: DataFrame, measure: Callable[[Block], list[np.ndarray]]) -> list[np.ndarray] | None:
     """The sums over all blocks of the arrays that ``measure`` gives for each, in one pass; None without rows.
 
-    A task sends one row, its own sums. Where there are many tasks, the sums are added up in two steps.
+    A task sends one row, its own sums, to one of ``TASKS`` tasks, and these send theirs to one that adds them up:
+    the driver gets one row, whatever the number of tasks. Sums are added in the order of their parts.
     """
-    wanted = T.StructType.fromDDL("task int, sums array<binary>, shapes array<array<int>>")
+    wanted = T.StructType.fromDDL("part int, sums array<binary>, shapes array<array<int>>")
 
     def add(total: list[np.ndarray] | None, more: list[np.ndarray]) -> list[np.ndarray]:
         return [np.array(x, np.float64) for x in more] if total is None else [t + x for t, x in zip(total, more, strict=True)]
 
-    def row(task: int, total: list[np.ndarray]) -> pa.RecordBatch:
+    def row(total: list[np.ndarray]) -> pa.RecordBatch:
+        from pyspark import TaskContext
+
         return pa.RecordBatch.from_arrays([
-            pa.array([task], pa.int32()), pa.array([[x.tobytes() for x in total]], pa.list_(pa.binary())),
+            pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([[x.tobytes() for x in total]], pa.list_(pa.binary())),
             pa.array([[list(x.shape) for x in total]], pa.list_(pa.list_(pa.int32())))], schema=to_arrow_schema(wanted))
 
     def read(sums: list[bytes], shapes: list[list[int]]) -> list[np.ndarray]:
         return [np.frombuffer(x, np.float64).reshape(s) for x, s in zip(sums, shapes, strict=True)]
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         total = None
         for batch in batches:
             for at in range(batch.num_rows):
                 total = add(total, measure(Block(*(c[at].as_py() for c in batch.columns))))
         if total is not None:
-            yield row(TaskContext.get().partitionId() % TASKS, total)
+            yield row(total)
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -100,12 +130,12 @@ def block_sums(blocks: DataFrame, measure: Callable[[Block], list[np.ndarray]])
             for at in range(batch.num_rows):
                 total = add(total, read(batch.column(1)[at].as_py(), batch.column(2)[at].as_py()))
         if total is not None:
-            yield row(0, total)
+            yield row(total)
 
     sums = blocks.mapInArrow(first, wanted)
-    if blocks.rdd.getNumPartitions() > TASKS:
-        sums = sums.repartition(TASKS, "task").mapInArrow(second, wanted)
-    total = None
-    for found in sums.collect():  # at most TASKS rows
-        total = add(total, read(found["sums"], found["shapes"]))
-    return total
+    parts = blocks.rdd.getNumPartitions()
+    for tasks in (TASKS, 1):
+        if tasks < parts:
+            sums = sums.repartition(tasks, F.col("part") % tasks).sortWithinPartitions("part").mapInArrow(second, wanted)
+    found = sums.collect()  # one row
+    return read(found[0]["sums"], found[0]["shapes"]) if found else None
