@@ -22,8 +22,13 @@ CONJUGATE_STEPS = 50
 CONJUGATE_PRECISION = 0.1  # of the gradient's norm
 
 
-def _with_intercept(block: Block) -> np.ndarray:
-    return np.hstack((block.matrix, np.ones((len(block.matrix), 1))))
+def _products(block: Block, vectors: np.ndarray) -> np.ndarray:
+    """Of every row with every vector, whose last entry meets the intercept's 1."""
+    return block.products(vectors[:, :-1]) + vectors[:, -1]
+
+
+def _weighted_sums(block: Block, weights: np.ndarray) -> np.ndarray:
+    return np.column_stack((block.weighted_sums(weights), weights.sum(axis=0)))
 
 
 def _sides(labels: np.ndarray, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -32,25 +37,24 @@ def _sides(labels: np.ndarray, costs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.where(own, 1.0, -1.0), np.where(own, costs, 1.0)
 
 
-def loss_and_gradient(blocks: DataFrame, weights: np.ndarray, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Objective and gradient per problem (rows of ``weights``, the intercept last)."""
+def loss_and_gradient(blocks: DataFrame, weights: np.ndarray, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Objective, gradient and the Hessian's diagonal per problem (rows of ``weights``, the intercept last)."""
     def measure(block: Block) -> list[np.ndarray]:
-        x = _with_intercept(block)
         side, cost = _sides(block.labels, costs)
-        short = np.maximum(0.0, 1.0 - side * (x @ weights.T))
-        return [(cost * short ** 2).sum(axis=0), (-2.0 * cost * side * short).T @ x]
+        short = np.maximum(0.0, 1.0 - side * _products(block, weights))
+        return [(cost * short ** 2).sum(axis=0), _weighted_sums(block, -2.0 * cost * side * short),
+                _weighted_sums(block.squared(), 2.0 * cost * (short > 0))]
 
-    loss, slope = block_sums(blocks, measure)
-    return loss + 0.5 * (weights ** 2).sum(axis=1), slope + weights
+    loss, slope, curvature = block_sums(blocks, measure)
+    return loss + 0.5 * (weights ** 2).sum(axis=1), slope + weights, curvature + 1.0
 
 
 def hessian_products(blocks: DataFrame, weights: np.ndarray, vectors: np.ndarray, costs: np.ndarray) -> np.ndarray:
     """Product of each problem's Hessian at ``weights`` with its vector."""
     def measure(block: Block) -> list[np.ndarray]:
-        x = _with_intercept(block)
         side, cost = _sides(block.labels, costs)
-        inside = side * (x @ weights.T) < 1.0
-        return [(2.0 * cost * inside * (x @ vectors.T)).T @ x]
+        inside = side * _products(block, weights) < 1.0
+        return [_weighted_sums(block, 2.0 * cost * inside * _products(block, vectors))]
 
     return block_sums(blocks, measure)[0] + vectors
 
@@ -61,9 +65,14 @@ def _to_border(step: np.ndarray, direction: np.ndarray, radius: float) -> float:
     return (-b + np.sqrt(max(0.0, b * b - a * c))) / a
 
 
-def trust_region_steps(blocks: DataFrame, weights: np.ndarray, gradient: np.ndarray, radius: np.ndarray, costs: np.ndarray,
-                       open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Steps inside each problem's region by conjugate gradients, and the residuals that give the predicted decrease."""
+def trust_region_steps(blocks: DataFrame, weights: np.ndarray, gradient: np.ndarray, scale: np.ndarray, radius: np.ndarray,
+                       costs: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Steps inside each problem's region by conjugate gradients, and the residuals that give the predicted decrease.
+
+    All are in coordinates divided by ``scale``, as are the results and the radius: there every diagonal entry of
+    the Hessian is 1, so that frequent and rare terms need the same number of steps.
+    """
+    gradient = gradient * scale
     step, rest = np.zeros_like(weights), -gradient
     direction, going = rest.copy(), open_.copy()
     bar = CONJUGATE_PRECISION * np.linalg.norm(gradient, axis=1)
@@ -71,7 +80,7 @@ def trust_region_steps(blocks: DataFrame, weights: np.ndarray, gradient: np.ndar
         going &= np.linalg.norm(rest, axis=1) > bar
         if not going.any():
             break
-        product = hessian_products(blocks, weights, direction * going[:, None], costs)
+        product = scale * hessian_products(blocks, weights, scale * direction * going[:, None], costs)
         for i in np.flatnonzero(going):
             size = rest[i] @ rest[i]
             length = size / (direction[i] @ product[i])
@@ -92,23 +101,25 @@ def fit_squared_hinge(blocks: DataFrame, size: int, costs: Sequence[float], max_
     """
     cost = np.array(costs, float)
     weights = np.zeros((len(cost), size + 1))
-    loss, gradient = loss_and_gradient(blocks, weights, cost)
+    loss, gradient, curvature = loss_and_gradient(blocks, weights, cost)
     first = np.linalg.norm(gradient, axis=1)
-    radius = first.copy()
+    radius = np.linalg.norm(gradient / np.sqrt(curvature), axis=1)
     for _ in range(max_iter):
         open_ = np.linalg.norm(gradient, axis=1) > precision * first
         if not open_.any():
             break
-        step, rest = trust_region_steps(blocks, weights, gradient, radius, cost, open_)
-        new_loss, new_gradient = loss_and_gradient(blocks, weights + step, cost)
+        scale = 1.0 / np.sqrt(curvature)
+        step, rest = trust_region_steps(blocks, weights, gradient, scale, radius, cost, open_)
+        moved = weights + scale * step
+        new_loss, new_gradient, new_curvature = loss_and_gradient(blocks, moved, cost)
         for i in np.flatnonzero(open_):
-            predicted = -0.5 * (gradient[i] @ step[i] - step[i] @ rest[i])
+            predicted = -0.5 * ((scale[i] * gradient[i]) @ step[i] - step[i] @ rest[i])
             decrease = loss[i] - new_loss[i]
             length = np.linalg.norm(step[i])
             if predicted <= 0 or abs(decrease) <= 1e-12 * abs(loss[i]):
                 gradient[i] = 0.0  # no further progress in double precision
                 if decrease > 0:
-                    weights[i], loss[i] = weights[i] + step[i], new_loss[i]
+                    weights[i], loss[i] = moved[i], new_loss[i]
                 continue
             ratio = decrease / predicted
             if ratio < POOR:
@@ -116,5 +127,5 @@ def fit_squared_hinge(blocks: DataFrame, size: int, costs: Sequence[float], max_
             elif ratio > GOOD:
                 radius[i] = max(radius[i], 3.0 * length)
             if ratio > ACCEPTED:
-                weights[i], loss[i], gradient[i] = weights[i] + step[i], new_loss[i], new_gradient[i]
+                weights[i], loss[i], gradient[i], curvature[i] = moved[i], new_loss[i], new_gradient[i], new_curvature[i]
     return weights

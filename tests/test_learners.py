@@ -59,6 +59,37 @@ def test_newton_finds_the_minimum(labelled):
     assert np.abs(found - plain_minimum(x, labels, costs)).max() < 1e-3
 
 
+def test_newton_works_on_the_entries_alone():
+    rng = np.random.default_rng(8)
+    size, many = 40_000_000, np.array([0, 3, 0, 1, 2, 0])  # a dense matrix would take 2 GB
+    places = np.concatenate([np.sort(rng.choice(size, n, replace=False)) for n in many]).astype(np.int32)
+    values = rng.normal(size=many.sum())
+    block = vector_blocks.Block(size, np.cumsum(many).tobytes(), places.tobytes(), values.tobytes(), np.zeros(6, np.int32).tobytes())
+    vector = np.arange(size, dtype=float)
+    found, at = block.products(vector[None, :]), 0
+    for row, n in enumerate(many):
+        assert found[row, 0] == pytest.approx(vector[places[at:at + n]] @ values[at:at + n])
+        at += n
+    sums = block.weighted_sums(np.arange(6.0)[:, None])
+    assert sums[0, places].tolist() == pytest.approx((values * np.repeat(np.arange(6.0), many)).tolist())
+    assert np.count_nonzero(sums) == many.sum() and "matrix" not in vars(block)
+
+
+def test_one_row_of_sums_reaches_the_driver(spark, labelled, monkeypatch):
+    blocks = vector_blocks.vector_blocks(labelled, "features", "_label")
+    want = np.array([r["features"].toArray() for r in labelled.collect()]).sum(axis=0)
+    whole = type(blocks).collect
+    for parts in (1, 5, 2 * vector_blocks.TASKS):
+        seen = []
+        dealt = blocks.repartition(parts)
+        with monkeypatch.context() as patch:
+            patch.setattr(type(blocks), "collect", lambda df, seen=seen: seen.append(whole(df)) or seen[-1])
+            found = vector_blocks.block_sums(dealt, lambda b: [b.matrix.sum(axis=0), np.array([float(len(b.labels))])])
+        assert [len(rows) for rows in seen] == [1]
+        assert np.allclose(found[0], want) and found[1].tolist() == [700.0]
+    assert vector_blocks.block_sums(blocks.where("1 = 0"), lambda b: [b.matrix]) is None
+
+
 def test_margins_of_the_fitted_stages(labelled):
     stages = classify.fit_one_vs_rest(labelled, True, 100)
     rows = labelled.collect()
