@@ -261,6 +261,16 @@ def lcs(a, b):
     return row[-1]
 
 
+def test_columns_beside_the_texts_stay_as_they_are(spark):
+    rows = [(2 ** 53 + 1, ["a", "b"]), (None, None), (5, [])] * 400
+    df = spark.createDataFrame(rows, "n long, t array<string>").coalesce(1)
+    got = text_stage.apply_to_texts(df, "t", "o", lambda: lambda xs: [f"{x}{len(xs)}" for x in xs], batch_size=3).collect()
+    assert [(r["n"], r["t"]) for r in got] == rows
+    # batches reach across rows and slices: 800 texts are 266 batches of three and one of two
+    answers = [x for r in got for x in r["o"]]
+    assert answers == [f"{'ab'[i % 2]}{3 if i < 798 else 2}" for i in range(800)]
+
+
 def test_rouge_against_brute_force(spark):
     draw = random.Random(3)
     texts = [(i, " ".join(draw.choice("abcde") * 2 for _ in range(draw.randrange(0, 30))),
