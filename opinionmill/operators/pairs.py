@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from opinionmill.functions.text import clean_text
 
 MAX_ORDER = 4
+ROWS = 256  # pairs numbered and counted at once
 
 # The published mteval-v13a tokenizer rules, in the order they apply.
 BLEU_TOKEN_RULES = (
@@ -43,19 +45,35 @@ def rouge_tokens(text: Column) -> Column:
     return F.filter(F.split(clean_text(text), " "), lambda t: t != "")
 
 
+def _slices(candidate: pa.Array, reference: pa.Array) -> Iterator[_TokenPairs]:
+    for at in range(0, len(candidate), ROWS):
+        yield _TokenPairs(candidate.slice(at, ROWS), reference.slice(at, ROWS))
+
+
 class _TokenPairs:
-    """A batch of token list pairs as one run of word numbers per side, each word with its row."""
+    """Some token list pairs as one run of word numbers per side, each word with its row.
 
-    def __init__(self, candidate: pd.Series, reference: pd.Series):
+    Words are numbered in the buffers they arrive in; none becomes a Python string.
+    """
+
+    def __init__(self, candidate: pa.Array | Iterable, reference: pa.Array | Iterable):
+        candidate, reference = (side if isinstance(side, pa.Array) else pa.array(list(side), pa.list_(pa.string())) for side in (candidate, reference))
         self.rows = len(candidate)
-        self.sizes = [np.array([len(x) for x in side], np.int64) for side in (candidate, reference)]
-        words = np.concatenate([np.zeros(0, object), *candidate, *reference])
-        numbers = pd.factorize(words)[0].astype(np.int64)
+        self.sizes = [pa.compute.list_value_length(side).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                      for side in (candidate, reference)]
+        words = pa.concat_arrays([candidate.flatten(), reference.flatten()])
+        numbers = words.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         many = int(self.sizes[0].sum())
         self.row = [np.repeat(np.arange(self.rows), sizes) for sizes in self.sizes]
         self.grams = [numbers[:many], numbers[many:]]  # the n-gram that begins at each place
         self.order = 1
 
+    def lists(self) -> Iterator[tuple[list[int], list[int]]]:
+        """The word numbers of each pair."""
+        left, right = (np.split(self.grams[s], np.cumsum(self.sizes[s])[:-1]) for s in (0, 1))
+        for a, b in zip(left, right, strict=True):
+            yield a.tolist(), b.tolist()
+
     def lengthen(self) -> None:
         """To n-grams of the next order; those that would cross into the next row go."""
         kept = []
@@ -80,23 +98,25 @@ class _TokenPairs:
         return np.bincount(common // width, shared, self.rows).astype(np.int64)
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def bleu_counts(candidate: pd.Series, reference: pd.Series) -> pd.Series:
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def bleu_counts(candidate: pa.Array, reference: pa.Array) -> pa.Array:
     """Matches and candidate n-grams of each order, then the reference length, of a pair of token lists."""
-    pairs = _TokenPairs(candidate, reference)
-    found = [pairs.matches()]
-    for _ in range(1, MAX_ORDER):
-        pairs.lengthen()
-        found.append(pairs.matches())
-    sizes = pairs.sizes[0]
-    columns = [*found, *(np.maximum(0, sizes - n) for n in range(MAX_ORDER)), pairs.sizes[1]]
-    return pd.Series(np.column_stack(columns).tolist())
-
-
-@F.pandas_udf(T.LongType())
-def unigram_hits(candidate: pd.Series, reference: pd.Series) -> pd.Series:
+    rows = []
+    for pairs in _slices(candidate, reference):
+        found = [pairs.matches()]
+        for _ in range(1, MAX_ORDER):
+            pairs.lengthen()
+            found.append(pairs.matches())
+        sizes = pairs.sizes[0]
+        columns = [*found, *(np.maximum(0, sizes - n) for n in range(MAX_ORDER)), pairs.sizes[1]]
+        rows += np.column_stack(columns).tolist()
+    return pa.array(rows, pa.list_(pa.int64()))
+
+
+@F.arrow_udf(T.LongType())
+def unigram_hits(candidate: pa.Array, reference: pa.Array) -> pa.Array:
     """Clipped token matches of a pair of token lists."""
-    return pd.Series(_TokenPairs(candidate, reference).matches(), dtype="int64")
+    return pa.array(np.concatenate([np.zeros(0, np.int64), *(p.matches() for p in _slices(candidate, reference))]), pa.int64())
 
 
 BLEU_FIELDS = [f"m{n}" for n in range(1, MAX_ORDER + 1)] + [f"t{n}" for n in range(1, MAX_ORDER + 1)] + ["ref"]
@@ -155,13 +175,13 @@ def rouge1(pairs: DataFrame) -> DataFrame:
         "pair_id", f_measure(unigram_hits("c", "r"), F.size("c"), F.size("r")).alias("rouge1_f"))
 
 
-def _lcs_length(left: Sequence[str], right: Sequence[str]) -> int:
+def _lcs_length(left: Sequence[int], right: Sequence[int]) -> int:
     """Length of the longest common subsequence, one machine-word row of the table at a time.
 
     The row of the dynamic programme is kept as the bits of one integer, so whole texts of
     tens of thousands of words stay fast.
     """
-    positions: dict[str, int] = {}
+    positions: dict[int, int] = {}
     for i, token in enumerate(left):
         positions[token] = positions.get(token, 0) | (1 << i)
     full = (1 << len(left)) - 1
@@ -172,9 +192,9 @@ def _lcs_length(left: Sequence[str], right: Sequence[str]) -> int:
     return len(left) - row.bit_count()
 
 
-@F.pandas_udf(T.IntegerType())
-def lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([_lcs_length(a, b) for a, b in zip(left, right)], dtype="int32")
+@F.arrow_udf(T.IntegerType())
+def lcs_length(left: pa.Array, right: pa.Array) -> pa.Array:
+    return pa.array([_lcs_length(a, b) for pairs in _slices(left, right) for a, b in pairs.lists()], pa.int32())
 
 
 def rouge_l(pairs: DataFrame) -> DataFrame:
