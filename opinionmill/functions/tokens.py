@@ -56,7 +56,8 @@ def bigrams(tokens: Column) -> Column:
 
 
 def uni_and_bigrams(tokens: Column) -> Column:
-    return F.concat(tokens, bigrams(tokens))
+    """Words, then their neighbouring pairs; the words are computed once and handed on."""
+    return F.transform(F.array(tokens), lambda words: F.concat(words, bigrams(words)))[0]
 
 
 def ngrams(tokens: Column, n: int) -> Column:
