@@ -41,9 +41,10 @@ FROM documents WHERE length(text) > 5000 OR regexp_full_match(text, '\s*')""")
 def stream_rejected_requests(spark, sf_dir):
     requests = document_stream(spark, sf_dir).select(F.col("doc_id").alias("row_id"), F.col("text").alias("review"))
     _, rejected = split_requests(requests, "review")
+    reasons = rejected.select("row_id", "reason")
     path = scratch_path(spark, "stream-rejected")
-    scoring.append_table(rejected.select("row_id", "reason"), path, scratch_path(spark, "stream-rejected-log")).awaitTermination()
-    return spark.read.parquet(path)
+    scoring.append_table(reasons, path, scratch_path(spark, "stream-rejected-log")).awaitTermination()
+    return scoring.read_table(spark, path, reasons.schema)
 
 
 @query("stream_sentiment_counts", CATEGORY_COUNTS_SQL)

@@ -144,6 +144,53 @@ def test_stream_equals_batch(spark, small_model, sf_dir, tmp_path):
     assert spark.read.parquet(str(tmp_path / "rejected")).count() == refused.count()
 
 
+def test_appended_table_is_read_under_another_path(spark, tmp_path):
+    source, path, schema = str(tmp_path / "in"), tmp_path / "out", "k string, n long"
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        scoring.append_table(stream, str(path), str(tmp_path / "log")).awaitTermination()
+
+    run([("a", 1), (None, 2), ("a", 1)])
+    run([("b", 3)])
+    path.rename(tmp_path / "mount")  # the same folder as another machine names it
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "mount")).collect())) == sorted(
+        map(str, spark.createDataFrame([("a", 1), (None, 2), ("a", 1), ("b", 3)], schema).collect()))
+
+
+def test_appended_batches_are_whole_and_repeatable(spark, tmp_path):
+    path, schema = str(tmp_path / "out"), spark.createDataFrame([], "n long").schema
+    table = scoring.AppendedTable(spark, path)
+    read = lambda: sorted(r["n"] for r in scoring.read_table(spark, path, schema).collect())
+    assert read() == []
+    table.append(spark.range(4).toDF("n"), 0)
+    table.append(spark.range(4).toDF("n"), 0)  # a batch that runs again
+    assert read() == [0, 1, 2, 3]
+    # an attempt that ended while it moved its files
+    spark.range(4, 9).toDF("n").repartition(3).write.parquet(f"{path}/_staged/{1:012d}")
+    moved = sorted((tmp_path / "out/_staged" / f"{1:012d}").glob("part-*"))[0]
+    moved.rename(tmp_path / "out" / f"{1:012d}-{moved.name}")
+    assert read() == [0, 1, 2, 3]
+    table.append(spark.range(4, 9).toDF("n"), 1)
+    table.append(spark.createDataFrame([], schema), 2)
+    assert read() == list(range(9)) and spark.read.parquet(path).count() == 9
+    (tmp_path / "old/_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="file sink"):
+        scoring.append_table(spark.readStream.format("rate").load(), str(tmp_path / "old"), str(tmp_path / "log"))
+
+
+def test_stream_queries_return_every_document(spark, tmp_path):
+    texts = ["", " \n", "x" * 5001, None, "fine", "fine"]
+    rows = [(i, t, "en", "src1", len(t or "")) for i, t in enumerate(texts)] + [(0, "", "en", "src1", 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    frame.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = streams.stream_rejected_requests(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == [(0, "empty"), (0, "empty"), (1, "blank"), (2, "too_long"), (3, "empty")]
+    frame.limit(0).write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
+    assert streams.stream_rejected_requests(spark, str(tmp_path)).collect() == []
+
+
 def test_counts_over_two_batches(spark, tmp_path):
     source, path = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "k string, n long"
