@@ -32,7 +32,8 @@ def stream_scored_reviews(spark, sf_dir):
     scored, _ = scoring.score_stream(requests, model, "review_text")
     path = scratch_path(spark, "stream-scored")
     scoring.append_table(scored, path, scratch_path(spark, "stream-scored-log")).awaitTermination()
-    return spark.read.parquet(path).select("row_id", "sentiment", *[F.col("class_scores")[s].alias(s) for s in SENTIMENTS])
+    result = scoring.read_table(spark, path, scored.schema)
+    return result.select("row_id", "sentiment", *[F.col("class_scores")[s].alias(s) for s in SENTIMENTS])
 
 
 @query("stream_rejected_requests", r"""

@@ -159,6 +159,21 @@ def test_appended_table_is_read_under_another_path(spark, tmp_path):
         map(str, spark.createDataFrame([("a", 1), (None, 2), ("a", 1), ("b", 3)], schema).collect()))
 
 
+def test_scored_stream_is_read_under_another_path(spark, small_model, tmp_path):
+    rows = [(1, "excellent tablet"), (2, ""), (3, "awful and broken"), (3, "awful and broken"), (4, None), (None, "fine")]
+    asked = spark.createDataFrame(rows, "row_id int, review_text string")
+    asked.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(asked.schema).parquet(str(tmp_path / "in"))
+    scored, _ = scoring.score_stream(stream, small_model, "review_text")
+    scoring.append_table(scored, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
+    (tmp_path / "out").rename(tmp_path / "mount")
+    batch, _ = scoring.score_stream(asked, small_model, "review_text")
+    want = sorted(map(str, batch.collect()))
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "mount")).collect())) == want and len(want) == 4
+    got = scoring.read_table(spark, str(tmp_path / "mount"), scored.schema)
+    assert sorted(map(str, got.collect())) == want and got.columns == scored.columns
+
+
 def test_appended_batches_are_whole_and_repeatable(spark, tmp_path):
     path, schema = str(tmp_path / "out"), spark.createDataFrame([], "n long").schema
     table = scoring.AppendedTable(spark, path)
