@@ -5,6 +5,11 @@ cost * max(0, 1 - margin) ** 2, for several one-against-rest problems at once. E
 problems that are still open: one gives loss and gradient, each step of the conjugate gradients one product with
 the generalised Hessian, whose rows are those inside the margin. Only sums of the size of the coefficients leave a
 task.
+
+The number of these steps follows the Hessian's condition, which grows with the rows. So they are preconditioned by
+the inverse Hessian of some rows per column, drawn once: then their number depends on rows per column drawn, not on
+the table. Losses, gradients and Hessian products are always those of all rows, and so is the minimum; drawn rows
+that stand badly for the others cost steps, not precision.
 """
 
 from __future__ import annotations
@@ -14,12 +19,19 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame
 
-from opinionmill.operators.vector_blocks import Block, block_sums
+from opinionmill.operators.vector_blocks import Block, block_sums, drawn_rows
 
 # Shares of the predicted decrease: below the first a step is refused, beyond the others the region shrinks or grows.
 ACCEPTED, POOR, GOOD = 1e-4, 0.25, 0.75
 CONJUGATE_STEPS = 50
 CONJUGATE_PRECISION = 0.1  # of the gradient's norm
+DRAWN = 8  # rows per column in a preconditioner
+LEAST_DRAWN = 4096  # rows
+DRAWN_ENTRIES = 1 << 23  # of the drawn rows, 12 bytes each
+COLUMNS = 6000  # of a preconditioner, those with the most weight; the others have the Hessian's diagonal
+RIDGE = 1e-5  # on a diagonal of 1, far above the rounding of single precision
+MANY_STEPS = 6  # a preconditioner that took more is made again at the coefficients reached
+CHUNK = 1024  # rows of a dense piece
 
 
 def _products(block: Block, vectors: np.ndarray) -> np.ndarray:
@@ -49,16 +61,74 @@ def loss_and_gradient(blocks: DataFrame, weights: np.ndarray, costs: np.ndarray)
     return loss + 0.5 * (weights ** 2).sum(axis=1), slope + weights, curvature + 1.0
 
 
-def hessian_products(blocks: DataFrame, weights: np.ndarray, vectors: np.ndarray, costs: np.ndarray) -> np.ndarray:
-    """Product of each problem's Hessian at ``weights`` with its vector."""
+def hessian_products(blocks: DataFrame, weights: np.ndarray, vectors: np.ndarray, costs: np.ndarray,
+                     which: np.ndarray | None = None) -> np.ndarray:
+    """Product of each problem's Hessian at ``weights`` with its vector; ``which`` numbers the problems if not all."""
+    which = np.arange(len(costs)) if which is None else which
+
     def measure(block: Block) -> list[np.ndarray]:
-        side, cost = _sides(block.labels, costs)
+        side, cost = (x[:, which] for x in _sides(block.labels, costs))
         inside = side * _products(block, weights) < 1.0
         return [_weighted_sums(block, 2.0 * cost * inside * _products(block, vectors))]
 
     return block_sums(blocks, measure)[0] + vectors
 
 
+class Preconditioner:
+    """Inverse Hessians of drawn rows, one per problem, in coordinates in which the Hessian's diagonal is 1.
+
+    Kept in single precision on the driver: ``COLUMNS`` squared numbers per problem at most.
+    """
+
+    def __init__(self, drawn: Block, factor: float, costs: np.ndarray):
+        self.drawn, self.factor, self.costs = drawn, factor, costs
+        self.columns = np.arange(drawn.size)
+        if drawn.size > COLUMNS:
+            weight = np.bincount(drawn.indices, drawn.values ** 2, drawn.size)
+            self.columns = np.sort(np.argpartition(-weight, COLUMNS)[:COLUMNS])
+        self.kept = np.append(self.columns, drawn.size)  # with the intercept
+        self.inverse: dict[int, np.ndarray] = {}
+
+    def _dense(self, rows: Block, factors: np.ndarray) -> np.ndarray:
+        """The kept columns and the intercept's 1, every row times its factor."""
+        out = np.zeros((len(rows.many), len(self.kept)), np.float32)
+        out[:, -1] = 1.0
+        place = np.searchsorted(self.columns, rows.indices)
+        known = self.columns[np.minimum(place, len(self.columns) - 1)] == rows.indices if len(self.columns) else np.zeros(0, bool)
+        out[np.repeat(np.arange(len(rows.many)), rows.many)[known], place[known]] = rows.values[known]
+        out *= factors[:, None].astype(np.float32)
+        return out
+
+    def make(self, problem: int, weights: np.ndarray) -> None:
+        """The inverse for one problem at its coefficients."""
+        self.inverse.pop(problem, None)
+        side, cost = (x[:, problem] for x in _sides(self.drawn.labels, self.costs))
+        inside = np.flatnonzero(side * _products(self.drawn, weights[None, :])[:, 0] < 1.0)
+        rows, factors = self.drawn.rows(inside), np.sqrt(2.0 * self.factor * cost[inside])
+        hessian = np.eye(len(self.kept), dtype=np.float32)
+        for at in range(0, len(inside), CHUNK):
+            piece = self._dense(rows.rows(np.arange(at, min(at + CHUNK, len(inside)))), factors[at:at + CHUNK])
+            hessian += piece.T @ piece
+        scale = 1.0 / np.sqrt(hessian.diagonal())
+        hessian *= scale[:, None]
+        hessian *= scale
+        hessian[np.diag_indices(len(scale))] += np.float32(RIDGE)
+        try:
+            inverse = np.linalg.inv(hessian)
+        except np.linalg.LinAlgError:
+            return
+        if np.isfinite(inverse.sum()):
+            self.inverse[problem] = inverse
+
+    def solve(self, problem: int, rest: np.ndarray) -> np.ndarray:
+        """``rest`` times the inverse; ``rest`` itself where there is none or it is not positive for it."""
+        if problem not in self.inverse:
+            return rest.copy()
+        out = rest.copy()
+        out[self.kept] = self.inverse[problem] @ rest[self.kept].astype(np.float32)
+        return out if out @ rest > 0 else rest.copy()
+
+
 def _to_border(step: np.ndarray, direction: np.ndarray, radius: float) -> float:
     """How far ``direction`` leads from ``step`` to the border of the region."""
     a, b, c = direction @ direction, step @ direction, step @ step - radius ** 2
@@ -66,31 +136,36 @@ def _to_border(step: np.ndarray, direction: np.ndarray, radius: float) -> float:
 
 
 def trust_region_steps(blocks: DataFrame, weights: np.ndarray, gradient: np.ndarray, scale: np.ndarray, radius: np.ndarray,
-                       costs: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Steps inside each problem's region by conjugate gradients, and the residuals that give the predicted decrease.
+                       costs: np.ndarray, open_: np.ndarray, near: Preconditioner) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Steps inside each problem's region by preconditioned conjugate gradients, the residuals that give the predicted
+    decrease, and how many products each problem took.
 
     All are in coordinates divided by ``scale``, as are the results and the radius: there every diagonal entry of
     the Hessian is 1, so that frequent and rare terms need the same number of steps.
     """
     gradient = gradient * scale
-    step, rest = np.zeros_like(weights), -gradient
-    direction, going = rest.copy(), open_.copy()
-    bar = CONJUGATE_PRECISION * np.linalg.norm(gradient, axis=1)
+    step, rest, taken = np.zeros_like(weights), -gradient, np.zeros(len(weights), int)
+    direction = np.array([near.solve(i, rest[i]) if open_[i] else rest[i] for i in range(len(rest))])
+    size, going = (rest * direction).sum(axis=1), open_.copy()
+    bar = CONJUGATE_PRECISION ** 2 * size
     for _ in range(CONJUGATE_STEPS):
-        going &= np.linalg.norm(rest, axis=1) > bar
-        if not going.any():
+        going &= size > bar
+        which = np.flatnonzero(going)
+        if not len(which):
             break
-        product = scale * hessian_products(blocks, weights, scale * direction * going[:, None], costs)
-        for i in np.flatnonzero(going):
-            size = rest[i] @ rest[i]
-            length = size / (direction[i] @ product[i])
+        product = scale[which] * hessian_products(blocks, weights[which], scale[which] * direction[which], costs, which)
+        taken[which] += 1
+        for i, curved in zip(which, product, strict=True):
+            length = size[i] / (direction[i] @ curved)
             if np.linalg.norm(step[i] + length * direction[i]) > radius[i]:
                 length, going[i] = _to_border(step[i], direction[i], radius[i]), False
             step[i] = step[i] + length * direction[i]
-            rest[i] = rest[i] - length * product[i]
+            rest[i] = rest[i] - length * curved
             if going[i]:
-                direction[i] = rest[i] + (rest[i] @ rest[i]) / size * direction[i]
-    return step, rest
+                turned = near.solve(i, rest[i])
+                before, size[i] = size[i], rest[i] @ turned
+                direction[i] = turned + size[i] / before * direction[i]
+    return step, rest, taken
 
 
 def fit_squared_hinge(blocks: DataFrame, size: int, costs: Sequence[float], max_iter: int = 100, precision: float = 1e-5) -> np.ndarray:
@@ -103,13 +178,17 @@ def fit_squared_hinge(blocks: DataFrame, size: int, costs: Sequence[float], max_
     weights = np.zeros((len(cost), size + 1))
     loss, gradient, curvature = loss_and_gradient(blocks, weights, cost)
     first = np.linalg.norm(gradient, axis=1)
-    radius = np.linalg.norm(gradient / np.sqrt(curvature), axis=1)
+    radius = np.full(len(cost), np.inf)
+    near = Preconditioner(*drawn_rows(blocks, max(LEAST_DRAWN, DRAWN * (min(size, COLUMNS) + 1)), DRAWN_ENTRIES), cost)
+    taken = np.full(len(cost), MANY_STEPS + 1)
     for _ in range(max_iter):
         open_ = np.linalg.norm(gradient, axis=1) > precision * first
         if not open_.any():
             break
+        for i in np.flatnonzero(open_ & (taken > MANY_STEPS)):
+            near.make(i, weights[i])
         scale = 1.0 / np.sqrt(curvature)
-        step, rest = trust_region_steps(blocks, weights, gradient, scale, radius, cost, open_)
+        step, rest, taken = trust_region_steps(blocks, weights, gradient, scale, radius, cost, open_, near)
         moved = weights + scale * step
         new_loss, new_gradient, new_curvature = loss_and_gradient(blocks, moved, cost)
         for i in np.flatnonzero(open_):

@@ -7,6 +7,7 @@ which needs no Python; a block packs some hundred rows into one binary cell, so
 from __future__ import annotations
 
 import copy
+import zlib
 from collections.abc import Callable, Iterator
 from functools import cached_property
 
@@ -57,6 +58,17 @@ class Block:
         out.values = self.values ** 2
         return out
 
+    def rows(self, which: np.ndarray) -> Block:
+        """Some of the rows, by their numbers in rising order."""
+        out = copy.copy(self)
+        out.__dict__.pop("matrix", None)
+        kept = np.zeros(len(self.many), bool)
+        kept[which] = True
+        entries = np.repeat(kept, self.many)
+        out.many, out.labels = self.many[kept], self.labels[kept]
+        out.indices, out.values = self.indices[entries], self.values[entries]
+        return out
+
     def products(self, vectors: np.ndarray) -> np.ndarray:
         """Of every row with every vector, the rows of ``vectors``; the work follows the entries."""
         out = np.zeros((len(self.many), len(vectors)))
@@ -64,13 +76,14 @@ class Block:
         if len(filled):
             starts = (np.cumsum(self.many) - self.many)[filled]
             for i, vector in enumerate(vectors):
-                out[filled, i] = np.add.reduceat(vector[self.indices] * self.values, starts)
+                out[filled, i] = np.add.reduceat(vector.take(self.indices) * self.values, starts)
         return out
 
     def weighted_sums(self, weights: np.ndarray) -> np.ndarray:
         """The rows added up, once for every column of ``weights``, which has a weight per row."""
-        spread = np.repeat(weights, self.many, axis=0) * self.values[:, None]
-        return np.array([np.bincount(self.indices, column, self.size) for column in spread.T]).reshape(weights.shape[1], self.size)
+        return np.array([
+            np.bincount(self.indices, np.repeat(column, self.many) * self.values, self.size) for column in weights.T
+        ]).reshape(weights.shape[1], self.size)
 
 
 def vector_blocks(df: DataFrame, vector: str = "features", label: str | None = None) -> DataFrame:
@@ -95,6 +108,39 @@ def vector_blocks(df: DataFrame, vector: str = "features", label: str | None = N
     return materialized(df.sparkSession, rows.mapInArrow(run, wanted), "vector-blocks")
 
 
+def drawn_rows(blocks: DataFrame, rows: int, entries: int) -> tuple[Block, float] | None:
+    """About ``rows`` rows, of ``entries`` entries at most on average, in one block on the driver; None without rows.
+
+    Every row is as likely as any other, and the same blocks give the same rows. The number says how many rows one
+    drawn row stands for. For estimates that steer a search, not for its result.
+    """
+    all_ = blocks.agg(F.max("size").alias("size"), F.sum(F.length("labels") / 4).alias("rows"), F.sum(F.length("indices") / 4).alias("entries")).first()
+    if not all_["rows"]:
+        return None
+    share = min(1.0, rows / all_["rows"], entries / max(1.0, all_["entries"]))
+    wanted = T.StructType.fromDDL(BLOCK)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(wanted)
+        for batch in batches:
+            for at in range(batch.num_rows):
+                cells = [c[at].as_py() for c in batch.columns]
+                block = Block(*cells)
+                chance = np.random.default_rng(zlib.crc32(cells[3])).random(len(block.many))
+                some = block.rows(np.flatnonzero(chance < share))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block.size], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (
+                        np.cumsum(some.many).astype(np.int64), some.indices, some.values, some.labels)]], schema=schema)
+
+    # rows and entries are bounded, whatever the table
+    parts = [Block(*r) for r in (blocks if share == 1.0 else blocks.mapInArrow(run, wanted)).collect()]
+    out = copy.copy(parts[0])
+    out.size = all_["size"]
+    for name in ("many", "indices", "values", "labels"):
+        setattr(out, name, np.concatenate([getattr(p, name) for p in parts]))
+    return out, 1.0 / share
+
+
 def block_sums(blocks: DataFrame, measure: Callable[[Block], list[np.ndarray]]) -> list[np.ndarray] | None:
     """The sums over all blocks of the arrays that ``measure`` gives for each, in one pass; None without rows.
 

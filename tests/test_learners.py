@@ -59,6 +59,66 @@ def test_newton_finds_the_minimum(labelled):
     assert np.abs(found - plain_minimum(x, labels, costs)).max() < 1e-3
 
 
+@pytest.fixture(scope="module")
+def entangled(spark):
+    """Rows whose columns nearly repeat one another, so that the Hessian is far from its diagonal."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(6000, 80)) @ (rng.normal(size=(80, 80)) * np.logspace(0, -0.7, 80)[:, None])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    labels = np.clip(np.round(x @ rng.normal(size=80) * 0.8 + rng.normal(0, 0.4, 6000)) + 1, 0, 2)
+    df = spark.createDataFrame([(float(y), Vectors.dense(r)) for y, r in zip(labels, x, strict=True)], ["_label", "features"])
+    return vector_blocks.vector_blocks(df.repartition(4), "features", "_label"), x, labels
+
+
+def summed_here(monkeypatch, blocks):
+    """Passes over the collected blocks in this process; one entry in the list per pass."""
+    seen, here = [], [vector_blocks.Block(*r) for r in blocks.collect()]
+
+    def sums(_, measure):
+        seen.append(1)
+        return [sum(x) for x in zip(*map(measure, here), strict=True)]
+
+    monkeypatch.setattr(newton, "block_sums", sums)
+    return seen
+
+
+def test_newton_takes_few_passes(entangled, monkeypatch):
+    blocks, x, labels = entangled
+    seen, costs = summed_here(monkeypatch, blocks), np.array([2.0, 1.0, 0.5])
+    found = newton.fit_squared_hinge(blocks, 80, costs)
+    assert len(seen) < 50  # 146 where every step came from a pass alone
+    start, end = (np.linalg.norm(newton.loss_and_gradient(blocks, w, costs)[1], axis=1) for w in (np.zeros_like(found), found))
+    assert (end <= 1e-5 * start).all()
+
+
+@pytest.mark.parametrize("name, value", [("LEAST_DRAWN", 40), ("COLUMNS", 30)])
+def test_drawn_rows_do_not_decide_the_minimum(entangled, monkeypatch, name, value):
+    blocks, x, labels = entangled
+    costs = [2.0, 1.0, 0.5]
+    want = plain_minimum(x, labels, costs)
+    summed_here(monkeypatch, blocks)
+    monkeypatch.setattr(newton, name, value)
+    monkeypatch.setattr(newton, "DRAWN", 0 if name == "LEAST_DRAWN" else newton.DRAWN)
+    found = newton.fit_squared_hinge(blocks, 80, costs, precision=1e-7)
+    padded = np.hstack((x, np.ones((len(x), 1))))
+    assert np.abs(padded @ (found - want).T).max() < 1e-3
+
+
+def test_rows_are_drawn_alike(entangled):
+    blocks, x, labels = entangled
+    drawn, factor = vector_blocks.drawn_rows(blocks, 1500, 1 << 23)
+    assert factor == pytest.approx(4.0) and 1300 < len(drawn.many) < 1700 and drawn.size == 80
+    known = {tuple(r): y for r, y in zip(x, labels, strict=True)}
+    assert [known[tuple(r)] for r in drawn.matrix] == drawn.labels.tolist()
+    again, _ = vector_blocks.drawn_rows(blocks, 1500, 1 << 23)
+    assert (again.values == drawn.values).all()
+    few, _ = vector_blocks.drawn_rows(blocks, 1500, 8000)
+    assert len(few.values) < 12_000
+    whole, factor = vector_blocks.drawn_rows(blocks, 10_000, 1 << 23)
+    assert factor == 1.0 and len(whole.many) == 6000
+    assert vector_blocks.drawn_rows(blocks.where("1 = 0"), 10, 10) is None
+
+
 def test_newton_works_on_the_entries_alone():
     rng = np.random.default_rng(8)
     size, many = 40_000_000, np.array([0, 3, 0, 1, 2, 0])  # a dense matrix would take 2 GB
