@@ -15,7 +15,7 @@ from pyspark.ml.feature import (
     StopWordsRemover,
 )
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 from opinionmill.functions.tokens import (
     default_stop_words, uni_and_bigrams, without_stop_words, word_tokens,
 )
+from opinionmill.operators.hashed_terms import frequent_terms
 from opinionmill.operators.ranking import first_rows
 from opinionmill.operators.vector_blocks import stored_vectors
 from opinionmill.session import materialized, scratch_path
@@ -200,25 +201,46 @@ def top_terms(counts: DataFrame, key: str = "cluster_id", n: int = 10) -> DataFr
     return cut.groupBy(key).agg(F.array_join(terms, ", ").alias("top_terms"))
 
 
+def _term_stages(text: str, stop_words: Sequence[str] | None) -> list:
+    """Text to ``_words``, ``_kept``, ``_pairs`` and ``_terms``, all of them JVM stages."""
+    words = list(default_stop_words() if stop_words is None else stop_words)
+    return [
+        RegexTokenizer(inputCol=text, outputCol="_words", pattern="[^a-z0-9]+", minTokenLength=2),
+        StopWordsRemover(inputCol="_words", outputCol="_kept", stopWords=words, locale="en_US"),
+        NGram(n=2, inputCol="_kept", outputCol="_pairs"),
+        SQLTransformer(statement="SELECT *, concat(_kept, _pairs) AS _terms FROM __THIS__"),
+    ]
+
+
+def text_vocabulary(train: DataFrame, text: str = "review_text", max_features: int = SENTIMENT_FEATURES,
+                    stop_words: Sequence[str] | None = None) -> list[Row]:
+    """term, corpus_tf, df of the words and pairs that the feature stages keep, in their order.
+
+    Nearly every pair of a corpus is a different one; so that they need not all be shuffled, rare ones are ruled out
+    by hash first. Where that proves nothing, as on small tables, all terms are counted.
+    """
+    stages = _term_stages(text, stop_words)
+    rows = train.select(text)
+    found = frequent_terms(PipelineModel(stages[:2]).transform(rows).select("_kept"), max_features)
+    if found is None:
+        found = vocabulary(PipelineModel(stages).transform(rows).select("_terms"), F.col("_terms"), max_features)
+    return found.orderBy(F.desc("corpus_tf"), "term").collect()
+
+
 def fit_text_features(
     train: DataFrame, text: str = "review_text", max_features: int = SENTIMENT_FEATURES,
     tfidf_weights: bool = True, stop_words: Sequence[str] | None = None, output: str = "features",
+    found: Sequence[Row] | None = None,
 ) -> PipelineModel:
     """Feature stages fitted on the training rows only (X8), all of them JVM stages.
 
-    One grouped pass over the training terms gives the vocabulary and document frequencies;
-    only these capped lists reach the driver. Splitting lower-cased text at every run outside
+    ``text_vocabulary`` gives the vocabulary and document frequencies; only these capped lists reach the driver.
+    ``found`` is its result where it is there already. Splitting lower-cased text at every run outside
     ``[a-z0-9]`` cleans and tokenizes at once, so raw and cleaned text score alike.
     """
-    words = list(default_stop_words() if stop_words is None else stop_words)
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern="[^a-z0-9]+", minTokenLength=2),
-        StopWordsRemover(inputCol="_words", outputCol="_kept", stopWords=words, locale="en_US"),
-        NGram(n=2, inputCol="_kept", outputCol="_pairs"),
-        SQLTransformer(statement="SELECT *, concat(_kept, _pairs) AS _terms FROM __THIS__"),
-    ]
-    prepared = PipelineModel(stages).transform(train.select(text)).select("_terms")
-    found = vocabulary(prepared, F.col("_terms"), max_features).orderBy(F.desc("corpus_tf"), "term").collect()
+    stages = _term_stages(text, stop_words)
+    if found is None:
+        found = text_vocabulary(train, text, max_features, stop_words)
     documents = train.count()
     terms = [row["term"] for row in found]
     counted = "_counts" if tfidf_weights else output
@@ -230,4 +252,3 @@ def fit_text_features(
             Normalizer(p=2.0, inputCol="_weighted", outputCol=output),
         ]
     return PipelineModel(stages)
-

@@ -75,9 +75,10 @@ def hessian_products(blocks: DataFrame, weights: np.ndarray, vectors: np.ndarray
 
 
 class Preconditioner:
-    """Inverse Hessians of drawn rows, one per problem, in coordinates in which the Hessian's diagonal is 1.
+    """Inverse Hessians of drawn rows, in coordinates in which the Hessian's diagonal is 1.
 
-    Kept in single precision on the driver: ``COLUMNS`` squared numbers per problem at most.
+    All problems begin with that of all drawn rows, all weighing the same; ``make`` gives one its own. Kept in single
+    precision on the driver: ``COLUMNS`` squared numbers per problem, and once for all, at most.
     """
 
     def __init__(self, drawn: Block, factor: float, costs: np.ndarray):
@@ -87,7 +88,8 @@ class Preconditioner:
             weight = np.bincount(drawn.indices, drawn.values ** 2, drawn.size)
             self.columns = np.sort(np.argpartition(-weight, COLUMNS)[:COLUMNS])
         self.kept = np.append(self.columns, drawn.size)  # with the intercept
-        self.inverse: dict[int, np.ndarray] = {}
+        self.common = self._inverse(drawn, np.ones(len(drawn.many)))
+        self.own: dict[int, np.ndarray | None] = {}
 
     def _dense(self, rows: Block, factors: np.ndarray) -> np.ndarray:
         """The kept columns and the intercept's 1, every row times its factor."""
@@ -99,15 +101,12 @@ class Preconditioner:
         out *= factors[:, None].astype(np.float32)
         return out
 
-    def make(self, problem: int, weights: np.ndarray) -> None:
-        """The inverse for one problem at its coefficients."""
-        self.inverse.pop(problem, None)
-        side, cost = (x[:, problem] for x in _sides(self.drawn.labels, self.costs))
-        inside = np.flatnonzero(side * _products(self.drawn, weights[None, :])[:, 0] < 1.0)
-        rows, factors = self.drawn.rows(inside), np.sqrt(2.0 * self.factor * cost[inside])
+    def _inverse(self, rows: Block, cost: np.ndarray) -> np.ndarray | None:
+        """Of the Hessian of rows inside the margin with these costs; None where it has none in single precision."""
+        factors = np.sqrt(2.0 * self.factor * cost)
         hessian = np.eye(len(self.kept), dtype=np.float32)
-        for at in range(0, len(inside), CHUNK):
-            piece = self._dense(rows.rows(np.arange(at, min(at + CHUNK, len(inside)))), factors[at:at + CHUNK])
+        for at in range(0, len(cost), CHUNK):
+            piece = self._dense(rows.rows(np.arange(at, min(at + CHUNK, len(cost)))), factors[at:at + CHUNK])
             hessian += piece.T @ piece
         scale = 1.0 / np.sqrt(hessian.diagonal())
         hessian *= scale[:, None]
@@ -116,16 +115,22 @@ class Preconditioner:
         try:
             inverse = np.linalg.inv(hessian)
         except np.linalg.LinAlgError:
-            return
-        if np.isfinite(inverse.sum()):
-            self.inverse[problem] = inverse
+            return None
+        return inverse if np.isfinite(inverse.sum()) else None
+
+    def make(self, problem: int, weights: np.ndarray) -> None:
+        """One for a problem alone, at its coefficients."""
+        self.own.pop(problem, None)
+        side, cost = (x[:, problem] for x in _sides(self.drawn.labels, self.costs))
+        inside = np.flatnonzero(side * _products(self.drawn, weights[None, :])[:, 0] < 1.0)
+        self.own[problem] = self._inverse(self.drawn.rows(inside), cost[inside])
 
     def solve(self, problem: int, rest: np.ndarray) -> np.ndarray:
         """``rest`` times the inverse; ``rest`` itself where there is none or it is not positive for it."""
-        if problem not in self.inverse:
-            return rest.copy()
-        out = rest.copy()
-        out[self.kept] = self.inverse[problem] @ rest[self.kept].astype(np.float32)
+        inverse, out = self.own.get(problem, self.common), rest.copy()
+        if inverse is None:
+            return out
+        out[self.kept] = inverse @ rest[self.kept].astype(np.float32)
         return out if out @ rest > 0 else rest.copy()
 
 
@@ -180,7 +185,7 @@ def fit_squared_hinge(blocks: DataFrame, size: int, costs: Sequence[float], max_
     first = np.linalg.norm(gradient, axis=1)
     radius = np.full(len(cost), np.inf)
     near = Preconditioner(*drawn_rows(blocks, max(LEAST_DRAWN, DRAWN * (min(size, COLUMNS) + 1)), DRAWN_ENTRIES), cost)
-    taken = np.full(len(cost), MANY_STEPS + 1)
+    taken = np.zeros(len(cost), int)
     for _ in range(max_iter):
         open_ = np.linalg.norm(gradient, axis=1) > precision * first
         if not open_.any():

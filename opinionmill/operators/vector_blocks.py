@@ -142,44 +142,54 @@ def drawn_rows(blocks: DataFrame, rows: int, entries: int) -> tuple[Block, float
 
 
 def block_sums(blocks: DataFrame, measure: Callable[[Block], list[np.ndarray]]) -> list[np.ndarray] | None:
-    """The sums over all blocks of the arrays that ``measure`` gives for each, in one pass; None without rows.
+    """The sums over all blocks of the arrays that ``measure`` gives for each, in one pass; None without rows."""
+    def total(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray] | None:
+        found = None
+        for batch in batches:
+            for at in range(batch.num_rows):
+                found = _add(found, measure(Block(*(c[at].as_py() for c in batch.columns))))
+        return found
+
+    return task_sums(blocks, total)
+
+
+def _add(total: list[np.ndarray] | None, more: list[np.ndarray]) -> list[np.ndarray]:
+    return [np.array(x, np.float64) for x in more] if total is None else [t + x for t, x in zip(total, more, strict=True)]
+
+
+def task_sums(df: DataFrame, total: Callable[[Iterator[pa.RecordBatch]], list[np.ndarray] | None]) -> list[np.ndarray] | None:
+    """The sums over all tasks of the arrays that ``total`` makes of a task's rows; None where no task has any.
 
     A task sends one row, its own sums, to one of ``TASKS`` tasks, and these send theirs to one that adds them up:
     the driver gets one row, whatever the number of tasks. Sums are added in the order of their parts.
     """
     wanted = T.StructType.fromDDL("part int, sums array<binary>, shapes array<array<int>>")
 
-    def add(total: list[np.ndarray] | None, more: list[np.ndarray]) -> list[np.ndarray]:
-        return [np.array(x, np.float64) for x in more] if total is None else [t + x for t, x in zip(total, more, strict=True)]
-
-    def row(total: list[np.ndarray]) -> pa.RecordBatch:
+    def row(sums: list[np.ndarray]) -> pa.RecordBatch:
         from pyspark import TaskContext
 
         return pa.RecordBatch.from_arrays([
-            pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([[x.tobytes() for x in total]], pa.list_(pa.binary())),
-            pa.array([[list(x.shape) for x in total]], pa.list_(pa.list_(pa.int32())))], schema=to_arrow_schema(wanted))
+            pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([[x.tobytes() for x in sums]], pa.list_(pa.binary())),
+            pa.array([[list(x.shape) for x in sums]], pa.list_(pa.list_(pa.int32())))], schema=to_arrow_schema(wanted))
 
     def read(sums: list[bytes], shapes: list[list[int]]) -> list[np.ndarray]:
         return [np.frombuffer(x, np.float64).reshape(s) for x, s in zip(sums, shapes, strict=True)]
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            for at in range(batch.num_rows):
-                total = add(total, measure(Block(*(c[at].as_py() for c in batch.columns))))
-        if total is not None:
-            yield row(total)
+        found = total(batches)
+        if found is not None:
+            yield row(found)
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        found = None
         for batch in batches:
             for at in range(batch.num_rows):
-                total = add(total, read(batch.column(1)[at].as_py(), batch.column(2)[at].as_py()))
-        if total is not None:
-            yield row(total)
+                found = _add(found, read(batch.column(1)[at].as_py(), batch.column(2)[at].as_py()))
+        if found is not None:
+            yield row(found)
 
-    sums = blocks.mapInArrow(first, wanted)
-    parts = blocks.rdd.getNumPartitions()
+    sums = df.mapInArrow(first, wanted)
+    parts = df.rdd.getNumPartitions()
     for tasks in (TASKS, 1):
         if tasks < parts:
             sums = sums.repartition(tasks, F.col("part") % tasks).sortWithinPartitions("part").mapInArrow(second, wanted)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from opinionmill.operators import classify, clusters, features, newton, vector_blocks
+from opinionmill.operators import classify, clusters, features, hashed_terms, newton, vector_blocks
 
 
 @pytest.fixture(scope="module")
@@ -229,3 +229,44 @@ def test_vocabulary_is_whole_whatever_the_sketch_holds(spark):
         assert sorted(got) == sorted((w, corpus[w], present[w]) for w in want)
         exact = features.vocabulary(df, F.split("t", " "), size).collect()
         assert sorted(map(tuple, exact)) == sorted(got)
+
+
+@pytest.fixture(scope="module")
+def chatter(spark):
+    """Texts in which nearly every pair of neighbours is a different one."""
+    rng = random.Random(9)
+    texts = ["", "the of", "Zebra!"]
+    for _ in range(9000):
+        words = [f"w{int(rng.paretovariate(0.6)) % 4000}" for _ in range(rng.randrange(40))]
+        texts.append(" ".join(words + (["new york, new york"] if rng.random() < 0.2 else [])))
+    return spark.createDataFrame([(t,) for t in texts], "review_text string").repartition(5).cache()
+
+
+def plain_vocabulary(df, max_features):
+    tf, present = Counter(), Counter()
+    for (text,) in df.collect():
+        words = [w for w in "".join(c if c.isalnum() else " " for c in text.lower()).split() if len(w) > 1 and w not in ("the", "of")]
+        terms = words + [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+        tf.update(terms)
+        present.update(set(terms))
+    return [(w, tf[w], present[w]) for w in sorted(tf, key=lambda w: (-tf[w], w))[:max_features]], len(tf)
+
+
+def test_rare_pairs_are_not_grouped(chatter, monkeypatch):
+    want, different = plain_vocabulary(chatter, 150)
+    grouped, real = [], hashed_terms.counted_terms
+    monkeypatch.setattr(hashed_terms, "counted_terms", lambda *a: grouped.append(real(*a)) or grouped[-1])
+    monkeypatch.setattr(features, "vocabulary", None)  # which groups all terms
+    found = features.text_vocabulary(chatter, max_features=150, stop_words=["the", "of"])
+    assert [tuple(r) for r in found] == want and any(" " in r["term"] for r in found)
+    assert 150 <= grouped[0].count() < different / 20
+
+
+@pytest.mark.parametrize("bits, size", [(6, 50), (20, 2_000_000), (20, 30_000)])
+def test_vocabulary_is_whole_where_buckets_prove_nothing(chatter, monkeypatch, bits, size):
+    proven = []
+    monkeypatch.setattr(features, "frequent_terms", lambda words, n: proven.append(hashed_terms.frequent_terms(words, n, bits)) or proven[-1])
+    found = features.text_vocabulary(chatter, max_features=size, stop_words=["the", "of"])
+    assert [tuple(r) for r in found] == plain_vocabulary(chatter, size)[0]
+    assert features.text_vocabulary(chatter.where("review_text = 'none'"), max_features=size) == []
+    assert proven == [None, None]
