@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from opinionmill.functions import scores
 from opinionmill.functions.labels import SENTIMENTS
 from opinionmill.operators import contracts
-from opinionmill.operators.features import SENTIMENT_FEATURES, fit_text_features
+from opinionmill.operators.features import SENTIMENT_FEATURES, fit_text_features, text_vocabulary
 from opinionmill.operators.metrics import cell_counts, summary_metrics
 from opinionmill.operators.newton import fit_squared_hinge
 from opinionmill.operators.sampling import union_all
@@ -152,25 +152,27 @@ def compare_candidates(
 ) -> DataFrame:
     """Fit every candidate on the training rows and score it on the validation rows.
 
-    Features are fitted once per kind and kept while the candidates train on them.
+    The terms are counted once for all kinds of features, and features are kept while the candidates train on them.
     """
-    scored = []
+    found = text_vocabulary(train, text, max_features)
+    kinds = {}
     for tfidf in sorted({c.tfidf for c in candidates}, reverse=True):
-        stages = fit_text_features(train, text, max_features, tfidf_weights=tfidf)
+        stages = fit_text_features(train, text, max_features, tfidf_weights=tfidf, found=found)
         fitting, judging = (labelled_features(stages, frame, text, labels) for frame in (train, validation))
-        rows = fitting.count()
-
-        def judge(entry: tuple[int, Candidate], fitting: DataFrame = fitting, judging: DataFrame = judging, rows: int = rows) -> list[tuple]:
-            position, candidate = entry
-            model = PipelineModel(fit_learner(fitting, candidate, rows, max_iter, labels))
-            named = model.transform(judging).select(
-                F.col("sentiment").alias("actual"), predicted_label(labels).alias("predicted"))
-            return [(candidate.name, position, *cell) for cell in cell_counts(named).collect()]
-
-        own = [(i, c) for i, c in enumerate(candidates) if c.tfidf == tfidf]
-        with ThreadPool(len(own)) as pool:  # the candidates share the features and train side by side
-            for cells in pool.map(inheritable_thread_target(train.sparkSession)(judge), own):
-                scored += cells
+        kinds[tfidf] = fitting, judging, fitting.count()
+
+    def judge(entry: tuple[int, Candidate]) -> list[tuple]:
+        position, candidate = entry
+        fitting, judging, rows = kinds[candidate.tfidf]
+        model = PipelineModel(fit_learner(fitting, candidate, rows, max_iter, labels))
+        named = model.transform(judging).select(
+            F.col("sentiment").alias("actual"), predicted_label(labels).alias("predicted"))
+        return [(candidate.name, position, *cell) for cell in cell_counts(named).collect()]
+
+    scored = []
+    with ThreadPool(len(candidates)) as pool:  # the candidates share the features and train side by side
+        for cells in pool.map(inheritable_thread_target(train.sparkSession)(judge), list(enumerate(candidates)), chunksize=1):
+            scored += cells
     # Only labels x labels cell counts per candidate reach the driver.
     cells = train.sparkSession.createDataFrame(scored, "model string, position int, actual string, predicted string, n long")
     return summary_metrics(cells, ["model", "position"], labels).orderBy(

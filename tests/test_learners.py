@@ -270,3 +270,17 @@ def test_vocabulary_is_whole_where_buckets_prove_nothing(chatter, monkeypatch, b
     assert [tuple(r) for r in found] == plain_vocabulary(chatter, size)[0]
     assert features.text_vocabulary(chatter.where("review_text = 'none'"), max_features=size) == []
     assert proven == [None, None]
+
+
+def test_candidates_share_the_counted_terms(spark, monkeypatch):
+    rng = random.Random(4)
+    mood = {"negative": "bad broken awful", "neutral": "fine okay plain", "positive": "great lovely happy"}
+    rows = [(s, " ".join(rng.choices(mood[s].split() + ["thing", "box"], k=8))) for s in mood for _ in range(40)]
+    df = spark.createDataFrame(rows, "sentiment string, review_text string").repartition(3)
+    counted, real = [], features.text_vocabulary
+    for module in (features, classify):
+        monkeypatch.setattr(module, "text_vocabulary", lambda *a, **k: counted.append(1) or real(*a, **k))
+    out = classify.compare_candidates(df, df, max_features=40).collect()
+    assert len(counted) == 1
+    assert sorted(r["model"] for r in out) == sorted(c.name for c in classify.CANDIDATES)
+    assert all(r["samples"] == 120 and r["accuracy"] > 0.95 for r in out)
