@@ -32,6 +32,7 @@ COLUMNS = 6000  # of a preconditioner, those with the most weight; the others ha
 RIDGE = 1e-5  # on a diagonal of 1, far above the rounding of single precision
 MANY_STEPS = 6  # a preconditioner that took more is made again at the coefficients reached
 CHUNK = 1024  # rows of a dense piece
+STRIPE = 512  # columns that a dense matrix is worked on at a time
 
 
 def _products(block: Block, vectors: np.ndarray) -> np.ndarray:
@@ -74,6 +75,26 @@ def hessian_products(blocks: DataFrame, weights: np.ndarray, vectors: np.ndarray
     return block_sums(blocks, measure)[0] + vectors
 
 
+def _stripes(n: int) -> list[slice]:
+    return [slice(at, min(at + STRIPE, n)) for at in range(0, n, STRIPE)]
+
+
+def invert_in_place(matrix: np.ndarray) -> None:
+    """A symmetric positive matrix becomes its inverse, without a second one beside it."""
+    stripes = _stripes(len(matrix))
+    for own in stripes:
+        middle = np.linalg.inv(matrix[own, own].astype(np.float64)).astype(matrix.dtype)
+        left = matrix[:, own].copy()
+        left[own] = 0.0
+        across = middle @ matrix[own]
+        for other in stripes:
+            if other != own:
+                matrix[:, other] -= left @ across[:, other]
+        matrix[own] = across
+        matrix[:, own] = -left @ middle
+        matrix[own, own] = middle
+
+
 class Preconditioner:
     """Inverse Hessians of drawn rows, in coordinates in which the Hessian's diagonal is 1.
 
@@ -82,6 +103,7 @@ class Preconditioner:
     """
 
     def __init__(self, drawn: Block, factor: float, costs: np.ndarray):
+        drawn.values = drawn.values.astype(np.float32)
         self.drawn, self.factor, self.costs = drawn, factor, costs
         self.columns = np.arange(drawn.size)
         if drawn.size > COLUMNS:
@@ -104,25 +126,30 @@ class Preconditioner:
     def _inverse(self, rows: Block, cost: np.ndarray) -> np.ndarray | None:
         """Of the Hessian of rows inside the margin with these costs; None where it has none in single precision."""
         factors = np.sqrt(2.0 * self.factor * cost)
-        hessian = np.eye(len(self.kept), dtype=np.float32)
+        hessian, stripes = np.eye(len(self.kept), dtype=np.float32), _stripes(len(self.kept))
         for at in range(0, len(cost), CHUNK):
             piece = self._dense(rows.rows(np.arange(at, min(at + CHUNK, len(cost)))), factors[at:at + CHUNK])
-            hessian += piece.T @ piece
+            for stripe in stripes:  # the upper half
+                hessian[:stripe.stop, stripe] += piece[:, :stripe.stop].T @ piece[:, stripe]
+        for stripe in stripes:
+            hessian[stripe, :stripe.start] = hessian[:stripe.start, stripe].T
         scale = 1.0 / np.sqrt(hessian.diagonal())
         hessian *= scale[:, None]
         hessian *= scale
         hessian[np.diag_indices(len(scale))] += np.float32(RIDGE)
         try:
-            inverse = np.linalg.inv(hessian)
+            invert_in_place(hessian)
         except np.linalg.LinAlgError:
             return None
-        return inverse if np.isfinite(inverse.sum()) else None
+        return hessian if np.isfinite(hessian.sum()) else None
 
     def make(self, problem: int, weights: np.ndarray) -> None:
         """One for a problem alone, at its coefficients."""
         self.own.pop(problem, None)
         side, cost = (x[:, problem] for x in _sides(self.drawn.labels, self.costs))
         inside = np.flatnonzero(side * _products(self.drawn, weights[None, :])[:, 0] < 1.0)
+        if len(self.own) == len(self.costs) - 1:
+            self.common = None  # every problem has its own from here on
         self.own[problem] = self._inverse(self.drawn.rows(inside), cost[inside])
 
     def solve(self, problem: int, rest: np.ndarray) -> np.ndarray:
@@ -141,7 +168,7 @@ def _to_border(step: np.ndarray, direction: np.ndarray, radius: float) -> float:
 
 
 def trust_region_steps(blocks: DataFrame, weights: np.ndarray, gradient: np.ndarray, scale: np.ndarray, radius: np.ndarray,
-                       costs: np.ndarray, open_: np.ndarray, near: Preconditioner) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                       costs: np.ndarray, open_: np.ndarray, near: Preconditioner | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Steps inside each problem's region by preconditioned conjugate gradients, the residuals that give the predicted
     decrease, and how many products each problem took.
 
@@ -150,7 +177,7 @@ def trust_region_steps(blocks: DataFrame, weights: np.ndarray, gradient: np.ndar
     """
     gradient = gradient * scale
     step, rest, taken = np.zeros_like(weights), -gradient, np.zeros(len(weights), int)
-    direction = np.array([near.solve(i, rest[i]) if open_[i] else rest[i] for i in range(len(rest))])
+    direction = np.array([near.solve(i, rest[i]) if near and open_[i] else rest[i] for i in range(len(rest))])
     size, going = (rest * direction).sum(axis=1), open_.copy()
     bar = CONJUGATE_PRECISION ** 2 * size
     for _ in range(CONJUGATE_STEPS):
@@ -167,7 +194,7 @@ def trust_region_steps(blocks: DataFrame, weights: np.ndarray, gradient: np.ndar
             step[i] = step[i] + length * direction[i]
             rest[i] = rest[i] - length * curved
             if going[i]:
-                turned = near.solve(i, rest[i])
+                turned = near.solve(i, rest[i]) if near else rest[i]
                 before, size[i] = size[i], rest[i] @ turned
                 direction[i] = turned + size[i] / before * direction[i]
     return step, rest, taken
@@ -184,13 +211,14 @@ def fit_squared_hinge(blocks: DataFrame, size: int, costs: Sequence[float], max_
     loss, gradient, curvature = loss_and_gradient(blocks, weights, cost)
     first = np.linalg.norm(gradient, axis=1)
     radius = np.full(len(cost), np.inf)
-    near = Preconditioner(*drawn_rows(blocks, max(LEAST_DRAWN, DRAWN * (min(size, COLUMNS) + 1)), DRAWN_ENTRIES), cost)
+    drawn = drawn_rows(blocks, max(LEAST_DRAWN, DRAWN * (min(size, COLUMNS) + 1)), DRAWN_ENTRIES)
+    near = Preconditioner(*drawn, cost) if drawn else None
     taken = np.zeros(len(cost), int)
     for _ in range(max_iter):
         open_ = np.linalg.norm(gradient, axis=1) > precision * first
         if not open_.any():
             break
-        for i in np.flatnonzero(open_ & (taken > MANY_STEPS)):
+        for i in np.flatnonzero(open_ & (taken > MANY_STEPS)) if near else ():
             near.make(i, weights[i])
         scale = 1.0 / np.sqrt(curvature)
         step, rest, taken = trust_region_steps(blocks, weights, gradient, scale, radius, cost, open_, near)

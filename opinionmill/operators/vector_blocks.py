@@ -128,12 +128,16 @@ def drawn_rows(blocks: DataFrame, rows: int, entries: int) -> tuple[Block, float
                 block = Block(*cells)
                 chance = np.random.default_rng(zlib.crc32(cells[3])).random(len(block.many))
                 some = block.rows(np.flatnonzero(chance < share))
+                if not len(some.many):
+                    continue
                 yield pa.RecordBatch.from_arrays([
                     pa.array([block.size], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (
                         np.cumsum(some.many).astype(np.int64), some.indices, some.values, some.labels)]], schema=schema)
 
     # rows and entries are bounded, whatever the table
     parts = [Block(*r) for r in (blocks if share == 1.0 else blocks.mapInArrow(run, wanted)).collect()]
+    if not parts:
+        return None
     out = copy.copy(parts[0])
     out.size = all_["size"]
     for name in ("many", "indices", "values", "labels"):

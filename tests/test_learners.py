@@ -104,6 +104,15 @@ def test_drawn_rows_do_not_decide_the_minimum(entangled, monkeypatch, name, valu
     assert np.abs(padded @ (found - want).T).max() < 1e-3
 
 
+@pytest.mark.parametrize("size", [1, 7, newton.STRIPE, 2 * newton.STRIPE + 3])
+def test_inverse_in_place(size):
+    x = np.random.default_rng(size).normal(size=(2 * size, size))
+    matrix = x.T @ x / size + 0.1 * np.eye(size)
+    found = matrix.copy()
+    newton.invert_in_place(found)
+    assert np.allclose(found @ matrix, np.eye(size), atol=1e-8)
+
+
 def test_rows_are_drawn_alike(entangled):
     blocks, x, labels = entangled
     drawn, factor = vector_blocks.drawn_rows(blocks, 1500, 1 << 23)
