@@ -95,15 +95,28 @@ def invert_in_place(matrix: np.ndarray) -> None:
         matrix[own, own] = middle
 
 
+class Symmetric:
+    """The upper half of a symmetric matrix, by stripes of columns."""
+
+    def __init__(self, matrix: np.ndarray):
+        self.parts = [(s, matrix[:s.stop, s].copy()) for s in _stripes(len(matrix))]
+
+    def times(self, vector: np.ndarray) -> np.ndarray:
+        out = np.zeros_like(vector)
+        for stripe, part in self.parts:
+            out[:stripe.stop] += part @ vector[stripe]
+            out[stripe] += vector[:stripe.start] @ part[:stripe.start]
+        return out
+
+
 class Preconditioner:
     """Inverse Hessians of drawn rows, in coordinates in which the Hessian's diagonal is 1.
 
     All problems begin with that of all drawn rows, all weighing the same; ``make`` gives one its own. Kept in single
-    precision on the driver: ``COLUMNS`` squared numbers per problem, and once for all, at most.
+    precision on the driver: half of ``COLUMNS`` squared numbers per problem, and once for all, at most.
     """
 
     def __init__(self, drawn: Block, factor: float, costs: np.ndarray):
-        drawn.values = drawn.values.astype(np.float32)
         self.drawn, self.factor, self.costs = drawn, factor, costs
         self.columns = np.arange(drawn.size)
         if drawn.size > COLUMNS:
@@ -111,7 +124,7 @@ class Preconditioner:
             self.columns = np.sort(np.argpartition(-weight, COLUMNS)[:COLUMNS])
         self.kept = np.append(self.columns, drawn.size)  # with the intercept
         self.common = self._inverse(drawn, np.ones(len(drawn.many)))
-        self.own: dict[int, np.ndarray | None] = {}
+        self.own: dict[int, Symmetric | None] = {}
 
     def _dense(self, rows: Block, factors: np.ndarray) -> np.ndarray:
         """The kept columns and the intercept's 1, every row times its factor."""
@@ -123,7 +136,7 @@ class Preconditioner:
         out *= factors[:, None].astype(np.float32)
         return out
 
-    def _inverse(self, rows: Block, cost: np.ndarray) -> np.ndarray | None:
+    def _inverse(self, rows: Block, cost: np.ndarray) -> Symmetric | None:
         """Of the Hessian of rows inside the margin with these costs; None where it has none in single precision."""
         factors = np.sqrt(2.0 * self.factor * cost)
         hessian, stripes = np.eye(len(self.kept), dtype=np.float32), _stripes(len(self.kept))
@@ -141,7 +154,7 @@ class Preconditioner:
             invert_in_place(hessian)
         except np.linalg.LinAlgError:
             return None
-        return hessian if np.isfinite(hessian.sum()) else None
+        return Symmetric(hessian) if np.isfinite(hessian.sum()) else None
 
     def make(self, problem: int, weights: np.ndarray) -> None:
         """One for a problem alone, at its coefficients."""
@@ -157,7 +170,7 @@ class Preconditioner:
         inverse, out = self.own.get(problem, self.common), rest.copy()
         if inverse is None:
             return out
-        out[self.kept] = inverse @ rest[self.kept].astype(np.float32)
+        out[self.kept] = inverse.times(rest[self.kept].astype(np.float32))
         return out if out @ rest > 0 else rest.copy()
 
 

@@ -39,10 +39,10 @@ def stored_vectors(df: DataFrame, vector: str) -> DataFrame:
 class Block:
     """Some rows with their labels, as the entries they are stored with or as a dense matrix."""
 
-    def __init__(self, size: int, until: bytes, indices: bytes, values: bytes, labels: bytes):
+    def __init__(self, size: int, until: bytes, indices: bytes, values: bytes, labels: bytes, kind: type = np.float64):
         self.size = size
         self.many = np.diff(np.frombuffer(until, np.int64), prepend=0)  # entries of each row
-        self.indices, self.values = np.frombuffer(indices, np.int32), np.frombuffer(values, np.float64)
+        self.indices, self.values = np.frombuffer(indices, np.int32), np.frombuffer(values, kind)
         self.labels = np.frombuffer(labels, np.int32)
 
     @cached_property
@@ -112,7 +112,7 @@ def drawn_rows(blocks: DataFrame, rows: int, entries: int) -> tuple[Block, float
     """About ``rows`` rows, of ``entries`` entries at most on average, in one block on the driver; None without rows.
 
     Every row is as likely as any other, and the same blocks give the same rows. The number says how many rows one
-    drawn row stands for. For estimates that steer a search, not for its result.
+    drawn row stands for. For estimates that steer a search, not for its result: values come in single precision.
     """
     all_ = blocks.agg(F.max("size").alias("size"), F.sum(F.length("labels") / 4).alias("rows"), F.sum(F.length("indices") / 4).alias("entries")).first()
     if not all_["rows"]:
@@ -132,10 +132,10 @@ def drawn_rows(blocks: DataFrame, rows: int, entries: int) -> tuple[Block, float
                     continue
                 yield pa.RecordBatch.from_arrays([
                     pa.array([block.size], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (
-                        np.cumsum(some.many).astype(np.int64), some.indices, some.values, some.labels)]], schema=schema)
+                        np.cumsum(some.many).astype(np.int64), some.indices, some.values.astype(np.float32), some.labels)]], schema=schema)
 
     # rows and entries are bounded, whatever the table
-    parts = [Block(*r) for r in (blocks if share == 1.0 else blocks.mapInArrow(run, wanted)).collect()]
+    parts = [Block(*r, kind=np.float32) for r in blocks.mapInArrow(run, wanted).collect()]
     if not parts:
         return None
     out = copy.copy(parts[0])
