@@ -14,7 +14,7 @@ that stand badly for the others cost steps, not precision.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,7 +31,7 @@ DRAWN_ENTRIES = 1 << 23  # of the drawn rows, 12 bytes each
 COLUMNS = 6000  # of a preconditioner, those with the most weight; the others have the Hessian's diagonal
 RIDGE = 1e-5  # on a diagonal of 1, far above the rounding of single precision
 MANY_STEPS = 6  # a preconditioner that took more is made again at the coefficients reached
-CHUNK = 1024  # rows of a dense piece
+CHUNK = 512  # rows of a dense piece
 STRIPE = 512  # columns that a dense matrix is worked on at a time
 
 
@@ -123,25 +123,27 @@ class Preconditioner:
             weight = np.bincount(drawn.indices, drawn.values ** 2, drawn.size)
             self.columns = np.sort(np.argpartition(-weight, COLUMNS)[:COLUMNS])
         self.kept = np.append(self.columns, drawn.size)  # with the intercept
-        self.common = self._inverse(drawn, np.ones(len(drawn.many)))
+        self.until = np.append(0, np.cumsum(drawn.many))
         self.own: dict[int, Symmetric | None] = {}
+        self.common: Symmetric | None = self._inverse(lambda piece, rows: piece * np.float32(np.sqrt(2.0 * factor)))
 
-    def _dense(self, rows: Block, factors: np.ndarray) -> np.ndarray:
-        """The kept columns and the intercept's 1, every row times its factor."""
-        out = np.zeros((len(rows.many), len(self.kept)), np.float32)
+    def _dense(self, rows: slice) -> np.ndarray:
+        """The kept columns and the intercept's 1 of some drawn rows."""
+        many, entries = self.drawn.many[rows], slice(self.until[rows.start], self.until[rows.stop])
+        indices = self.drawn.indices[entries]
+        out = np.zeros((len(many), len(self.kept)), np.float32)
         out[:, -1] = 1.0
-        place = np.searchsorted(self.columns, rows.indices)
-        known = self.columns[np.minimum(place, len(self.columns) - 1)] == rows.indices if len(self.columns) else np.zeros(0, bool)
-        out[np.repeat(np.arange(len(rows.many)), rows.many)[known], place[known]] = rows.values[known]
-        out *= factors[:, None].astype(np.float32)
+        place = np.searchsorted(self.columns, indices)
+        known = self.columns[np.minimum(place, len(self.columns) - 1)] == indices if len(self.columns) else np.zeros(0, bool)
+        out[np.repeat(np.arange(len(many)), many)[known], place[known]] = self.drawn.values[entries][known]
         return out
 
-    def _inverse(self, rows: Block, cost: np.ndarray) -> Symmetric | None:
-        """Of the Hessian of rows inside the margin with these costs; None where it has none in single precision."""
-        factors = np.sqrt(2.0 * self.factor * cost)
+    def _inverse(self, weigh: Callable[[np.ndarray, slice], np.ndarray]) -> Symmetric | None:
+        """Of the Hessian that ``weigh`` makes of dense rows, in pieces; None where it has none in single precision."""
         hessian, stripes = np.eye(len(self.kept), dtype=np.float32), _stripes(len(self.kept))
-        for at in range(0, len(cost), CHUNK):
-            piece = self._dense(rows.rows(np.arange(at, min(at + CHUNK, len(cost)))), factors[at:at + CHUNK])
+        for at in range(0, len(self.drawn.many), CHUNK):
+            rows = slice(at, min(at + CHUNK, len(self.drawn.many)))
+            piece = weigh(self._dense(rows), rows)
             for stripe in stripes:  # the upper half
                 hessian[:stripe.stop, stripe] += piece[:, :stripe.stop].T @ piece[:, stripe]
         for stripe in stripes:
@@ -160,10 +162,14 @@ class Preconditioner:
         """One for a problem alone, at its coefficients."""
         self.own.pop(problem, None)
         side, cost = (x[:, problem] for x in _sides(self.drawn.labels, self.costs))
-        inside = np.flatnonzero(side * _products(self.drawn, weights[None, :])[:, 0] < 1.0)
+
+        def weigh(piece: np.ndarray, rows: slice) -> np.ndarray:
+            inside = side[rows] * (piece @ weights[self.kept].astype(np.float32)) < 1.0
+            return piece[inside] * np.sqrt(2.0 * self.factor * cost[rows][inside]).astype(np.float32)[:, None]
+
         if len(self.own) == len(self.costs) - 1:
             self.common = None  # every problem has its own from here on
-        self.own[problem] = self._inverse(self.drawn.rows(inside), cost[inside])
+        self.own[problem] = self._inverse(weigh)
 
     def solve(self, problem: int, rest: np.ndarray) -> np.ndarray:
         """``rest`` times the inverse; ``rest`` itself where there is none or it is not positive for it."""
